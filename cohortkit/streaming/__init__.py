@@ -1,0 +1,7 @@
+"""Streaming.
+
+The report is a batch statement over a closed period: it has no stream
+source, watermark, event-time window or state, so nothing here is built.  A
+scheduled run of :func:`cohortkit.plans.weekly.weekly_kpi` per period is the
+way to refresh it.
+"""
