@@ -81,6 +81,19 @@ def registration_rate(base: Column, traffic: Column) -> Column:
     return F.round(base.cast("double") / F.nullif(traffic, F.lit(0.0)), 4)
 
 
+_EPOCH = dt.date(1970, 1, 1)
+
+
+def ntz_micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, independent of the session
+    time zone (day number plus the wall-clock time of day)."""
+    days = F.datediff(F.to_date(ts), F.lit(_EPOCH)).cast("bigint")
+    secs = F.date_part(F.lit("SECOND"), ts)  # seconds with fraction, decimal(8,6)
+    return (days * F.lit(86_400_000_000) + F.hour(ts).cast("bigint") * F.lit(3_600_000_000)
+            + F.minute(ts).cast("bigint") * F.lit(60_000_000)
+            + (secs * F.lit(1_000_000)).cast("bigint"))
+
+
 def flag(cond: Column) -> Column:
     """0/1 integer flag of a condition, NULL counted as 0."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.functions.columns import is_true
+from cohortkit.functions.columns import is_true, ntz_micros, upper_like
 from cohortkit.operators.ranking import row_number_within
 from cohortkit.params import KpiParams
 
@@ -35,29 +35,49 @@ def purchase_events(orders: DataFrame, p: KpiParams) -> DataFrame:
             .distinct())
 
 
-def purchase_order() -> list[Column]:
-    """Order of a member's purchases: paid time (NULL last), then order id and channel.
+def other_channel(channel: Column, p: KpiParams) -> Column:
+    """The registration channel does not match the pattern (NULL channel: false)."""
+    return is_true(~upper_like(channel, p.distributor))
 
-    The reference orders by paid time only; the two tie-breaks make the first
-    purchase well defined when a member pays two orders at the same instant.
+
+def purchase_order(p: KpiParams) -> list[Column]:
+    """Order of a member's purchases: paid time (NULL last), then purchases through a
+    matching channel first, then order id and channel.
+
+    The reference orders by paid time only, which leaves the first purchase
+    undefined when a member pays two orders at the same instant; the
+    tie-breaks make it defined.  Putting the channel test first among them
+    lets the member aggregate find the first purchase's channel test from one
+    fixed-width ``min`` (see :func:`first_purchase_code`).
     """
     return [F.col("order_paid_time").asc_nulls_last(),
+            other_channel(F.col("eff_reg_channel"), p).asc(),
             F.col("original_order_id").asc_nulls_last(),
             F.col("eff_reg_channel").asc_nulls_last()]
 
 
 def purchase_rank(orders: DataFrame, p: KpiParams) -> DataFrame:
     """A2: A1 plus ``rk``, the position of each purchase in its member's history."""
-    return row_number_within(purchase_events(orders, p), ["crm_member_id"], purchase_order(), "rk")
+    return row_number_within(purchase_events(orders, p), ["crm_member_id"], purchase_order(p), "rk")
+
+
+def first_purchase_code(paid: Column, channel: Column, p: KpiParams) -> Column:
+    """``2 * micros(paid) + other_channel``: its minimum over a member's purchases
+    has the first paid time and, in its low bit, whether the first purchase
+    (under :func:`purchase_order`) was through another channel.  A long, so
+    the member aggregate stays a hash aggregate."""
+    return F.when(paid.isNotNull(),
+                  ntz_micros(paid) * F.lit(2) + other_channel(channel, p).cast("bigint"))
 
 
-def first_purchase_key(paid: Column, order: Column, channel: Column) -> Column:
+def first_purchase_key(paid: Column, order: Column, channel: Column, p: KpiParams) -> Column:
     """Struct whose minimum is the first purchase under :func:`purchase_order`.
 
     Struct comparison puts NULL fields first, so each nullable field is
     preceded by its own is-null flag to sort NULLs last.
     """
     return F.struct(paid.isNull().alias("paid_null"), paid.alias("order_paid_time"),
+                    other_channel(channel, p).alias("other_channel"),
                     order.isNull().alias("order_null"), order.alias("original_order_id"),
                     channel.isNull().alias("channel_null"), channel.alias("eff_reg_channel"))
 
@@ -67,12 +87,14 @@ def first_purchases(orders: DataFrame, p: KpiParams) -> DataFrame:
 
     Computed as a ``min`` of a struct, an aggregate that combines map-side, so
     a member with a very long history costs one row per task in the shuffle
-    instead of a whole sorted partition.
+    instead of a whole window partition.  (The struct holds strings, so this
+    aggregate is sort-based; the member profile, which needs only the paid
+    time and the channel test, uses a fixed-width code instead.)
     """
     ev = purchase_events(orders, p)
     first = (ev.groupBy("crm_member_id")
              .agg(F.min(first_purchase_key(F.col("order_paid_time"), F.col("original_order_id"),
-                                           F.col("eff_reg_channel"))).alias("f")))
+                                           F.col("eff_reg_channel"), p)).alias("f")))
     return first.select("crm_member_id", F.col("f.eff_reg_channel").alias("eff_reg_channel"),
                         F.col("f.original_order_id").alias("original_order_id"),
                         F.col("f.order_paid_time").alias("order_paid_time"))

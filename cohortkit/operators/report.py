@@ -12,11 +12,15 @@ FINAL_COLS = ("member_type", "ttl_sales", "traffic", "registration_rate", "membe
 REPORT_COLS = (*FINAL_COLS, "still_need_to_recall")
 
 
-def kpi_final(rollup: DataFrame, traffic: DataFrame) -> DataFrame:
-    """Ratios of a rollup; traffic attaches to the row with its label only."""
-    j = rollup.join(F.broadcast(traffic), on="member_type", how="left")
+def kpi_final(rollups: DataFrame, traffic: DataFrame) -> DataFrame:
+    """A29 (version 1) and A30 (version 2): ratios of the rollups.
+
+    Traffic attaches to the row with its label only (the new-member row of
+    version 1; no version 2 row has that label).
+    """
+    j = rollups.join(F.broadcast(traffic), on="member_type", how="left")
     return j.select(
-        "member_type",
+        "version", "member_type",
         F.col("ttl_sales").cast("double").alias("ttl_sales"),
         F.col("traffic"),
         registration_rate(F.col("member_base"), F.col("traffic")).alias("registration_rate"),
@@ -28,9 +32,14 @@ def kpi_final(rollup: DataFrame, traffic: DataFrame) -> DataFrame:
         F.col("member_sales").cast("double").alias("member_sales"))
 
 
-def kpi_union(final_1: DataFrame, final_2: DataFrame) -> DataFrame:
-    """Segment rows then recency rows."""
-    return final_1.select(*FINAL_COLS).unionByName(final_2.select(*FINAL_COLS))
+def kpi_version(final: DataFrame, version: int) -> DataFrame:
+    """A29 (version 1) or A30 (version 2) out of :func:`kpi_final`."""
+    return final.where(F.col("version") == version).select(*FINAL_COLS)
+
+
+def kpi_union(final: DataFrame) -> DataFrame:
+    """Segment rows and recency rows."""
+    return final.select(*FINAL_COLS)
 
 
 def weekly_kpi_report(final_union: DataFrame, recall: DataFrame) -> DataFrame:

@@ -6,32 +6,42 @@ a fixed set of 15, so joins between these frames broadcast by construction.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions import labels as L
-from cohortkit.functions.labels import SEGMENT_CODES as C
 from cohortkit.operators.recency import code_label
 from cohortkit.plans.member_profile import KEY
 
 SUMMARY_COLS = ("ttl_sales", "member_sales", "member_shopper", "member_orders")
 
 
-def segment_summary(order_grain: DataFrame, code_col: str) -> DataFrame:
-    """A23 (``seg_v1``) / A24 (``seg_v2``): sales, shoppers and orders per segment.
+def segment_summaries(order_grain: DataFrame) -> DataFrame:
+    """A23 and A24 in one aggregate: sales, shoppers and orders per segment.
 
-    ``order_grain`` holds one row per (segments, member, order).  Sales stay
-    decimal; ``member_type`` is the label (NULL for lines without a v2 segment).
+    ``order_grain`` holds one row per (member, order) with both segment
+    codes; each row is counted once under ``version`` 1 (``seg_v1``) and once
+    under ``version`` 2 (``seg_v2``), so the order grain is read once.  Sales
+    stay decimal; ``member_type`` is the label (NULL for lines without a v2
+    segment).
     """
+    both = order_grain.select(
+        "*", F.inline(F.array(F.struct(F.lit(1).alias("version"), F.col("seg_v1").alias("code")),
+                              F.struct(F.lit(2).alias("version"), F.col("seg_v2").alias("code")))))
     member = F.col(KEY).isNotNull()
     eff = F.col("eff")
-    agg = order_grain.groupBy(code_col).agg(
+    agg = both.groupBy("version", "code").agg(
         (F.sum("pos") - F.sum("neg")).alias("ttl_sales"),
         (F.sum(F.when(member, F.col("pos")).otherwise(F.lit(0)))
          - F.sum(F.when(member, F.col("neg")).otherwise(F.lit(0)))).alias("member_sales"),
         F.count_distinct(F.when(eff, F.col(KEY))).alias("member_shopper"),
         F.count_distinct(F.when(eff & member, F.col("original_order_id"))).alias("member_orders"))
-    return agg.select(code_label(F.col(code_col)).alias("member_type"), *SUMMARY_COLS)
+    return agg.select("version", code_label(F.col("code")).alias("member_type"), *SUMMARY_COLS)
+
+
+def segment_summary(summaries: DataFrame, version: int) -> DataFrame:
+    """A23 (version 1) or A24 (version 2) out of :func:`segment_summaries`."""
+    return summaries.where(F.col("version") == version).select("member_type", *SUMMARY_COLS)
 
 
 def summary_output(summary: DataFrame) -> DataFrame:
@@ -65,77 +75,105 @@ def cohort_counts(profile: DataFrame) -> DataFrame:
     )
 
 
-def _labelled(counts: DataFrame, rows: list[tuple[str, Column]], value: str) -> DataFrame:
-    """Unpivot named counts into (member_type, value) rows."""
-    return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(label).alias("member_type"), col.cast("bigint").alias(value))
-        for label, col in rows]))).where(F.col(value).isNotNull())
+BASE, RECENCY_BASE, RECALL, YTD = "base", "recency_base", "recall", "ytd"
 
 
-def member_base_summary(counts: DataFrame) -> DataFrame:
-    """Cohort sizes; the non-member row (base 0) exists only if there are new members."""
+def labelled_counts(counts: DataFrame) -> DataFrame:
+    """All labelled count rows of the report in one frame: (section, member_type, n).
+
+    ``base``: A25 cohort sizes (the non-member row, base 0, only if there are
+    new members); ``recency_base``: A27 bucket sizes at the start;
+    ``recall``: A32 members still to win back at the end; ``ytd``: the YTD
+    repeat row of A26 (shoppers in ``n``, plus repeat sales, repeaters and
+    their orders).  One generator over the one-row counts, so every consumer
+    reads the same plan.
+    """
+    none_money, none_long = F.lit(None).cast("decimal(38,2)"), F.lit(None).cast("bigint")
     rows = [
-        (L.NON_MEMBER, F.when(F.col("new") > 0, F.lit(0))),
-        (L.NEW_MEMBER, F.col("new")),
-        (L.NEVER_PURCHASED, F.col("never")),
-        (L.RETAINED, F.col("retain")),
-        (L.REACTIVATED, F.col("reactivate")),
-        (L.YTD_SHOPPER, F.col("ytd_first")),
-        (L.OTHER_CHANNEL, F.col("other_channel")),
+        (BASE, L.NON_MEMBER, F.when(F.col("new") > 0, F.lit(0))),
+        (BASE, L.NEW_MEMBER, F.col("new")),
+        (BASE, L.NEVER_PURCHASED, F.col("never")),
+        (BASE, L.RETAINED, F.col("retain")),
+        (BASE, L.REACTIVATED, F.col("reactivate")),
+        (BASE, L.YTD_SHOPPER, F.col("ytd_first")),
+        (BASE, L.OTHER_CHANNEL, F.col("other_channel")),
+        *[(RECENCY_BASE, label, F.col(f"start_{code}"))
+          for label, code in zip(L.RECENCY_LABELS, L.RECENCY_CODES)],
+        (RECALL, L.RETAINED, F.col("not_retained")),
+        (RECALL, L.REACTIVATED, F.col("not_reactivated")),
+        *[(RECALL, label, F.col(f"end_{code}"))
+          for label, code in zip(L.RECENCY_LABELS[1:], L.RECENCY_CODES[1:])],
+        (RECALL, L.YTD_REPEAT, F.col("ytd_single")),
     ]
-    return _labelled(counts, rows, "member_base")
+    structs = [F.struct(F.lit(section).alias("section"), F.lit(label).alias("member_type"),
+                        col.cast("bigint").alias("n"), none_money.alias("sales"),
+                        none_long.alias("shoppers"), none_long.alias("orders"))
+               for section, label, col in rows]
+    structs.append(F.struct(F.lit(YTD).alias("section"), F.lit(L.YTD_REPEAT).alias("member_type"),
+                            F.col("ytd_shoppers").cast("bigint").alias("n"),
+                            F.col("ytd_sales").cast("decimal(38,2)").alias("sales"),
+                            F.col("ytd_repeaters").cast("bigint").alias("shoppers"),
+                            F.col("ytd_orders").cast("bigint").alias("orders")))
+    return counts.select(F.inline(F.array(*structs))).where(F.col("n").isNotNull())
 
 
-def recency_base_summary(counts: DataFrame) -> DataFrame:
-    """Sizes of the five recency buckets at the start date."""
-    rows = [(label, F.col(f"start_{code}")) for label, code in zip(L.RECENCY_LABELS, L.RECENCY_CODES)]
-    return _labelled(counts, rows, "member_base")
+def _section(labelled: DataFrame, section: str, value: str) -> DataFrame:
+    return labelled.where(F.col("section") == section).select(
+        "member_type", F.col("n").alias(value))
 
 
-def recall_counts(counts: DataFrame) -> DataFrame:
-    """Members still to win back at the end of the period."""
-    rows = [
-        (L.RETAINED, F.col("not_retained")),
-        (L.REACTIVATED, F.col("not_reactivated")),
-        *[(label, F.col(f"end_{code}"))
-          for label, code in zip(L.RECENCY_LABELS[1:], L.RECENCY_CODES[1:])],
-        (L.YTD_REPEAT, F.col("ytd_single")),
-    ]
-    return _labelled(counts, rows, "still_need_to_recall")
+def member_base_summary(labelled: DataFrame) -> DataFrame:
+    """Cohort sizes."""
+    return _section(labelled, BASE, "member_base")
 
 
-def _with_summary(base: DataFrame, summary: DataFrame) -> DataFrame:
-    return base.join(F.broadcast(summary), on="member_type", how="left").select(
-        "member_type", "member_base", *SUMMARY_COLS)
+def recency_base_summary(labelled: DataFrame) -> DataFrame:
+    """Sizes of the five recency buckets at the start date."""
+    return _section(labelled, RECENCY_BASE, "member_base")
 
 
-def _total(rows: DataFrame, label: str) -> DataFrame:
-    return rows.agg(*[F.sum(c).alias(c) for c in ("member_base", *SUMMARY_COLS)]).select(
-        F.lit(label).alias("member_type"), "member_base", *SUMMARY_COLS)
+def recall_counts(labelled: DataFrame) -> DataFrame:
+    """Members still to win back at the end of the period."""
+    return _section(labelled, RECALL, "still_need_to_recall")
 
 
-def kpi_rollup(base: DataFrame, summary: DataFrame, counts: DataFrame) -> DataFrame:
-    """Cohort rows with their sales, the existing subtotal, the total and the YTD row.
+def rollups(labelled: DataFrame, summaries: DataFrame) -> DataFrame:
+    """A26 (``version`` 1) and A28 (``version`` 2) as one frame.
 
+    Cohort and bucket sizes are joined to their segment's sales by (version,
+    label).  Version 1 adds the existing subtotal, the total and the YTD row.
     Subtotal and total add distinct counts of cohorts that may overlap, as
-    the report defines them; they are not a ROLLUP.
+    the report defines them; they are not a ROLLUP.  Both versions travel
+    together, so no filter splits the summaries into one plan per reader.
     """
-    rows = _with_summary(base, summary)
-    existing = _total(rows.where(F.col("member_type").like("%existing%")), L.EXISTING)
-    total = _total(rows, L.TTL)
-    ytd = counts.select(
-        F.lit(L.YTD_REPEAT).alias("member_type"),
-        F.col("ytd_shoppers").alias("member_base"),
-        F.col("ytd_sales").alias("ttl_sales"),
-        F.col("ytd_sales").alias("member_sales"),
-        F.col("ytd_repeaters").alias("member_shopper"),
-        F.col("ytd_orders").cast("bigint").alias("member_orders"))
-    return rows.unionByName(existing).unionByName(total).unionByName(ytd)
-
-
-def recency_rollup(base_v2: DataFrame, summary_v2: DataFrame) -> DataFrame:
-    """Recency bucket sizes with their sales."""
-    return _with_summary(base_v2, summary_v2)
+    base = labelled.where(F.col("section").isin(BASE, RECENCY_BASE)).select(
+        F.when(F.col("section") == BASE, 1).otherwise(2).alias("version"),
+        "member_type", F.col("n").alias("member_base"))
+    rows = base.join(F.broadcast(summaries), on=["version", "member_type"], how="left").select(
+        "version", "member_type", "member_base", *SUMMARY_COLS)
+    v1 = F.col("version") == 1
+    existing = v1 & F.col("member_type").like("%existing%")
+    cols = ("member_base", *SUMMARY_COLS)
+    sums = rows.agg(*[F.sum(F.when(existing, F.col(c))).alias(f"e_{c}") for c in cols],
+                    *[F.sum(F.when(v1, F.col(c))).alias(f"t_{c}") for c in cols])
+    totals = sums.select(F.inline(F.array(
+        F.struct(F.lit(1).alias("version"), F.lit(L.EXISTING).alias("member_type"),
+                 *[F.col(f"e_{c}").alias(c) for c in cols]),
+        F.struct(F.lit(1).alias("version"), F.lit(L.TTL).alias("member_type"),
+                 *[F.col(f"t_{c}").alias(c) for c in cols]))))
+    ytd = labelled.where(F.col("section") == YTD).select(
+        F.lit(1).alias("version"), "member_type",
+        F.col("n").alias("member_base"),
+        F.col("sales").alias("ttl_sales"),
+        F.col("sales").alias("member_sales"),
+        F.col("shoppers").alias("member_shopper"),
+        F.col("orders").alias("member_orders"))
+    return rows.unionByName(totals).unionByName(ytd)
+
+
+def rollup(rollups_: DataFrame, version: int) -> DataFrame:
+    """A26 (version 1) or A28 (version 2) out of :func:`rollups`."""
+    return rollups_.where(F.col("version") == version).select("member_type", "member_base", *SUMMARY_COLS)
 
 
 def rollup_output(rollup: DataFrame) -> DataFrame:
@@ -145,6 +183,6 @@ def rollup_output(rollup: DataFrame) -> DataFrame:
                          "member_shopper", "member_orders")
 
 
-__all__ = ["segment_summary", "summary_output", "cohort_counts", "member_base_summary",
-           "recency_base_summary", "recall_counts", "kpi_rollup", "recency_rollup",
-           "rollup_output", "C"]
+__all__ = ["segment_summaries", "segment_summary", "summary_output", "cohort_counts",
+           "labelled_counts", "member_base_summary", "recency_base_summary", "recall_counts",
+           "rollups", "rollup", "rollup_output"]

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from cohortkit.functions.columns import in_range, is_true, member_key, upper_like
 from cohortkit.functions import labels as L
 from cohortkit.functions.labels import SEGMENT_CODES as C
-from cohortkit.operators.purchases import first_purchase_key, sales_lines
+from cohortkit.operators.purchases import first_purchase_code, sales_lines
 from cohortkit.operators.recency import bucket_code
 from cohortkit.operators.ytd import ytd_lines, ytd_orders
 from cohortkit.params import KpiParams
@@ -42,7 +42,8 @@ def _history(orders: DataFrame, p: KpiParams) -> DataFrame:
         # purchase history (all distributors matching the pattern)
         F.when(paid < F.lit(p.start), paid).alias("last_paid_s"),
         F.when(paid < F.lit(p.end), paid).alias("last_paid_e"),
-        first_purchase_key(paid, F.col("original_order_id"), F.col("eff_reg_channel")).alias("first"),
+        paid.alias("first_paid"),
+        first_purchase_code(paid, F.col("eff_reg_channel"), p).alias("first_code"),
         in_range(paid, p.ytd_start, p.end).alias("bought_ytd"),
         # effective purchases without the excluded distributor, by date_id
         (clean & (day < F.lit(p.start))).alias("bought_before_s"),
@@ -78,7 +79,8 @@ def member_profile(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataF
     agg = parts.groupBy(KEY).agg(
         F.max("last_paid_s").alias("last_paid_s"),
         F.max("last_paid_e").alias("last_paid_e"),
-        F.min("first").alias("first"),
+        F.min("first_paid").alias("first_paid"),
+        F.min("first_code").alias("first_code"),
         F.max("bought_ytd").alias("bought_ytd"),
         F.max("bought_before_s").alias("bought_before_s"),
         F.max("in_retain").alias("in_retain"),
@@ -95,14 +97,15 @@ def member_profile(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataF
 def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
     """Cohort flags and segment codes from the member aggregate."""
     yes = lambda c: is_true(F.col(c))
-    first_day = F.to_date(F.col("first.order_paid_time"))
+    first_day = F.to_date(F.col("first_paid"))
+    first_other = F.pmod(F.col("first_code"), F.lit(2)) == 1
     is_new = yes("joined_in_period")
     is_never = yes("joined_before_s") & ~yes("bought_before_s")
     is_retain = yes("in_retain")
     is_reactivate = yes("bought_before_rs") & ~is_retain
     is_ytd_first = is_true(in_range(first_day, p.ytd_start, p.start))
     is_other = (is_true(in_range(first_day, p.start, p.end))
-                & is_true(~upper_like(F.col("first.eff_reg_channel"), p.distributor))
+                & is_true(first_other)
                 & ~is_new)
     recency_s = bucket_code(F.col("last_paid_s"), p.start, p.recency_edges)
     recency_e = bucket_code(F.col("last_paid_e"), p.end, p.recency_edges)

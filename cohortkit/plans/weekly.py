@@ -29,6 +29,7 @@ from cohortkit.operators import report, summaries
 from cohortkit.operators.segments import order_grain, segmented_lines
 from cohortkit.operators.traffic import traffic_total
 from cohortkit.params import KpiParams
+from cohortkit.plans.materialize import materialize
 from cohortkit.plans.member_profile import member_profile
 from cohortkit.sources import Tables
 
@@ -39,10 +40,14 @@ class WeeklyKpi:
 
     tables: Tables
     params: KpiParams
+    # how the member profile is shared by its readers (see plans.materialize)
+    materialize: str = "table"
 
     @cached_property
     def profile(self) -> DataFrame:
-        return member_profile(self.tables.member_orders, self.tables.members, self.params)
+        return materialize(
+            member_profile(self.tables.member_orders, self.tables.members, self.params),
+            "member_profile", self.materialize)
 
     @cached_property
     def order_grain(self) -> DataFrame:
@@ -52,59 +57,75 @@ class WeeklyKpi:
     def segmented_lines(self) -> DataFrame:
         return segmented_lines(self.tables.member_orders, self.profile, self.params)
 
+    @cached_property
+    def segment_summaries(self) -> DataFrame:
+        return summaries.segment_summaries(self.order_grain)
+
     @cached_property
     def segment_summary(self) -> DataFrame:
-        return summaries.segment_summary(self.order_grain, "seg_v1")
+        return summaries.segment_summary(self.segment_summaries, 1)
 
     @cached_property
     def recency_summary(self) -> DataFrame:
-        return summaries.segment_summary(self.order_grain, "seg_v2")
+        return summaries.segment_summary(self.segment_summaries, 2)
 
     @cached_property
     def counts(self) -> DataFrame:
         return summaries.cohort_counts(self.profile)
 
+    @cached_property
+    def labelled_counts(self) -> DataFrame:
+        return summaries.labelled_counts(self.counts)
+
     @cached_property
     def member_base_summary(self) -> DataFrame:
-        return summaries.member_base_summary(self.counts)
+        return summaries.member_base_summary(self.labelled_counts)
 
     @cached_property
     def recency_base_summary(self) -> DataFrame:
-        return summaries.recency_base_summary(self.counts)
+        return summaries.recency_base_summary(self.labelled_counts)
 
     @cached_property
     def recall_counts(self) -> DataFrame:
-        return summaries.recall_counts(self.counts)
+        return summaries.recall_counts(self.labelled_counts)
 
     @cached_property
     def traffic(self) -> DataFrame:
         return traffic_total(self.tables.store_traffic_daily, self.params)
 
+    @cached_property
+    def rollups(self) -> DataFrame:
+        return summaries.rollups(self.labelled_counts, self.segment_summaries)
+
     @cached_property
     def kpi_rollup(self) -> DataFrame:
-        return summaries.kpi_rollup(self.member_base_summary, self.segment_summary, self.counts)
+        return summaries.rollup(self.rollups, 1)
 
     @cached_property
     def recency_rollup(self) -> DataFrame:
-        return summaries.recency_rollup(self.recency_base_summary, self.recency_summary)
+        return summaries.rollup(self.rollups, 2)
+
+    @cached_property
+    def kpi_final(self) -> DataFrame:
+        return report.kpi_final(self.rollups, self.traffic)
 
     @cached_property
     def kpi_segment_final(self) -> DataFrame:
-        return report.kpi_final(self.kpi_rollup, self.traffic)
+        return report.kpi_version(self.kpi_final, 1)
 
     @cached_property
     def kpi_recency_final(self) -> DataFrame:
-        return report.kpi_final(self.recency_rollup, self.traffic)
+        return report.kpi_version(self.kpi_final, 2)
 
     @cached_property
     def kpi_union(self) -> DataFrame:
-        return report.kpi_union(self.kpi_segment_final, self.kpi_recency_final)
+        return report.kpi_union(self.kpi_final)
 
     @cached_property
     def report(self) -> DataFrame:
         return report.weekly_kpi_report(self.kpi_union, self.recall_counts)
 
 
-def weekly_kpi(tables: Tables, params: KpiParams | None = None) -> DataFrame:
+def weekly_kpi(tables: Tables, params: KpiParams | None = None, materialize: str = "table") -> DataFrame:
     """The report: up to 15 rows x 11 columns, in no particular order."""
-    return WeeklyKpi(tables, params or KpiParams()).report
+    return WeeklyKpi(tables, params or KpiParams(), materialize).report
