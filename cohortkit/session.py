@@ -49,12 +49,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting is given by the cluster and used as is.  Only
     when it is unset (local tests) a scratch folder is created and set.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getConf().get("spark.checkpoint.dir", None)
+    if not current:
+        try:
+            current = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # not readable as a session conf
+            current = None
+    current = current or sc.getCheckpointDir()
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
+    # local runs only: nothing names a shared folder, so make a scratch one
     path = tempfile.mkdtemp(prefix="cohortkit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
