@@ -28,6 +28,7 @@ class Query:
     key: str
     spark: SparkQuery
     oracle_select: str | None  # None: no SQL form, the driver checks rows only
+    on_tables: Callable[[Tables, KpiParams], DataFrame] | None = None  # the query on any Tables
 
 
 PARAMS = KpiParams()
@@ -39,7 +40,7 @@ def register(key: str, oracle_select: str | None):
         def run(spark: SparkSession, sf_dir: str, params: KpiParams | None = None) -> DataFrame:
             p = params or PARAMS
             return fn(tpch_tables(spark, sf_dir, p.traffic_agg_type), p)
-        _REGISTRY[key] = Query(key, run, oracle_select)
+        _REGISTRY[key] = Query(key, run, oracle_select, fn)
         return fn
     return wrap
 

@@ -42,6 +42,19 @@ def _rows(cols, rows):
     return sorted(out, key=repr)
 
 
+def same_rows(s_cols, s_rows, o_cols, o_rows) -> str:
+    """'match', or what differs."""
+    if sorted(s_cols) != sorted(o_cols):
+        return f"schema: spark={sorted(s_cols)} oracle={sorted(o_cols)}"
+    a, b = _rows(s_cols, s_rows), _rows(o_cols, o_rows)
+    if len(a) != len(b):
+        return f"rowcount: spark={len(a)} oracle={len(b)}"
+    if a != b:
+        diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
+        return f"values: {diff}"
+    return "match"
+
+
 def compare(spark, key: str, sf_dir: str, queries, sqls, con=None) -> dict:
     con = con or duck(sf_dir)
     t0 = time.time()
@@ -58,17 +71,7 @@ def compare(spark, key: str, sf_dir: str, queries, sqls, con=None) -> dict:
     o_rows = rel.fetchall()
     res["oracle_rows"] = len(o_rows)
     res["oracle_sec"] = round(time.time() - t1, 2)
-    if sorted(s_cols) != sorted(o_cols):
-        res["status"] = f"schema: spark={sorted(s_cols)} oracle={sorted(o_cols)}"
-        return res
-    a, b = _rows(s_cols, s_rows), _rows(o_cols, o_rows)
-    if len(a) != len(b):
-        res["status"] = "rowcount"
-    elif a != b:
-        diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
-        res["status"] = f"values: {diff}"
-    else:
-        res["status"] = "match"
+    res["status"] = same_rows(s_cols, s_rows, o_cols, o_rows)
     return res
 
 
