@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from cohortkit.functions.columns import is_true, ntz_micros, upper_like
 from cohortkit.operators.ranking import row_number_within
 from cohortkit.params import KpiParams
 
+_EPOCH = dt.date(1970, 1, 1)
 PURCHASE_COLS = ("crm_member_id", "eff_reg_channel", "original_order_id", "order_paid_time")
 
 
@@ -56,9 +59,19 @@ def purchase_order(p: KpiParams) -> list[Column]:
             F.col("eff_reg_channel").asc_nulls_last()]
 
 
+def purchase_day(paid: Column) -> Column:
+    """Day number of the paid time, NULL last: never decreases along :func:`purchase_order`."""
+    return F.coalesce(F.datediff(F.to_date(paid), F.lit(_EPOCH)), F.lit(2**31 - 1))
+
+
 def purchase_rank(orders: DataFrame, p: KpiParams) -> DataFrame:
-    """A2: A1 plus ``rk``, the position of each purchase in its member's history."""
-    return row_number_within(purchase_events(orders, p), ["crm_member_id"], purchase_order(p), "rk")
+    """A2: A1 plus ``rk``, the position of each purchase in its member's history.
+
+    Numbered per (member, paid day) and offset by the member's earlier days,
+    so a member with a very long history is spread over many tasks.
+    """
+    return row_number_within(purchase_events(orders, p), ["crm_member_id"], purchase_order(p),
+                             purchase_day(F.col("order_paid_time")), "rk")
 
 
 def first_purchase_code(paid: Column, channel: Column, p: KpiParams) -> Column:

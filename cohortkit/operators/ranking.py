@@ -2,10 +2,12 @@
 
 ``row_number() OVER (PARTITION BY key ORDER BY ...)`` sends every row of a
 key to one task.  When one member holds a large share of all rows that task
-does most of the work.  Here the rows are range-partitioned on the key *and*
-the sort columns, so the sampler splits a hot key over several tasks; each
-task numbers its slice, and a small per-(task, key) count table supplies the
-offset of every slice.  Every step is a DataFrame operation.
+does most of the work.  Here each group is cut into slices by a coarse
+``bucket`` that never decreases along the order (e.g. the day of the paid
+time): rows are numbered within (key, bucket), spread over all tasks, and a
+small per-(key, bucket) count table supplies the offset of every slice.
+The slicing is a pure function of the row, so a recomputed task (lost
+executor) puts every row in the same slice again.
 """
 
 from __future__ import annotations
@@ -15,39 +17,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID = "__slice"
+_BUCKET = "__bucket"
 _LOCAL = "__local_rn"
-_COUNT = "__slice_rows"
-_OFFSET = "__slice_offset"
+_COUNT = "__bucket_rows"
+_OFFSET = "__bucket_offset"
 
 
-def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                      name: str = "rk", slices: int | None = None) -> DataFrame:
+def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column,
+                      name: str = "rk") -> DataFrame:
     """Add ``name`` = 1-based position of each row within its ``keys`` group.
 
     ``order`` must make the order total within a group (no ties), otherwise
-    positions of tied rows are arbitrary, as with ``row_number``.
+    positions of tied rows are arbitrary, as with ``row_number``.  ``bucket``
+    must be non-NULL and must not decrease along ``order`` within a group.
+    A NULL key forms its own group, as in ``PARTITION BY``; keys are compared
+    through their string form (meant for string and integer keys).
     """
-    spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key_cols = [F.col(k) for k in keys]
-    # Range partitioning samples the full sort key, so one key's rows may be
-    # cut into several slices; each row learns which slice it landed in.
-    sliced = df.repartitionByRange(n, *key_cols, *order).withColumn(_PID, F.spark_partition_id())
-    local = sliced.withColumn(
-        _LOCAL, F.row_number().over(Window.partitionBy(_PID, *keys).orderBy(*order)))
-    # One row per (slice, key): how many rows the slice holds for the key,
-    # and how many rows of the same key sit in earlier slices.
-    counts = sliced.groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias(_COUNT))
-    before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col(_PID).alias("__o" + _PID),
-        *[F.col(k).alias(f"__o_{k}") for k in keys],
-        F.coalesce(F.sum(_COUNT).over(before), F.lit(0)).alias(_OFFSET))
-    # null-safe on the keys: a NULL key is one group, as in PARTITION BY
-    cond = F.col(_PID) == F.col("__o" + _PID)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
-    joined = local.join(offsets, on=cond, how="inner")
-    out_cols = [F.col(c) for c in df.columns]
-    return joined.select(*out_cols, (F.col(_OFFSET) + F.col(_LOCAL)).cast("int").alias(name))
+    # Each key travels as two non-null columns (is-null flag, string value),
+    # so grouping is NULL-safe while the join at the end is a plain equi-join
+    # on columns the numbered rows are already partitioned by.
+    group, enc = [], []
+    for i, k in enumerate(keys):
+        enc += [F.col(k).isNull().alias(f"__kn{i}"),
+                F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"__kv{i}")]
+        group += [f"__kn{i}", f"__kv{i}"]
+    keyed = df.select("*", *enc, bucket.alias(_BUCKET))
+    local = keyed.withColumn(
+        _LOCAL, F.row_number().over(Window.partitionBy(*group, _BUCKET).orderBy(*order)))
+    # one row per (key, bucket): its size, and the rows of the key in earlier buckets
+    counts = local.groupBy(*group, _BUCKET).agg(F.max(_LOCAL).alias(_COUNT))
+    before = Window.partitionBy(*group).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group, _BUCKET,
+                            F.coalesce(F.sum(_COUNT).over(before), F.lit(0)).alias(_OFFSET))
+    joined = local.join(offsets, on=[*group, _BUCKET], how="inner")
+    return joined.select(*df.columns, (F.col(_OFFSET) + F.col(_LOCAL)).cast("int").alias(name))

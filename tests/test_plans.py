@@ -64,6 +64,7 @@ def test_non_member_lines_bypass_the_member_join(tables):
     assert "LeftOuter" in text
 
 
-def test_rank_uses_range_slices(spark):
+def test_rank_numbers_per_member_and_day(spark):
     text = plan(queries()["purchase_rank"](spark, SF))
-    assert "rangepartitioning" in text
+    # the numbering window is partitioned by member and paid day, not member alone
+    assert "__bucket" in text and "rangepartitioning" not in text
