@@ -2,14 +2,15 @@
 
 Runs each query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]`` and prints one JSON line.  Every query is executed in
-full (noop sink), nothing is collected to the driver except the small
-report.  One warm-up run of the flagship precedes the timings.
+full into a noop sink; nothing is collected to the driver.  Each query runs
+once to warm up, then ``$BENCH_RUNS`` (default 3) times; the median counts.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -43,13 +44,19 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * int(cpus))))
     spark = local_session(cores=cpus, shuffle_partitions=parts, app="cohortkit-bench", memory="16g")
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     qs = registry.queries()
-    run(qs["weekly_kpi"](spark, sf_dir))  # warm-up: JVM, codegen, file cache
+    for key in HEADLINE:  # warm-up: JVM, codegen, file cache
+        run(qs[key](spark, sf_dir))
     times = {}
     for key in HEADLINE:
-        t0 = time.perf_counter()
-        run(qs[key](spark, sf_dir))
-        times[key] = round(time.perf_counter() - t0, 3)
+        samples = []
+        for _ in range(runs):
+            spark.catalog.clearCache()
+            t0 = time.perf_counter()
+            run(qs[key](spark, sf_dir))
+            samples.append(time.perf_counter() - t0)
+        times[key] = round(statistics.median(samples), 3)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_total_sec",
@@ -59,6 +66,8 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "flagship": "weekly_kpi",
         "cpus": int(cpus),
+        "runs": runs,
+        "stat": "median",
     }))
     spark.stop()
 
