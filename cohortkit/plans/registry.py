@@ -45,8 +45,10 @@ def register(key: str, oracle_select: str | None):
     return wrap
 
 
-def _report(t: Tables, p: KpiParams) -> WeeklyKpi:
-    return WeeklyKpi(t, p)
+def _report(t: Tables, p: KpiParams, shared: bool = True) -> WeeklyKpi:
+    """The report plan; ``shared=False`` for a query that reads the member
+    profile once, where writing it as a table would only add a job."""
+    return WeeklyKpi(t, p, "table" if shared else "none")
 
 
 # --- sources (S1-S3) --------------------------------------------------------
@@ -123,17 +125,17 @@ _ROLLUP_SELECT = ("SELECT member_type, member_base, CAST(ttl_sales AS DOUBLE) AS
                   "FROM {}")
 
 register("segmented_lines", "SELECT * FROM transaction_cte")(
-    lambda t, p: _report(t, p).segmented_lines)
+    lambda t, p: _report(t, p, shared=False).segmented_lines)
 register("segment_summary", _SUMMARY_SELECT.replace("{}", "transaction_summary"))(
-    lambda t, p: summaries.summary_output(_report(t, p).segment_summary))
+    lambda t, p: summaries.summary_output(_report(t, p, shared=False).segment_summary))
 register("recency_summary", _SUMMARY_SELECT.replace("{}", "transaction_summary_v2"))(
-    lambda t, p: summaries.summary_output(_report(t, p).recency_summary))
+    lambda t, p: summaries.summary_output(_report(t, p, shared=False).recency_summary))
 register("member_base_summary", "SELECT * FROM member_base_summary")(
-    lambda t, p: _report(t, p).member_base_summary)
+    lambda t, p: _report(t, p, shared=False).member_base_summary)
 register("kpi_rollup", _ROLLUP_SELECT.replace("{}", "all_summary"))(
     lambda t, p: summaries.rollup_output(_report(t, p).kpi_rollup))
 register("recency_base_summary", "SELECT * FROM member_base_summary_v2")(
-    lambda t, p: _report(t, p).recency_base_summary)
+    lambda t, p: _report(t, p, shared=False).recency_base_summary)
 register("recency_rollup", _ROLLUP_SELECT.replace("{}", "all_summary_v2"))(
     lambda t, p: summaries.rollup_output(_report(t, p).recency_rollup))
 
@@ -143,7 +145,7 @@ register("kpi_segment_final", "SELECT * FROM final_1")(lambda t, p: _report(t, p
 register("kpi_recency_final", "SELECT * FROM final_2")(lambda t, p: _report(t, p).kpi_recency_final)
 register("kpi_union", "SELECT * FROM final_1_and_2")(lambda t, p: _report(t, p).kpi_union)
 register("recall_counts", "SELECT * FROM still_need_to_recall_table")(
-    lambda t, p: _report(t, p).recall_counts)
+    lambda t, p: _report(t, p, shared=False).recall_counts)
 register("weekly_kpi",
          "SELECT final_1_and_2.*, still_need_to_recall_table.still_need_to_recall "
          "FROM final_1_and_2 LEFT JOIN still_need_to_recall_table "
