@@ -15,7 +15,7 @@ from cohortkit.functions.columns import in_range, member_key, upper_like
 from cohortkit.operators.purchases import (
     clean_effective_lines,
     first_purchases,
-    purchase_events,
+    purchase_lines,
 )
 from cohortkit.params import KpiParams
 
@@ -85,7 +85,7 @@ def other_channel_base(orders: DataFrame, members: DataFrame, p: KpiParams) -> D
 
 def _ytd_purchasers(orders: DataFrame, p: KpiParams) -> DataFrame:
     """Raw ids with a purchase (A1) paid in [ytd_start, end)."""
-    bought = purchase_events(orders, p).where(
+    bought = purchase_lines(orders, p).where(
         in_range(F.col("order_paid_time"), p.ytd_start, p.end))
     return _keys(bought, "crm_member_id", cast=False)
 

@@ -30,12 +30,20 @@ def clean_effective_lines(orders: DataFrame, p: KpiParams) -> DataFrame:
     return effective_lines(orders, p).where(F.col("distributor_name") != p.excluded_distributor)
 
 
-def purchase_events(orders: DataFrame, p: KpiParams) -> DataFrame:
-    """A1: effective member purchases, one row per (member, channel, order, paid time)."""
+def purchase_lines(orders: DataFrame, p: KpiParams) -> DataFrame:
+    """A1 before its ``DISTINCT``: effective member lines, purchase columns only.
+
+    Readers that only take ``max``/``min`` or distinct keys of the history use
+    this directly; the ``DISTINCT`` would cost a shuffle without changing them.
+    """
     return (effective_lines(orders, p)
             .where(F.col("crm_member_id").isNotNull())
-            .select(*PURCHASE_COLS)
-            .distinct())
+            .select(*PURCHASE_COLS))
+
+
+def purchase_events(orders: DataFrame, p: KpiParams) -> DataFrame:
+    """A1: effective member purchases, one row per (member, channel, order, paid time)."""
+    return purchase_lines(orders, p).distinct()
 
 
 def other_channel(channel: Column, p: KpiParams) -> Column:
@@ -104,7 +112,7 @@ def first_purchases(orders: DataFrame, p: KpiParams) -> DataFrame:
     aggregate is sort-based; the member profile, which needs only the paid
     time and the channel test, uses a fixed-width code instead.)
     """
-    ev = purchase_events(orders, p)
+    ev = purchase_lines(orders, p)  # min ignores repeated rows
     first = (ev.groupBy("crm_member_id")
              .agg(F.min(first_purchase_key(F.col("order_paid_time"), F.col("original_order_id"),
                                            F.col("eff_reg_channel"), p)).alias("f")))

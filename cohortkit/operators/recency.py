@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.functions.columns import day_offset, in_range
 from cohortkit.functions.labels import CODE_LABELS, RECENCY_CODES
-from cohortkit.operators.purchases import purchase_events
+from cohortkit.operators.purchases import purchase_lines
 from cohortkit.params import KpiParams
 
 
@@ -56,7 +56,7 @@ def recency_cohort(orders: DataFrame, p: KpiParams, anchor: dt.date, bucket: int
     """
     edges = p.recency_edges
     paid = F.col("order_paid_time")
-    hist = purchase_events(orders, p)
+    hist = purchase_lines(orders, p)  # max ignores repeated rows
     names = flag_names(bucket, edges)
     if bucket == 0:
         recent = F.max(F.when(in_range(paid, day_offset(anchor, edges[0]), F.lit(anchor)), 1)
@@ -82,7 +82,7 @@ def recency_buckets(orders: DataFrame, p: KpiParams) -> DataFrame:
     with anchor 'start' or 'end'.
     """
     paid = F.col("order_paid_time")
-    last = (purchase_events(orders, p)
+    last = (purchase_lines(orders, p)
             .where(paid < F.lit(p.end))
             .groupBy("crm_member_id")
             .agg(F.max(F.when(paid < F.lit(p.start), paid)).alias("last_s"),
