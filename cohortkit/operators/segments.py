@@ -83,7 +83,8 @@ def segmented_lines(orders: DataFrame, profile: DataFrame, p: KpiParams) -> Data
 
 
 def order_grain(orders: DataFrame, profile: DataFrame, p: KpiParams) -> DataFrame:
-    """Period lines reduced to one row per (member, order), tagged with both codes.
+    """Period lines reduced to one row per (member, order), tagged with both codes,
+    plus one row for all lines without a member.
 
     Lines are combined per (member, order) before the join, which spreads a
     member with many orders over all tasks and shrinks the join input; the
@@ -103,9 +104,15 @@ def order_grain(orders: DataFrame, profile: DataFrame, p: KpiParams) -> DataFram
         KEY, "original_order_id",
         F.coalesce(F.col("seg_v1"), F.lit(C[L.YTD_SHOPPER])).alias("seg_v1"),
         "seg_v2", "pos", "neg", "eff")
+    # Lines without a member only add to the non-member segment's net sales
+    # (no shopper, no order counts): one global aggregate, combined map-side,
+    # and no row at all when there is no such line.
     others = (lines.where(F.col("crm_member_id").isNull())
-              .groupBy("original_order_id").agg(*parts)
-              .select(F.lit(None).cast("bigint").alias(KEY), "original_order_id",
+              .agg(F.count(F.lit(1)).alias("n"), *parts[:2])
+              .where(F.col("n") > 0)
+              .select(F.lit(None).cast("bigint").alias(KEY),
+                      F.lit(None).cast("bigint").alias("original_order_id"),
                       F.lit(C[L.NON_MEMBER]).alias("seg_v1"),
-                      F.lit(C[L.NON_MEMBER_V2]).alias("seg_v2"), "pos", "neg", "eff"))
+                      F.lit(C[L.NON_MEMBER_V2]).alias("seg_v2"), "pos", "neg",
+                      F.lit(False).alias("eff")))
     return tagged.unionByName(others)

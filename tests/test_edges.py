@@ -154,3 +154,12 @@ def test_integer_member_key_merges_leading_zero_ids(spark):
     lines = w.segmented_lines.where(F.col("original_order_id") == 702).collect()
     assert len(lines) == 1 and lines[0]["new_vs_existing_member_lcs"] == L.RETAINED
     assert lines[0]["order_rrp_amt"] == Decimal("11.00")
+
+
+def test_no_non_member_lines(spark):
+    orders = [r for r in fx.ORDERS if r[0] is not None]
+    tables = fx.spark_tables(spark, orders=orders)
+    rep = _report(tables)
+    assert rep[L.NON_MEMBER]["ttl_sales"] is None and rep[L.NON_MEMBER]["member_shopper"] is None
+    _check("weekly_kpi", tables, fx.duck_tables(orders=orders), fx.PARAMS)
+    _check("segment_summary", tables, fx.duck_tables(orders=orders), fx.PARAMS)
