@@ -39,9 +39,9 @@ def segment_summaries(order_grain: DataFrame) -> DataFrame:
     return agg.select("version", code_label(F.col("code")).alias("member_type"), *SUMMARY_COLS)
 
 
-def segment_summary(summaries: DataFrame, version: int) -> DataFrame:
+def segment_summary(both: DataFrame, version: int) -> DataFrame:
     """A23 (version 1) or A24 (version 2) out of :func:`segment_summaries`."""
-    return summaries.where(F.col("version") == version).select("member_type", *SUMMARY_COLS)
+    return both.where(F.col("version") == version).select("member_type", *SUMMARY_COLS)
 
 
 def summary_output(summary: DataFrame) -> DataFrame:
@@ -171,9 +171,9 @@ def rollups(labelled: DataFrame, summaries: DataFrame) -> DataFrame:
     return rows.unionByName(totals).unionByName(ytd)
 
 
-def rollup(rollups_: DataFrame, version: int) -> DataFrame:
+def rollup(both: DataFrame, version: int) -> DataFrame:
     """A26 (version 1) or A28 (version 2) out of :func:`rollups`."""
-    return rollups_.where(F.col("version") == version).select("member_type", "member_base", *SUMMARY_COLS)
+    return both.where(F.col("version") == version).select("member_type", "member_base", *SUMMARY_COLS)
 
 
 def rollup_output(rollup: DataFrame) -> DataFrame:

@@ -11,7 +11,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cohortkit.operators import cohorts, purchases, recency, summaries, ytd
 from cohortkit.operators.traffic import traffic_total
@@ -172,4 +171,4 @@ def oracle_sql(params: KpiParams | None = None) -> dict[str, str]:
             if q.oracle_select is not None}
 
 
-__all__ = ["Query", "register", "registry", "queries", "oracle_sql", "PARAMS", "F"]
+__all__ = ["Query", "register", "registry", "queries", "oracle_sql", "PARAMS"]
