@@ -17,6 +17,8 @@ expressions over the result.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,33 @@ from cohortkit.params import KpiParams
 
 KEY = "member_key"
 
+# Boolean member facts travel as bits of one int and are combined with
+# ``bit_or``: every field of a shuffled row costs 8 bytes, and this is the
+# largest shuffle of the report.
+BITS = {
+    "bought_ytd": 1,          # a purchase (A1) paid in [ytd_start, end)
+    "bought_before_s": 2,     # effective, not excluded, date_id < start
+    "in_retain": 4,           # effective, not excluded, date_id in [retain_start, ytd_start)
+    "bought_before_rs": 8,    # effective, not excluded, date_id < retain_start
+    "ytd_shopper": 16,        # an effective YTD order
+    "joined_in_period": 32,   # joined in [start, end) through a matching channel
+    "joined_before_s": 64,    # joined before start through a matching channel
+}
+_DAY_MICROS = 86_400_000_000
+_EPOCH = dt.date(1970, 1, 1)
+
+
+def _bits(**conds) -> F.Column:
+    expr = F.lit(0)
+    for name, cond in conds.items():
+        expr = expr + F.when(cond, F.lit(BITS[name])).otherwise(F.lit(0))
+    return expr.cast("int").alias("flags")
+
+
+def has(name: str) -> F.Column:
+    """The member fact ``name`` of the aggregated ``flags``."""
+    return (F.coalesce(F.col("flags"), F.lit(0)).bitwiseAND(F.lit(BITS[name]))) != 0
+
 
 def _history(orders: DataFrame, p: KpiParams) -> DataFrame:
     """Per effective member line: the values the member aggregate needs."""
@@ -42,13 +71,12 @@ def _history(orders: DataFrame, p: KpiParams) -> DataFrame:
         # purchase history (all distributors matching the pattern)
         F.when(paid < F.lit(p.start), paid).alias("last_paid_s"),
         F.when(paid < F.lit(p.end), paid).alias("last_paid_e"),
-        paid.alias("first_paid"),
         first_purchase_code(paid, F.col("eff_reg_channel"), p).alias("first_code"),
-        in_range(paid, p.ytd_start, p.end).alias("bought_ytd"),
-        # effective purchases without the excluded distributor, by date_id
-        (clean & (day < F.lit(p.start))).alias("bought_before_s"),
-        (clean & in_range(day, p.retain_start, p.ytd_start)).alias("in_retain"),
-        (clean & (day < F.lit(p.retain_start))).alias("bought_before_rs"),
+        _bits(bought_ytd=in_range(paid, p.ytd_start, p.end),
+              # effective purchases without the excluded distributor, by date_id
+              bought_before_s=clean & (day < F.lit(p.start)),
+              in_retain=clean & in_range(day, p.retain_start, p.ytd_start),
+              bought_before_rs=clean & (day < F.lit(p.retain_start))),
     )
 
 
@@ -57,7 +85,7 @@ def _ytd(orders: DataFrame, p: KpiParams) -> DataFrame:
         ytd_lines(orders, p).withColumn(KEY, member_key(F.col("crm_member_id"))), KEY)
     return per_order.select(
         KEY,
-        F.col("eff_order").alias("ytd_shopper"),
+        _bits(ytd_shopper=F.col("eff_order")),
         F.when(F.col("eff_order"), F.lit(1)).otherwise(F.lit(0)).alias("ytd_eff_order"),
         F.col("pos").alias("ytd_pos"),
         F.col("neg").alias("ytd_neg"))
@@ -67,8 +95,7 @@ def _joined(members: DataFrame, p: KpiParams) -> DataFrame:
     day = F.to_date("join_time")
     return members.where(upper_like(F.col("eff_reg_channel"), p.distributor)).select(
         member_key(F.col("member_detail_id")).alias(KEY),
-        in_range(day, p.start, p.end).alias("joined_in_period"),
-        (day < F.lit(p.start)).alias("joined_before_s"))
+        _bits(joined_in_period=in_range(day, p.start, p.end), joined_before_s=day < F.lit(p.start)))
 
 
 def member_profile(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataFrame:
@@ -79,25 +106,21 @@ def member_profile(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataF
     agg = parts.groupBy(KEY).agg(
         F.max("last_paid_s").alias("last_paid_s"),
         F.max("last_paid_e").alias("last_paid_e"),
-        F.min("first_paid").alias("first_paid"),
         F.min("first_code").alias("first_code"),
-        F.max("bought_ytd").alias("bought_ytd"),
-        F.max("bought_before_s").alias("bought_before_s"),
-        F.max("in_retain").alias("in_retain"),
-        F.max("bought_before_rs").alias("bought_before_rs"),
-        F.max("ytd_shopper").alias("ytd_shopper"),
+        F.bit_or("flags").alias("flags"),
         F.sum("ytd_eff_order").alias("ytd_orders"),
         (F.sum("ytd_pos") - F.sum("ytd_neg")).alias("ytd_sales"),
-        F.max("joined_in_period").alias("joined_in_period"),
-        F.max("joined_before_s").alias("joined_before_s"),
     )
     return derive_flags(agg, p)
 
 
 def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
     """Cohort flags and segment codes from the member aggregate."""
-    yes = lambda c: is_true(F.col(c))
-    first_day = F.to_date(F.col("first_paid"))
+    yes = has
+    # first_code = 2 * micros(first paid) + other-channel bit (see first_purchase_code)
+    first_micros = F.shiftright(F.col("first_code"), 1)
+    first_days = ((first_micros - F.pmod(first_micros, F.lit(_DAY_MICROS))) / F.lit(_DAY_MICROS)).cast("int")
+    first_day = F.date_add(F.lit(_EPOCH), first_days)
     first_other = F.pmod(F.col("first_code"), F.lit(2)) == 1
     is_new = yes("joined_in_period")
     is_never = yes("joined_before_s") & ~yes("bought_before_s")
