@@ -17,5 +17,9 @@ def traffic_total(store_traffic: DataFrame, p: KpiParams) -> DataFrame:
         (F.col("agg_type") == p.traffic_agg_type)
         & in_range(F.col("date_id").cast("date"), p.start, p.end)
         & F.col("distributor").like(p.distributor))
-    return rows.agg(F.sum("traffic_amt").cast("double").alias("traffic")).select(
-        F.lit(NEW_MEMBER).alias("member_type"), "traffic")
+    total = rows.agg(F.sum("traffic_amt").cast("double").alias("traffic"))
+    # the labelled row comes out of a generator, so the label stays a join key
+    # (a literal column would be folded into the join condition, leaving a
+    # nested-loop join)
+    return total.select(F.inline(F.array(F.struct(F.lit(NEW_MEMBER).alias("member_type"),
+                                                  F.col("traffic").alias("traffic")))))

@@ -43,25 +43,37 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
+def _conf(spark: SparkSession, key: str):
+    try:
+        return spark.conf.get(key, None)
+    except Exception:
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting is given by the cluster and used as is.  Only
     when it is unset (local tests) a scratch folder is created and set.
     """
-    sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        try:
-            current = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # not readable as a session conf
-            current = None
-    current = current or sc.getCheckpointDir()
+    sc = _context(spark)
+    current = (sc.getConf().get("spark.checkpoint.dir", None) if sc else None) \
+        or _conf(spark, "spark.checkpoint.dir") or (sc.getCheckpointDir() if sc else None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
     # local runs only: nothing names a shared folder, so make a scratch one
     path = tempfile.mkdtemp(prefix="cohortkit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
+    if sc:
+        sc.setCheckpointDir(path)
+    else:
+        spark.conf.set("spark.checkpoint.dir", path)
     return path

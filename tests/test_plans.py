@@ -44,7 +44,8 @@ def test_member_profile_is_one_hash_aggregate(tables):
 def test_no_python_no_cartesian_anywhere(spark):
     for key, fn in queries().items():
         text = plan(fn(spark, SF))
-        for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "FlatMapGroupsInPandas"):
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "FlatMapGroupsInPandas",
+                    "BroadcastNestedLoopJoin"):
             assert bad not in text, (key, bad)
 
 
