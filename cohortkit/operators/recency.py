@@ -20,22 +20,23 @@ from cohortkit.operators.purchases import purchase_lines
 from cohortkit.params import KpiParams
 
 
-def bucket_code(last_paid: Column, anchor: dt.date, edges) -> Column:
+def bucket_code(last_paid: str, anchor: dt.date, edges) -> Column:
     """Code of the recency bucket of a member whose latest purchase before
-    ``anchor`` was ``last_paid`` (NULL when there was none)."""
-    expr = None
-    for code, days in zip(RECENCY_CODES, edges):
-        cond = last_paid >= day_offset(anchor, days)
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    return expr.when(last_paid.isNotNull(), F.lit(RECENCY_CODES[-1]))
+    ``anchor`` is in column ``last_paid`` (NULL when there was none)."""
+    whens = " ".join(f"WHEN {last_paid} >= DATE'{anchor - dt.timedelta(days=days)}' THEN {code}"
+                     for code, days in zip(RECENCY_CODES, edges))
+    return F.expr(f"CASE {whens} WHEN {last_paid} IS NOT NULL THEN {RECENCY_CODES[-1]} END")
 
 
-def code_label(code: Column) -> Column:
-    """Label text of a segment code (NULL stays NULL)."""
-    expr = None
-    for c, label in sorted(CODE_LABELS.items()):
-        expr = F.when(code == c, F.lit(label)) if expr is None else expr.when(code == c, F.lit(label))
-    return expr
+def code_label(code: str) -> Column:
+    """Label text of the segment code in column ``code`` (NULL stays NULL)."""
+    whens = " ".join(f"WHEN {c} THEN {sql_string(label)}" for c, label in sorted(CODE_LABELS.items()))
+    return F.expr(f"CASE {code} {whens} END")
+
+
+def sql_string(text: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def flag_names(bucket: int, edges) -> tuple[str, ...]:
@@ -91,8 +92,8 @@ def recency_buckets(orders: DataFrame, p: KpiParams) -> DataFrame:
         "crm_member_id",
         F.inline(F.array(
             F.struct(F.lit("start").alias("anchor"),
-                     bucket_code(F.col("last_s"), p.start, p.recency_edges).alias("code")),
+                     bucket_code("last_s", p.start, p.recency_edges).alias("code")),
             F.struct(F.lit("end").alias("anchor"),
-                     bucket_code(F.col("last_e"), p.end, p.recency_edges).alias("code")))))
+                     bucket_code("last_e", p.end, p.recency_edges).alias("code")))))
     return both.where(F.col("code").isNotNull()).select(
-        "crm_member_id", "anchor", code_label(F.col("code")).alias("recency_bucket"))
+        "crm_member_id", "anchor", code_label("code").alias("recency_bucket"))

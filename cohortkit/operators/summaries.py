@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions import labels as L
-from cohortkit.operators.recency import code_label
+from cohortkit.operators.recency import code_label, sql_string
 from cohortkit.plans.member_profile import KEY
 
 SUMMARY_COLS = ("ttl_sales", "member_sales", "member_shopper", "member_orders")
@@ -36,7 +36,7 @@ def segment_summaries(order_grain: DataFrame) -> DataFrame:
          - F.sum(F.when(member, F.col("neg")).otherwise(F.lit(0)))).alias("member_sales"),
         F.count_distinct(F.when(eff, F.col(KEY))).alias("member_shopper"),
         F.count_distinct(F.when(eff & member, F.col("original_order_id"))).alias("member_orders"))
-    return agg.select("version", code_label(F.col("code")).alias("member_type"), *SUMMARY_COLS)
+    return agg.select("version", code_label("code").alias("member_type"), *SUMMARY_COLS)
 
 
 def segment_summary(both: DataFrame, version: int) -> DataFrame:
@@ -52,27 +52,25 @@ def summary_output(summary: DataFrame) -> DataFrame:
 
 
 def cohort_counts(profile: DataFrame) -> DataFrame:
-    """One row: size of every cohort, recency bucket, lapsed set and the YTD figures."""
-    n = lambda cond: F.count(F.when(cond, F.lit(1)))
-    rec_s = [n(F.col("recency_start") == c).alias(f"start_{c}") for c in L.RECENCY_CODES]
-    rec_e = [n(F.col("recency_end") == c).alias(f"end_{c}") for c in L.RECENCY_CODES]
-    shopper, repeat = F.col("ytd_shopper"), F.col("ytd_repeat")
-    return profile.agg(
-        n(F.col("is_new")).alias("new"),
-        n(F.col("is_never")).alias("never"),
-        n(F.col("is_retain")).alias("retain"),
-        n(F.col("is_reactivate")).alias("reactivate"),
-        n(F.col("is_ytd_first")).alias("ytd_first"),
-        n(F.col("is_other_channel")).alias("other_channel"),
-        *rec_s, *rec_e,
-        n(F.col("not_retained")).alias("not_retained"),
-        n(F.col("not_reactivated")).alias("not_reactivated"),
-        n(shopper).alias("ytd_shoppers"),
-        n(repeat).alias("ytd_repeaters"),
-        n(shopper & ~repeat).alias("ytd_single"),
-        F.sum(F.when(shopper, F.when(repeat, F.col("ytd_sales")).otherwise(F.lit(0)))).alias("ytd_sales"),
-        F.sum(F.when(shopper, F.when(repeat, F.col("ytd_orders")).otherwise(F.lit(0)))).alias("ytd_orders"),
-    )
+    """One row: size of every cohort, recency bucket, lapsed set and the YTD figures.
+
+    The aggregates are written as SQL expressions: one parse for the whole
+    list instead of a round trip per column function.
+    """
+    n = lambda cond, name: f"count(CASE WHEN {cond} THEN 1 END) AS {name}"
+    exprs = [
+        n("is_new", "new"), n("is_never", "never"), n("is_retain", "retain"),
+        n("is_reactivate", "reactivate"), n("is_ytd_first", "ytd_first"),
+        n("is_other_channel", "other_channel"),
+        *[n(f"recency_start = {c}", f"start_{c}") for c in L.RECENCY_CODES],
+        *[n(f"recency_end = {c}", f"end_{c}") for c in L.RECENCY_CODES],
+        n("not_retained", "not_retained"), n("not_reactivated", "not_reactivated"),
+        n("ytd_shopper", "ytd_shoppers"), n("ytd_repeat", "ytd_repeaters"),
+        n("ytd_shopper AND NOT ytd_repeat", "ytd_single"),
+        "sum(CASE WHEN ytd_shopper THEN CASE WHEN ytd_repeat THEN ytd_sales ELSE 0 END END) AS ytd_sales",
+        "sum(CASE WHEN ytd_shopper THEN CASE WHEN ytd_repeat THEN ytd_orders ELSE 0 END END) AS ytd_orders",
+    ]
+    return profile.agg(*[F.expr(e) for e in exprs])
 
 
 BASE, RECENCY_BASE, RECALL, YTD = "base", "recency_base", "recall", "ytd"
@@ -88,33 +86,30 @@ def labelled_counts(counts: DataFrame) -> DataFrame:
     their orders).  One generator over the one-row counts, so every consumer
     reads the same plan.
     """
-    none_money, none_long = F.lit(None).cast("decimal(38,2)"), F.lit(None).cast("bigint")
     rows = [
-        (BASE, L.NON_MEMBER, F.when(F.col("new") > 0, F.lit(0))),
-        (BASE, L.NEW_MEMBER, F.col("new")),
-        (BASE, L.NEVER_PURCHASED, F.col("never")),
-        (BASE, L.RETAINED, F.col("retain")),
-        (BASE, L.REACTIVATED, F.col("reactivate")),
-        (BASE, L.YTD_SHOPPER, F.col("ytd_first")),
-        (BASE, L.OTHER_CHANNEL, F.col("other_channel")),
-        *[(RECENCY_BASE, label, F.col(f"start_{code}"))
+        (BASE, L.NON_MEMBER, "CASE WHEN new > 0 THEN 0 END"),
+        (BASE, L.NEW_MEMBER, "new"),
+        (BASE, L.NEVER_PURCHASED, "never"),
+        (BASE, L.RETAINED, "retain"),
+        (BASE, L.REACTIVATED, "reactivate"),
+        (BASE, L.YTD_SHOPPER, "ytd_first"),
+        (BASE, L.OTHER_CHANNEL, "other_channel"),
+        *[(RECENCY_BASE, label, f"start_{code}")
           for label, code in zip(L.RECENCY_LABELS, L.RECENCY_CODES)],
-        (RECALL, L.RETAINED, F.col("not_retained")),
-        (RECALL, L.REACTIVATED, F.col("not_reactivated")),
-        *[(RECALL, label, F.col(f"end_{code}"))
+        (RECALL, L.RETAINED, "not_retained"),
+        (RECALL, L.REACTIVATED, "not_reactivated"),
+        *[(RECALL, label, f"end_{code}")
           for label, code in zip(L.RECENCY_LABELS[1:], L.RECENCY_CODES[1:])],
-        (RECALL, L.YTD_REPEAT, F.col("ytd_single")),
+        (RECALL, L.YTD_REPEAT, "ytd_single"),
     ]
-    structs = [F.struct(F.lit(section).alias("section"), F.lit(label).alias("member_type"),
-                        col.cast("bigint").alias("n"), none_money.alias("sales"),
-                        none_long.alias("shoppers"), none_long.alias("orders"))
-               for section, label, col in rows]
-    structs.append(F.struct(F.lit(YTD).alias("section"), F.lit(L.YTD_REPEAT).alias("member_type"),
-                            F.col("ytd_shoppers").cast("bigint").alias("n"),
-                            F.col("ytd_sales").cast("decimal(38,2)").alias("sales"),
-                            F.col("ytd_repeaters").cast("bigint").alias("shoppers"),
-                            F.col("ytd_orders").cast("bigint").alias("orders")))
-    return counts.select(F.inline(F.array(*structs))).where(F.col("n").isNotNull())
+    structs = [f"named_struct('section', {sql_string(section)}, 'member_type', {sql_string(label)}, "
+               f"'n', CAST({value} AS BIGINT), 'sales', CAST(NULL AS DECIMAL(38,2)), "
+               f"'shoppers', CAST(NULL AS BIGINT), 'orders', CAST(NULL AS BIGINT))"
+               for section, label, value in rows]
+    structs.append(f"named_struct('section', {sql_string(YTD)}, 'member_type', {sql_string(L.YTD_REPEAT)}, "
+                   f"'n', CAST(ytd_shoppers AS BIGINT), 'sales', CAST(ytd_sales AS DECIMAL(38,2)), "
+                   f"'shoppers', CAST(ytd_repeaters AS BIGINT), 'orders', CAST(ytd_orders AS BIGINT))")
+    return counts.selectExpr(f"inline(array({', '.join(structs)}))").where(F.col("n").isNotNull())
 
 
 def _section(labelled: DataFrame, section: str, value: str) -> DataFrame:
@@ -151,16 +146,14 @@ def rollups(labelled: DataFrame, summaries: DataFrame) -> DataFrame:
         "member_type", F.col("n").alias("member_base"))
     rows = base.join(F.broadcast(summaries), on=["version", "member_type"], how="left").select(
         "version", "member_type", "member_base", *SUMMARY_COLS)
-    v1 = F.col("version") == 1
-    existing = v1 & F.col("member_type").like("%existing%")
     cols = ("member_base", *SUMMARY_COLS)
-    sums = rows.agg(*[F.sum(F.when(existing, F.col(c))).alias(f"e_{c}") for c in cols],
-                    *[F.sum(F.when(v1, F.col(c))).alias(f"t_{c}") for c in cols])
-    totals = sums.select(F.inline(F.array(
-        F.struct(F.lit(1).alias("version"), F.lit(L.EXISTING).alias("member_type"),
-                 *[F.col(f"e_{c}").alias(c) for c in cols]),
-        F.struct(F.lit(1).alias("version"), F.lit(L.TTL).alias("member_type"),
-                 *[F.col(f"t_{c}").alias(c) for c in cols]))))
+    existing = "version = 1 AND member_type LIKE '%existing%'"
+    sums = rows.agg(*[F.expr(f"sum(CASE WHEN {existing} THEN {c} END) AS e_{c}") for c in cols],
+                    *[F.expr(f"sum(CASE WHEN version = 1 THEN {c} END) AS t_{c}") for c in cols])
+    totals = sums.selectExpr("inline(array(" + ", ".join(
+        f"named_struct('version', 1, 'member_type', {sql_string(label)}, "
+        + ", ".join(f"'{c}', {prefix}_{c}" for c in cols) + ")"
+        for prefix, label in (("e", L.EXISTING), ("t", L.TTL))) + "))")
     ytd = labelled.where(F.col("section") == YTD).select(
         F.lit(1).alias("version"), "member_type",
         F.col("n").alias("member_base"),

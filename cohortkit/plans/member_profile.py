@@ -130,8 +130,8 @@ def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
     is_other = (is_true(in_range(first_day, p.start, p.end))
                 & is_true(first_other)
                 & ~is_new)
-    recency_s = bucket_code(F.col("last_paid_s"), p.start, p.recency_edges)
-    recency_e = bucket_code(F.col("last_paid_e"), p.end, p.recency_edges)
+    recency_s = bucket_code("last_paid_s", p.start, p.recency_edges)
+    recency_e = bucket_code("last_paid_e", p.end, p.recency_edges)
     flags = agg.select(
         KEY,
         is_new.alias("is_new"),
