@@ -3,7 +3,10 @@
 Each ``LEFT JOIN .. WHERE right.id IS NULL`` of the reference is written as a
 ``left_anti`` join against a de-duplicated key set: Catalyst keeps the
 reference's form as an outer join plus filter, while an anti join neither
-fans out nor carries the right side's columns.
+fans out nor carries the right side's columns.  The left side is reduced to
+its distinct output rows *before* the anti join (an anti join only removes
+rows, so the result is the same): the reduction combines map-side, and a
+member with a huge history reaches the join as a few rows, not as its lines.
 """
 
 from __future__ import annotations
@@ -44,9 +47,10 @@ def never_purchased_base(orders: DataFrame, members: DataFrame, p: KpiParams) ->
     """A4: members who joined before the period and never bought before it."""
     bought = _keys(clean_effective_lines(orders, p).where(F.col("date_id") < F.lit(p.start)),
                    "crm_member_id")
-    joined = members.where((F.to_date("join_time") < F.lit(p.start))
-                           & upper_like(F.col("eff_reg_channel"), p.distributor))
-    return _anti(joined, "member_detail_id", bought).select("member_detail_id").distinct()
+    joined = (members.where((F.to_date("join_time") < F.lit(p.start))
+                            & upper_like(F.col("eff_reg_channel"), p.distributor))
+              .select("member_detail_id").distinct())
+    return _anti(joined, "member_detail_id", bought)
 
 
 def retain_base(orders: DataFrame, p: KpiParams) -> DataFrame:
@@ -59,10 +63,9 @@ def retain_base(orders: DataFrame, p: KpiParams) -> DataFrame:
 
 def reactivate_base(orders: DataFrame, p: KpiParams) -> DataFrame:
     """(member, distributor) who bought before retain_start and are not retained."""
-    early = clean_effective_lines(orders, p).where(F.col("date_id") < F.lit(p.retain_start))
-    return (_anti(early, "crm_member_id", _keys(retain_base(orders, p), "crm_member_id"))
-            .select("crm_member_id", "distributor_name")
-            .distinct())
+    early = (clean_effective_lines(orders, p).where(F.col("date_id") < F.lit(p.retain_start))
+             .select("crm_member_id", "distributor_name").distinct())
+    return _anti(early, "crm_member_id", _keys(retain_base(orders, p), "crm_member_id"))
 
 
 def ytd_first_purchase_base(orders: DataFrame, p: KpiParams) -> DataFrame:
@@ -80,7 +83,8 @@ def other_channel_base(orders: DataFrame, members: DataFrame, p: KpiParams) -> D
         in_range(F.to_date("order_paid_time"), p.start, p.end)
         & ~upper_like(F.col("eff_reg_channel"), p.distributor))
     new = _keys(new_member_base(members, p), "member_detail_id")
-    return _anti(first, "crm_member_id", new).select("crm_member_id").distinct()
+    # first purchases are one row per member already
+    return _anti(first.select("crm_member_id"), "crm_member_id", new)
 
 
 def _ytd_purchasers(orders: DataFrame, p: KpiParams) -> DataFrame:
@@ -92,17 +96,15 @@ def _ytd_purchasers(orders: DataFrame, p: KpiParams) -> DataFrame:
 
 def not_retained(orders: DataFrame, p: KpiParams) -> DataFrame:
     """Retained-window buyers with no purchase paid in [ytd_start, end)."""
-    window = clean_effective_lines(orders, p).where(
-        in_range(F.col("date_id"), p.retain_start, p.ytd_start))
-    return (_anti(window, "crm_member_id", _ytd_purchasers(orders, p), cast=False)
-            .select("crm_member_id")
-            .distinct())
+    window = (clean_effective_lines(orders, p)
+              .where(in_range(F.col("date_id"), p.retain_start, p.ytd_start))
+              .select("crm_member_id").distinct())
+    return _anti(window, "crm_member_id", _ytd_purchasers(orders, p), cast=False)
 
 
 def not_reactivated(orders: DataFrame, p: KpiParams) -> DataFrame:
     """Reactivation candidates with no purchase paid in [ytd_start, end)."""
-    early = clean_effective_lines(orders, p).where(F.col("date_id") < F.lit(p.retain_start))
+    early = (clean_effective_lines(orders, p).where(F.col("date_id") < F.lit(p.retain_start))
+             .select("crm_member_id", "distributor_name").distinct())
     kept = _anti(early, "crm_member_id", _keys(retain_base(orders, p), "crm_member_id"))
-    return (_anti(kept, "crm_member_id", _ytd_purchasers(orders, p), cast=False)
-            .select("crm_member_id", "distributor_name")
-            .distinct())
+    return _anti(kept, "crm_member_id", _ytd_purchasers(orders, p), cast=False)
