@@ -7,6 +7,7 @@ final SELECT of its DuckDB oracle (run after the report's CTEs, see
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -32,13 +33,24 @@ class Query:
 
 PARAMS = KpiParams()
 _REGISTRY: dict[str, Query] = {}
+# Source frames per session and folder: plans only (file listing and schema),
+# no data, so every query still scans its tables in full.
+_SOURCES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def sources(spark: SparkSession, sf_dir: str, agg_type: str) -> Tables:
+    per_session = _SOURCES.setdefault(spark, {})
+    key = (sf_dir.rstrip("/"), agg_type)
+    if key not in per_session:
+        per_session[key] = tpch_tables(spark, sf_dir, agg_type)
+    return per_session[key]
 
 
 def register(key: str, oracle_select: str | None):
     def wrap(fn: Callable[[Tables, KpiParams], DataFrame]) -> Callable:
         def run(spark: SparkSession, sf_dir: str, params: KpiParams | None = None) -> DataFrame:
             p = params or PARAMS
-            return fn(tpch_tables(spark, sf_dir, p.traffic_agg_type), p)
+            return fn(sources(spark, sf_dir, p.traffic_agg_type), p)
         _REGISTRY[key] = Query(key, run, oracle_select, fn)
         return fn
     return wrap

@@ -37,13 +37,14 @@ def _case(col, mapping: dict) -> F.Column:
     return expr
 
 
-def member_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def member_orders(spark: SparkSession, sf_dir: str, raw: dict | None = None) -> DataFrame:
     """Order-line fact: lineitem x orders x customer."""
-    li = _read(spark, sf_dir, "lineitem").select(
+    raw = raw or _raw(spark, sf_dir)
+    li = raw["lineitem"].select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
-    od = _read(spark, sf_dir, "orders").select(
+    od = raw["orders"].select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    cu = _read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    cu = raw["customer"].select("c_custkey", "c_mktsegment")
     j = li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).join(
         cu, F.col("o_custkey") == F.col("c_custkey"))
     returned = F.col("l_returnflag") == "R"
@@ -63,9 +64,9 @@ def member_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+def members(spark: SparkSession, sf_dir: str, raw: dict | None = None) -> DataFrame:
     """Member dimension: one row per customer."""
-    cu = _read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    cu = (raw or _raw(spark, sf_dir))["customer"].select("c_custkey", "c_mktsegment")
     offset = (F.col("c_custkey") * 37 % 2400).cast("int")
     return cu.select(
         F.col("c_custkey").cast("string").alias("member_detail_id"),
@@ -74,9 +75,10 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def store_traffic_daily(spark: SparkSession, sf_dir: str, agg_type: str = "STORE") -> DataFrame:
+def store_traffic_daily(spark: SparkSession, sf_dir: str, agg_type: str = "STORE",
+                        raw: dict | None = None) -> DataFrame:
     """Store-day traffic: lineitem quantity per supplier and ship day."""
-    li = _read(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity")
+    li = (raw or _raw(spark, sf_dir))["lineitem"].select("l_suppkey", "l_shipdate", "l_quantity")
     return (
         li.groupBy(F.col("l_suppkey").alias("store_id"),
                    F.to_date("l_shipdate").cast("string").alias("date_id"))
@@ -91,9 +93,15 @@ def store_traffic_daily(spark: SparkSession, sf_dir: str, agg_type: str = "STORE
     )
 
 
+def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The driver tables the mapping reads, each read (listed) once."""
+    return {name: _read(spark, sf_dir, name) for name in ("lineitem", "orders", "customer")}
+
+
 def tables(spark: SparkSession, sf_dir: str, agg_type: str = "STORE") -> dict[str, DataFrame]:
+    raw = _raw(spark, sf_dir)
     return {
-        "member_orders": member_orders(spark, sf_dir),
-        "members": members(spark, sf_dir),
-        "store_traffic_daily": store_traffic_daily(spark, sf_dir, agg_type),
+        "member_orders": member_orders(spark, sf_dir, raw),
+        "members": members(spark, sf_dir, raw),
+        "store_traffic_daily": store_traffic_daily(spark, sf_dir, agg_type, raw),
     }
