@@ -65,7 +65,13 @@ def _history(orders: DataFrame, p: KpiParams) -> DataFrame:
     paid, day = F.col("order_paid_time"), F.col("date_id")
     clean = F.col("distributor_name") != p.excluded_distributor
     lines = sales_lines(orders, p).where(
-        F.col("crm_member_id").isNotNull() & is_true(F.col("if_eff_order_tag")))
+        F.col("crm_member_id").isNotNull() & is_true(F.col("if_eff_order_tag"))
+        # Lines paid at or after the end change no fact below: they are never
+        # the latest purchase before an anchor, and a first purchase that late
+        # falls in no window.  The date_id facts look before max(start,
+        # ytd_start) only.  Parquet statistics skip the rest when a past
+        # period is run again.
+        & ((paid < F.lit(p.end)) | (day < F.lit(max(p.start, p.ytd_start)))))
     return lines.select(
         member_key(F.col("crm_member_id")).alias(KEY),
         # purchase history (all distributors matching the pattern)
