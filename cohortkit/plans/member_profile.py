@@ -122,16 +122,15 @@ def member_profile(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataF
 
 def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
     """Cohort flags and segment codes from the member aggregate."""
-    yes = has
     # first_code = 2 * micros(first paid) + other-channel bit (see first_purchase_code)
     first_micros = F.shiftright(F.col("first_code"), 1)
     first_days = ((first_micros - F.pmod(first_micros, F.lit(_DAY_MICROS))) / F.lit(_DAY_MICROS)).cast("int")
     first_day = F.date_add(F.lit(_EPOCH), first_days)
     first_other = F.pmod(F.col("first_code"), F.lit(2)) == 1
-    is_new = yes("joined_in_period")
-    is_never = yes("joined_before_s") & ~yes("bought_before_s")
-    is_retain = yes("in_retain")
-    is_reactivate = yes("bought_before_rs") & ~is_retain
+    is_new = has("joined_in_period")
+    is_never = has("joined_before_s") & ~has("bought_before_s")
+    is_retain = has("in_retain")
+    is_reactivate = has("bought_before_rs") & ~is_retain
     is_ytd_first = is_true(in_range(first_day, p.ytd_start, p.start))
     is_other = (is_true(in_range(first_day, p.start, p.end))
                 & is_true(first_other)
@@ -148,10 +147,10 @@ def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
         is_other.alias("is_other_channel"),
         recency_s.alias("recency_start"),
         recency_e.alias("recency_end"),
-        (is_retain & ~yes("bought_ytd")).alias("not_retained"),
-        (is_reactivate & ~yes("bought_ytd")).alias("not_reactivated"),
-        yes("ytd_shopper").alias("ytd_shopper"),
-        (yes("ytd_shopper") & (F.coalesce(F.col("ytd_orders"), F.lit(0)) >= 2)).alias("ytd_repeat"),
+        (is_retain & ~has("bought_ytd")).alias("not_retained"),
+        (is_reactivate & ~has("bought_ytd")).alias("not_reactivated"),
+        has("ytd_shopper").alias("ytd_shopper"),
+        (has("ytd_shopper") & (F.coalesce(F.col("ytd_orders"), F.lit(0)) >= 2)).alias("ytd_repeat"),
         F.col("ytd_orders"),
         F.col("ytd_sales"),
     )
