@@ -163,3 +163,10 @@ def test_no_non_member_lines(spark):
     assert rep[L.NON_MEMBER]["ttl_sales"] is None and rep[L.NON_MEMBER]["member_shopper"] is None
     _check("weekly_kpi", tables, fx.duck_tables(orders=orders), fx.PARAMS)
     _check("segment_summary", tables, fx.duck_tables(orders=orders), fx.PARAMS)
+
+
+@pytest.mark.parametrize("key", ["recency_buckets", "recency_start_90_180", "recency_end_360_plus",
+                                 "filter_day_offset", "flag_max_having", "weekly_kpi"])
+def test_other_recency_edges(key, tables, duck):
+    # the edges are parameters; labels keep their fixed text
+    _check(key, tables, duck, fx.PARAMS.replace(recency_edges=(30, 60, 120, 200)))
