@@ -86,33 +86,27 @@ def order_grain(orders: DataFrame, profile: DataFrame, p: KpiParams) -> DataFram
     """Period lines reduced to one row per (member, order), tagged with both codes,
     plus one row for all lines without a member.
 
-    Lines are combined per (member, order) before the join, which spreads a
-    member with many orders over all tasks and shrinks the join input; the
-    join's output feeds an aggregate with its own shuffle, so AQE is free to
-    split a skewed member partition of the join.
+    One read of the period and one aggregate: member lines group by (member,
+    order), which spreads a member with many orders over all tasks; lines
+    without a member fall into a single (NULL, NULL) group, which partial
+    aggregation reduces to one row per task.  That row passes the join without
+    a match (it is one row, so its NULL key skews nothing) and takes the
+    non-member segments.  The join output feeds an aggregate with its own
+    shuffle, so AQE is free to split a skewed member partition of the join.
     """
-    lines = period_lines(orders, p)
     amt, qty = F.col("order_rrp_amt"), F.col("sales_qty")
-    parts = [F.sum(positive_amount(amt, qty)).alias("pos"),
-             F.sum(returned_amount(amt, qty)).alias("neg"),
-             F.max(is_true(F.col("if_eff_order_tag"))).alias("eff")]
-    member_orders = (lines.where(F.col("crm_member_id").isNotNull())
-                     .groupBy(member_key(F.col("crm_member_id")).alias(KEY), "original_order_id")
-                     .agg(*parts))
-    flags = segment_flags(profile).select(KEY, "seg_v1", "seg_v2")
-    tagged = member_orders.join(flags, on=KEY, how="left").select(
+    member = F.col("crm_member_id").isNotNull()
+    grain = period_lines(orders, p).groupBy(
+        member_key(F.col("crm_member_id")).alias(KEY),
+        F.when(member, F.col("original_order_id")).alias("original_order_id"),
+    ).agg(F.sum(positive_amount(amt, qty)).alias("pos"),
+          F.sum(returned_amount(amt, qty)).alias("neg"),
+          F.max(is_true(F.col("if_eff_order_tag"))).alias("eff"))
+    flags = segment_flags(profile).select(KEY, F.col("seg_v1").alias("f1"), F.col("seg_v2").alias("f2"))
+    non_member = F.col(KEY).isNull()
+    return grain.join(flags, on=KEY, how="left").select(
         KEY, "original_order_id",
-        F.coalesce(F.col("seg_v1"), F.lit(C[L.YTD_SHOPPER])).alias("seg_v1"),
-        "seg_v2", "pos", "neg", "eff")
-    # Lines without a member only add to the non-member segment's net sales
-    # (no shopper, no order counts): one global aggregate, combined map-side,
-    # and no row at all when there is no such line.
-    others = (lines.where(F.col("crm_member_id").isNull())
-              .agg(F.count(F.lit(1)).alias("n"), *parts[:2])
-              .where(F.col("n") > 0)
-              .select(F.lit(None).cast("bigint").alias(KEY),
-                      F.lit(None).cast("bigint").alias("original_order_id"),
-                      F.lit(C[L.NON_MEMBER]).alias("seg_v1"),
-                      F.lit(C[L.NON_MEMBER_V2]).alias("seg_v2"), "pos", "neg",
-                      F.lit(False).alias("eff")))
-    return tagged.unionByName(others)
+        F.when(non_member, F.lit(C[L.NON_MEMBER]))
+         .otherwise(F.coalesce(F.col("f1"), F.lit(C[L.YTD_SHOPPER]))).alias("seg_v1"),
+        F.when(non_member, F.lit(C[L.NON_MEMBER_V2])).otherwise(F.col("f2")).alias("seg_v2"),
+        "pos", "neg", "eff")
