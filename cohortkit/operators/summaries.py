@@ -161,7 +161,8 @@ def rollups(labelled: DataFrame, summaries: DataFrame) -> DataFrame:
         F.col("sales").alias("member_sales"),
         F.col("shoppers").alias("member_shopper"),
         F.col("orders").alias("member_orders"))
-    return rows.unionByName(totals).unionByName(ytd)
+    # all three carry (version, member_type, member_base, *SUMMARY_COLS) in this order
+    return rows.union(totals).union(ytd)
 
 
 def rollup(both: DataFrame, version: int) -> DataFrame:
