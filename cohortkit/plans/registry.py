@@ -62,9 +62,28 @@ def _report(t: Tables, p: KpiParams, shared: bool = True) -> WeeklyKpi:
     return WeeklyKpi(t, p, "table" if shared else "none")
 
 
+def _portable(df: DataFrame) -> DataFrame:
+    """Money as double and dates as ISO text in a registered output, so that a
+    cross-engine comparison does not hinge on how decimals and dates convert;
+    the logical tables themselves keep decimal(18,2) and date."""
+    cols = []
+    for f in df.schema.fields:
+        if f.dataType.typeName() == "decimal":
+            cols.append(df[f.name].cast("double").alias(f.name))
+        elif f.dataType.typeName() == "date":
+            cols.append(df[f.name].cast("string").alias(f.name))
+        else:
+            cols.append(df[f.name])
+    return df.select(*cols)
+
+
 # --- sources (S1-S3) --------------------------------------------------------
 
-register("src_member_orders", "SELECT * FROM member_orders")(lambda t, p: t.member_orders)
+register("src_member_orders",
+         "SELECT crm_member_id, eff_reg_channel, original_order_id, order_paid_time, is_rrp_sales_type, "
+         "if_eff_order_tag, distributor_name, CAST(date_id AS VARCHAR) AS date_id, sales_qty, "
+         "CAST(order_rrp_amt AS DOUBLE) AS order_rrp_amt FROM member_orders")(
+    lambda t, p: _portable(t.member_orders))
 register("src_members", "SELECT * FROM members")(lambda t, p: t.members)
 register("src_store_traffic", "SELECT * FROM store_traffic_daily")(lambda t, p: t.store_traffic_daily)
 
@@ -135,8 +154,9 @@ _ROLLUP_SELECT = ("SELECT member_type, member_base, CAST(ttl_sales AS DOUBLE) AS
                   "CAST(member_sales AS DOUBLE) AS member_sales, member_shopper, member_orders "
                   "FROM {}")
 
-register("segmented_lines", "SELECT * FROM transaction_cte")(
-    lambda t, p: _report(t, p, shared=False).segmented_lines)
+register("segmented_lines",
+         "SELECT * REPLACE (CAST(order_rrp_amt AS DOUBLE) AS order_rrp_amt) FROM transaction_cte")(
+    lambda t, p: _portable(_report(t, p, shared=False).segmented_lines))
 register("segment_summary", _SUMMARY_SELECT.replace("{}", "transaction_summary"))(
     lambda t, p: summaries.summary_output(_report(t, p, shared=False).segment_summary))
 register("recency_summary", _SUMMARY_SELECT.replace("{}", "transaction_summary_v2"))(
