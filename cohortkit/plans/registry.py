@@ -58,8 +58,8 @@ def register(key: str, oracle_select: str | None):
 
 def _report(t: Tables, p: KpiParams, shared: bool = True) -> WeeklyKpi:
     """The report plan; ``shared=False`` for a query that reads the member
-    profile once, where writing it as a table would only add a job."""
-    return WeeklyKpi(t, p, "table" if shared else "none")
+    profile once, where checkpointing it would only add a job."""
+    return WeeklyKpi(t, p, "checkpoint" if shared else "none")
 
 
 def _portable(df: DataFrame) -> DataFrame:

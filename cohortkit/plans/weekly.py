@@ -41,7 +41,7 @@ class WeeklyKpi:
     tables: Tables
     params: KpiParams
     # how the member profile is shared by its readers (see plans.materialize)
-    materialize: str = "table"
+    materialize: str = "checkpoint"
 
     @cached_property
     def profile(self) -> DataFrame:
@@ -126,6 +126,7 @@ class WeeklyKpi:
         return report.weekly_kpi_report(self.kpi_union, self.recall_counts)
 
 
-def weekly_kpi(tables: Tables, params: KpiParams | None = None, materialize: str = "table") -> DataFrame:
+def weekly_kpi(tables: Tables, params: KpiParams | None = None,
+               materialize: str = "checkpoint") -> DataFrame:
     """The report: up to 15 rows x 11 columns, in no particular order."""
     return WeeklyKpi(tables, params or KpiParams(), materialize).report

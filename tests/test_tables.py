@@ -48,7 +48,7 @@ def test_period_prunes_date_partitions(stored):
     assert "PartitionFilters: [isnotnull(date_id" in text and "date_id" in text.split("PartitionFilters")[1]
 
 
-@pytest.mark.parametrize("mode", ["table", "persist", "none"])
+@pytest.mark.parametrize("mode", ["checkpoint", "table", "persist", "none"])
 def test_materialize_modes_keep_rows(spark, mode):
     df = spark.range(100).select(F.col("id"), (F.col("id") % 7).alias("g"))
     out = materialize(df, "probe", mode)
