@@ -3,7 +3,7 @@
 Runs each query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with
 ``local[$BENCH_CPUS]`` and prints one JSON line.  Every query is executed in
 full into a noop sink; nothing is collected to the driver.  Each query runs
-once to warm up, then ``$BENCH_RUNS`` (default 3) times; the median counts.
+once to warm up, then ``$BENCH_RUNS`` (default 5) times; the median counts.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * int(cpus))))
     spark = local_session(cores=cpus, shuffle_partitions=parts, app="cohortkit-bench", memory="16g")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     qs = registry.queries()
     for key in HEADLINE:  # warm-up: JVM, codegen, file cache
         run(qs[key](spark, sf_dir))
