@@ -60,8 +60,10 @@ def _conf(spark: SparkSession, key: str):
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting is given by the cluster and used as is.  Only
-    when it is unset (local tests) a scratch folder is created and set.
+    On a cluster the setting is given by the cluster and used as is; if it is
+    missing there, this raises rather than fall back to a folder on one
+    machine.  Only a ``local[...]`` session without the setting (tests) gets
+    a scratch folder.
     """
     sc = _context(spark)
     current = (sc.getConf().get("spark.checkpoint.dir", None) if sc else None) \
@@ -70,6 +72,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    master = (sc.master if sc else _conf(spark, "spark.master")) or ""
+    if not master.startswith("local"):
+        # a folder on this machine is not shared with the executors
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder all executors share "
+                           "(e.g. on HDFS or object storage)")
     # local runs only: nothing names a shared folder, so make a scratch one
     path = tempfile.mkdtemp(prefix="cohortkit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc:

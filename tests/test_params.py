@@ -21,3 +21,27 @@ def test_defaults_and_strings():
 def test_rejects_bad_values(kw):
     with pytest.raises(ValueError):
         KpiParams(**kw)
+
+
+def test_checkpoint_dir_needs_a_shared_folder_off_local():
+    from cohortkit.session import ensure_checkpoint_dir
+
+    class Ctx:
+        master = "yarn"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext = Ctx()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
