@@ -170,3 +170,14 @@ def test_no_non_member_lines(spark):
 def test_other_recency_edges(key, tables, duck):
     # the edges are parameters; labels keep their fixed text
     _check(key, tables, duck, fx.PARAMS.replace(recency_edges=(30, 60, 120, 200)))
+
+
+def test_session_time_zone_does_not_matter(spark, tables, duck):
+    # paid times are TIMESTAMP_NTZ and every bound is a DATE: no time zone enters
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        for key in ("weekly_kpi", "purchase_rank", "recency_buckets"):
+            _check(key, tables, duck, fx.PARAMS)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
