@@ -59,7 +59,12 @@ class WeeklyKpi:
 
     @cached_property
     def segment_summaries(self) -> DataFrame:
-        return summaries.segment_summaries(self.order_grain)
+        # At most 2 x 15 rows, read twice by the rollups.  Catalyst orders the
+        # distinct-count Expand differently in the two copies, so AQE cannot
+        # reuse it; materialised, the aggregate over the period's orders runs
+        # once.
+        return materialize(summaries.segment_summaries(self.order_grain), "segment_summaries",
+                           self.materialize)
 
     @cached_property
     def segment_summary(self) -> DataFrame:
