@@ -69,3 +69,31 @@ def test_random_tables_match_oracle(spark, seed, pattern):
         rel = duck.sql(oracle.query(params, q.oracle_select, mapping=False))
         status = same_rows(df.columns, [tuple(r) for r in df.collect()], rel.columns, rel.fetchall())
         assert status == "match", (seed, pattern, key, status)
+
+
+PARAM_KEYS = ("weekly_kpi", "segmented_lines", "recency_buckets", "ytd_repeat", "not_reactivated",
+              "other_channel_base", "ytd_first_purchase_base", "never_purchased_base")
+
+
+def _random_params(rnd):
+    start = P.start + dt.timedelta(days=rnd.randint(-60, 30))
+    end = start + dt.timedelta(days=rnd.choice([1, 7, 30, 91]))
+    ytd = start - dt.timedelta(days=rnd.choice([-5, 0, 20, 200]))   # may lie after the start
+    retain = ytd - dt.timedelta(days=rnd.choice([0, 100, 365]))
+    return P.replace(start=start, end=end, ytd_start=ytd, retain_start=retain,
+                     distributor=rnd.choice(["BUILDING", "%", "MACH%", "%ING", "_UILDING"]))
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13, 14, 15, 22])  # 15, 22: ytd_start after start
+def test_random_parameters_match_oracle(spark, seed):
+    rnd = random.Random(seed)
+    orders, members, traffic = make(seed)
+    tables = fx.spark_tables(spark, orders, members, traffic)
+    duck = fx.duck_tables(orders, members, traffic)
+    params = _random_params(rnd)
+    for key in PARAM_KEYS:
+        q = registry()[key]
+        df = q.on_tables(tables, params)
+        rel = duck.sql(oracle.query(params, q.oracle_select, mapping=False))
+        status = same_rows(df.columns, [tuple(r) for r in df.collect()], rel.columns, rel.fetchall())
+        assert status == "match", (seed, params, key, status)
