@@ -69,3 +69,11 @@ def test_rank_numbers_per_member_and_day(spark):
     text = plan(queries()["purchase_rank"](spark, SF))
     # the numbering window is partitioned by member and paid day, not member alone
     assert "__bucket" in text and "rangepartitioning" not in text
+
+
+def test_period_is_read_once(tables):
+    # with the profile checkpointed, the order grain's plan holds only the
+    # period's own scans: members and non-members come from one read
+    w = WeeklyKpi(tables, P, "checkpoint")
+    text = plan(w.order_grain)
+    assert text.count("lineitem.parquet") == 1 and text.count("orders.parquet") == 1
