@@ -42,7 +42,8 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * int(cpus))))
+    # shuffle partitions sized to the data: at sf0.1 one per core (a cluster sets its own)
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
     spark = local_session(cores=cpus, shuffle_partitions=parts, app="cohortkit-bench", memory="16g")
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     qs = registry.queries()
@@ -68,6 +69,7 @@ def main() -> None:
         "cpus": int(cpus),
         "runs": runs,
         "stat": "median",
+        "shuffle_partitions": parts,
     }))
     spark.stop()
 
