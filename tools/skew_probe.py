@@ -84,15 +84,19 @@ def main() -> None:
             m = e["Task Metrics"]
             shuffle = m.get("Shuffle Read Metrics", {}).get("Total Records Read", 0)
             read = m.get("Input Metrics", {}).get("Records Read", 0)
-            tasks.setdefault(e["Stage ID"], []).append(shuffle + read)
-    print(f"{'group':<16}{'stage':>6}{'tasks':>7}{'max':>10}{'median':>10}{'total':>11}{'max/total':>11}")
+            tasks.setdefault(e["Stage ID"], []).append((shuffle, read))
+    print("shuffle-read records per task (input scans are listed apart: their spread follows the")
+    print("files' row groups, not the plan)")
+    print(f"{'group':<16}{'stage':>6}{'tasks':>7}{'max':>10}{'median':>10}{'total':>11}{'max/total':>11}"
+          f"{'input':>10}")
     for s in sorted(tasks):
-        recs = tasks[s]
-        total = sum(recs)
+        shuffled = [a for a, _ in tasks[s]]
+        total = sum(shuffled)
+        read = sum(b for _, b in tasks[s])
         if total < 1000:
             continue
-        print(f"{str(stage_group.get(s)):<16}{s:>6}{len(recs):>7}{max(recs):>10}"
-              f"{int(statistics.median(recs)):>10}{total:>11}{max(recs) / total:>11.2f}")
+        print(f"{str(stage_group.get(s)):<16}{s:>6}{len(shuffled):>7}{max(shuffled):>10}"
+              f"{int(statistics.median(shuffled)):>10}{total:>11}{max(shuffled) / total:>11.2f}{read:>10}")
 
 
 if __name__ == "__main__":
