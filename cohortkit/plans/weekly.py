@@ -1,21 +1,20 @@
-"""The weekly KPI report as one Spark plan.
-
-Data flow (shuffles in brackets):
-
-    order fact --+-- effective history ----+
-                 +-- YTD (member, order) --+--[member_key]-- member profile --+
-    members -----------------------------+                                    |
-                                                                              |
-    order fact -- period (member, order) --[member_key join]-- segment codes --+
-                                                                  |
-                        [segment, distinct value] segment summaries (v1, v2)
-    member profile -- one global aggregate -- cohort / recency / recall counts
+"""The weekly KPI report as three Spark jobs.
+
+Data flow (shuffles in brackets, checkpoints in double brackets):
+
+    order fact --+-- effective history -----+
+                 +-- [YTD (member, order)] --+--[member_key]-- member profile ((1))
+    members ------------------------------+
+    order fact -- [period (member, order)] --[member_key join with (1)]--
+        [segment, distinct value] -- segment summaries, v1 and v2 ((2))
+    (1) -- one global aggregate -- cohort / recency / recall / YTD counts
     store traffic -- one global aggregate
-    => at most 15 labelled rows, joined by label (broadcast)
+    => at most 30 labelled rows, joined by label (broadcast)          (3)
 
 The order fact is scanned three times (whole history, YTD window, period),
 against nine in the reference; the windows prune partitions when the fact is
-partitioned by ``date_id``.
+partitioned by ``date_id``.  The two checkpoints run when the steps are
+first used; the report itself is lazy.
 """
 
 from __future__ import annotations
