@@ -4,6 +4,7 @@ row count, column names, and the multiset of rows (columns sorted by name)."""
 from __future__ import annotations
 
 import datetime as dt
+import os
 import decimal
 import math
 import sys
@@ -80,7 +81,7 @@ def main(argv):
     from cohortkit.plans.registry import oracle_sql, queries
     from cohortkit.session import local_session
 
-    sf_dir = "/root/testdata/sf0.01"
+    sf_dir = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
     keys = argv[1:]
     spark = local_session()
     qs, sqls = queries(), oracle_sql()
