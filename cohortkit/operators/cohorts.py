@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from cohortkit.functions.columns import in_range, member_key, upper_like
 from cohortkit.operators.purchases import (
     clean_effective_lines,
-    first_purchases,
+    first_code_day,
+    first_code_other,
+    first_codes,
     purchase_lines,
 )
 from cohortkit.params import KpiParams
@@ -70,20 +72,19 @@ def reactivate_base(orders: DataFrame, p: KpiParams) -> DataFrame:
 
 def ytd_first_purchase_base(orders: DataFrame, p: KpiParams) -> DataFrame:
     """Members whose first purchase ever falls in [ytd_start, start)."""
-    return (first_purchases(orders, p)
-            .where(in_range(F.to_date("order_paid_time"), p.ytd_start, p.start))
-            .select("crm_member_id")
-            .distinct())
+    first = first_codes(orders, p)  # one row per member
+    return (first.where(in_range(first_code_day(F.col("first_code")), p.ytd_start, p.start))
+            .select("crm_member_id"))
 
 
 def other_channel_base(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataFrame:
     """First purchase in the period, registered through a channel not matching
     the pattern, and not a new member of the period."""
-    first = first_purchases(orders, p).where(
-        in_range(F.to_date("order_paid_time"), p.start, p.end)
-        & ~upper_like(F.col("eff_reg_channel"), p.distributor))
+    code = F.col("first_code")
+    first = first_codes(orders, p).where(
+        in_range(first_code_day(code), p.start, p.end) & first_code_other(code))
     new = _keys(new_member_base(members, p), "member_detail_id")
-    # first purchases are one row per member already
+    # first codes are one row per member already
     return _anti(first.select("crm_member_id"), "crm_member_id", new)
 
 

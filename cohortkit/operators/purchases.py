@@ -91,6 +91,32 @@ def first_purchase_code(paid: Column, channel: Column, p: KpiParams) -> Column:
                   ntz_micros(paid) * F.lit(2) + other_channel(channel, p).cast("bigint"))
 
 
+_DAY_MICROS = 86_400_000_000
+
+
+def first_code_day(code: Column) -> Column:
+    """Day of the first purchase from a :func:`first_purchase_code` minimum."""
+    micros = F.shiftright(code, 1)
+    days = ((micros - F.pmod(micros, F.lit(_DAY_MICROS))) / F.lit(_DAY_MICROS)).cast("int")
+    return F.date_add(F.lit(_EPOCH), days)
+
+
+def first_code_other(code: Column) -> Column:
+    """Whether the first purchase was through another channel (the code's low bit)."""
+    return F.pmod(code, F.lit(2)) == 1
+
+
+def first_codes(orders: DataFrame, p: KpiParams) -> DataFrame:
+    """Per member (raw id): the minimum :func:`first_purchase_code` of its history.
+
+    A hash aggregate on a long that combines map-side; enough for every use
+    that needs only the first purchase's day and channel test.
+    """
+    paid, channel = F.col("order_paid_time"), F.col("eff_reg_channel")
+    return purchase_lines(orders, p).groupBy("crm_member_id").agg(
+        F.min(first_purchase_code(paid, channel, p)).alias("first_code"))
+
+
 def first_purchase_key(paid: Column, order: Column, channel: Column, p: KpiParams) -> Column:
     """Struct whose minimum is the first purchase under :func:`purchase_order`.
 

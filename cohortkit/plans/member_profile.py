@@ -17,15 +17,18 @@ expressions over the result.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.columns import in_range, is_true, member_key, upper_like
 from cohortkit.functions import labels as L
 from cohortkit.functions.labels import SEGMENT_CODES as C
-from cohortkit.operators.purchases import first_purchase_code, sales_lines
+from cohortkit.operators.purchases import (
+    first_code_day,
+    first_code_other,
+    first_purchase_code,
+    sales_lines,
+)
 from cohortkit.operators.recency import bucket_code
 from cohortkit.operators.ytd import ytd_lines, ytd_orders
 from cohortkit.params import KpiParams
@@ -44,8 +47,6 @@ BITS = {
     "joined_in_period": 32,   # joined in [start, end) through a matching channel
     "joined_before_s": 64,    # joined before start through a matching channel
 }
-_DAY_MICROS = 86_400_000_000
-_EPOCH = dt.date(1970, 1, 1)
 
 
 def _bits(**conds) -> F.Column:
@@ -123,10 +124,8 @@ def member_profile(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataF
 def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
     """Cohort flags and segment codes from the member aggregate."""
     # first_code = 2 * micros(first paid) + other-channel bit (see first_purchase_code)
-    first_micros = F.shiftright(F.col("first_code"), 1)
-    first_days = ((first_micros - F.pmod(first_micros, F.lit(_DAY_MICROS))) / F.lit(_DAY_MICROS)).cast("int")
-    first_day = F.date_add(F.lit(_EPOCH), first_days)
-    first_other = F.pmod(F.col("first_code"), F.lit(2)) == 1
+    first_day = first_code_day(F.col("first_code"))
+    first_other = first_code_other(F.col("first_code"))
     is_new = has("joined_in_period")
     is_never = has("joined_before_s") & ~has("bought_before_s")
     is_retain = has("in_retain")
