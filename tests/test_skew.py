@@ -59,3 +59,32 @@ def test_hot_member_matches_oracle(spark, pattern):
         rel = con.sql(oracle.query(p, q.oracle_select, mapping=False))
         status = same_rows(df.columns, [tuple(r) for r in df.collect()], rel.columns, rel.fetchall())
         assert status == "match", (pattern, key, status)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="driver test data not present")
+def test_aqe_splits_the_hot_member_in_the_period_join(spark):
+    # with sort-merge joins forced and small thresholds, AQE cuts the hot
+    # member's partition of the period join: both join inputs are shuffles
+    # because the profile is checkpointed
+    from cohortkit.plans.weekly import WeeklyKpi
+
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        grain = WeeklyKpi(skewed(tpch_tables(spark, "/root/testdata/sf0.01")), KpiParams()).order_grain
+        grain.collect()
+        plan = grain._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
