@@ -181,3 +181,13 @@ def test_session_time_zone_does_not_matter(spark, tables, duck):
             _check(key, tables, duck, fx.PARAMS)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_ansi_mode_does_not_matter(spark, tables, duck):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        for key in ("weekly_kpi", "purchase_rank", "ytd_repeat"):
+            _check(key, tables, duck, fx.PARAMS)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
