@@ -9,11 +9,14 @@ from pyspark.sql import SparkSession
 
 # Settings every run needs, whatever the cluster: UTC so that date/time
 # literals mean the same everywhere, AQE for runtime coalescing and skew
-# splitting of the member-keyed joins.
+# splitting of the member-keyed joins; coalescing by the advisory partition
+# size rather than by parallelism, as Spark recommends for busy clusters (no
+# swarm of tiny tasks after the selective period and label steps).
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
