@@ -138,22 +138,28 @@ def rollups(labelled: DataFrame, summaries: DataFrame) -> DataFrame:
     Cohort and bucket sizes are joined to their segment's sales by (version,
     label).  Version 1 adds the existing subtotal, the total and the YTD row.
     Subtotal and total add distinct counts of cohorts that may overlap, as
-    the report defines them; they are not a ROLLUP.  Both versions travel
-    together, so no filter splits the summaries into one plan per reader.
+    the report defines them; they are not a ROLLUP of the members.  They come
+    from GROUPING SETS over the joined rows: (version, label) returns each row
+    as it is, the two derived keys give the subtotal and the total, so the
+    joined rows (and the segment summaries under them) are read once.
     """
     base = labelled.where(F.col("section").isin(BASE, RECENCY_BASE)).select(
         F.when(F.col("section") == BASE, 1).otherwise(2).alias("version"),
         "member_type", F.col("n").alias("member_base"))
+    v1 = F.col("version") == 1
     rows = base.join(F.broadcast(summaries), on=["version", "member_type"], how="left").select(
-        "version", "member_type", "member_base", *SUMMARY_COLS)
+        "version", "member_type", "member_base", *SUMMARY_COLS,
+        F.when(v1 & F.col("member_type").like("%existing%"), F.lit(L.EXISTING)).alias("g_existing"),
+        F.when(v1, F.lit(L.TTL)).alias("g_total"))
     cols = ("member_base", *SUMMARY_COLS)
-    existing = "version = 1 AND member_type LIKE '%existing%'"
-    sums = rows.agg(*[F.expr(f"sum(CASE WHEN {existing} THEN {c} END) AS e_{c}") for c in cols],
-                    *[F.expr(f"sum(CASE WHEN version = 1 THEN {c} END) AS t_{c}") for c in cols])
-    totals = sums.selectExpr("inline(array(" + ", ".join(
-        f"named_struct('version', 1, 'member_type', {sql_string(label)}, "
-        + ", ".join(f"'{c}', {prefix}_{c}" for c in cols) + ")"
-        for prefix, label in (("e", L.EXISTING), ("t", L.TTL))) + "))")
+    sets = rows.groupingSets([["version", "member_type"], ["g_existing"], ["g_total"]],
+                             "version", "member_type", "g_existing", "g_total").agg(
+        *[F.sum(c).alias(c) for c in cols])
+    identity = F.col("version").isNotNull()
+    out = sets.where(identity | F.col("g_existing").isNotNull() | F.col("g_total").isNotNull()).select(
+        F.when(identity, F.col("version")).otherwise(F.lit(1)).alias("version"),
+        F.coalesce(F.col("member_type"), F.col("g_existing"), F.col("g_total")).alias("member_type"),
+        *[F.col(c) for c in cols])
     ytd = labelled.where(F.col("section") == YTD).select(
         F.lit(1).alias("version"), "member_type",
         F.col("n").alias("member_base"),
@@ -161,8 +167,8 @@ def rollups(labelled: DataFrame, summaries: DataFrame) -> DataFrame:
         F.col("sales").alias("member_sales"),
         F.col("shoppers").alias("member_shopper"),
         F.col("orders").alias("member_orders"))
-    # all three carry (version, member_type, member_base, *SUMMARY_COLS) in this order
-    return rows.union(totals).union(ytd)
+    # both carry (version, member_type, member_base, *SUMMARY_COLS) in this order
+    return out.union(ytd)
 
 
 def rollup(both: DataFrame, version: int) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The weekly KPI report as three Spark jobs.
+"""The weekly KPI report: the member profile job, then the report over it.
 
 Data flow (shuffles in brackets, checkpoints in double brackets):
 
@@ -6,15 +6,16 @@ Data flow (shuffles in brackets, checkpoints in double brackets):
                  +-- [YTD (member, order)] --+--[member_key]-- member profile ((1))
     members ------------------------------+
     order fact -- [period (member, order)] --[member_key join with (1)]--
-        [segment, distinct value] -- segment summaries, v1 and v2 ((2))
+        [segment, distinct value] -- segment summaries, v1 and v2 (2)
     (1) -- one global aggregate -- cohort / recency / recall / YTD counts
     store traffic -- one global aggregate
-    => at most 30 labelled rows, joined by label (broadcast)          (3)
+    (2) + counts => at most 30 labelled rows, joined by label (broadcast),
+                    subtotal and total as grouping sets
 
 The order fact is scanned three times (whole history, YTD window, period),
 against nine in the reference; the windows prune partitions when the fact is
-partitioned by ``date_id``.  The two checkpoints run when the steps are
-first used; the report itself is lazy.
+partitioned by ``date_id``.  The profile checkpoint runs when the profile
+is first used; the report itself is lazy.
 """
 
 from __future__ import annotations
@@ -58,12 +59,8 @@ class WeeklyKpi:
 
     @cached_property
     def segment_summaries(self) -> DataFrame:
-        # At most 2 x 15 rows, read twice by the rollups.  Catalyst orders the
-        # distinct-count Expand differently in the two copies, so AQE cannot
-        # reuse it; materialised, the aggregate over the period's orders runs
-        # once.
-        return materialize(summaries.segment_summaries(self.order_grain), "segment_summaries",
-                           self.materialize)
+        # at most 2 x 15 rows, read once (by the rollups' grouping sets)
+        return summaries.segment_summaries(self.order_grain)
 
     @cached_property
     def segment_summary(self) -> DataFrame:
