@@ -1,10 +1,10 @@
-"""Write the physical plans of the flagship's three jobs to docs/weekly_kpi_plans.txt.
+"""Write the physical plans of the flagship to docs/weekly_kpi_plans.txt.
 
 usage: python tools/dump_plans.py [SF_DIR]
 
-The report runs as three Spark jobs: the member profile (checkpointed), the
-segment summaries (checkpointed) and the report tail over the two.  Each
-plan is printed as Spark's formatted explain of the initial physical plan
+The report runs in two parts: the member profile (checkpointed), then the
+report over it (period join, segment summaries, counts, traffic, labelled
+tail).  Each plan is Spark's formatted explain of the initial physical plan
 (before AQE's runtime changes).
 """
 
@@ -21,7 +21,6 @@ from cohortkit.params import KpiParams  # noqa: E402
 from cohortkit.plans.member_profile import member_profile  # noqa: E402
 from cohortkit.plans.registry import sources  # noqa: E402
 from cohortkit.plans.weekly import WeeklyKpi  # noqa: E402
-from cohortkit.operators import summaries  # noqa: E402
 from cohortkit.session import local_session  # noqa: E402
 
 
@@ -39,11 +38,11 @@ def main() -> None:
     p = KpiParams()
     w = WeeklyKpi(t, p)
     parts = [
-        ("1. member profile (one hash aggregate over history, YTD orders and members)",
+        ("1. member profile (one hash aggregate over history, YTD orders and members; checkpointed)",
          member_profile(t.member_orders, t.members, p)),
-        ("2. segment summaries (period read once, one join, one Expand aggregate)",
-         summaries.segment_summaries(w.order_grain)),
-        ("3. report tail (cohort counts, traffic, label joins over at most 30 rows)", w.report),
+        ("2. report over the checkpointed profile (period read once, one join, one Expand aggregate "
+         "for both segment summaries, cohort counts, traffic, grouping sets and label joins over "
+         "at most 30 rows)", w.report),
     ]
     out = [f"Physical plans of weekly_kpi on {os.path.basename(sf_dir)} (local[*], 16 shuffle partitions)\n"]
     for title, df in parts:
