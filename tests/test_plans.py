@@ -58,11 +58,19 @@ def test_period_filters_reach_the_scan(tables):
     assert "l_tax" not in text and "l_discount" not in text
 
 
-def test_non_member_lines_bypass_the_member_join(tables):
-    text = plan(WeeklyKpi(tables, P).order_grain)
-    assert "isnull(crm_member_id" in text.replace("CASE WHEN", "") or "isnull" in text
-    # the member join is keyed on the integer member key only
-    assert "LeftOuter" in text
+def test_non_member_lines_cross_the_join_as_one_row(tables):
+    # all lines without a member collapse into one (NULL, NULL) row before the
+    # member join, so their NULL key cannot pile up in one join partition
+    from pyspark.sql import functions as F
+
+    from cohortkit.functions.labels import NON_MEMBER, NON_MEMBER_V2, SEGMENT_CODES
+
+    grain = WeeklyKpi(tables, P, "none").order_grain
+    rows = grain.where(F.col("member_key").isNull()).collect()
+    assert len(rows) == 1
+    assert rows[0]["seg_v1"] == SEGMENT_CODES[NON_MEMBER]
+    assert rows[0]["seg_v2"] == SEGMENT_CODES[NON_MEMBER_V2]
+    assert rows[0]["original_order_id"] is None
 
 
 def test_rank_numbers_per_member_and_day(spark):
