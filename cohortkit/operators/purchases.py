@@ -68,19 +68,22 @@ def purchase_order(p: KpiParams) -> list[Column]:
             F.col("eff_reg_channel").asc_nulls_last()]
 
 
-def purchase_day(paid: Column) -> Column:
-    """Day number of the paid time, NULL last: never decreases along :func:`purchase_order`."""
-    return F.coalesce(F.datediff(F.to_date(paid), F.lit(_EPOCH)), F.lit(2**31 - 1))
+def purchase_hour(paid: Column) -> Column:
+    """Hour number of the paid time (wall clock, no time zone), NULL last: never
+    decreases along :func:`purchase_order`."""
+    days = F.datediff(F.to_date(paid), F.lit(_EPOCH)).cast("bigint")
+    return F.coalesce(days * F.lit(24) + F.hour(paid).cast("bigint"), F.lit(2**62))
 
 
 def purchase_rank(orders: DataFrame, p: KpiParams) -> DataFrame:
     """A2: A1 plus ``rk``, the position of each purchase in its member's history.
 
-    Numbered per (member, paid day) and offset by the member's earlier days,
-    so a member with a very long history is spread over many tasks.
+    Numbered per (member, paid hour) and offset by the member's earlier
+    hours, so a member with a very long history is spread over many tasks;
+    the offset table holds one row per (member, hour).
     """
     return row_number_within(purchase_events(orders, p), ["crm_member_id"], purchase_order(p),
-                             purchase_day(F.col("order_paid_time")), "rk")
+                             purchase_hour(F.col("order_paid_time")), "rk")
 
 
 def first_purchase_code(paid: Column, channel: Column, p: KpiParams) -> Column:

@@ -3,7 +3,7 @@
 ``row_number() OVER (PARTITION BY key ORDER BY ...)`` sends every row of a
 key to one task.  When one member holds a large share of all rows that task
 does most of the work.  Here each group is cut into slices by a coarse
-``bucket`` that never decreases along the order (e.g. the day of the paid
+``bucket`` that never decreases along the order (e.g. the hour of the paid
 time): rows are numbered within (key, bucket), spread over all tasks, and a
 small per-(key, bucket) count table supplies the offset of every slice.
 The slicing is a pure function of the row, so a recomputed task (lost
