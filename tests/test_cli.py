@@ -22,3 +22,20 @@ def test_cli_needs_all_three_tables():
     with pytest.raises(SystemExit):
         main(["--member-orders", "x", "--start", "2000-10-01", "--end", "2001-01-01",
               "--retain-start", "1999-01-01", "--ytd-start", "2000-01-01"])
+
+
+def test_cli_reads_logical_tables(spark):
+    import fixtures as fx
+
+    t = fx.spark_tables(spark)
+    root = tempfile.mkdtemp(prefix="cohortkit-cli-tables-")
+    t.member_orders.write.partitionBy("date_id").parquet(f"{root}/orders")
+    t.members.write.parquet(f"{root}/members")
+    t.store_traffic_daily.write.parquet(f"{root}/traffic")
+    p = fx.PARAMS
+    main(["--member-orders", f"{root}/orders", "--members", f"{root}/members",
+          "--store-traffic", f"{root}/traffic", "--distributor", p.distributor,
+          "--start", str(p.start), "--end", str(p.end), "--retain-start", str(p.retain_start),
+          "--ytd-start", str(p.ytd_start), "--out", f"{root}/report", "--format", "csv"])
+    out = spark.read.option("header", True).csv(f"{root}/report")
+    assert out.count() == 15
