@@ -37,6 +37,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.sql.ansi.enabled", "true")
+        # remove checkpoint files once their DataFrames are garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
