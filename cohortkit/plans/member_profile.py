@@ -163,4 +163,4 @@ def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
               .when(F.col("is_never"), C[L.NEVER_PURCHASED])
               .when(F.col("recency_start").isNotNull(), F.col("recency_start"))
               .when(F.col("is_other_channel"), C[L.OTHER_CHANNEL]))
-    return flags.withColumn("seg_v1", seg_v1).withColumn("seg_v2", seg_v2)
+    return flags.withColumns({"seg_v1": seg_v1, "seg_v2": seg_v2})
