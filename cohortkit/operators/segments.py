@@ -77,8 +77,8 @@ def segmented_lines(orders: DataFrame, profile: DataFrame, p: KpiParams) -> Data
         flag01("retained").alias("retained"),
         flag01("reactivated").alias("reactivated"),
         flag01("other_channel").alias("other_channel_reg_new_belong"),
-        code_label("seg_v1").alias("new_vs_existing_member_lcs"),
-        code_label("seg_v2").alias("new_vs_existing_member_lcs_v2"),
+        code_label("seg_v1").alias("member_segment"),
+        code_label("seg_v2").alias("member_segment_v2"),
         "sales_qty", "order_rrp_amt")
 
 

@@ -92,49 +92,45 @@ register("src_store_traffic", "SELECT * FROM store_traffic_daily")(lambda t, p:
 
 # --- purchase history (A1, A2, W2) -------------------------------------------
 
-register("purchase_events", "SELECT * FROM all_purchase")(
+register("purchase_events", "SELECT * FROM purchases")(
     lambda t, p: purchases.purchase_events(t.member_orders, p))
-register("purchase_rank", "SELECT * FROM all_purchase_rk")(
+register("purchase_rank", "SELECT * FROM purchase_seq")(
     lambda t, p: purchases.purchase_rank(t.member_orders, p))
-register("first_purchase",
-         "SELECT crm_member_id, eff_reg_channel, original_order_id, order_paid_time "
-         "FROM all_purchase_rk WHERE rk = 1")(
+register("first_purchase", "SELECT * FROM first_buy")(
     lambda t, p: purchases.first_purchases(t.member_orders, p))
 
 # --- cohorts (A3-A8, A14, A15) -----------------------------------------------
 
-register("new_member_base", "SELECT * FROM new_member_base")(
+register("new_member_base", "SELECT * FROM joiners")(
     lambda t, p: cohorts.new_member_base(t.members, p))
-register("never_purchased_base", "SELECT * FROM existing_never_purchased_base")(
+register("never_purchased_base", "SELECT * FROM dormant")(
     lambda t, p: cohorts.never_purchased_base(t.member_orders, t.members, p))
-register("retain_base", "SELECT * FROM existing_retain_base")(
+register("retain_base", "SELECT * FROM kept")(
     lambda t, p: cohorts.retain_base(t.member_orders, p))
-register("reactivate_base", "SELECT * FROM existing_reactivate_base")(
+register("reactivate_base", "SELECT * FROM won_back")(
     lambda t, p: cohorts.reactivate_base(t.member_orders, p))
-register("ytd_first_purchase_base", "SELECT * FROM existing_2024_initial_purchase_base")(
+register("ytd_first_purchase_base", "SELECT * FROM ytd_first")(
     lambda t, p: cohorts.ytd_first_purchase_base(t.member_orders, p))
-register("other_channel_base", "SELECT * FROM existing_other_channel_reg_new_belong")(
+register("other_channel_base", "SELECT * FROM cross_channel")(
     lambda t, p: cohorts.other_channel_base(t.member_orders, t.members, p))
-register("not_retained", "SELECT * FROM have_not_retained")(
+register("not_retained", "SELECT * FROM lapsed_kept")(
     lambda t, p: cohorts.not_retained(t.member_orders, p))
-register("not_reactivated", "SELECT * FROM have_not_reactivated")(
+register("not_reactivated", "SELECT * FROM lapsed_won_back")(
     lambda t, p: cohorts.not_reactivated(t.member_orders, p))
 
 # --- recency (A9-A13, A16-A19, AX1) ------------------------------------------
 
 _BUCKET_KEYS = ("0_90", "90_180", "180_270", "270_360", "360_plus")
 for _b, _suffix in enumerate(_BUCKET_KEYS):
-    register(f"recency_start_{_suffix}", f"SELECT * FROM {oracle.START_NAMES[_b]}")(
+    register(f"recency_start_{_suffix}", f"SELECT * FROM {oracle.bucket_name('start', _b)}")(
         lambda t, p, _b=_b: recency.recency_cohort(t.member_orders, p, p.start, _b))
-    if oracle.END_NAMES[_b]:
-        register(f"recency_end_{_suffix}", f"SELECT * FROM {oracle.END_NAMES[_b]}")(
+    if _b:  # the report uses bucket 0 at the start only
+        register(f"recency_end_{_suffix}", f"SELECT * FROM {oracle.bucket_name('end', _b)}")(
             lambda t, p, _b=_b: recency.recency_cohort(t.member_orders, p, p.end, _b))
 
 _RECENCY_UNION = " UNION ALL ".join(
-    [f"SELECT crm_member_id, 'start' AS anchor, '{{l_r{b + 1}}}' AS recency_bucket FROM {n}"
-     for b, n in enumerate(oracle.START_NAMES)]
-    + [f"SELECT crm_member_id, 'end' AS anchor, '{{l_r{b + 1}}}' AS recency_bucket "
-       f"FROM {n or oracle.END_RECENT}" for b, n in enumerate(oracle.END_NAMES)])
+    f"SELECT crm_member_id, '{anchor}' AS anchor, '{{l_r{b + 1}}}' AS recency_bucket "
+    f"FROM {oracle.bucket_name(anchor, b)}" for anchor in ("start", "end") for b in range(5))
 register("recency_buckets", _RECENCY_UNION)(
     lambda t, p: recency.recency_buckets(t.member_orders, p))
 
@@ -143,9 +139,9 @@ register("recency_buckets", _RECENCY_UNION)(
 register("ytd_repeat",
          "SELECT crm_member_id, ytd_repeat, ytd_repeat_orders, "
          "CAST(ytd_repeat_member_sales AS DOUBLE) AS ytd_repeat_member_sales "
-         "FROM ytd_member_shopper_and_repeat_shopper")(
+         "FROM ytd_shoppers")(
     lambda t, p: ytd.ytd_repeat(t.member_orders, p))
-register("traffic_total", "SELECT * FROM traffic_reg")(
+register("traffic_total", "SELECT * FROM traffic")(
     lambda t, p: traffic_total(t.store_traffic_daily, p))
 
 # --- segments and summaries (A22-A28) ----------------------------------------
@@ -158,32 +154,29 @@ _ROLLUP_SELECT = ("SELECT member_type, member_base, CAST(ttl_sales AS DOUBLE) AS
                   "FROM {}")
 
 register("segmented_lines",
-         "SELECT * REPLACE (CAST(order_rrp_amt AS DOUBLE) AS order_rrp_amt) FROM transaction_cte")(
+         "SELECT * REPLACE (CAST(order_rrp_amt AS DOUBLE) AS order_rrp_amt) FROM tagged")(
     lambda t, p: _portable(_report(t, p).segmented_lines))
-register("segment_summary", _SUMMARY_SELECT.replace("{}", "transaction_summary"))(
+register("segment_summary", _SUMMARY_SELECT.replace("{}", "seg_summary WHERE v = 1"))(
     lambda t, p: summaries.summary_output(_report(t, p).segment_summary))
-register("recency_summary", _SUMMARY_SELECT.replace("{}", "transaction_summary_v2"))(
+register("recency_summary", _SUMMARY_SELECT.replace("{}", "seg_summary WHERE v = 2"))(
     lambda t, p: summaries.summary_output(_report(t, p).recency_summary))
-register("member_base_summary", "SELECT * FROM member_base_summary")(
+register("member_base_summary", "SELECT * FROM base_counts")(
     lambda t, p: _report(t, p, shared=False).member_base_summary)
-register("kpi_rollup", _ROLLUP_SELECT.replace("{}", "all_summary"))(
+register("kpi_rollup", _ROLLUP_SELECT.replace("{}", "rollup1"))(
     lambda t, p: summaries.rollup_output(_report(t, p).kpi_rollup))
-register("recency_base_summary", "SELECT * FROM member_base_summary_v2")(
+register("recency_base_summary", "SELECT * FROM rec_counts")(
     lambda t, p: _report(t, p, shared=False).recency_base_summary)
-register("recency_rollup", _ROLLUP_SELECT.replace("{}", "all_summary_v2"))(
+register("recency_rollup", _ROLLUP_SELECT.replace("{}", "rollup2"))(
     lambda t, p: summaries.rollup_output(_report(t, p).recency_rollup))
 
 # --- report (A29-A33) --------------------------------------------------------
 
-register("kpi_segment_final", "SELECT * FROM final_1")(lambda t, p: _report(t, p).kpi_segment_final)
-register("kpi_recency_final", "SELECT * FROM final_2")(lambda t, p: _report(t, p).kpi_recency_final)
-register("kpi_union", "SELECT * FROM final_1_and_2")(lambda t, p: _report(t, p).kpi_union)
-register("recall_counts", "SELECT * FROM still_need_to_recall_table")(
+register("kpi_segment_final", "SELECT * EXCLUDE (v) FROM finals WHERE v = 1")(lambda t, p: _report(t, p).kpi_segment_final)
+register("kpi_recency_final", "SELECT * EXCLUDE (v) FROM finals WHERE v = 2")(lambda t, p: _report(t, p).kpi_recency_final)
+register("kpi_union", "SELECT * EXCLUDE (v) FROM finals")(lambda t, p: _report(t, p).kpi_union)
+register("recall_counts", "SELECT * FROM recall")(
     lambda t, p: _report(t, p, shared=False).recall_counts)
-register("weekly_kpi",
-         "SELECT final_1_and_2.*, still_need_to_recall_table.still_need_to_recall "
-         "FROM final_1_and_2 LEFT JOIN still_need_to_recall_table "
-         "ON final_1_and_2.member_type = still_need_to_recall_table.member_type")(
+register("weekly_kpi", "SELECT * FROM report")(
     lambda t, p: _report(t, p).report)
 
 

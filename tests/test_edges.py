@@ -152,7 +152,7 @@ def test_integer_member_key_merges_leading_zero_ids(spark):
     prof = w.profile.where(F.col("member_key") == 7).collect()
     assert len(prof) == 1 and prof[0]["is_retain"]
     lines = w.segmented_lines.where(F.col("original_order_id") == 702).collect()
-    assert len(lines) == 1 and lines[0]["new_vs_existing_member_lcs"] == L.RETAINED
+    assert len(lines) == 1 and lines[0]["member_segment"] == L.RETAINED
     assert lines[0]["order_rrp_amt"] == Decimal("11.00")
 
 
