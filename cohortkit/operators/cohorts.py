@@ -1,9 +1,9 @@
 """Member cohorts of the period (A3-A8) and the lapsed cohorts at its end.
 
-Each ``LEFT JOIN .. WHERE right.id IS NULL`` of the reference is written as a
-``left_anti`` join against a de-duplicated key set: Catalyst keeps the
-reference's form as an outer join plus filter, while an anti join neither
-fans out nor carries the right side's columns.  The left side is reduced to
+Each "left join, then keep rows whose right side is NULL" of the report is
+written as a ``left_anti`` join against a de-duplicated key set: Catalyst
+keeps the left-join form as an outer join plus filter, while an anti join
+neither fans out nor carries the right side's columns.  The left side is reduced to
 its distinct output rows *before* the anti join (an anti join only removes
 rows, so the result is the same): the reduction combines map-side, and a
 member with a huge history reaches the join as a few rows, not as its lines.
