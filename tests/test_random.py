@@ -97,3 +97,20 @@ def test_random_parameters_match_oracle(spark, seed):
         rel = duck.sql(oracle.query(params, q.oracle_select, mapping=False))
         status = same_rows(df.columns, [tuple(r) for r in df.collect()], rel.columns, rel.fetchall())
         assert status == "match", (seed, params, key, status)
+
+
+@pytest.mark.parametrize("seed,n_members,n_orders", [(101, 5, 500), (102, 120, 300)])
+def test_dense_and_sparse_histories(spark, seed, n_members, n_orders):
+    # few members with long histories (ties, ranks, first purchases) and many
+    # members with short ones
+    rnd = random.Random(seed)
+    orders, members, traffic = make(seed, n_members=n_members, n_orders=n_orders)
+    tables = fx.spark_tables(spark, orders, members, traffic)
+    duck = fx.duck_tables(orders, members, traffic)
+    params = _random_params(rnd)
+    for key in KEYS:
+        q = registry()[key]
+        df = q.on_tables(tables, params)
+        rel = duck.sql(oracle.query(params, q.oracle_select, mapping=False))
+        status = same_rows(df.columns, [tuple(r) for r in df.collect()], rel.columns, rel.fetchall())
+        assert status == "match", (seed, key, status)
