@@ -40,7 +40,7 @@ _SOURCES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDicti
 
 def sources(spark: SparkSession, sf_dir: str, agg_type: str) -> Tables:
     per_session = _SOURCES.setdefault(spark, {})
-    key = (sf_dir.rstrip("/"), agg_type)
+    key = (str(sf_dir).rstrip("/"), agg_type)
     if key not in per_session:
         per_session[key] = tpch_tables(spark, sf_dir, agg_type)
     return per_session[key]

@@ -27,7 +27,7 @@ JOIN_EPOCH = dt.date(1995, 1, 1)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def _case(col, mapping: dict) -> F.Column:
