@@ -171,8 +171,10 @@ register("recency_rollup", _ROLLUP_SELECT.replace("{}", "rollup2"))(
 
 # --- report (A29-A33) --------------------------------------------------------
 
-register("kpi_segment_final", "SELECT * EXCLUDE (v) FROM finals WHERE v = 1")(lambda t, p: _report(t, p).kpi_segment_final)
-register("kpi_recency_final", "SELECT * EXCLUDE (v) FROM finals WHERE v = 2")(lambda t, p: _report(t, p).kpi_recency_final)
+register("kpi_segment_final", "SELECT * EXCLUDE (v) FROM finals WHERE v = 1")(
+    lambda t, p: _report(t, p).kpi_segment_final)
+register("kpi_recency_final", "SELECT * EXCLUDE (v) FROM finals WHERE v = 2")(
+    lambda t, p: _report(t, p).kpi_recency_final)
 register("kpi_union", "SELECT * EXCLUDE (v) FROM finals")(lambda t, p: _report(t, p).kpi_union)
 register("recall_counts", "SELECT * FROM recall")(
     lambda t, p: _report(t, p, shared=False).recall_counts)
