@@ -59,3 +59,25 @@ def test_ratios_and_net_sales(spark):
         registration_rate(F.lit(2), F.lit(175.0)).alias("d"),
         registration_rate(F.lit(2), F.lit(0.0)).alias("e")).first()
     assert (r.a, r.b, r.c, r.d, r.e) == (0.0, 0.0, 0.75, 0.0114, None)
+
+
+def test_hour_slices_follow_the_paid_order(spark):
+    # the rank numbers purchases per (member, hour slice): the slice must never
+    # decrease along paid time, NULL paid times last
+    import random
+
+    from cohortkit.operators.purchases import purchase_hour
+
+    rnd = random.Random(5)
+    base = dt.datetime(1901, 1, 1)
+    stamps = [base + dt.timedelta(microseconds=rnd.randrange(0, 298 * 365 * 86_400_000_000))
+              for _ in range(2000)] + [None]
+    df = spark.createDataFrame([(t,) for t in stamps], "t timestamp_ntz")
+    rows = df.select("t", ntz_micros(F.col("t")).alias("us"), purchase_hour(F.col("t")).alias("h")).collect()
+    for r in rows:
+        if r.t is not None:
+            assert r.us == _micros(r.t)
+            assert r.h == _micros(r.t) // 3_600_000_000
+    ordered = sorted(rows, key=lambda r: (r.t is None, r.t or base))
+    hours = [r.h for r in ordered]
+    assert hours == sorted(hours)
