@@ -191,3 +191,10 @@ def test_ansi_mode_does_not_matter(spark, tables, duck):
             _check(key, tables, duck, fx.PARAMS)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+@pytest.mark.parametrize("mode", ["table", "persist", "none"])
+def test_report_in_every_materialisation_mode(spark, tables, duck, mode):
+    rel = duck.sql(oracle.query(fx.PARAMS, registry()["weekly_kpi"].oracle_select, mapping=False))
+    df = WeeklyKpi(tables, fx.PARAMS, mode).report
+    assert same_rows(df.columns, [tuple(r) for r in df.collect()], rel.columns, rel.fetchall()) == "match"
