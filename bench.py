@@ -47,10 +47,16 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=parts, app="cohortkit-bench", memory="16g")
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     qs = registry.queries()
+    failed = {}
     for key in HEADLINE:  # warm-up: JVM, codegen, file cache
-        run(qs[key](spark, sf_dir))
+        try:
+            run(qs[key](spark, sf_dir))
+        except Exception as exc:  # a failing query is reported, the others still run
+            failed[key] = f"{type(exc).__name__}: {str(exc)[:200]}"
     times = {}
     for key in HEADLINE:
+        if key in failed:
+            continue
         samples = []
         for _ in range(runs):
             spark.catalog.clearCache()
@@ -70,6 +76,7 @@ def main() -> None:
         "runs": runs,
         "stat": "median",
         "shuffle_partitions": parts,
+        **({"failed": failed} if failed else {}),
     }))
     spark.stop()
 
