@@ -19,10 +19,12 @@ without rows).  Rows with equal training texts count as one text.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +34,8 @@ from cohortkit.llm.ngrams import buckets, code_points, present
 
 ORDERS = (3, 4, 5, 6)
 BITS = 20
-MAX_PER_CLASS = 3_000
+MAX_PER_CLASS = 2_500
+MAX_FEATURES = 1_500
 
 
 @dataclass(frozen=True)
@@ -58,28 +61,30 @@ class Model:
 
 
 def fit(texts: list[bytes | None], labels: list[int], share: float | None = None, orders=ORDERS, bits=BITS,
-        smoothing: float = 1.0, min_z: float = 4.5, ridge: float = 0.01, steps: int = 60) -> Model:
+        smoothing: float = 1.0, min_z: float = 5.0, max_features: int = MAX_FEATURES, ridge: float = 0.01,
+        steps: int = 400) -> Model:
     """Train on texts with 0/1 labels; ``share`` is the share of label 1 among all
-    labelled rows, for samples drawn per class."""
-    unique: dict[tuple, float] = {}
-    for text, label in zip(texts, labels):
-        unique[(text or b"", int(label))] = 1.0
+    labelled rows, for samples drawn per class.  Near copies share one vote."""
+    unique = list(dict.fromkeys((text or b"", int(label)) for text, label in zip(texts, labels)))
     rows = [present(code_points(t), orders, bits) for t, _ in unique]
-    y = np.array([k[1] for k in unique], float)
-    n1, n0 = y.sum(), len(y) - y.sum()
+    y = np.array([label for _, label in unique], float)
+    vote = _votes(unique)
+    n1, n0 = float(vote[y > 0].sum()), float(vote[y == 0].sum())
     nothing = np.empty(0, np.int64)
     if not n1 or not n0:
         base = (1.0 if n1 else 0.0) if share is None or not len(y) else share
         odds = math.log(max(base, 1e-9) / max(1 - base, 1e-9))
         return Model(odds, nothing, np.empty(0), orders, bits)
-    share = n1 / len(y) if share is None else min(max(share, 1e-6), 1 - 1e-6)
+    share = n1 / (n1 + n0) if share is None else min(max(share, 1e-6), 1 - 1e-6)
     df1, df0 = np.zeros(1 << bits), np.zeros(1 << bits)
-    for row, label in zip(rows, y):
-        (df1 if label else df0)[row] += 1
+    for row, label, v in zip(rows, y, vote):
+        (df1 if label else df0)[row] += v
     p, q = df1 + smoothing, df0 + smoothing
     ratio = np.log(p / (n1 + 2 * smoothing)) - np.log(q / (n0 + 2 * smoothing))
     noise = np.sqrt(1 / p - 1 / (n1 + 2 * smoothing) + 1 / q - 1 / (n0 + 2 * smoothing))
-    index = np.flatnonzero(np.abs(ratio) > min_z * noise)
+    clear = np.abs(ratio) / noise
+    index = np.flatnonzero(clear > min_z)
+    index = np.sort(index[np.argsort(-clear[index], kind="stable")[:max_features]])
     if not len(index):
         return Model(math.log(share / (1 - share)), nothing, np.empty(0), orders, bits)
     x = np.zeros((len(rows), len(index) + 1), np.float32)
@@ -93,7 +98,7 @@ def fit(texts: list[bytes | None], labels: list[int], share: float | None = None
     x *= scale
     x[:, -1] = 1.0
     # class weights restore the share of label 1 among all labelled rows
-    weight = np.where(y > 0, share / n1, (1 - share) / n0) * len(y)
+    weight = np.where(y > 0, share / n1, (1 - share) / n0) * vote * len(y)
     penalty = np.full(x.shape[1], ridge / len(y))
     penalty[-1] = 0.0
     w = np.zeros(x.shape[1])
@@ -101,7 +106,7 @@ def fit(texts: list[bytes | None], labels: list[int], share: float | None = None
     # gradient descent with Nesterov steps; the rows have norm at most sqrt(2)
     rate = 1.0 / (0.25 * float((weight * (x * x).sum(1)).sum()) / len(y) + penalty.max())
     z, t = w.copy(), 1.0
-    for _ in range(steps * 20):
+    for _ in range(steps):
         with np.errstate(over="ignore"):
             pred = 1 / (1 + np.exp(-(x @ z)))
         grad = x.T @ (weight * (pred - y)) / len(y) + penalty * z
@@ -115,6 +120,29 @@ def fit(texts: list[bytes | None], labels: list[int], share: float | None = None
     return Model(float(w[-1]), index, w[:-1] * ratio[index] * scale, orders, bits)
 
 
+def _votes(unique: list[tuple[bytes, int]], width: int = 5, sketches: int = 4) -> np.ndarray:
+    """1 / size of each text's group of near copies with the same label (texts
+    that share the smallest hash of their word shingles under one of a few hashes)."""
+    parent = list(range(len(unique)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    first: dict[tuple, int] = {}
+    for i, (text, label) in enumerate(unique):
+        words = text.split()
+        grams = {b" ".join(words[j:j + width]) for j in range(max(1, len(words) - width + 1))}
+        for seed in range(sketches):
+            key = (label, seed, min(xxhash.xxh3_64_intdigest(g, seed) for g in grams))
+            parent[root(i)] = root(first.setdefault(key, i))
+    roots = [root(i) for i in range(len(unique))]
+    size = Counter(roots)
+    return np.array([1.0 / size[r] for r in roots])
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id",
            max_per_class: int = MAX_PER_CLASS) -> tuple[list, float]:
     """Ids and labels of the training sample (at most ``2 * max_per_class``), and
