@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import decontaminate, langid, toxicity
+from cohortkit.llm import decontaminate, langid, packing, toxicity
 from cohortkit.llm.common import crc_fold, prepare, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.predict(rows, model)
     return found.select("doc_id", (crc_fold(F.col("doc_id")) == 0).alias("held_out"),
                         F.col("prediction.lang").alias("lang_pred"), F.col("prediction.score").alias("score"))
+
+
+@_query("op9_packing")
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
