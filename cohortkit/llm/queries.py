@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import decontaminate, langid, packing, toxicity
+from cohortkit.llm import bottomk, decontaminate, langid, packing, toxicity
 from cohortkit.llm.common import crc_fold, prepare, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,30 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_packing")
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), shingle AS MATERIALIZED (
+  SELECT DISTINCT r, list_slice(w, p, p + least(len(w), 5) - 1) AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM doc WHERE len(w) > 0)
+), size AS (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+shared AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS k FROM shingle a JOIN shingle b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r
+), link AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN size sa ON sa.r = a JOIN size sb ON sb.r = b WHERE 100 * k >= 75 * (sa.n + sb.n - k)
+), reach AS (
+  SELECT r, r AS q FROM doc UNION SELECT reach.r, link.b FROM reach JOIN link ON link.a = reach.q
+), lowest AS (SELECT reach.r, min(doc.doc_id) AS component_id FROM reach JOIN doc ON doc.r = reach.q GROUP BY reach.r)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM doc JOIN lowest USING (r) LEFT JOIN size USING (r)
+"""
+
+
+@_query("op6_bottomk_dedup", OP6_SQL)
+def op6_bottomk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk.near_duplicates(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_shingles", "component_id", "kept")
