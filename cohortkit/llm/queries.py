@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import bottomk, decontaminate, langid, packing, toxicity
+from cohortkit.llm import bottomk, decontaminate, langid, packing, risk, toxicity
 from cohortkit.llm.common import crc_fold, prepare, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,10 @@ FROM doc JOIN lowest USING (r) LEFT JOIN size USING (r)
 def op6_bottomk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk.near_duplicates(table(spark, sf_dir, "documents")) \
         .select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@_query("op8_risk_quality")
+def op8_risk_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = risk.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                        "kept")
