@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import bottomk, decontaminate, langid, packing, risk, toxicity
+from cohortkit.llm import bottomk, decontaminate, langid, packing, risk, toxicity, urls
 from cohortkit.llm.common import crc_fold, prepare, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,10 @@ def op8_risk_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = risk.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                         "kept")
+
+
+@_query("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = spark.createDataFrame(list(urls.LABELLED), "url string, label int")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.train(labelled)).select("page_id", "host", "path", "rule", "verdict")
