@@ -19,6 +19,7 @@ repeated documents are packed once per row; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -35,14 +36,21 @@ from cohortkit.llm.common import written
 
 CAPACITY = 2048
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 900_000
+
+
+# a run of ASCII punctuation that closes a chunk, after an ASCII letter or digit
+_CLOSING = re.compile(rb"(?<=[0-9a-z])([!#$%&()*+,./:;<=>?@\[\]^_{|}~-]+)(?=\s|\Z)")
 
 
 class TokenBytes:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and never joins across it, so ids are kept
-    per white-space delimited chunk and looked up again for repeated chunks.
+    The tokenizer drops white space and never joins across it, it lower-cases,
+    and it parts letters from punctuation.  So texts are lower-cased, closing
+    punctuation is set apart, and ids are kept per white-space delimited chunk.
+    New chunks of letters only are tokenised many at a time: the last token of
+    a word carries the end-of-word mark.
     """
 
     def __init__(self, path: str):
@@ -50,19 +58,53 @@ class TokenBytes:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    @staticmethod
+    def _chunks(text: bytes | None) -> list[bytes]:
+        if not text:
+            return []
+        if b"<|" in text:  # may hold a special token's text, which counts as it stands
+            return text.split()
+        return _CLOSING.sub(rb" \1", text.lower()).split()
+
+    def _learn(self, new: list[str]) -> None:
+        words, odd = [], []
+        for chunk in new:
+            (words if chunk.isalpha() else odd).append(chunk)
+        lots = [words[i:i + 200] for i in range(0, len(words), 200)]
+        coded = self.tokenizer.encode_batch_fast([" ".join(lot) for lot in lots], add_special_tokens=False)
+        for lot, enc in zip(lots, coded):
+            ids = np.array(enc.ids, "<u4")
+            ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+            if len(ends) != len(lot):
+                odd += lot
+                continue
+            data, at = ids.tobytes(), 0
+            for word, end in zip(lot, ends.tolist()):
+                self.known[word.encode()] = data[at:end]
+                at = end
+        for chunk, enc in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+            self.known[chunk.encode()] = np.array(enc.ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [t.split() if t else [] for t in texts]
+        split = [self._chunks(t) for t in texts]
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
         known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = list({w for words in split for w in words if w not in known})
-        for start in range(0, len(new), 4096):
-            part = new[start:start + 4096]
-            coded = self.tokenizer.encode_batch([w.decode("utf-8") for w in part], add_special_tokens=False)
-            for word, enc in zip(part, coded):
-                known[word] = np.array(enc.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
+        self._learn([c.decode() for c in set().union(*split) if c not in known])
+        return [b"".join([known[c] for c in chunks]) for chunks in split]
+
+
+_CODERS: dict[str, TokenBytes] = {}  # of this Python worker, for all its tasks
+
+
+def coder(path: str) -> TokenBytes:
+    if path not in _CODERS:
+        _CODERS[path] = TokenBytes(path)
+    return _CODERS[path]
 
 
 def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
@@ -76,11 +118,11 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
     cut = 4 * capacity
 
     def run(batches):
-        coder, seen, task = TokenBytes(path), Counter(), TaskContext.get().partitionId()
+        own, seen, task = coder(path), Counter(), TaskContext.get().partitionId()
         for batch in batches:
             ids = batch.column(0).to_pylist()
             rows = []
-            for key, tokens in zip(ids, coder.encode(batch.column(1).to_pylist())):
+            for key, tokens in zip(ids, own.encode(batch.column(1).to_pylist())):
                 tokens += b"\0\0\0\0"
                 for number, at in enumerate(range(0, len(tokens), cut)):
                     part = tokens[at:at + cut]
