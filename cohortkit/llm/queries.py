@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import bottomk, decontaminate, langid, packing, risk, toxicity, urls
+from cohortkit.llm import bottomk, decontaminate, langid, packing, risk, surrogates, toxicity, urls
 from cohortkit.llm.common import crc_fold, prepare, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,9 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = spark.createDataFrame(list(urls.LABELLED), "url string, label int")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages, urls.train(labelled)).select("page_id", "host", "path", "rule", "verdict")
+
+
+@_query("op2_surrogates")
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, _ = surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "text", F.col("_replaced").alias("n_replaced"))
