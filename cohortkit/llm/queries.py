@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import bottomk, decontaminate, langid, packing, risk, surrogates, toxicity, urls
+from cohortkit.llm import bottomk, decontaminate, langid, packing, render, risk, surrogates, toxicity, urls
 from cohortkit.llm.common import crc_fold, prepare, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,9 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, _ = surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "text", F.col("_replaced").alias("n_replaced"))
+
+
+@_query("op5_render_html")
+def op5_render_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").cast("binary").alias("html"))
+    return render.rendered(pages).select("page_id", "text")
