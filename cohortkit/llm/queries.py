@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import bottomk, decontaminate, langid, packing, render, risk, surrogates, toxicity, urls
+from cohortkit.llm import bottomk, decontaminate, langid, packing, render, risk, suffixdedup, surrogates, toxicity, urls
 from cohortkit.llm.common import crc_fold, prepare, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,40 @@ def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_render_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").cast("binary").alias("html"))
     return render.rendered(pages).select("page_id", "text")
+
+
+OP10_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents
+), pos AS (
+  SELECT r, doc_id, p, substr(h, 2 * p + 1, 200) AS g
+  FROM (SELECT r, doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS p FROM doc WHERE length(h) >= 200)
+), hashed AS MATERIALIZED (SELECT r, doc_id, p, md5(g) AS g FROM pos),
+earliest AS (SELECT g, min(struct_pack(doc_id := doc_id, p := p)) AS f FROM hashed GROUP BY g HAVING count(*) > 1),
+late AS (
+  SELECT r, p FROM hashed JOIN earliest USING (g) WHERE hashed.doc_id > f.doc_id OR (hashed.doc_id = f.doc_id AND p > f.p)
+), edged AS (
+  SELECT r, p, max(p) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS q FROM late
+), span AS (
+  SELECT r, min(p) AS a, max(p) + 100 AS b FROM (
+    SELECT r, p, sum(CASE WHEN q IS NULL OR p > q + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS s FROM edged
+  ) GROUP BY r, s
+), gap AS (
+  SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM span
+), kept AS (
+  SELECT gap.r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+    string_agg(substr(doc.h, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a) AS h
+  FROM gap JOIN doc USING (r) GROUP BY gap.r
+)
+SELECT doc_id, CAST(length(doc.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(CASE WHEN kept.r IS NULL THEN unhex(doc.h)
+    ELSE unhex(kept.h || substr(doc.h, CAST(2 * last + 1 AS BIGINT))) END) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""
+
+
+@_query("op10_suffix_dedup", OP10_SQL)
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixdedup.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
