@@ -9,8 +9,9 @@
    do not.  ``o`` is exact for sets below ``K``; for larger ones it is
    ``MIN_SHARED``, which a linked pair misses with a chance of about 1e-6.
 3. Each list compares its members with its most central class, whose links
-   already join a group of copies; members that stay in different components
-   are then compared with each other.  No list emits all its pairs.
+   already join most of a group of copies.  Classes that share a list but stay
+   in different components are then joined on their full sets, with exact
+   prefix and position tests inside the join.  No list emits all its pairs.
 4. Union sketches estimate the similarity of a candidate pair, and the full
    shingle sets decide it: ``100 * |A & B| >= 75 * |A | B|``.
 5. Components of the links by alternating star steps.
@@ -107,20 +108,44 @@ def hub_pairs(listed: DataFrame, similar: int = SIMILAR) -> DataFrame:
     return joined.select(F.col("node").alias("u"), "v").distinct()
 
 
-def rest_pairs(listed: DataFrame, roots: DataFrame, tested: DataFrame, similar: int = SIMILAR) -> DataFrame:
-    """(u, v): classes that share a list, lie in different components and were not
-    compared yet; each pair once, under its first common value."""
+def active(listed: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root) of classes that share a list with a class of another component."""
     rows = listed.join(roots, "node", "left").select(
-        F.explode("keys").alias("value"), "node", "n", "keys", F.coalesce("root", "node").alias("root"))
+        F.explode("keys").alias("value"), "node", F.coalesce("root", "node").alias("root"))
     mixed = rows.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")) \
         .filter("lo <> hi AND size > 2").select("value")
-    rows = rows.join(mixed, "value")
-    a = rows.select("value", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "keys", "root")])
-    b = rows.select("value", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "keys", "root")])
-    on = (a["value"] == b["value"]) & (a["a_node"] < b["b_node"]) & (a["a_root"] != b["b_root"]) \
-        & _near_sizes(F.col("a_n"), F.col("b_n"), similar) \
-        & (F.array_min(F.array_intersect("a_keys", "b_keys")) == a["value"])
-    pairs = a.join(b, on).select(F.col("a_node").alias("u"), F.col("b_node").alias("v"))
+    return written(rows.join(mixed, "value").select("node", "root").distinct(), "active")
+
+
+def rest_pairs(sets: DataFrame, tested: DataFrame, similar: int = SIMILAR) -> DataFrame:
+    """(u, v): classes of different components whose full sets may be similar enough and
+    that were not compared yet, from rows (node, root, n, values).
+
+    Full sets are ordered rarest value first.  A linked pair shares a value in
+    the smaller set's first ``n - ceil(2t / (1 + t) * n) + 1`` and the larger one's first
+    ``n - ceil(t * n) + 1``, and after their first common value enough values must
+    be left on both sides; both tests are exact and stand in the join, so a
+    group of texts that differ from each other by more yields no rows.
+    """
+    single = sets.select("node", F.explode("values").alias("value"))
+    shared = single.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
+    ranked = single.join(shared, "value").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("df", "value"))).alias("ranked"))  # values of one text
+    rows = ranked.join(sets.select("node", "root", "n"), "node")
+    alone = F.col("n") - F.size("ranked")
+    probe = F.col("n") - F.ceil(F.col("n") * similar / 100) + 1
+    rows = rows.select("node", "root", "n", alone.alias("alone"), F.posexplode(F.slice(
+        "ranked", F.lit(1), F.greatest(F.lit(0), probe - alone).cast("int"))).alias("i", "r")) \
+        .select(F.col("r.value").alias("value"), "node", "root", "n", (F.col("alone") + F.col("i") + 1).alias("at"))
+    rows = written(rows, "prefixes")
+    first = F.col("n") - F.ceil(F.col("n") * (2 * similar) / (100 + similar)) + 1
+    a = rows.filter(F.col("at") <= first).select("value", *[F.col(c).alias(f"a_{c}") for c in ("node", "root", "n", "at")])
+    b = rows.select("value", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "n", "at")])
+    needed = F.ceil((F.col("a_n") + F.col("b_n")) * similar / (100 + similar))
+    on = (a["value"] == b["value"]) & (F.struct("a_n", "a_node") < F.struct("b_n", "b_node")) \
+        & (F.col("a_root") != F.col("b_root")) & _near_sizes(F.col("a_n"), F.col("b_n"), similar) \
+        & (F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at")) + 1 >= needed)
+    pairs = a.join(b, on).select(F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v")).distinct()
     done = tested.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     return pairs.join(done, ["u", "v"], "left_anti")
 
@@ -134,34 +159,51 @@ def estimated(pairs: DataFrame, found: DataFrame, k: int = K, similar: int = SIM
     return both.filter(share >= similar / 100 - EST_MARGIN).select("u", "v")
 
 
-def verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-             width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
+def texts_of(nodes: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(node, digest, text) of the given nodes, as a written table."""
+    ends = found.select("node", "doc_id", "digest").join(nodes.select("node").distinct(), "node")
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    return written(texts.join(ends, "doc_id").select("node", "digest", "text"), "texts")
+
+
+def _full_set(shingle: Shingler, body: bytes | None, digest: bytes):
+    """The class's set; None for another text that came along with a repeated id."""
+    made = shingle(body)
+    return made if xxhash.xxh3_128_digest(made.tobytes()) == digest else None
+
+
+def full_sets(texts: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(node, n, values) of written texts."""
+    def run(batches):
+        shingle = Shingler(width)
+        for batch in batches:
+            sets = {}
+            for node, digest, body in zip(*(c.to_pylist() for c in batch.columns)):
+                made = _full_set(shingle, body, digest)
+                if made is not None:
+                    sets[node] = made
+            yield pa.RecordBatch.from_arrays([
+                pa.array(list(sets), pa.int64()), pa.array([len(s) for s in sets.values()], pa.int64()),
+                pa.array(list(sets.values()), pa.list_(pa.int64()))], names=["node", "n", "values"])
+
+    return texts.mapInArrow(run, "node bigint, n bigint, values array<bigint>").dropDuplicates(["node"])
+
+
+def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
     """The pairs (u, v) linked by their full shingle sets."""
-    pairs = written(pairs, "candidates")
-    ends = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    ends = found.select("node", "doc_id", "digest").join(ends, "node")
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text")) \
-        .join(ends, "doc_id").select("node", "digest", "text")
-    texts = written(texts, "texts")
     u = texts.select(F.col("node").alias("u"), F.col("digest").alias("u_digest"), F.col("text").alias("u_text"))
     v = texts.select(F.col("node").alias("v"), F.col("digest").alias("v_digest"), F.col("text").alias("v_text"))
     both = pairs.join(u, "u").join(v, "v").select("u", "v", "u_digest", "v_digest", "u_text", "v_text")
 
     def run(batches):
         shingle, last, held = Shingler(width), None, None
-
-        def full(body, digest):
-            made = shingle(body)
-            # a repeated id brings other texts along: only the class's own set counts
-            return made if xxhash.xxh3_128_digest(made.tobytes()) == digest else None
-
         for batch in batches:
             us, vs, ud, vd, ut, vt = (c.to_pylist() for c in batch.columns)
             keep = []
             for i in range(len(us)):
                 if last != (vs[i], vt[i]):
-                    held, last = full(vt[i], vd[i]), (vs[i], vt[i])
-                own = full(ut[i], ud[i])
+                    held, last = _full_set(shingle, vt[i], vd[i]), (vs[i], vt[i])
+                own = _full_set(shingle, ut[i], ud[i])
                 if own is None or held is None:
                     continue
                 both = overlap(own, held)
@@ -180,12 +222,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = sketches(docs, doc_id, text, k, width)
     found = classes(rows)
     listed = index(found, k, similar=similar)
-    hubs = hub_pairs(listed, similar)
-    tested = written(estimated(hubs, found, k, similar), "hub-pairs")
-    links = verified(tested, found, docs, doc_id, text, width, similar)
+    tested = written(estimated(hub_pairs(listed, similar), found, k, similar), "hub-pairs")
+    ends = tested.select(F.col("u").alias("node")).union(tested.select(F.col("v").alias("node")))
+    links = verified(tested, texts_of(ends, found, docs, doc_id, text), width, similar)
     roots = written(components(links), "roots")
-    rest = estimated(rest_pairs(listed, roots, hubs, similar), found, k, similar)
-    more = verified(rest, found, docs, doc_id, text, width, similar)
+    open_ = active(listed, roots)
+    texts = texts_of(open_, found, docs, doc_id, text)
+    sets = written(full_sets(texts, width).join(open_, "node"), "full-sets")
+    more = verified(written(rest_pairs(sets, tested, similar), "rest-pairs"), texts, width, similar)
     links = links.union(more)
     roots = components(links) if more.take(1) else roots
     ends = links.select(F.col("u").alias("node")).union(links.select(F.col("v").alias("node")))
