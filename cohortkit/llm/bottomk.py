@@ -28,7 +28,7 @@ import math
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.llm.common import written
@@ -244,3 +244,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return out.select("doc_id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without near-duplicates: the row with the smallest id of each component
+    stays, one of equal rows that repeat an id, and every row without an id."""
+    kept = near_duplicates(docs, doc_id, text).filter("kept AND doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("_id")).distinct()
+    rows = docs.join(kept, docs[doc_id] == kept["_id"]).withColumn("_h", F.xxhash64(text))
+    once = Window.partitionBy("_id", "_h").orderBy("_h")
+    rows = rows.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select(*docs.columns)
+    return rows.union(docs.filter(F.col(doc_id).isNull()))
