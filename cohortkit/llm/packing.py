@@ -19,6 +19,7 @@ repeated documents are packed once per row; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -197,22 +198,30 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, epsilon: float =
             taken[key] = taken.get(key, 0.0) + step
             covered[index] += step * count
             log_price[index] -= epsilon * step * count / demand[index]
-        least = max(float(covered.max() and (covered / demand).max()), 1.0)
-        left = dict(need)
-        # scaled so that no length is covered beyond its demand, then rounded down
-        for key, amount in sorted(taken.items(), key=lambda kv: -kv[1]):
-            whole = min([int(amount / least + 1e-9), *(left[k] // c for k, c in key)])
-            if whole > 0:
-                parts.append(key)
-                copies.append(whole)
-                for k, c in key:
-                    left[k] -= whole * c
-        for key, amount in _best_fit({k: v for k, v in left.items() if v}, capacity).items():
-            parts.append(key)
-            copies.append(amount)
+        most = max(float((covered / demand).max()), 1.0)
+        # few pieces may be packed better by best fit alone
+        best = min((_rounded(taken, scale, need, capacity) for scale in (most, (1 + most) / 2, 1.0, math.inf)),
+                   key=lambda found: sum(found.values()))
+        parts += best
+        copies += best.values()
     return Plan(parts, copies)
 
 
+def _rounded(taken: dict[tuple, float], scale: float, need: dict[int, int], capacity: int) -> dict[tuple, int]:
+    """Configurations by whole copies of the scaled solution, as far as pieces are
+    left, and best fit for the rest."""
+    left = dict(need)
+    out: Counter = Counter()
+    for key, amount in sorted(taken.items(), key=lambda kv: -kv[1]):
+        whole = min([int(amount / scale + 1e-9), *(left[k] // c for k, c in key)])
+        if whole > 0:
+            out[key] += whole
+            for k, c in key:
+                left[k] -= whole * c
+    out.update(_best_fit({k: v for k, v in left.items() if v}, capacity))
+    return out
+
+
 def _best_fit(left: dict[int, int], capacity: int) -> dict[tuple, int]:
     """Best fit on a histogram: open a sequence with the longest piece left, then
     keep adding the longest piece that fits; equal sequences are filled at once."""

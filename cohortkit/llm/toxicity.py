@@ -182,6 +182,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
             pa.array([model.weight.tolist()], pa.list_(pa.float64()))], names=["bias", "buckets", "weights"])
 
     fitted = rows.repartition(1).mapInArrow(run, "bias double, buckets array<bigint>, weights array<double>").collect()
+    if not fitted:  # no labelled id is among the documents
+        return fit([], [])
     row = fitted[0]
     return Model(row.bias, np.array(row.buckets, np.int64), np.array(row.weights, float))
 

@@ -63,6 +63,7 @@ LABELLED = (
     ("http://cheap-loans.example.net/fr/71", 1),
     ("http://blog.casino-tips.example.com/en/5", 1),
     ("https://blog.adult-stories.example.net/en/44", 1),
+    ("", 0),
     ("https://www.citylibrary.example.org/en/10", 0),
     ("http://blog.gardening.example.net/en/503", 0),
     ("https://university.example.org/fr/825", 0),

@@ -1,0 +1,59 @@
+import html
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cohortkit.llm import render as R
+
+CASES = [
+    ("<title>x</title><p>Hi <b>there<p>two", "Hi there\n\ntwo"),
+    ("<ul><li>a<li>b<ol><li>x<li>y</ol></ul>z", "- a\n- b\n  1. x\n  2. y\n\nz"),
+    ("<table><tr><th>Name<th>Qty<tr><td>apple<td>12<tr><td>fig<td>3</table>", "Name   Qty\napple  12\nfig    3"),
+    ("<table><tr><td rowspan=2>r<td>1<tr><td>2</table>", "r  1\n   2"),
+    ("<pre>\n a\n   b</pre>c", " a\n   b\n\nc"),
+    ("<div style='display: none'>no</div><p hidden>no</p>a&amp;b<br>c", "a&b\nc"),
+    ("<style>.x, #y{display:none}</style><i class='k x'>no</i><i id=y>no</i>ok", "ok"),
+    ("<details><summary>S</summary>hid</details><dialog>no</dialog>", "S"),
+    ("a<script>if (a<b) '</p>'</script>b<!-- c -->d<noscript>n</noscript>", "abd"),
+    ("<dl><dt>t<dd>d</dl>", "t\n  d"),
+    ("<p>a</p><p>b</p>\n<div>c</div><div>d</div>", "a\n\nb\n\nc\nd"),
+    ("<a title='>'>x</a> <b>y</i></b>", "x y"),
+    ("", ""), (None, None), ("<", "<"), ("a < b", "a < b"), ("<p", "<p"), ("</p>x", "x"), ("<a 'x", "<a 'x"),
+]
+
+
+@pytest.mark.parametrize("page,text", CASES)
+def test_cases(page, text):
+    assert R.render(page) == text
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<ul>", "<li>", "</ul>", "<table>", "<tr>", "<td colspan=3>", "<td rowspan=9>", "</table>", "<b>", "</b>",
+                                 "<pre>", "</pre>", "x", " y\n", "<div>", "</div>", "<br>", "<select><option>", "<h1>", "&lt;", "<!--", "-->", "<textarea>"]), max_size=25))
+def test_broken_markup_never_fails_or_invents_text(parts):
+    text = R.render("".join(parts))
+    assert isinstance(text, str) and text.count("x") <= "".join(parts).count("x")
+
+
+def test_visible_words_are_all_there():
+    body = "".join(f"<div><p>w{i}<ul><li>l{i}</ul><table><tr><td>c{i}<td>d{i}</table></div>" for i in range(50))
+    page = f"<html><head><title>t</title></head><body>{body}</body></html>"
+    words = html.unescape(re.sub(r"<[^>]*>", " ", body)).split()
+    assert [w for w in R.render(page).split() if w != "-"] == words
+
+
+def test_deep_and_long_pages():
+    assert R.render("<div>" * 50_000 + "deep" + "</div>" * 50_000) == "deep"
+    assert R.render("<a " * 50_000).startswith("<a")
+    assert len(R.render("<p>" + "word " * 200_000)) == 999_999
+    assert R.render("<table>" * 3_000 + "x").strip() == "x"
+
+
+def test_rows(spark):
+    rows = [(1, "<p>a", "clash"), (1, "<p>a", "clash"), (None, None, "clash"), (2, "", "clash")]
+    df = spark.createDataFrame(rows, "page_id long, html string, text string")
+    got = sorted(((r.page_id, r.text) for r in R.rendered(df).collect()), key=repr)
+    assert got == sorted([(1, "a"), (1, "a"), (None, None), (2, "")], key=repr)
+    assert R.rendered(df.limit(0)).count() == 0
