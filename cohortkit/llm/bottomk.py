@@ -24,7 +24,10 @@ component and is kept; rows that repeat an id are separate documents.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -39,6 +42,7 @@ K = 48
 MIN_SHARED = 20
 WIDTH = 5
 SIMILAR = 75  # percent
+BITMAP = 1024  # bits of a full set's bitmap
 # the estimate's standard error at the threshold is 0.0625 for K = 48
 EST_MARGIN = 0.3
 
@@ -119,32 +123,41 @@ def active(listed: DataFrame, roots: DataFrame) -> DataFrame:
 
 def rest_pairs(sets: DataFrame, tested: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """(u, v): classes of different components whose full sets may be similar enough and
-    that were not compared yet, from rows (node, root, n, values).
+    that were not compared yet, from rows (node, root, n, values, bits).
 
     Full sets are ordered rarest value first.  A linked pair shares a value in
     the smaller set's first ``n - ceil(2t / (1 + t) * n) + 1`` and the larger one's first
-    ``n - ceil(t * n) + 1``, and after their first common value enough values must
-    be left on both sides; both tests are exact and stand in the join, so a
-    group of texts that differ from each other by more yields no rows.
+    ``n - ceil(t * n) + 1``; after their first common value enough values must be
+    left on both sides; and a bit of one set's bitmap that the other's lacks is
+    a value outside the intersection.  All three tests are exact and stand in the
+    join, so a group of texts that differ from each other by more yields few rows.
     """
     single = sets.select("node", F.explode("values").alias("value"))
     shared = single.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
     ranked = single.join(shared, "value").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("df", "value"))).alias("ranked"))  # values of one text
-    rows = ranked.join(sets.select("node", "root", "n"), "node")
+    rows = ranked.join(sets.select("node", "root", "n", "bits"), "node")
     alone = F.col("n") - F.size("ranked")
     probe = F.col("n") - F.ceil(F.col("n") * similar / 100) + 1
-    rows = rows.select("node", "root", "n", alone.alias("alone"), F.posexplode(F.slice(
+    rows = rows.select("node", "root", "n", "bits", alone.alias("alone"), F.posexplode(F.slice(
         "ranked", F.lit(1), F.greatest(F.lit(0), probe - alone).cast("int"))).alias("i", "r")) \
-        .select(F.col("r.value").alias("value"), "node", "root", "n", (F.col("alone") + F.col("i") + 1).alias("at"))
+        .select(F.col("r.value").alias("value"), "node", "root", "n", "bits", (F.col("alone") + F.col("i") + 1).alias("at"))
     rows = written(rows, "prefixes")
     first = F.col("n") - F.ceil(F.col("n") * (2 * similar) / (100 + similar)) + 1
-    a = rows.filter(F.col("at") <= first).select("value", *[F.col(c).alias(f"a_{c}") for c in ("node", "root", "n", "at")])
-    b = rows.select("value", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "n", "at")])
+    names = ("node", "root", "n", "at", "bits")
+    a = rows.filter(F.col("at") <= first).select("value", *[F.col(c).alias(f"a_{c}") for c in names])
+    b = rows.select("value", *[F.col(c).alias(f"b_{c}") for c in names])
+
+    def lacking(x: str, y: str):
+        """Bits of ``x`` that ``y`` has not."""
+        words = [F.bit_count(F.get(x, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(y, F.lit(i))))) for i in range(BITMAP // 64)]
+        return reduce(add, words)
+
     needed = F.ceil((F.col("a_n") + F.col("b_n")) * similar / (100 + similar))
     on = (a["value"] == b["value"]) & (F.struct("a_n", "a_node") < F.struct("b_n", "b_node")) \
         & (F.col("a_root") != F.col("b_root")) & _near_sizes(F.col("a_n"), F.col("b_n"), similar) \
-        & (F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at")) + 1 >= needed)
+        & (F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at")) + 1 >= needed) \
+        & (F.col("a_n") - lacking("a_bits", "b_bits") >= needed) & (F.col("b_n") - lacking("b_bits", "a_bits") >= needed)
     pairs = a.join(b, on).select(F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v")).distinct()
     done = tested.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     return pairs.join(done, ["u", "v"], "left_anti")
@@ -172,8 +185,14 @@ def _full_set(shingle: Shingler, body: bytes | None, digest: bytes):
     return made if xxhash.xxh3_128_digest(made.tobytes()) == digest else None
 
 
+def _bitmap(values: np.ndarray) -> np.ndarray:
+    bits = np.zeros(BITMAP, np.uint8)
+    bits[(values >> 7) & (BITMAP - 1)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def full_sets(texts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(node, n, values) of written texts."""
+    """(node, n, values, bits) of written texts; ``bits`` is the set's bitmap as longs."""
     def run(batches):
         shingle = Shingler(width)
         for batch in batches:
@@ -184,9 +203,10 @@ def full_sets(texts: DataFrame, width: int = WIDTH) -> DataFrame:
                     sets[node] = made
             yield pa.RecordBatch.from_arrays([
                 pa.array(list(sets), pa.int64()), pa.array([len(s) for s in sets.values()], pa.int64()),
-                pa.array(list(sets.values()), pa.list_(pa.int64()))], names=["node", "n", "values"])
+                pa.array(list(sets.values()), pa.list_(pa.int64())),
+                pa.array([_bitmap(s) for s in sets.values()], pa.list_(pa.int64()))], names=["node", "n", "values", "bits"])
 
-    return texts.mapInArrow(run, "node bigint, n bigint, values array<bigint>").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node bigint, n bigint, values array<bigint>, bits array<bigint>").dropDuplicates(["node"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
@@ -250,8 +270,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """``docs`` without near-duplicates: the row with the smallest id of each component
     stays, one of equal rows that repeat an id, and every row without an id."""
     kept = near_duplicates(docs, doc_id, text).filter("kept AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_id")).distinct()
-    rows = docs.join(kept, docs[doc_id] == kept["_id"]).withColumn("_h", F.xxhash64(text))
-    once = Window.partitionBy("_id", "_h").orderBy("_h")
-    rows = rows.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select(*docs.columns)
+        F.col("doc_id").alias("__ck_id")).distinct()
+    rows = docs.join(kept, docs[doc_id] == kept["__ck_id"]).withColumn("__ck_h", F.xxhash64(text))
+    once = Window.partitionBy("__ck_id", "__ck_h").orderBy("__ck_h")
+    rows = rows.withColumn("__ck_n", F.row_number().over(once)).filter("__ck_n = 1").select(*docs.columns)
     return rows.union(docs.filter(F.col(doc_id).isNull()))

@@ -1,4 +1,8 @@
-"""Helpers shared by the corpus operators."""
+"""Helpers shared by the corpus operators.
+
+Columns that operators add to a caller's rows while they work are named
+``__ck_...``; these names are reserved, any other column may be there already.
+"""
 
 from __future__ import annotations
 
@@ -15,6 +19,7 @@ from cohortkit.session import ensure_checkpoint_dir
 # Rows of one Arrow batch: whole documents of tens of kilobytes have to fit
 # into a Python worker several times over.
 BATCH_ROWS = 512
+BATCH_BYTES = 32 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def prepare(spark: SparkSession) -> None:
     """Bound the Arrow batches of the session's Python operators."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -215,11 +215,11 @@ SPANS = T.ArrayType(T.ArrayType(T.IntegerType()))
 
 def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
          item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` plus ``_words`` (count), ``_spans`` (hit word ranges) and ``_items``
+    """``docs`` plus ``__ck_words`` (count), ``__ck_spans`` (hit word ranges) and ``__ck_items``
     (ids of occurring items, sorted as strings)."""
     fields = docs.schema.fields
-    schema = T.StructType([*fields, T.StructField("_words", T.LongType()), T.StructField("_spans", SPANS),
-                           T.StructField("_items", T.ArrayType(T.StringType()))])
+    schema = T.StructType([*fields, T.StructField("__ck_words", T.LongType()), T.StructField("__ck_spans", SPANS),
+                           T.StructField("__ck_items", T.ArrayType(T.StringType()))])
     out = arrow_schema(schema)
     at = docs.columns.index(text)
     width = len(fields)
@@ -262,11 +262,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     found = scan(docs.select(doc_id, F.col(text).cast("binary").alias("_text")), benchmark, "_text", window=window)
     return found.select(
         doc_id,
-        F.col("_words").alias("n_words"),
-        F.aggregate("_spans", F.lit(0).cast("long"), lambda acc, s: acc + (s[1] - s[0])).alias("n_hit"),
-        F.size("_items").cast("long").alias("n_items"),
-        F.col("_items").alias("items"),
-        F.col("_spans").alias("spans"),
+        F.col("__ck_words").alias("n_words"),
+        F.aggregate("__ck_spans", F.lit(0).cast("long"), lambda acc, s: acc + (s[1] - s[0])).alias("n_hit"),
+        F.size("__ck_items").cast("long").alias("n_items"),
+        F.col("__ck_items").alias("items"),
+        F.col("__ck_spans").alias("spans"),
     )
 
 
@@ -287,8 +287,8 @@ def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: in
     the text; a document whose hit words exceed ``max_coverage`` of its words
     goes as a whole.  Clean rows come back unchanged."""
     found = scan(docs, benchmark, text, window=window)
-    hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda acc, s: acc + (s[1] - s[0]))
-    found = found.filter(~(hit > F.col("_words") * F.lit(max_coverage)))
+    hit = F.aggregate("__ck_spans", F.lit(0).cast("long"), lambda acc, s: acc + (s[1] - s[0]))
+    found = found.filter(~(hit > F.col("__ck_words") * F.lit(max_coverage)))
     schema = docs.schema
     out = arrow_schema(schema)
     at, width = docs.columns.index(text), len(docs.columns)

@@ -143,7 +143,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_surrogates")
 def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, _ = surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return docs.select("doc_id", "text", F.col("_replaced").alias("n_replaced"))
+    return docs.select("doc_id", "text", F.col("__ck_replaced").alias("n_replaced"))
 
 
 @_query("op5_render_html")

@@ -222,11 +222,11 @@ def _rendered(kind: Column, raw: Column, surrogate: Column) -> Column:
 
 
 def replace(docs: DataFrame, key: str = KEY, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``docs`` with entities replaced and ``_replaced`` (their number), and the
+    """``docs`` with entities replaced and ``__ck_replaced`` (their number), and the
     surrogate table (type, canon, surrogate, draw)."""
-    keys = ["_id", "_digest"]
+    keys = ["__ck_id", "__ck_digest"]
     has = F.coalesce(F.col(text).rlike(SIGN) & F.col(text).rlike(ANY), F.lit(False))
-    marked = docs.withColumns({"_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "_digest": F.xxhash64(text)})
+    marked = docs.withColumns({"__ck_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "__ck_digest": F.xxhash64(text)})
     hits = marked.filter(has)
     found = written(occurrences(hits, keys, text), "occurrences").distinct()
     table = written(assign(found.filter("type <> 'keep'"), key), "surrogates")
@@ -235,12 +235,12 @@ def replace(docs: DataFrame, key: str = KEY, doc_id: str = "doc_id", text: str =
         "i", _rendered(F.col("type"), F.col("raw"), F.col("surrogate")).alias("out")))), lambda t: t["out"]), " ").alias("out"))
     # an array per text, of its own entities
     per_text = whole.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "out"))), lambda p: p["out"])
-                                        .alias("_new"))
+                                        .alias("__ck_new"))
     parts = F.split(F.col(text), ANY, -1)
-    rebuilt = hits.join(per_text, keys).withColumn("_parts", parts)
+    rebuilt = hits.join(per_text, keys).withColumn("__ck_parts", parts)
     rebuilt = rebuilt.withColumn(text, F.array_join(F.flatten(F.zip_with(
-        "_parts", "_new", lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))), "")) \
-        .withColumn("_replaced", F.size("_new").cast("long"))
+        "__ck_parts", "__ck_new", lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))), "")) \
+        .withColumn("__ck_replaced", F.size("__ck_new").cast("long"))
     columns = docs.columns
-    clean = docs.filter(~has).withColumn("_replaced", F.lit(0).cast("long"))
-    return rebuilt.select(*columns, "_replaced").union(clean.select(*columns, "_replaced")), table
+    clean = docs.filter(~has).withColumn("__ck_replaced", F.lit(0).cast("long"))
+    return rebuilt.select(*columns, "__ck_replaced").union(clean.select(*columns, "__ck_replaced")), table

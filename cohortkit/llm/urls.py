@@ -132,12 +132,12 @@ def _grams(part: str, chars: str, n: int) -> Column:
 
 
 def with_features(rows: DataFrame, url: str = "url") -> DataFrame:
-    """``rows`` plus ``host``, ``path`` and ``_grams`` (distinct buckets)."""
+    """``rows`` plus ``host``, ``path`` and ``__ck_grams`` (distinct buckets)."""
     host, path = host_and_path(F.col(url))
     rows = rows.withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))})
-    rows = rows.withColumns({"_h": _chars("host"), "_p": _chars("path")})
-    grams = [_grams(part, chars, n) for part, chars in (("h", "_h"), ("p", "_p")) for n in ORDERS]
-    return rows.withColumn("_grams", F.array_distinct(F.flatten(F.array(*grams)))).drop("_h", "_p")
+    rows = rows.withColumns({"__ck_h": _chars("host"), "__ck_p": _chars("path")})
+    grams = [_grams(part, chars, n) for part, chars in (("h", "__ck_h"), ("p", "__ck_p")) for n in ORDERS]
+    return rows.withColumn("__ck_grams", F.array_distinct(F.flatten(F.array(*grams)))).drop("__ck_h", "__ck_p")
 
 
 @dataclass(frozen=True)
@@ -155,13 +155,13 @@ class Model:
 def train(labelled: DataFrame, url: str = "url", label: str = "label") -> Model:
     """Logistic regression on the labelled URLs (label 1: block)."""
     rows = with_features(labelled.filter(F.col(label).isin(0, 1)).select(
-        F.col(url).alias("url"), F.col(label).cast("double").alias("y"))).select("url", "y", "_grams")
+        F.col(url).alias("url"), F.col(label).cast("double").alias("y"))).select("url", "y", "__ck_grams")
     size = rows.count()
     if size > MAX_LABELLED:
         raise ValueError(f"{size} labelled URLs; this trainer takes {MAX_LABELLED}")
     if not size:
         return Model(-1.0, {})
-    one = rows.agg(F.array_sort(F.collect_list(F.struct("url", "y", F.col("_grams").alias("x")))).alias("rows"))
+    one = rows.agg(F.array_sort(F.collect_list(F.struct("url", "y", F.col("__ck_grams").alias("x")))).alias("rows"))
     norm = lambda r: F.sqrt(F.greatest(F.size(r["x"]), F.lit(1)).cast("double"))
     one = one.select("rows", F.transform("rows", lambda a: F.transform("rows", lambda b: F.size(
         F.array_intersect(a["x"], b["x"])) / (norm(a) * norm(b)))).alias("gram"))
@@ -195,7 +195,7 @@ def judge(pages: DataFrame, model: Model, url: str = "url", rules=RULES) -> Data
     """``pages`` plus ``host``, ``path``, ``rule``, ``verdict`` (same-named columns are replaced)."""
     rows = with_features(pages, url)
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": rule, "_ruled": verdict})
-    learnt = F.when(model.margin(F.col("_grams")) >= 0, "block").otherwise("allow")
-    return rows.withColumn("verdict", F.when(F.col("_ruled").isNotNull(), F.col("_ruled")).otherwise(learnt)) \
-        .drop("_ruled", "_grams")
+    rows = rows.withColumns({"rule": rule, "__ck_ruled": verdict})
+    learnt = F.when(model.margin(F.col("__ck_grams")) >= 0, "block").otherwise("allow")
+    return rows.withColumn("verdict", F.when(F.col("__ck_ruled").isNotNull(), F.col("__ck_ruled")).otherwise(learnt)) \
+        .drop("__ck_ruled", "__ck_grams")

@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject (score below 0.5)."""
     prepare(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, name="_toxicity").filter(F.col("_toxicity") < 0.5).drop("_toxicity")
+    return toxicity.score(docs, model, name="__ck_toxicity").filter(F.col("__ck_toxicity") < 0.5).drop("__ck_toxicity")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates in place of personal data."""
     prepare(spark)
-    return _with_length(surrogates.replace(docs)[0].drop("_replaced"))
+    return _with_length(surrogates.replace(docs)[0].drop("__ck_replaced"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,7 +54,7 @@ def test_matches_brute_force(spark, seed, block):
     d = spark.createDataFrame([(k, t, "clash") for k, t in docs], DOCS)
     b = spark.createDataFrame(items, ITEMS)
     found = D.scan(d.select("doc_id", "text"), b, block_words=block).collect()
-    got = sorted(((r.doc_id, r._words, sum(e - s for s, e in r._spans), len(r._items), list(r._items)) for r in found), key=repr)
+    got = sorted(((r.doc_id, r['__ck_words'], sum(e - s for s, e in r['__ck_spans']), len(r['__ck_items']), list(r['__ck_items'])) for r in found), key=repr)
     assert got == brute(docs, items)
     if block > 100:
         assert result(D.contamination(d, b)) == brute(docs, items)

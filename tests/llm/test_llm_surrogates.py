@@ -38,7 +38,7 @@ def test_types_formats_and_coreference(spark):
     assert m[1].endswith(("na", "lia", "sa", "rine")) and re.fullmatch("[А-Яа-я]+", m[6])
     assert re.fullmatch(r'token = "[0-9a-f]{40}"', out[4].text) and out[4].text != texts[4]
     assert [out[i].text for i in (5, 6, 7)] == texts[5:8]
-    assert [out[i]._replaced for i in (0, 5, 7)] == [2, 0, 0]
+    assert [out[i]["__ck_replaced"] for i in (0, 5, 7)] == [2, 0, 0]
     assert len({(r.type, r.surrogate) for r in table}) == len(table) == len({(r.type, r.canon) for r in table})
     again, _ = run(spark, texts)
     assert {k: r.text for k, r in again.items()} == {k: r.text for k, r in out.items()}
@@ -64,5 +64,5 @@ def test_repeated_and_null_ids_and_empty(spark):
     one = {r.text for r in got if r.text and " and " not in r.text}
     assert len(got) == 5 and len(one) == 1
     assert [r.text.startswith(one.copy().pop()) for r in got if r.text and " and " in r.text] == [True]
-    assert docs.columns == ["doc_id", "text", "_x", "_replaced"]
+    assert docs.columns == ["doc_id", "text", "_x", "__ck_replaced"]
     assert S.replace(spark.createDataFrame([], SCHEMA))[0].count() == 0

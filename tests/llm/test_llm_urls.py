@@ -57,7 +57,7 @@ def test_rules_and_parts_match_brute_force(spark, model):
 def test_model_is_the_logistic_regression_of_its_table(spark, model):
     labelled = spark.createDataFrame(list(urls.LABELLED), "url string, label int")
     rows = urls.with_features(labelled).collect()
-    x = [(set(r._grams), r.label) for r in rows]
+    x = [(set(r["__ck_grams"]), r.label) for r in rows]
     w, b, n = {}, 0.0, len(x)
     for _ in range(urls.STEPS):
         res = []
@@ -71,7 +71,7 @@ def test_model_is_the_logistic_regression_of_its_table(spark, model):
         b -= urls.RATE * sum(res) / n
     assert model.bias == pytest.approx(b, abs=1e-6)
     assert model.weights == pytest.approx(w, abs=1e-6)
-    scored = urls.with_features(labelled).select("label", (model.margin(F.col("_grams")) >= 0).alias("hit")).collect()
+    scored = urls.with_features(labelled).select("label", (model.margin(F.col("__ck_grams")) >= 0).alias("hit")).collect()
     assert all(r.hit == (r.label == 1) for r in scored)
 
 
