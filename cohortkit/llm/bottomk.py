@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import written
+from cohortkit.llm.common import worker_state, written
 from cohortkit.llm.components import components
 from cohortkit.llm.shingles import Shingler, overlap
 
@@ -47,13 +47,17 @@ BITMAP = 1024  # bits of a full set's bitmap
 EST_MARGIN = 0.3
 
 
+def _shingler(width: int) -> Shingler:
+    return worker_state(f"shingles {width}", lambda: Shingler(width))
+
+
 def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, width: int = WIDTH) -> DataFrame:
     """Per row: ``doc_id``, ``n`` (set size), ``digest`` of the set, ``sketch`` (``k``
     smallest hashes, ascending) and ``row`` (a number of its own), as a written table."""
     id_type = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
-        shingle, at = Shingler(width), TaskContext.get().partitionId() << 33
+        shingle, at = _shingler(width), TaskContext.get().partitionId() << 33
         for batch in batches:
             sets = [shingle(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([
@@ -194,7 +198,7 @@ def _bitmap(values: np.ndarray) -> np.ndarray:
 def full_sets(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     """(node, n, values, bits) of written texts; ``bits`` is the set's bitmap as longs."""
     def run(batches):
-        shingle = Shingler(width)
+        shingle = _shingler(width)
         for batch in batches:
             sets = {}
             for node, digest, body in zip(*(c.to_pylist() for c in batch.columns)):
@@ -216,7 +220,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similar: in
     both = pairs.join(u, "u").join(v, "v").select("u", "v", "u_digest", "v_digest", "u_text", "v_text")
 
     def run(batches):
-        shingle, last, held = Shingler(width), None, None
+        shingle, last, held = _shingler(width), None, None
         for batch in batches:
             us, vs, ud, vd, ut, vt = (c.to_pylist() for c in batch.columns)
             keep = []

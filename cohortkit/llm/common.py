@@ -22,6 +22,18 @@ BATCH_ROWS = 512
 BATCH_BYTES = 32 * 1024 * 1024
 
 
+_HELD: dict[str, object] = {}
+
+
+def worker_state(owner: str, make):
+    """What a Python worker keeps from task to task for one operator (a cache of words).
+    Asking for another operator's lets it go, so a worker holds one at a time."""
+    if owner not in _HELD:
+        _HELD.clear()
+        _HELD[owner] = make()
+    return _HELD[owner]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
@@ -72,11 +84,11 @@ def with_column(df: DataFrame, source: str, name: str, dtype: T.DataType, fn) ->
     at = names.index(source)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = fn() if getattr(fn, "per_task", False) else fn
+        worker_state("rows", dict)
         for batch in batches:
             texts = [None if t is None else (t.encode() if isinstance(t, str) else bytes(t))
                      for t in batch.column(at).to_pylist()]
-            made = pa.array(call(texts), out.field(len(names)).type)
+            made = pa.array(fn(texts), out.field(len(names)).type)
             columns = [c.cast(f.type) if c.type != f.type else c for c, f in zip(batch.columns, out)]
             yield pa.RecordBatch.from_arrays([*columns, made], schema=out)
 

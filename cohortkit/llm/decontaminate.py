@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.llm.common import arrow_schema, written
+from cohortkit.llm.common import arrow_schema, worker_state, written
 
 WINDOW = 10
 BLOCK_WORDS = 250_000
@@ -230,6 +230,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
         first = len(df.columns) == width
 
         def run(batches):
+            worker_state("rows", dict)
             machine = shared.value
             for batch in batches:
                 counts, spans, items = [], [], []

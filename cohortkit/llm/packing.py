@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.llm.common import written
+from cohortkit.llm.common import worker_state, written
 
 CAPACITY = 2048
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 900_000
+CACHE_WORDS = 700_000
 
 
 # a run of ASCII punctuation that closes a chunk, after an ASCII letter or digit
@@ -99,13 +99,8 @@ class TokenBytes:
         return [b"".join([known[c] for c in chunks]) for chunks in split]
 
 
-_CODERS: dict[str, TokenBytes] = {}  # of this Python worker, for all its tasks
-
-
 def coder(path: str) -> TokenBytes:
-    if path not in _CODERS:
-        _CODERS[path] = TokenBytes(path)
-    return _CODERS[path]
+    return worker_state(f"tokens {path}", lambda: TokenBytes(path))
 
 
 def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,

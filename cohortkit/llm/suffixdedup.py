@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import written
+from cohortkit.llm.common import worker_state, written
 from cohortkit.llm.windows import SPAN, Runs
 
 SIZE = 100
@@ -66,7 +66,7 @@ def _runs(keyed: DataFrame, size: int) -> DataFrame:
     are marked and dealt out at random: they need not meet anyone."""
 
     def run(batches):
-        finder = Runs(size)
+        finder = worker_state(f"runs {size}", lambda: Runs(size))
 
         def found(docs, marks, texts):
             text, start, windows, lead, key, seg = finder(texts)
