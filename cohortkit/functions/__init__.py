@@ -2,10 +2,8 @@ from cohortkit.functions import labels
 from cohortkit.functions.columns import (
     MONEY,
     day_offset,
-    flag,
     in_range,
     is_true,
-    lit_date,
     member_key,
     net_sales,
     positive_amount,
@@ -16,7 +14,7 @@ from cohortkit.functions.columns import (
 )
 
 __all__ = [
-    "MONEY", "day_offset", "flag", "in_range", "is_true", "labels", "lit_date", "member_key",
+    "MONEY", "day_offset", "in_range", "is_true", "labels", "member_key",
     "net_sales", "positive_amount", "registration_rate", "returned_amount", "safe_ratio",
     "upper_like",
 ]

@@ -15,11 +15,6 @@ from pyspark.sql import functions as F
 MONEY = "decimal(18,2)"
 
 
-def lit_date(value: dt.date) -> Column:
-    """A DATE literal; compared with a TIMESTAMP_NTZ it means midnight."""
-    return F.lit(value)
-
-
 def day_offset(anchor: dt.date, days: int) -> Column:
     """``anchor - days`` as a DATE literal (the reference's ``'{}' - 90``)."""
     return F.lit(anchor - dt.timedelta(days=days))
@@ -93,7 +88,3 @@ def ntz_micros(ts: Column) -> Column:
             + F.minute(ts).cast("bigint") * F.lit(60_000_000)
             + (secs * F.lit(1_000_000)).cast("bigint"))
 
-
-def flag(cond: Column) -> Column:
-    """0/1 integer flag of a condition, NULL counted as 0."""
-    return F.when(cond, F.lit(1)).otherwise(F.lit(0))

@@ -7,33 +7,33 @@ neither fans out nor carries the right side's columns.  The left side is reduced
 its distinct output rows *before* the anti join (an anti join only removes
 rows, so the result is the same): the reduction combines map-side, and a
 member with a huge history reaches the join as a few rows, not as its lines.
+Cohorts whose parts come from the order fact alone (A6, A14, A15) read it once:
+the parts travel as bits of one member aggregate.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.functions.columns import in_range, member_key, upper_like
+from cohortkit.functions.columns import in_range, is_true, member_key, upper_like
 from cohortkit.operators.purchases import (
     clean_effective_lines,
+    effective_lines,
     first_code_day,
     first_code_other,
     first_codes,
-    purchase_lines,
 )
 from cohortkit.params import KpiParams
 
 
-def _keys(df: DataFrame, col: str, *, cast: bool = True) -> DataFrame:
-    """Distinct join keys of a member set (integer, or the raw string)."""
-    key = member_key(F.col(col)) if cast else F.col(col)
-    return df.select(key.alias("__key")).where(F.col("__key").isNotNull()).distinct()
+def _keys(df: DataFrame, col: str) -> DataFrame:
+    """Distinct integer join keys of a member set."""
+    return df.select(member_key(F.col(col)).alias("__key")).where(F.col("__key").isNotNull()).distinct()
 
 
-def _anti(left: DataFrame, left_col: str, keys: DataFrame, *, cast: bool = True) -> DataFrame:
-    lk = member_key(F.col(left_col)) if cast else F.col(left_col)
-    return left.join(keys, lk == F.col("__key"), "left_anti")
+def _anti(left: DataFrame, left_col: str, keys: DataFrame) -> DataFrame:
+    return left.join(keys, member_key(F.col(left_col)) == F.col("__key"), "left_anti")
 
 
 def new_member_base(members: DataFrame, p: KpiParams) -> DataFrame:
@@ -63,11 +63,39 @@ def retain_base(orders: DataFrame, p: KpiParams) -> DataFrame:
             .distinct())
 
 
+_EARLY, _RETAINED, _PAID_YTD = 1, 2, 4
+
+
+def _member_bits(orders: DataFrame, p: KpiParams, *group: str) -> DataFrame:
+    """One read of the fact: per (member id, ``group``) what its effective lines prove,
+    as bits.  Members with a long history come down to a few rows map-side."""
+    day, paid = F.col("date_id"), F.col("order_paid_time")
+    clean = is_true(F.col("distributor_name") != p.excluded_distributor)
+    early, retained = clean & (day < F.lit(p.retain_start)), clean & in_range(day, p.retain_start, p.ytd_start)
+    bought = is_true(in_range(paid, p.ytd_start, p.end))
+    bit = lambda cond, value: F.when(cond, F.lit(value)).otherwise(F.lit(0))
+    lines = effective_lines(orders, p).where(F.col("crm_member_id").isNotNull() & (early | retained | bought))
+    return lines.groupBy("crm_member_id", *group).agg(
+        F.bit_or(bit(early, _EARLY) + bit(retained, _RETAINED) + bit(bought, _PAID_YTD)).alias("bits"))
+
+
+def _bit(name: str, value: int):
+    return F.col(name).bitwiseAND(F.lit(value)) != 0
+
+
+def _reactivation(orders: DataFrame, p: KpiParams) -> DataFrame:
+    """(member id, distributor) with an early purchase, the integer key not retained;
+    ``of_id`` has the bits of all distributors of the id."""
+    rows = _member_bits(orders, p, "distributor_name").withColumn("__key", member_key(F.col("crm_member_id")))
+    rows = rows.withColumns({
+        "of_key": F.bit_or("bits").over(Window.partitionBy("__key")),
+        "of_id": F.bit_or("bits").over(Window.partitionBy("__key", "crm_member_id"))})
+    return rows.where(_bit("bits", _EARLY) & ~_bit("of_key", _RETAINED))
+
+
 def reactivate_base(orders: DataFrame, p: KpiParams) -> DataFrame:
     """(member, distributor) who bought before retain_start and are not retained."""
-    early = (clean_effective_lines(orders, p).where(F.col("date_id") < F.lit(p.retain_start))
-             .select("crm_member_id", "distributor_name").distinct())
-    return _anti(early, "crm_member_id", _keys(retain_base(orders, p), "crm_member_id"))
+    return _reactivation(orders, p).select("crm_member_id", "distributor_name")
 
 
 def ytd_first_purchase_base(orders: DataFrame, p: KpiParams) -> DataFrame:
@@ -88,24 +116,11 @@ def other_channel_base(orders: DataFrame, members: DataFrame, p: KpiParams) -> D
     return _anti(first.select("crm_member_id"), "crm_member_id", new)
 
 
-def _ytd_purchasers(orders: DataFrame, p: KpiParams) -> DataFrame:
-    """Raw ids with a purchase (A1) paid in [ytd_start, end)."""
-    bought = purchase_lines(orders, p).where(
-        in_range(F.col("order_paid_time"), p.ytd_start, p.end))
-    return _keys(bought, "crm_member_id", cast=False)
-
-
 def not_retained(orders: DataFrame, p: KpiParams) -> DataFrame:
     """Retained-window buyers with no purchase paid in [ytd_start, end)."""
-    window = (clean_effective_lines(orders, p)
-              .where(in_range(F.col("date_id"), p.retain_start, p.ytd_start))
-              .select("crm_member_id").distinct())
-    return _anti(window, "crm_member_id", _ytd_purchasers(orders, p), cast=False)
+    return _member_bits(orders, p).where(_bit("bits", _RETAINED) & ~_bit("bits", _PAID_YTD)).select("crm_member_id")
 
 
 def not_reactivated(orders: DataFrame, p: KpiParams) -> DataFrame:
     """Reactivation candidates with no purchase paid in [ytd_start, end)."""
-    early = (clean_effective_lines(orders, p).where(F.col("date_id") < F.lit(p.retain_start))
-             .select("crm_member_id", "distributor_name").distinct())
-    kept = _anti(early, "crm_member_id", _keys(retain_base(orders, p), "crm_member_id"))
-    return _anti(kept, "crm_member_id", _ytd_purchasers(orders, p), cast=False)
+    return _reactivation(orders, p).where(~_bit("of_id", _PAID_YTD)).select("crm_member_id", "distributor_name")

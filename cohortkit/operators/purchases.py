@@ -75,15 +75,21 @@ def purchase_hour(paid: Column) -> Column:
     return F.coalesce(days * F.lit(24) + F.hour(paid).cast("bigint"), F.lit(2**62))
 
 
+def second_of_hour(paid: Column) -> Column:
+    """Second within the hour of the paid time, 0 for NULL."""
+    return F.coalesce(F.minute(paid) * F.lit(60) + F.second(paid), F.lit(0))
+
+
 def purchase_rank(orders: DataFrame, p: KpiParams) -> DataFrame:
     """A2: A1 plus ``rk``, the position of each purchase in its member's history.
 
-    Numbered per (member, paid hour) and offset by the member's earlier
-    hours, so a member with a very long history is spread over many tasks;
-    the offset table holds one row per (member, hour).
+    Numbered per (member, paid second) and offset by the hour's earlier seconds
+    and the member's earlier hours, so a member with a very long history, or
+    with a great many purchases in one hour, is spread over many tasks.
     """
+    paid = F.col("order_paid_time")
     return row_number_within(purchase_events(orders, p), ["crm_member_id"], purchase_order(p),
-                             purchase_hour(F.col("order_paid_time")), "rk")
+                             [purchase_hour(paid), second_of_hour(paid)], "rk")
 
 
 def first_purchase_code(paid: Column, channel: Column, p: KpiParams) -> Column:

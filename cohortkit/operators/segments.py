@@ -32,12 +32,13 @@ def period_lines(orders: DataFrame, p: KpiParams) -> DataFrame:
 
 
 def segment_flags(profile: DataFrame) -> DataFrame:
-    """Members whose lines do not fall to the default segments."""
-    return profile.where((F.col("seg_v1") != C[L.YTD_SHOPPER]) | F.col("seg_v2").isNotNull()).select(
+    """Integer keys whose lines do not fall to the default segments, one row each."""
+    return profile.where(F.col("first_of_key")
+                         & ((F.col("seg_v1") != C[L.YTD_SHOPPER]) | F.col("seg_v2").isNotNull())).select(
         KEY, "seg_v1", "seg_v2",
-        F.col("is_retain").alias("retained"),
-        F.col("is_reactivate").alias("reactivated"),
-        F.col("is_other_channel").alias("other_channel"))
+        F.col("key_retain").alias("retained"),
+        F.col("key_reactivate").alias("reactivated"),
+        F.col("key_other").alias("other_channel"))
 
 
 def coded_lines(orders: DataFrame, profile: DataFrame, p: KpiParams) -> tuple[DataFrame, DataFrame]:
@@ -97,15 +98,16 @@ def order_grain(orders: DataFrame, profile: DataFrame, p: KpiParams) -> DataFram
     amt, qty = F.col("order_rrp_amt"), F.col("sales_qty")
     member = F.col("crm_member_id").isNotNull()
     grain = period_lines(orders, p).groupBy(
-        member_key(F.col("crm_member_id")).alias(KEY),
+        "crm_member_id",
         F.when(member, F.col("original_order_id")).alias("original_order_id"),
     ).agg(F.sum(positive_amount(amt, qty)).alias("pos"),
           F.sum(returned_amount(amt, qty)).alias("neg"),
-          F.max(is_true(F.col("if_eff_order_tag"))).alias("eff"))
+          F.max(is_true(F.col("if_eff_order_tag"))).alias("eff")) \
+        .withColumn(KEY, member_key(F.col("crm_member_id")))
     flags = segment_flags(profile).select(KEY, F.col("seg_v1").alias("f1"), F.col("seg_v2").alias("f2"))
-    non_member = F.col(KEY).isNull()
+    non_member = F.col("crm_member_id").isNull()
     return grain.join(flags, on=KEY, how="left").select(
-        KEY, "original_order_id",
+        "crm_member_id", "original_order_id",
         F.when(non_member, F.lit(C[L.NON_MEMBER]))
          .otherwise(F.coalesce(F.col("f1"), F.lit(C[L.YTD_SHOPPER]))).alias("seg_v1"),
         F.when(non_member, F.lit(C[L.NON_MEMBER_V2])).otherwise(F.col("f2")).alias("seg_v2"),

@@ -15,7 +15,7 @@ def traffic_total(store_traffic: DataFrame, p: KpiParams) -> DataFrame:
     labelled as the new-member row (the only row whose rate it feeds)."""
     rows = store_traffic.where(
         (F.col("agg_type") == p.traffic_agg_type)
-        & in_range(F.col("date_id").cast("date"), p.start, p.end)
+        & in_range(F.col("date_id"), p.start, p.end)
         & F.col("distributor").like(p.distributor))
     total = rows.agg(F.sum("traffic_amt").cast("double").alias("traffic"))
     # the labelled row comes out of a generator, so the label stays a join key

@@ -21,6 +21,7 @@ def ytd_lines(orders: DataFrame, p: KpiParams) -> DataFrame:
 
 def ytd_orders(lines: DataFrame, key: str) -> DataFrame:
     """One row per (member, order): is the order effective, and its sales parts.
+    Lines without an order id share one row per member; it is no order.
 
     Grouping on the pair first spreads a member with many orders over all
     tasks; the member-level step that follows combines map-side.
@@ -41,7 +42,7 @@ def ytd_repeat(orders: DataFrame, p: KpiParams) -> DataFrame:
     """
     per_member = ytd_orders(ytd_lines(orders, p), "crm_member_id").groupBy("crm_member_id").agg(
         F.max("eff_order").alias("shopper"),
-        F.count(F.when(F.col("eff_order"), F.lit(1))).alias("orders"),
+        F.count(F.when(F.col("eff_order"), F.col("original_order_id"))).alias("orders"),
         (F.sum("pos") - F.sum("neg")).alias("sales"))
     repeat = F.col("orders") >= 2
     return per_member.where(F.col("shopper")).select(

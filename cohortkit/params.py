@@ -38,6 +38,8 @@ class KpiParams:
             if isinstance(value, str):
                 object.__setattr__(self, name, dt.date.fromisoformat(value))
             elif isinstance(value, dt.datetime):
+                if value.time() != dt.time(0):
+                    raise ValueError(f"{name} must be a day; {value} has a time of day")
                 object.__setattr__(self, name, value.date())
             elif not isinstance(value, dt.date):
                 raise TypeError(f"{name} must be a date, got {type(value).__name__}")

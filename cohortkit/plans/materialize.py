@@ -2,14 +2,15 @@
 
 Catalyst prunes columns per consumer, so a frame read by several consumers
 is planned, scanned and shuffled once per consumer.  The member profile is
-such a frame: it sits on top of the whole purchase history.  Checkpointing it
-to the shared folder named by ``spark.checkpoint.dir`` computes it once and
-cuts the lineage: a lost executor no longer sends the report back to the
-history scan.  The default, ``checkpoint``, is Spark's reliable
-``DataFrame.checkpoint``: it keeps the frame's partitioning on the member key
-and was the fastest here; ``table`` writes parquet and reads it back (column
-pruning on read).  ``localCheckpoint`` is never used: it keeps the data on
-the executors, which may be lost.
+such a frame: it sits on top of the whole purchase history.  Writing it to
+the shared folder named by ``spark.checkpoint.dir`` computes it once and cuts
+the lineage: a lost executor no longer sends the report back to the history
+scan.  The default, ``table``, writes parquet and reads it back: each reader
+scans its own columns and filters on read.  ``checkpoint`` is Spark's reliable
+``DataFrame.checkpoint``: whole rows, no pruning.  Neither keeps a partitioning;
+joins on the member key shuffle both sides.  ``localCheckpoint`` is never used:
+it keeps the data on the executors, which may be lost.  A written table stays
+until :func:`drop` (``WeeklyKpi.release``) removes it.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from cohortkit.session import ensure_checkpoint_dir
 MODES = ("checkpoint", "table", "persist", "none")
 
 
-def materialize(df: DataFrame, name: str, mode: str = "checkpoint") -> DataFrame:
+def materialize(df: DataFrame, name: str, mode: str = "table") -> DataFrame:
     """Return a frame with the same rows whose plan no longer repeats ``df``'s.
 
     ``checkpoint``: reliable checkpoint into ``spark.checkpoint.dir`` (runs
@@ -43,7 +44,14 @@ def materialize(df: DataFrame, name: str, mode: str = "checkpoint") -> DataFrame
     if mode != "table":
         raise ValueError(f"mode must be one of {MODES}")
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/cohortkit/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohortkit/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(df: DataFrame) -> None:
+    """Remove the files of a frame that :func:`materialize` wrote as a table."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles() if "/cohortkit/" in f}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

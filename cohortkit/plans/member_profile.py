@@ -1,4 +1,4 @@
-"""One row per member with every cohort flag of a run.
+"""One row per member id with every cohort flag of a run.
 
 The reference derives each cohort with its own scan of the order fact and
 joins all of them back to the period's order lines one by one.  Here the
@@ -13,11 +13,17 @@ Every aggregate in it (max, min, sum, count) combines map-side, so a member
 with a huge history costs one row per task in the shuffle.  The cohorts,
 both recency buckets, the lapsed flags and both segment codes are column
 expressions over the result.
+
+The statement counts ids as they are written, but attaches member sets to
+lines by the integer value of the id, so ``'7'`` and ``'07'`` are two members
+of every count and one member of every join.  The profile therefore has one
+row per written id, and what holds for the integer key (``any_``, the segment
+codes) is taken over the key's rows, nearly always one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.columns import in_range, is_true, member_key, upper_like
@@ -34,6 +40,7 @@ from cohortkit.operators.ytd import ytd_lines, ytd_orders
 from cohortkit.params import KpiParams
 
 KEY = "member_key"
+ID = "member_id"  # the id as written
 
 # Boolean member facts travel as bits of one int and are combined with
 # ``bit_or``: every field of a shuffled row costs 8 bytes, and this is the
@@ -56,9 +63,9 @@ def _bits(**conds) -> F.Column:
     return expr.cast("int").alias("flags")
 
 
-def has(name: str) -> F.Column:
-    """The member fact ``name`` of the aggregated ``flags``."""
-    return (F.coalesce(F.col("flags"), F.lit(0)).bitwiseAND(F.lit(BITS[name]))) != 0
+def has(name: str, flags: str = "flags") -> F.Column:
+    """The member fact ``name`` of the id's aggregated ``flags`` (or its key's ``any_flags``)."""
+    return (F.coalesce(F.col(flags), F.lit(0)).bitwiseAND(F.lit(BITS[name]))) != 0
 
 
 def _history(orders: DataFrame, p: KpiParams) -> DataFrame:
@@ -75,6 +82,7 @@ def _history(orders: DataFrame, p: KpiParams) -> DataFrame:
         & ((paid < F.lit(p.end)) | (day < F.lit(max(p.start, p.ytd_start)))))
     return lines.select(
         member_key(F.col("crm_member_id")).alias(KEY),
+        F.col("crm_member_id").alias(ID),
         # purchase history (all distributors matching the pattern)
         F.when(paid < F.lit(p.start), paid).alias("last_paid_s"),
         F.when(paid < F.lit(p.end), paid).alias("last_paid_e"),
@@ -88,29 +96,32 @@ def _history(orders: DataFrame, p: KpiParams) -> DataFrame:
 
 
 def _ytd(orders: DataFrame, p: KpiParams) -> DataFrame:
-    per_order = ytd_orders(
-        ytd_lines(orders, p).withColumn(KEY, member_key(F.col("crm_member_id"))), KEY)
+    per_order = ytd_orders(ytd_lines(orders, p), "crm_member_id")
     return per_order.select(
-        KEY,
+        member_key(F.col("crm_member_id")).alias(KEY),
+        F.col("crm_member_id").alias(ID),
         _bits(ytd_shopper=F.col("eff_order")),
-        F.when(F.col("eff_order"), F.lit(1)).otherwise(F.lit(0)).alias("ytd_eff_order"),
+        F.when(F.col("eff_order") & F.col("original_order_id").isNotNull(), F.lit(1)).otherwise(F.lit(0))
+         .alias("ytd_eff_order"),
         F.col("pos").alias("ytd_pos"),
         F.col("neg").alias("ytd_neg"))
 
 
 def _joined(members: DataFrame, p: KpiParams) -> DataFrame:
     day = F.to_date("join_time")
-    return members.where(upper_like(F.col("eff_reg_channel"), p.distributor)).select(
+    matching = upper_like(F.col("eff_reg_channel"), p.distributor) & F.col("member_detail_id").isNotNull()
+    return members.where(matching).select(
         member_key(F.col("member_detail_id")).alias(KEY),
+        F.col("member_detail_id").alias(ID),
         _bits(joined_in_period=in_range(day, p.start, p.end), joined_before_s=day < F.lit(p.start)))
 
 
 def member_profile(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataFrame:
-    """Member-level flags; one row per integer member key."""
+    """Member-level flags; one row per member id as written."""
     parts = (_history(orders, p)
              .unionByName(_ytd(orders, p), allowMissingColumns=True)
              .unionByName(_joined(members, p), allowMissingColumns=True))
-    agg = parts.groupBy(KEY).agg(
+    agg = parts.groupBy(KEY, ID).agg(
         F.max("last_paid_s").alias("last_paid_s"),
         F.max("last_paid_e").alias("last_paid_e"),
         F.min("first_code").alias("first_code"),
@@ -125,26 +136,48 @@ def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
     """Cohort flags and segment codes from the member aggregate."""
     # first_code = 2 * micros(first paid) + other-channel bit (see first_purchase_code)
     first_day = first_code_day(F.col("first_code"))
-    first_other = first_code_other(F.col("first_code"))
+    of_key = Window.partitionBy(KEY)
+    agg = agg.withColumns({
+        "recency_start": bucket_code("last_paid_s", p.start, p.recency_edges),
+        "first_other": is_true(in_range(first_day, p.start, p.end)) & is_true(first_code_other(F.col("first_code"))),
+    }).withColumns({
+        "any_flags": F.bit_or("flags").over(of_key),
+        "any_recency": F.min("recency_start").over(of_key),
+        "any_first_other": F.max("first_other").over(of_key),
+        "first_of_key": F.min(ID).over(of_key) == F.col(ID),
+    })
+    key_new = has("joined_in_period", "any_flags")
+    key_bought = has("bought_before_s", "any_flags")
+    key_retain = has("in_retain", "any_flags")
     is_new = has("joined_in_period")
-    is_never = has("joined_before_s") & ~has("bought_before_s")
+    is_never = has("joined_before_s") & ~key_bought
     is_retain = has("in_retain")
-    is_reactivate = has("bought_before_rs") & ~is_retain
+    is_reactivate = has("bought_before_rs") & ~key_retain
     is_ytd_first = is_true(in_range(first_day, p.ytd_start, p.start))
-    is_other = (is_true(in_range(first_day, p.start, p.end))
-                & is_true(first_other)
-                & ~is_new)
-    recency_s = bucket_code("last_paid_s", p.start, p.recency_edges)
+    is_other = F.col("first_other") & ~key_new
     recency_e = bucket_code("last_paid_e", p.end, p.recency_edges)
-    flags = agg.select(
-        KEY,
+    key_never = has("joined_before_s", "any_flags") & ~key_bought
+    key_reactivate = has("bought_before_rs", "any_flags") & ~key_retain
+    key_other = F.col("any_first_other") & ~key_new
+    seg_v1 = (F.when(key_new, C[L.NEW_MEMBER])
+              .when(key_never, C[L.NEVER_PURCHASED])
+              .when(key_retain, C[L.RETAINED])
+              .when(key_reactivate, C[L.REACTIVATED])
+              .when(key_other, C[L.OTHER_CHANNEL])
+              .otherwise(C[L.YTD_SHOPPER]))
+    seg_v2 = (F.when(key_new, C[L.NEW_MEMBER])
+              .when(key_never, C[L.NEVER_PURCHASED])
+              .when(F.col("any_recency").isNotNull(), F.col("any_recency"))
+              .when(key_other, C[L.OTHER_CHANNEL]))
+    return agg.select(
+        KEY, ID, "first_of_key",
         is_new.alias("is_new"),
         is_never.alias("is_never"),
         is_retain.alias("is_retain"),
         is_reactivate.alias("is_reactivate"),
         is_ytd_first.alias("is_ytd_first"),
         is_other.alias("is_other_channel"),
-        recency_s.alias("recency_start"),
+        "recency_start",
         recency_e.alias("recency_end"),
         (is_retain & ~has("bought_ytd")).alias("not_retained"),
         (is_reactivate & ~has("bought_ytd")).alias("not_reactivated"),
@@ -152,15 +185,10 @@ def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
         (has("ytd_shopper") & (F.coalesce(F.col("ytd_orders"), F.lit(0)) >= 2)).alias("ytd_repeat"),
         F.col("ytd_orders"),
         F.col("ytd_sales"),
+        key_new.alias("key_new"),
+        key_retain.alias("key_retain"),
+        key_reactivate.alias("key_reactivate"),
+        key_other.alias("key_other"),
+        seg_v1.alias("seg_v1"),
+        seg_v2.alias("seg_v2"),
     )
-    seg_v1 = (F.when(F.col("is_new"), C[L.NEW_MEMBER])
-              .when(F.col("is_never"), C[L.NEVER_PURCHASED])
-              .when(F.col("is_retain"), C[L.RETAINED])
-              .when(F.col("is_reactivate"), C[L.REACTIVATED])
-              .when(F.col("is_other_channel"), C[L.OTHER_CHANNEL])
-              .otherwise(C[L.YTD_SHOPPER]))
-    seg_v2 = (F.when(F.col("is_new"), C[L.NEW_MEMBER])
-              .when(F.col("is_never"), C[L.NEVER_PURCHASED])
-              .when(F.col("recency_start").isNotNull(), F.col("recency_start"))
-              .when(F.col("is_other_channel"), C[L.OTHER_CHANNEL]))
-    return flags.withColumns({"seg_v1": seg_v1, "seg_v2": seg_v2})

@@ -62,7 +62,7 @@ def _report(t: Tables, p: KpiParams, shared: bool = True) -> WeeklyKpi:
     only add a job.  Queries that join the profile to order lines keep the
     checkpoint even when they read it once: with both join sides shuffled,
     AQE can split a member holding a large share of the lines."""
-    return WeeklyKpi(t, p, "checkpoint" if shared else "none")
+    return WeeklyKpi(t, p, "table" if shared else "none")
 
 
 def _portable(df: DataFrame) -> DataFrame:
@@ -88,58 +88,70 @@ register("src_member_orders",
          "CAST(order_rrp_amt AS DOUBLE) AS order_rrp_amt FROM member_orders")(
     lambda t, p: _portable(t.member_orders))
 register("src_members", "SELECT * FROM members")(lambda t, p: t.members)
-register("src_store_traffic", "SELECT * FROM store_traffic_daily")(lambda t, p: t.store_traffic_daily)
+register("src_store_traffic",
+         "SELECT agg_type, CAST(date_id AS VARCHAR) AS date_id, distributor, traffic_amt FROM store_traffic_daily")(
+    lambda t, p: _portable(t.store_traffic_daily))
 
 # --- purchase history (A1, A2, W2) -------------------------------------------
 
-register("purchase_events", "SELECT * FROM purchases")(
+register("purchase_events", "SELECT * EXCLUDE (elsewhere) FROM purchases")(
     lambda t, p: purchases.purchase_events(t.member_orders, p))
-register("purchase_rank", "SELECT * FROM purchase_seq")(
+register("purchase_rank",
+         "SELECT * EXCLUDE (elsewhere), CAST(ROW_NUMBER() OVER (PARTITION BY crm_member_id ORDER BY order_paid_time "
+         "NULLS LAST, elsewhere, original_order_id NULLS LAST, eff_reg_channel NULLS LAST) AS INTEGER) AS rk FROM purchases")(
     lambda t, p: purchases.purchase_rank(t.member_orders, p))
-register("first_purchase", "SELECT * FROM first_buy")(
+register("first_purchase",
+         "SELECT id AS crm_member_id, opening[1] AS eff_reg_channel, opening[2] AS original_order_id, "
+         "opening[3] AS order_paid_time FROM bought")(
     lambda t, p: purchases.first_purchases(t.member_orders, p))
 
 # --- cohorts (A3-A8, A14, A15) -----------------------------------------------
 
-register("new_member_base", "SELECT * FROM joiners")(
+register("new_member_base",
+         "SELECT DISTINCT member_detail_id, eff_reg_channel FROM members WHERE UPPER(eff_reg_channel) LIKE '{d}' "
+         "AND CAST(join_time AS DATE) BETWEEN DATE '{s}' AND DATE '{e}' - 1")(
     lambda t, p: cohorts.new_member_base(t.members, p))
-register("never_purchased_base", "SELECT * FROM dormant")(
+register("never_purchased_base", "SELECT id AS member_detail_id FROM standing WHERE is_never")(
     lambda t, p: cohorts.never_purchased_base(t.member_orders, t.members, p))
-register("retain_base", "SELECT * FROM kept")(
+register("retain_base",
+         "SELECT DISTINCT crm_member_id, distributor_name FROM line_facts "
+         "WHERE counted AND eff AND inside AND in_retain")(
     lambda t, p: cohorts.retain_base(t.member_orders, p))
-register("reactivate_base", "SELECT * FROM won_back")(
+_EARLY_ROWS = ("SELECT DISTINCT crm_member_id, distributor_name FROM line_facts JOIN standing ON id = crm_member_id "
+               "WHERE counted AND eff AND inside AND date_id < DATE '{rs}' AND is_reactivate")
+register("reactivate_base", _EARLY_ROWS)(
     lambda t, p: cohorts.reactivate_base(t.member_orders, p))
-register("ytd_first_purchase_base", "SELECT * FROM ytd_first")(
+register("ytd_first_purchase_base", "SELECT id AS crm_member_id FROM standing WHERE is_ytd_first")(
     lambda t, p: cohorts.ytd_first_purchase_base(t.member_orders, p))
-register("other_channel_base", "SELECT * FROM cross_channel")(
+register("other_channel_base", "SELECT id AS crm_member_id FROM standing WHERE is_other")(
     lambda t, p: cohorts.other_channel_base(t.member_orders, t.members, p))
-register("not_retained", "SELECT * FROM lapsed_kept")(
+register("not_retained", "SELECT id AS crm_member_id FROM standing WHERE is_retain AND NOT paid_ytd")(
     lambda t, p: cohorts.not_retained(t.member_orders, p))
-register("not_reactivated", "SELECT * FROM lapsed_won_back")(
+register("not_reactivated", _EARLY_ROWS + " AND NOT paid_ytd")(
     lambda t, p: cohorts.not_reactivated(t.member_orders, p))
 
 # --- recency (A9-A13, A16-A19, AX1) ------------------------------------------
 
 _BUCKET_KEYS = ("0_90", "90_180", "180_270", "270_360", "360_plus")
 for _b, _suffix in enumerate(_BUCKET_KEYS):
-    register(f"recency_start_{_suffix}", f"SELECT * FROM {oracle.bucket_name('start', _b)}")(
+    register(f"recency_start_{_suffix}", oracle.bucket_select("start", _b))(
         lambda t, p, _b=_b: recency.recency_cohort(t.member_orders, p, p.start, _b))
     if _b:  # the report uses bucket 0 at the start only
-        register(f"recency_end_{_suffix}", f"SELECT * FROM {oracle.bucket_name('end', _b)}")(
+        register(f"recency_end_{_suffix}", oracle.bucket_select("end", _b))(
             lambda t, p, _b=_b: recency.recency_cohort(t.member_orders, p, p.end, _b))
 
 _RECENCY_UNION = " UNION ALL ".join(
-    f"SELECT crm_member_id, '{anchor}' AS anchor, '{{l_r{b + 1}}}' AS recency_bucket "
-    f"FROM {oracle.bucket_name(anchor, b)}" for anchor in ("start", "end") for b in range(5))
+    f"SELECT id AS crm_member_id, '{anchor}' AS anchor, '{{l_r{b + 1}}}' AS recency_bucket "
+    f"FROM person WHERE bucket_{anchor[0]} = {b}" for anchor in ("start", "end") for b in range(5))
 register("recency_buckets", _RECENCY_UNION)(
     lambda t, p: recency.recency_buckets(t.member_orders, p))
 
 # --- year to date, traffic (A20, A21) ----------------------------------------
 
 register("ytd_repeat",
-         "SELECT crm_member_id, ytd_repeat, ytd_repeat_orders, "
-         "CAST(ytd_repeat_member_sales AS DOUBLE) AS ytd_repeat_member_sales "
-         "FROM ytd_shoppers")(
+         "SELECT id AS crm_member_id, CAST(is_repeat AS INTEGER) AS ytd_repeat, "
+         "CAST(IF(is_repeat, ytd_orders, 0) AS BIGINT) AS ytd_repeat_orders, "
+         "CAST(IF(is_repeat, ytd_sales, 0) AS DOUBLE) AS ytd_repeat_member_sales FROM standing WHERE ytd_shopper")(
     lambda t, p: ytd.ytd_repeat(t.member_orders, p))
 register("traffic_total", "SELECT * FROM traffic")(
     lambda t, p: traffic_total(t.store_traffic_daily, p))
@@ -154,7 +166,7 @@ _ROLLUP_SELECT = ("SELECT member_type, member_base, CAST(ttl_sales AS DOUBLE) AS
                   "FROM {}")
 
 register("segmented_lines",
-         "SELECT * REPLACE (CAST(order_rrp_amt AS DOUBLE) AS order_rrp_amt) FROM tagged")(
+         "SELECT * EXCLUDE (eff, net) REPLACE (CAST(order_rrp_amt AS DOUBLE) AS order_rrp_amt) FROM tagged")(
     lambda t, p: _portable(_report(t, p).segmented_lines))
 register("segment_summary", _SUMMARY_SELECT.replace("{}", "seg_summary WHERE v = 1"))(
     lambda t, p: summaries.summary_output(_report(t, p).segment_summary))
@@ -162,11 +174,11 @@ register("recency_summary", _SUMMARY_SELECT.replace("{}", "seg_summary WHERE v =
     lambda t, p: summaries.summary_output(_report(t, p).recency_summary))
 register("member_base_summary", "SELECT * FROM base_counts")(
     lambda t, p: _report(t, p, shared=False).member_base_summary)
-register("kpi_rollup", _ROLLUP_SELECT.replace("{}", "rollup1"))(
+register("kpi_rollup", _ROLLUP_SELECT.replace("{}", "rolled WHERE v = 1"))(
     lambda t, p: summaries.rollup_output(_report(t, p).kpi_rollup))
 register("recency_base_summary", "SELECT * FROM rec_counts")(
     lambda t, p: _report(t, p, shared=False).recency_base_summary)
-register("recency_rollup", _ROLLUP_SELECT.replace("{}", "rollup2"))(
+register("recency_rollup", _ROLLUP_SELECT.replace("{}", "rolled WHERE v = 2"))(
     lambda t, p: summaries.rollup_output(_report(t, p).recency_rollup))
 
 # --- report (A29-A33) --------------------------------------------------------
@@ -178,7 +190,8 @@ register("kpi_recency_final", "SELECT * EXCLUDE (v) FROM finals WHERE v = 2")(
 register("kpi_union", "SELECT * EXCLUDE (v) FROM finals")(lambda t, p: _report(t, p).kpi_union)
 register("recall_counts", "SELECT * FROM recall")(
     lambda t, p: _report(t, p, shared=False).recall_counts)
-register("weekly_kpi", "SELECT * FROM report")(
+register("weekly_kpi",
+         "SELECT finals.* EXCLUDE (v), still_need_to_recall FROM finals LEFT JOIN recall USING (member_type)")(
     lambda t, p: _report(t, p).report)
 
 

@@ -14,8 +14,8 @@ Data flow (shuffles in brackets, checkpoints in double brackets):
 
 The order fact is scanned three times (whole history, YTD window, period),
 against nine in the reference; the windows prune partitions when the fact is
-partitioned by ``date_id``.  The profile checkpoint runs when the profile
-is first used; the report itself is lazy.
+partitioned by ``date_id``.  The profile job runs when the profile is first used, that is
+while a frame that needs it is being built; the report over it is lazy.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from cohortkit.operators import report, summaries
 from cohortkit.operators.segments import order_grain, segmented_lines
 from cohortkit.operators.traffic import traffic_total
 from cohortkit.params import KpiParams
-from cohortkit.plans.materialize import materialize
+from cohortkit.plans.materialize import drop, materialize
 from cohortkit.plans.member_profile import member_profile
 from cohortkit.sources import Tables
 
@@ -41,7 +41,7 @@ class WeeklyKpi:
     tables: Tables
     params: KpiParams
     # how the member profile is shared by its readers (see plans.materialize)
-    materialize: str = "checkpoint"
+    materialize: str = "table"
 
     @cached_property
     def profile(self) -> DataFrame:
@@ -49,6 +49,11 @@ class WeeklyKpi:
             member_profile(self.tables.member_orders, self.tables.members, self.params),
             "member_profile", self.materialize)
 
+    def release(self) -> None:
+        """Remove the profile's written table (the frames built on it can't be read any more)."""
+        if self.materialize == "table" and "profile" in self.__dict__:
+            drop(self.profile)
+
     @cached_property
     def order_grain(self) -> DataFrame:
         return order_grain(self.tables.member_orders, self.profile, self.params)
@@ -128,6 +133,11 @@ class WeeklyKpi:
 
 
 def weekly_kpi(tables: Tables, params: KpiParams | None = None,
-               materialize: str = "checkpoint") -> DataFrame:
-    """The report: up to 15 rows x 11 columns, in no particular order."""
+               materialize: str = "table") -> DataFrame:
+    """The report: up to 15 rows x 11 columns, in no particular order.
+
+    Building the frame runs the profile job (unless ``materialize`` is ``none``
+    or ``persist``); use :class:`WeeklyKpi` and its ``release`` to remove the
+    profile's table when the report has been read.
+    """
     return WeeklyKpi(tables, params or KpiParams(), materialize).report

@@ -14,6 +14,9 @@ from pyspark.sql import SparkSession
 # swarm of tiny tasks after the selective period and label steps).
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # a member id that is no number raises, as an integer cast of it would, and
+    # does not turn its lines into non-member lines
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
@@ -36,7 +39,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
-        .config("spark.sql.ansi.enabled", "true")
         # remove checkpoint files once their DataFrames are garbage collected
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
@@ -78,7 +80,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(current)
         return current
     master = (sc.master if sc else _conf(spark, "spark.master")) or ""
-    if not master.startswith("local"):
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         # a folder on this machine is not shared with the executors
         raise RuntimeError("spark.checkpoint.dir is not set: name a folder all executors share "
                            "(e.g. on HDFS or object storage)")

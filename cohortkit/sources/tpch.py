@@ -80,14 +80,12 @@ def store_traffic_daily(spark: SparkSession, sf_dir: str, agg_type: str = "STORE
     """Store-day traffic: lineitem quantity per supplier and ship day."""
     li = (raw or _raw(spark, sf_dir))["lineitem"].select("l_suppkey", "l_shipdate", "l_quantity")
     return (
-        li.groupBy(F.col("l_suppkey").alias("store_id"),
-                   F.to_date("l_shipdate").cast("string").alias("date_id"))
+        li.groupBy("l_suppkey", F.to_date("l_shipdate").alias("date_id"))
         .agg(F.sum("l_quantity").alias("traffic_amt"))
         .select(
-            "store_id",
             F.lit(agg_type).alias("agg_type"),
             "date_id",
-            _case(F.col("store_id") % 4, dict(enumerate(SUPPLIER_TO_DISTRIBUTOR))).alias("distributor"),
+            _case(F.col("l_suppkey") % 4, dict(enumerate(SUPPLIER_TO_DISTRIBUTOR))).alias("distributor"),
             "traffic_amt",
         )
     )

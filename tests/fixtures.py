@@ -109,12 +109,12 @@ MEMBERS = [
 ]
 
 TRAFFIC = [
-    (1, "STORE", "2024-01-09", "BUILDING", 100.0),
-    (1, "STORE", "2024-01-10", "BUILDING", 50.0),
-    (2, "STORE", "2024-01-14", "BUILDING", 25.0),
-    (2, "OTHER", "2024-01-10", "BUILDING", 999.0),
-    (1, "STORE", "2024-01-15", "BUILDING", 10.0),
-    (3, "STORE", "2024-01-09", "MACHINERY", 7.0),
+    ("STORE", D(2024, 1, 9), "BUILDING", 100.0),
+    ("STORE", D(2024, 1, 10), "BUILDING", 50.0),
+    ("STORE", D(2024, 1, 14), "BUILDING", 25.0),
+    ("OTHER", D(2024, 1, 10), "BUILDING", 999.0),
+    ("STORE", D(2024, 1, 15), "BUILDING", 10.0),
+    ("STORE", D(2024, 1, 9), "MACHINERY", 7.0),
 ]
 
 DUCK_DDL = {
@@ -123,17 +123,17 @@ DUCK_DDL = {
                      "distributor_name VARCHAR, date_id DATE, sales_qty DOUBLE, "
                      "order_rrp_amt DECIMAL(18,2)",
     "members": "member_detail_id VARCHAR, eff_reg_channel VARCHAR, join_time TIMESTAMP",
-    "store_traffic_daily": "store_id BIGINT, agg_type VARCHAR, date_id VARCHAR, distributor VARCHAR, "
+    "store_traffic_daily": "agg_type VARCHAR, date_id DATE, distributor VARCHAR, "
                            "traffic_amt DOUBLE",
 }
 
 
 def spark_tables(spark, orders=None, members=None, traffic=None):
     from cohortkit.sources import Tables
-    from cohortkit.sources.schemas import MEMBER_ORDERS, MEMBERS as MEMBERS_SCHEMA, STORE_TRAFFIC_DAILY
+    from cohortkit.sources.schemas import MEMBERS as MEMBERS_SCHEMA, STORE_TRAFFIC_DAILY, member_orders_schema
 
     return Tables(
-        spark.createDataFrame(ORDERS if orders is None else orders, MEMBER_ORDERS),
+        spark.createDataFrame(ORDERS if orders is None else orders, member_orders_schema()),
         spark.createDataFrame(MEMBERS if members is None else members, MEMBERS_SCHEMA),
         spark.createDataFrame(TRAFFIC if traffic is None else traffic, STORE_TRAFFIC_DAILY),
     )

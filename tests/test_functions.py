@@ -32,18 +32,18 @@ def test_ntz_micros_ignores_session_time_zone(spark):
 def test_first_purchase_day_decodes_from_code(spark):
     # the profile keeps only 2 * micros + other bit; the day comes back exactly,
     # before 1970 too
-    rows = [(1, 2 * _micros(t) + (i % 2)) for i, t in enumerate(STAMPS)]
-    df = spark.createDataFrame(rows, "member_key long, first_code long").select(
+    rows = [(i, str(i), 2 * _micros(t) + (i % 2)) for i, t in enumerate(STAMPS)]
+    df = spark.createDataFrame(rows, "member_key long, member_id string, first_code long").coalesce(1).select(
         "*", F.lit(None).cast("timestamp_ntz").alias("last_paid_s"),
         F.lit(None).cast("timestamp_ntz").alias("last_paid_e"), F.lit(0).alias("flags"),
         F.lit(None).cast("bigint").alias("ytd_orders"), F.lit(None).cast("decimal(28,2)").alias("ytd_sales"))
     p = KpiParams(start=dt.date(2024, 1, 8), end=dt.date(2024, 1, 9), retain_start=dt.date(1950, 1, 1),
                   ytd_start=dt.date(1950, 1, 2))
-    flags = derive_flags(df, p).collect()
+    flags = derive_flags(df, p).orderBy("member_key").collect()
     # only the 2024-01-08 stamp (index 4, even: matching channel) falls in [start, end)
     assert [r["is_other_channel"] for r in flags] == [False] * 5
     p2 = p.replace(start=dt.date(1969, 12, 31), end=dt.date(1970, 1, 1))
-    other = [r["is_other_channel"] for r in derive_flags(df, p2).collect()]
+    other = [r["is_other_channel"] for r in derive_flags(df, p2).orderBy("member_key").collect()]
     assert other == [False, True, False, False, False]
 
 

@@ -27,18 +27,46 @@ def tables(spark):
 
 def test_anti_joins_are_left_anti(tables):
     for df in (cohorts.never_purchased_base(tables.member_orders, tables.members, P),
-               cohorts.reactivate_base(tables.member_orders, P),
-               cohorts.not_reactivated(tables.member_orders, P)):
+               cohorts.other_channel_base(tables.member_orders, tables.members, P)):
         text = plan(df)
         assert "LeftAnti" in text
         assert "LeftOuter" not in text
 
 
+def test_cohorts_of_the_fact_alone_read_it_once(tables):
+    for df in (cohorts.reactivate_base(tables.member_orders, P), cohorts.not_reactivated(tables.member_orders, P),
+               cohorts.not_retained(tables.member_orders, P)):
+        assert plan(df).split("== Initial Plan ==")[0].count("lineitem.parquet") == 1
+
+
+def test_line_join_reads_three_profile_columns_and_a_flag(tables):
+    w = WeeklyKpi(tables, P)
+    text = plan(w.order_grain)
+    assert "ReadSchema: struct<member_key:bigint,first_of_key:boolean,seg_v1:int,seg_v2:int>" in text
+    folder = w.profile.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    assert os.path.isdir(folder)
+    w.release()
+    assert not os.path.exists(folder)
+
+
+def test_traffic_days_reach_the_scan(spark, tables):
+    for key in ("traffic_total", "registration_rate"):
+        text = plan(queries()[key](spark, SF))
+        assert "GreaterThanOrEqual(l_shipdate" in text and "LessThan(l_shipdate" in text, key
+
+
+def test_two_key_join_leaves_non_members_out(spark):
+    text = plan(queries()["join_two_key"](spark, SF))
+    assert "isnotnull(crm_member_id" in text or "% 10) = 0)" in text
+    joined = text.split("Union")[1]
+    assert "Join" in joined
+
+
 def test_member_profile_is_one_hash_aggregate(tables):
     text = plan(member_profile(tables.member_orders, tables.members, P))
     assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
-    # one shuffle on the member key for the profile, one for the YTD (member, order) step
-    assert text.count("Exchange hashpartitioning") == 2
+    # the YTD (member, order) step, the profile, and one row per id for the window over the key
+    assert text.count("Exchange hashpartitioning") == 3
 
 
 def test_no_python_no_cartesian_anywhere(spark):
@@ -66,7 +94,7 @@ def test_non_member_lines_cross_the_join_as_one_row(tables):
     from cohortkit.functions.labels import NON_MEMBER, NON_MEMBER_V2, SEGMENT_CODES
 
     grain = WeeklyKpi(tables, P, "none").order_grain
-    rows = grain.where(F.col("member_key").isNull()).collect()
+    rows = grain.where(F.col("crm_member_id").isNull()).collect()
     assert len(rows) == 1
     assert rows[0]["seg_v1"] == SEGMENT_CODES[NON_MEMBER]
     assert rows[0]["seg_v2"] == SEGMENT_CODES[NON_MEMBER_V2]
@@ -77,6 +105,8 @@ def test_rank_numbers_per_member_and_day(spark):
     text = plan(queries()["purchase_rank"](spark, SF))
     # the numbering window is partitioned by member and paid day, not member alone
     assert "__bucket" in text and "rangepartitioning" not in text
+    # numbered once: the offsets come from counts, not from numbered rows
+    assert text.split("== Initial Plan ==")[0].count("row_number()") == 1
 
 
 def test_period_is_read_once(tables):

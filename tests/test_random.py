@@ -49,8 +49,8 @@ def make(seed: int, n_members=40, n_orders=220):
         for _ in range(rnd.choice([1, 1, 2])):
             join = _paid(rnd) if rnd.random() > 0.05 else None
             members.append((str(m), rnd.choice(CHANNELS), join))
-    traffic = [(rnd.randint(1, 5), rnd.choice(["STORE", "STORE", "OTHER"]),
-                (P.start + dt.timedelta(days=rnd.randint(-3, 9))).isoformat(),
+    traffic = [(rnd.choice(["STORE", "STORE", "OTHER"]),
+                P.start + dt.timedelta(days=rnd.randint(-3, 9)),
                 rnd.choice(["BUILDING", "MACHINERY"]), float(rnd.randint(0, 50)))
                for _ in range(30)]
     return orders, members, traffic

@@ -22,7 +22,7 @@ def test_matches_window_row_number(spark):
     df = spark.createDataFrame(_data(), "k string, t int, id int")
     order = [F.col("t").asc_nulls_last(), F.col("id").asc()]
     bucket = F.coalesce(F.floor(F.col("t") / 5), F.lit(10**6))
-    got = row_number_within(df, ["k"], order, bucket, "rk")
+    got = row_number_within(df, ["k"], order, [bucket], "rk")
     want = df.withColumn("rk", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
 
     assert got.count() == df.count()
@@ -37,3 +37,15 @@ def test_hot_key_spreads_over_tasks(spark):
     parts = (df.repartition(8, "k", bucket).where(F.col("k") == "hot")
              .select(F.spark_partition_id().alias("p")).distinct().count())
     assert parts >= 2
+
+
+def test_one_hour_with_thousands_of_purchases(spark):
+    # one member, one hour, different seconds: every task gets its part, and the ranks are right
+    df = spark.createDataFrame([("m", i % 3600, i) for i in range(7200)], "k string, sec int, id int")
+    order = [F.col("sec").asc(), F.col("id").asc()]
+    hour = F.floor(F.col("sec") / 3600)
+    got = row_number_within(df, ["k"], order, [hour, F.col("sec")], "rk")
+    want = df.withColumn("rk", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+    assert got.exceptAll(want).count() == 0 and got.count() == 7200
+    sizes = [r.n for r in df.repartition(8, "k", hour, "sec").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)

@@ -2,7 +2,7 @@
 
 usage: python tools/dump_plans.py [SF_DIR]
 
-The report runs in two parts: the member profile (checkpointed), then the
+The report runs in two parts: the member profile (written as a table), then the
 report over it (period join, segment summaries, counts, traffic, labelled
 tail).  Each plan is Spark's formatted explain of the initial physical plan
 (before AQE's runtime changes).
@@ -38,9 +38,9 @@ def main() -> None:
     p = KpiParams()
     w = WeeklyKpi(t, p)
     parts = [
-        ("1. member profile (one hash aggregate over history, YTD orders and members; checkpointed)",
+        ("1. member profile (one hash aggregate over history, YTD orders and members, a window over the key; written as a table)",
          member_profile(t.member_orders, t.members, p)),
-        ("2. report over the checkpointed profile (period read once, one join, one Expand aggregate "
+        ("2. report over the written profile (period read once, one join, one Expand aggregate "
          "for both segment summaries, cohort counts, traffic, grouping sets and label joins over "
          "at most 30 rows)", w.report),
     ]

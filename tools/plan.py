@@ -16,7 +16,7 @@ def main() -> None:
     sf_dir = sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.1"
     spark = local_session(shuffle_partitions=16)
     df = queries()[key](spark, sf_dir)
-    df.collect()  # runs the Dataset's own QueryExecution, so the plan below is final
+    df._jdf.queryExecution().toRdd().count()  # runs it without gathering rows, so the plan below is final
     plan = df._jdf.queryExecution().executedPlan().toString()
     print(plan)
     counts = {name: plan.count(name) for name in (

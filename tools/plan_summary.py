@@ -50,8 +50,8 @@ def main() -> None:
         "# Plan shape of every registered query",
         "",
         f"Final (post-AQE) plans on `{os.path.basename(sf_dir)}`, `local[*]`, 8 shuffle partitions,",
-        "generated by `python tools/plan_summary.py`. Queries that checkpoint the member profile",
-        "show the report over the checkpoint; the profile job itself is one hash aggregate",
+        "generated by `python tools/plan_summary.py`. Queries that write the member profile",
+        "show the report over its table; the profile job itself is one hash aggregate and a window",
         "(see `docs/weekly_kpi_plans.txt`). At this size AQE turns most joins into broadcast",
         "joins; the same plans use shuffled joins when the sides are large. On the test mapping",
         "one read of the order fact is three parquet scans (lineitem, orders, customer).",
