@@ -6,6 +6,9 @@ Columns that operators add to a caller's rows while they work are named
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -30,10 +33,19 @@ def worker_state(owner: str, make):
     Asking for another operator's lets it go, so a worker holds one at a time."""
     if owner not in _HELD:
         _HELD.clear()
+        release_memory()
         _HELD[owner] = make()
     return _HELD[owner]
 
 
+def release_memory() -> None:
+    """Give freed memory of this Python worker back to the system: workers live on
+    between stages, and the next one's rows need the room."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 

@@ -37,7 +37,7 @@ from cohortkit.llm.common import worker_state, written
 
 CAPACITY = 2048
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 700_000
+CACHE_WORDS = 600_000
 
 
 # a run of ASCII punctuation that closes a chunk, after an ASCII letter or digit

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 class Shingler:

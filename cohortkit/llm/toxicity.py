@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.llm.common import crc_fold, with_column
+from cohortkit.llm.common import crc_fold, with_column, worker_state
 from cohortkit.llm.ngrams import buckets, code_points, present
 
 ORDERS = (3, 4, 5, 6)
@@ -66,7 +66,6 @@ def fit(texts: list[bytes | None], labels: list[int], share: float | None = None
     """Train on texts with 0/1 labels; ``share`` is the share of label 1 among all
     labelled rows, for samples drawn per class.  Near copies share one vote."""
     unique = list(dict.fromkeys((text or b"", int(label)) for text, label in zip(texts, labels)))
-    rows = [present(code_points(t), orders, bits) for t, _ in unique]
     y = np.array([label for _, label in unique], float)
     vote = _votes(unique)
     n1, n0 = float(vote[y > 0].sum()), float(vote[y == 0].sum())
@@ -77,8 +76,8 @@ def fit(texts: list[bytes | None], labels: list[int], share: float | None = None
         return Model(odds, nothing, np.empty(0), orders, bits)
     share = n1 / (n1 + n0) if share is None else min(max(share, 1e-6), 1 - 1e-6)
     df1, df0 = np.zeros(1 << bits), np.zeros(1 << bits)
-    for row, label, v in zip(rows, y, vote):
-        (df1 if label else df0)[row] += v
+    for (text, label), v in zip(unique, vote):
+        (df1 if label else df0)[present(code_points(text), orders, bits)] += v
     p, q = df1 + smoothing, df0 + smoothing
     ratio = np.log(p / (n1 + 2 * smoothing)) - np.log(q / (n0 + 2 * smoothing))
     noise = np.sqrt(1 / p - 1 / (n1 + 2 * smoothing) + 1 / q - 1 / (n0 + 2 * smoothing))
@@ -87,12 +86,10 @@ def fit(texts: list[bytes | None], labels: list[int], share: float | None = None
     index = np.sort(index[np.argsort(-clear[index], kind="stable")[:max_features]])
     if not len(index):
         return Model(math.log(share / (1 - share)), nothing, np.empty(0), orders, bits)
-    x = np.zeros((len(rows), len(index) + 1), np.float32)
-    place = np.full(1 << bits, -1, np.int64)
-    place[index] = np.arange(len(index))
-    for i, row in enumerate(rows):
-        at = place[row]
-        at = at[at >= 0]
+    # a second look at the texts: all their n-grams at once would not fit a worker
+    x = np.zeros((len(unique), len(index) + 1), np.float32)
+    for i, (text, _) in enumerate(unique):
+        at = np.flatnonzero(np.isin(index, present(code_points(text), orders, bits), assume_unique=True))
         x[i, at] = ratio[index[at]]
     scale = 1.0 / max(1.0, float(np.sqrt((x * x).sum(1)).max()))
     x *= scale
@@ -171,6 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
         .join(F.broadcast(ids), "_id").select("_text", "_y")
 
     def run(batches):
+        worker_state("toxicity", dict)
         texts, ys = [], []
         for batch in batches:
             texts += batch.column(0).to_pylist()
