@@ -8,7 +8,7 @@
    rarest, so frequent values (common passages) index nothing that rarer ones
    do not.  ``o`` is exact for sets below ``K``; for larger ones it is
    ``MIN_SHARED``, which a linked pair misses with a chance of about 1e-6.
-3. A class is compared with the most central class of its lists; these links
+3. A class is compared with the most central classes of its lists; these links
    already join most of a group of copies.  Classes that share a list but stay
    in different components are then joined on their full sets, with exact
    prefix and position tests inside the join.  No list emits all its pairs.
@@ -42,6 +42,7 @@ K = 48
 MIN_SHARED = 20
 WIDTH = 5
 SIMILAR = 75  # percent
+HUBS = 4  # classes that each class is compared with before the exact join
 BITMAP = 1024  # bits of a full set's bitmap
 # the estimate's standard error at the threshold is 0.0625 for K = 48
 EST_MARGIN = 0.3
@@ -108,14 +109,15 @@ def _near_sizes(a, b, similar: int):
 
 
 def hub_pairs(listed: DataFrame, similar: int = SIMILAR) -> DataFrame:
-    """(u, v): every listed class with the most central class of its lists."""
+    """(u, v): every listed class with the ``HUBS`` most central classes that lead its lists."""
     rows = listed.select(F.explode("keys").alias("value"), "node", "n", "central")
     hubs = rows.groupBy("value").agg(F.max(F.struct("central", "node", "n")).alias("hub"), F.count("*").alias("size")) \
         .filter("size > 1").select("value", "hub")
     joined = rows.join(hubs, "value").filter(
         (F.col("node") != F.col("hub.node")) & _near_sizes(F.col("n"), F.col("hub.n"), similar))
-    best = joined.groupBy("node").agg(F.max("hub").alias("hub"))
-    return best.select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
+    best = joined.groupBy("node").agg(F.sort_array(F.collect_set("hub"), asc=False).alias("hubs"))  # one per key at most
+    return best.select(F.col("node").alias("u"), F.explode(F.slice("hubs", 1, HUBS)).alias("hub")) \
+        .select("u", F.col("hub.node").alias("v"))
 
 
 def active(listed: DataFrame, roots: DataFrame) -> DataFrame:
