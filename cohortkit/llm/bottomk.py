@@ -124,8 +124,8 @@ def active(listed: DataFrame, roots: DataFrame) -> DataFrame:
     """(node, root) of classes that share a list with a class of another component."""
     rows = listed.join(roots, "node", "left").select(
         F.explode("keys").alias("value"), "node", F.coalesce("root", "node").alias("root"))
-    mixed = rows.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")) \
-        .filter("lo <> hi AND size > 2").select("value")
+    mixed = rows.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
+        .filter("lo <> hi").select("value")  # of two classes too: their pair may be cut by HUBS
     return written(rows.join(mixed, "value").select("node", "root").distinct(), "active")
 
 

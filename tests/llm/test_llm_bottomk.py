@@ -71,6 +71,19 @@ def test_group_whose_members_differ_from_each_other_more_than_from_the_base(spar
     assert run(spark, rows) == brute(rows)
 
 
+def test_list_of_two_classes_behind_four_more_central_hubs(spark):
+    rows = []
+    for s in range(12):  # whether the lists of d lead those of a depends on hashes
+        a = [f"a{s}.{i}" for i in range(50)]
+        b = a[:45] + [f"b{s}.{i}" for i in range(7)]  # 41 of 53 shingles are common
+        docs = [a, b, b[41:] + [f"f{s}.{i}" for i in range(20)]]  # the third makes b more central than a
+        for d in range(5):
+            group = [f"d{s}.{d}.{i}" for i in range(36)]
+            docs += [a[41 + d:46 + d] + group] + [group + [f"e{s}.{d}.{e}.{i}" for i in range(4)] for e in range(3)]
+        rows += [(len(rows) + i, " ".join(w)) for i, w in enumerate(docs)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_chain_of_links(spark):
     words = [f"c{i}" for i in range(160)]
     rows = [(i, " ".join(words[4 * i:4 * i + 60])) for i in range(20)]
