@@ -42,12 +42,12 @@ SIZE = 100
 BATCH_BYTES = 2_000_000
 BLOCK = 4096
 LAST = (1 << 63) - 1
-# one long per run: start (30 bits), hash of the text (20), windows - 1 (6), anchor - start (6), repeat (1)
+# one long per run: start (30 bits), second hash of the text (20), windows - 1 (6), anchor - start (6), repeat (1)
 _HASH_BITS = 20
 
 
-def _pack(start, mark, windows, lead, repeat):
-    return ((((start << 20) | mark) << 13) | ((windows - 1) << 7) | (lead << 1) | repeat).astype(np.int64)
+def _pack(start, salt, windows, lead, repeat):
+    return ((((start << 20) | salt) << 13) | ((windows - 1) << 7) | (lead << 1) | repeat).astype(np.int64)
 
 
 def _unpack(at: np.ndarray):
@@ -55,43 +55,47 @@ def _unpack(at: np.ndarray):
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc, mark, salt, text): 64 bits of one hash and 20 of another tell the texts of an
+    id apart, and those of all rows without one."""
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc"),
-                       F.xxhash64(body).bitwiseAND(F.lit((1 << _HASH_BITS) - 1)).alias("mark"),
+    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(body).alias("mark"),
+                       F.xxhash64(F.lit(_HASH_BITS), body).bitwiseAND(F.lit((1 << _HASH_BITS) - 1)).alias("salt"),
                        body.cast("binary").alias("text"))
 
 
 def _runs(keyed: DataFrame, size: int) -> DataFrame:
-    """(k, seg, doc, at) of every run.  Runs that repeat an earlier one of their batch
+    """(k, seg, doc, mark, at) of every run.  Runs that repeat an earlier one of their batch
     are marked and dealt out at random: they need not meet anyone."""
 
     def run(batches):
         finder = worker_state(f"runs {size}", lambda: Runs(size))
 
-        def found(docs, marks, texts):
+        def found(docs, marks, salts, texts):
             text, start, windows, lead, key, seg = finder(texts)
-            doc, mark = docs[text], marks[text]
+            doc, mark, salt = docs[text], marks[text], salts[text]
             order = np.lexsort((start, doc, seg, key))
-            key, seg, doc, mark, start, windows, lead = (a[order] for a in (key, seg, doc, mark, start, windows, lead))
+            key, seg, doc, mark, salt, start, windows, lead = (
+                a[order] for a in (key, seg, doc, mark, salt, start, windows, lead))
             same = np.zeros(len(key), bool)
             same[1:] = (key[1:] == key[:-1]) & (seg[1:] == seg[:-1])
             head = np.maximum.accumulate(np.where(same, 0, np.arange(len(key)))) if len(key) else np.empty(0, np.int64)
             repeat = same & ((doc != doc[head]) | (start != start[head]))
             key = np.where(repeat, (doc * 0x9E3779B1 + start * 0x85EBCA77).astype(np.int64), key)
-            at = _pack(start, mark, windows, lead, repeat.astype(np.int64))
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in (key, seg, doc, at)], names=["k", "seg", "doc", "at"])
+            at = _pack(start, salt, windows, lead, repeat.astype(np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (key, seg, doc, mark, at)],
+                                              names=["k", "seg", "doc", "mark", "at"])
 
         for batch in batches:
-            docs, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            texts = batch.column(2).to_pylist()
+            docs, marks, salts = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            texts = batch.column(3).to_pylist()
             first = held = 0
             for i, body in enumerate(texts):
                 held += len(body)
                 if held >= BATCH_BYTES or i == len(texts) - 1:
-                    yield found(docs[first:i + 1], marks[first:i + 1], texts[first:i + 1])
+                    yield found(docs[first:i + 1], marks[first:i + 1], salts[first:i + 1], texts[first:i + 1])
                     first, held = i + 1, 0
 
-    return keyed.filter(F.length("text") >= size).mapInArrow(run, "k bigint, seg bigint, doc bigint, at bigint")
+    return keyed.filter(F.length("text") >= size).mapInArrow(run, "k bigint, seg bigint, doc bigint, mark bigint, at bigint")
 
 
 class _Meeting:
@@ -103,12 +107,12 @@ class _Meeting:
         self.segments = 0
         self.held: list[np.ndarray] = []
 
-    def __call__(self, k, seg, doc, at):
-        """Rows (k, doc, at, 1) that repeat their segment and (k, doc, at, 0) to compare."""
+    def __call__(self, k, seg, doc, mark, at):
+        """Rows (k, doc, mark, at, 1) that repeat their segment and (k, doc, mark, at, 0) to compare."""
         start, *_, repeat = _unpack(at)
         marked = repeat == 1
-        out = [np.stack([k[marked], doc[marked], at[marked], np.ones(int(marked.sum()), np.int64)], 1)]
-        k, seg, doc, at, start = (a[~marked] for a in (k, seg, doc, at, start))
+        out = [np.stack([k[marked], doc[marked], mark[marked], at[marked], np.ones(int(marked.sum()), np.int64)], 1)]
+        k, seg, doc, mark, at, start = (a[~marked] for a in (k, seg, doc, mark, at, start))
         if not len(k):
             return out[0]
         goes_on = self.k is not None and k[0] == self.k
@@ -124,7 +128,7 @@ class _Meeting:
         if not new_seg[0]:
             h_doc, h_start = np.where(head < 0, self.doc, h_doc), np.where(head < 0, self.start, h_start)
         stands = (doc == h_doc) & (start == h_start)
-        rows = np.stack([k, doc, at, (~stands).astype(np.int64)], 1)
+        rows = np.stack([k, doc, mark, at, (~stands).astype(np.int64)], 1)
         out.append(rows[~stands])
         # segments of each key of this batch, counting what came before for the first
         number = np.cumsum(new_key) - (0 if goes_on else 1)
@@ -144,17 +148,17 @@ class _Meeting:
 
 
 def _met(runs: DataFrame) -> DataFrame:
-    """(k, doc, at, repeat): runs that repeat an equal run, and runs to compare."""
+    """(k, doc, mark, at, repeat): runs that repeat an equal run, and runs to compare."""
 
     def run(batches):
         meeting = _Meeting()
         for batch in batches:
             rows = meeting(*(c.to_numpy(zero_copy_only=False) for c in batch.columns))
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in range(4)],
-                                             names=["k", "doc", "at", "repeat"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in range(5)],
+                                             names=["k", "doc", "mark", "at", "repeat"])
 
     return runs.repartition("k").sortWithinPartitions("k", "seg", "doc", "at") \
-        .mapInArrow(run, "k bigint, doc bigint, at bigint, repeat bigint")
+        .mapInArrow(run, "k bigint, doc bigint, mark bigint, at bigint, repeat bigint")
 
 
 class Columns:
@@ -259,65 +263,68 @@ def _spans_of(flags: int) -> list[tuple[int, int]]:
 
 
 def _compared(segments: DataFrame, size: int) -> DataFrame:
-    """(doc, mark, start, stop) of the repeated strings among (k, doc, at, body) rows."""
+    """(doc, mark, salt, start, stop) of the repeated strings among (k, doc, mark, at, body) rows."""
     width = SPAN - 1 + size  # columns from SPAN - 1 before the anchor to the last window's end
 
     def run(batches):
-        columns, docs, ats = Columns(width), [], []
+        columns, docs, marks, ats = Columns(width), [], [], []
         for batch in batches:
-            _, doc, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            _, doc, mark, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
             lead = _unpack(at)[3]
-            for i, body in enumerate(batch.column(3).to_pylist()):
+            for i, body in enumerate(batch.column(4).to_pylist()):
                 columns.add(SPAN - 1 - int(lead[i]), body)
             docs.append(doc)
+            marks.append(mark)
             ats.append(at)
         if not docs or not columns.rows:
             return
-        doc, at = np.concatenate(docs), np.concatenate(ats)
-        start, mark, windows, lead, _ = _unpack(at)
+        doc, mark, at = np.concatenate(docs), np.concatenate(marks), np.concatenate(ats)
+        start, salt, windows, lead, _ = _unpack(at)
         place = np.lexsort((start + lead, doc))
         step = np.ones(len(place), np.int64)
         step[1:] = (doc[place[1:]] != doc[place[:-1]]) | ((start + lead)[place[1:]] != (start + lead)[place[:-1]])
         rank = np.empty(len(place), np.int64)
         rank[place] = np.cumsum(step)
         flags = repeated_windows(columns, size, windows, lead, rank)
-        rows = [(int(doc[i]), int(mark[i]), int(start[i]) + a, int(start[i]) + b + size)
+        rows = [(int(doc[i]), int(mark[i]), int(salt[i]), int(start[i]) + a, int(start[i]) + b + size)
                 for i in np.flatnonzero(flags) for a, b in _spans_of(int(flags[i]))]
         for first in range(0, len(rows), 10_000):
             part = list(zip(*rows[first:first + 10_000]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in part], names=["doc", "mark", "start", "stop"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in part],
+                                             names=["doc", "mark", "salt", "start", "stop"])
 
-    return segments.repartition("k").mapInArrow(run, "doc bigint, mark bigint, start bigint, stop bigint")
+    return segments.repartition("k").mapInArrow(run, "doc bigint, mark bigint, salt bigint, start bigint, stop bigint")
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
-    """(doc, mark, spans): per document with repeats their byte ranges, unmerged.  ``doc`` is
-    the id (the largest long for NULL), ``mark`` tells rows of one id apart by their text."""
+    """(doc, mark, salt, spans): per document with repeats their byte ranges, unmerged.  ``doc`` is
+    the id (the largest long for NULL), ``mark`` and ``salt`` tell rows of one id apart by their text."""
     keyed = _keyed(docs, doc_id, text)
     met = written(_met(_runs(keyed, size)), "met")
-    start, mark, windows = (F.shiftright("at", 33), F.shiftright("at", 13).bitwiseAND(F.lit((1 << 20) - 1)),
+    start, salt, windows = (F.shiftright("at", 33), F.shiftright("at", 13).bitwiseAND(F.lit((1 << 20) - 1)),
                             F.shiftright("at", 7).bitwiseAND(F.lit(63)) + 1)
-    known = met.filter("repeat = 1").select("doc", mark.alias("mark"), start.alias("start"),
+    known = met.filter("repeat = 1").select("doc", "mark", salt.alias("salt"), start.alias("start"),
                                             (start + windows + (size - 1)).alias("stop"))
-    asked = met.filter("repeat = 0").groupBy("doc", mark.alias("mark")).agg(
+    asked = met.filter("repeat = 0").groupBy("doc", "mark", salt.alias("salt")).agg(
         F.collect_list(F.struct("k", "at")).alias("runs"))  # runs of one text
 
     def cut(batches):
         for batch in batches:
             out = []
-            for doc, body, runs in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, mark, body, runs in zip(*(c.to_pylist() for c in batch.columns)):
                 for r in runs:
                     at = r["at"]
                     first = at >> 33
-                    out.append((r["k"], doc, at, body[first:first + (at >> 7 & 63) + size]))
-            columns = list(zip(*out)) or [()] * 4
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["k", "doc", "at", "body"])
+                    out.append((r["k"], doc, mark, at, body[first:first + (at >> 7 & 63) + size]))
+            columns = list(zip(*out)) or [()] * 5
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                                             names=["k", "doc", "mark", "at", "body"])
 
-    segments = keyed.join(asked, ["doc", "mark"]).select("doc", "text", "runs") \
-        .mapInArrow(cut, "k bigint, doc bigint, at bigint, body binary")
+    segments = keyed.join(asked, ["doc", "mark", "salt"]).select("doc", "mark", "text", "runs") \
+        .mapInArrow(cut, "k bigint, doc bigint, mark bigint, at bigint, body binary")
     compared = written(_compared(segments, size), "compared")
-    return known.union(compared).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return known.union(compared).groupBy("doc", "mark", "salt").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
@@ -345,7 +352,7 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     found = repeats(docs, doc_id, text, size)
     id_type = docs.schema[doc_id].dataType.simpleString()
     keyed = _keyed(docs, doc_id, text)
-    rows = keyed.join(found, ["doc", "mark"], "left").select("doc", "text", "spans")
+    rows = keyed.join(found, ["doc", "mark", "salt"], "left").select("doc", "text", "spans")
 
     def run(batches):
         for batch in batches:

@@ -56,5 +56,13 @@ def test_hot_passage_and_long_text(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_thousands_of_texts_without_an_id(spark):
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passages = [noise(110) for _ in range(40)]
+    rows = [(None, noise(rng.randint(0, 60)) + rng.choice(passages) + noise(rng.randint(0, 60))) for _ in range(6000)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_empty(spark):
     assert S.deduplicate(spark.createDataFrame([], SCHEMA)).count() == 0
