@@ -5,12 +5,15 @@ closes paragraphs, list items, table parts and options where a start tag
 implies it, and lets an end tag close what was left open inside its element.
 The renderer then walks the tree and emits all visible text: blocks on lines
 of their own with blank lines where a page shows a margin, list items with
-markers and indents, preformatted text as it stands, and table cells in
-aligned columns.
+markers and indents, preformatted text as it stands, table cells in aligned
+columns, and the text of formulas, drawings and image maps.
 
 Not visible: the head, scripts, styles, templates, ``hidden`` elements,
 ``display: none`` and ``visibility: hidden`` (inline, or by a simple selector
-of the page's own style sheet), the closed part of ``details``, closed dialogs.
+of the page's own style sheet), the closed part of ``details``, closed dialogs,
+lists of suggestions, what stands in for frames, media and scripts a browser
+runs; of a drawing its title, description and metadata; of a formula its
+annotations, phantoms and all but the first form of ``semantics`` and ``maction``.
 
 Defined results: NULL stays NULL, an empty page or one without visible text
 gives an empty string; broken markup never fails; nesting beyond ``MAX_DEPTH``
@@ -30,7 +33,8 @@ from pyspark.sql import types as T
 from cohortkit.llm.common import with_column
 
 MAX_DEPTH = 400
-MAX_SPAN = 100
+MAX_COLSPAN, MAX_ROWSPAN = 1_000, 65_534  # HTML's own limits
+MAX_START = (1 << 31) - 1  # likewise: a list that starts beyond starts at 1
 PAD = 80  # cells wider than this do not widen their column
 TABLES = 6  # tables nested deeper are rendered as plain blocks
 
@@ -39,12 +43,17 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HEAD = frozenset("base basefont link meta noscript script style template title".split())
 UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video canvas "
-                   "svg math param map".split())
+                   "param".split())
+FOREIGN = frozenset("svg math foreignobject".split())
+FOREIGN_UNSEEN = {"svg": frozenset("title desc metadata".split()),
+                  "math": frozenset("annotation annotation-xml mphantom".split()), "foreignobject": frozenset()}
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre "
                   "search section summary table ul xmp caption thead tbody tfoot tr td th select".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr fieldset menu dir xmp".split())
 CLOSES_P = (BLOCK - frozenset("body html option optgroup caption thead tbody tfoot tr td th select legend".split()))
+#: Parts of drawings and formulas that stand at a place of their own.
+APART = {"svg": frozenset(["text"]), "math": frozenset(["mtd", "mfrac"])}
 #: Start tag -> open elements it closes, up to one of the bounds.
 IMPLIED = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
@@ -66,6 +75,8 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _SELECTOR = re.compile(r"[.#]?[A-Za-z][\w-]*\Z")
+_UNQUOTED_SLASH = re.compile(r"=\s*[^\s\"']*/\Z")  # belongs to the value, closes nothing
+_INTEGER = re.compile(r"[ \t\n\r\f]*([+-]?)(?=[0-9])0*([0-9]*)")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -107,7 +118,11 @@ class TreeBuilder:
             if m[1]:
                 self._end(name)
                 continue
-            self._start(name, _attributes(m[3]) if m[3].strip(" \t\n\r\f/") else {})
+            attrs = _attributes(m[3]) if m[3].strip(" \t\n\r\f/") else {}
+            if m[3][-1:] == "/" and not _UNQUOTED_SLASH.search(m[3]) and (name in FOREIGN or self._in_foreign()):
+                self._empty(name, attrs)
+                continue
+            self._start(name, attrs)
             if name in RAW:
                 close = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*>", re.I).search(page, at)
                 body = page[at:close.start() if close else len(page)]
@@ -118,6 +133,15 @@ class TreeBuilder:
                     self.open[-1].children.append(html.unescape(body) if name == "textarea" else body)
                 self._end(name)
 
+    def _in_foreign(self) -> bool:
+        return next((e.name for e in reversed(self.open) if e.name in FOREIGN), "foreignobject") != "foreignobject"
+
+    def _empty(self, name: str, attrs: dict[str, str]) -> None:
+        """``<name/>`` of a drawing or formula."""
+        if not self.body_seen:
+            self._body()
+        self._push(Element(name, attrs), stays=False)
+
     def _body(self) -> None:
         if not self.body_seen:
             self.body_seen = True
@@ -267,25 +291,44 @@ class Flow:
         return self.lines
 
 
-def _number(value: str | None, default: int = 1) -> int:
-    return min(MAX_SPAN, max(1, int(value))) if value and value.strip().isdecimal() and len(value) < 9 else default
+def _integer(value: str | None, default: int) -> int:
+    """The integer that ``value`` begins with, as HTML reads it."""
+    m = _INTEGER.match(value or "")
+    if m is None:
+        return default
+    return int(m[1] + (m[2][:20] or "0"))
+
+
+def _span(value: str | None, most: int) -> int:
+    return min(most, max(1, _integer(value, 1)))
+
+
+def _first_number(value: str | None) -> int:
+    first = _integer(value, 1)
+    return first if abs(first) <= MAX_START else 1
 
 
 def _table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     """Rows of cells (lines, colspan, rowspan) in aligned columns, two blanks apart."""
     placed: list[dict[int, tuple[list[str], int]]] = []
-    taken: dict[tuple[int, int], bool] = {}
+    taken: list[tuple[int, int, int]] = []  # columns [from, to) that cells from above hold, up to a row
     for y, row in enumerate(rows):
-        cells, x = {}, 0
+        cells, x, i, more = {}, 0, 0, []
         for lines, across, down in row:
-            while taken.pop((y, x), False):
-                x += 1
+            while i < len(taken) and taken[i][0] <= x:
+                x = max(x, taken[i][1])
+                i += 1
             cells[x] = (lines, across)
-            for dy in range(1, min(down, len(rows) - y)):
-                for dx in range(across):
-                    taken[y + dy, x + dx] = True
+            last = min(y + down, len(rows))
+            if last > y + 1:
+                if more and more[-1][1:] == (x, last):
+                    more[-1] = (more[-1][0], x + across, last)
+                else:
+                    more.append((x, x + across, last))
             x += across
         placed.append(cells)
+        if taken or more:
+            taken = sorted([t for t in taken if t[2] > y + 1] + more)
     width: dict[int, int] = {}
     for cells in placed:
         for x, (lines, across) in cells.items():
@@ -314,7 +357,7 @@ def render(page: str | None) -> str | None:
         return None
     tree = TreeBuilder(page)
     hidden = _hidden_selectors(tree.styles)
-    flows, tables, lists = [Flow()], [], []
+    flows, tables, lists, foreign = [Flow()], [], [], []
     todo: list = [(tree.root, False, False)]
     while todo:
         node, leaving, pre = todo.pop()
@@ -325,7 +368,12 @@ def render(page: str | None) -> str | None:
             continue
         name = node.name
         in_table = bool(tables) and len(tables) <= TABLES
+        kind = foreign[-1] if foreign else ""
         if leaving:
+            if name in FOREIGN:
+                foreign.pop()
+            if name in APART.get(kind, ()):
+                flow.text(" ", False)
             if name in ("ul", "ol", "menu", "dir"):
                 flow.indent -= 1
                 lists.pop()
@@ -341,7 +389,8 @@ def render(page: str | None) -> str | None:
                 rows = tables[-1]
                 if not rows:
                     rows.append([])
-                rows[-1].append((lines, _number(node.attrs.get("colspan")), _number(node.attrs.get("rowspan"))))
+                rows[-1].append((lines, _span(node.attrs.get("colspan"), MAX_COLSPAN),
+                                 _span(node.attrs.get("rowspan"), MAX_ROWSPAN)))
             elif name == "table":
                 rows = tables.pop()
                 flow.block(True)
@@ -352,8 +401,12 @@ def render(page: str | None) -> str | None:
             elif name in BLOCK:
                 flow.block(name in SPACED)
             continue
-        if not _visible(node, hidden):
+        if not _visible(node, hidden) or (kind and name in FOREIGN_UNSEEN[kind]):
             continue
+        if name in FOREIGN:
+            foreign.append(name)
+        if name in APART.get(kind, ()):
+            flow.text(" ", False)
         if name == "br":
             flow.newline()
             continue
@@ -367,7 +420,7 @@ def render(page: str | None) -> str | None:
             flow.block(name in SPACED and not (name in ("ul", "ol", "menu", "dir") and lists))
         if name in ("ul", "ol", "menu", "dir"):
             flow.indent += 1
-            lists.append([name, _number(node.attrs.get("start")) - 1])
+            lists.append([name, _first_number(node.attrs.get("start")) - 1])
         elif name == "li":
             if lists and lists[-1][0] == "ol":
                 lists[-1][1] += 1
@@ -387,6 +440,10 @@ def render(page: str | None) -> str | None:
         children = node.children
         if name == "details" and "open" not in node.attrs:
             children = [c for c in children if isinstance(c, Element) and c.name == "summary"][:1]
+        if kind == "math" and name in ("semantics", "maction"):
+            children = [c for c in children if isinstance(c, Element)][:1]
+        elif kind == "math" and name == "mfrac":
+            children = [part for c in children for part in (" ", c)]
         if in_table and name in ("table", "tr", "thead", "tbody", "tfoot"):
             children = [c for c in children if not isinstance(c, str) or c.strip()]
         if name == "pre" and children and isinstance(children[0], str) and children[0][:1] == "\n":

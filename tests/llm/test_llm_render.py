@@ -29,6 +29,40 @@ def test_cases(page, text):
     assert R.render(page) == text
 
 
+MORE = [
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds", "so x=2 holds"),
+    ("<math><semantics><mi>y</mi><annotation>\\y</annotation></semantics><mphantom>no</mphantom></math>", "y"),
+    ("<math><mfrac><mn>1</mn><mn>2</mn></mfrac></math>", "1 2"),
+    ("a<svg><title>t</title><desc>d</desc><style>s</style><script>x</script><rect width=5 />"
+     "<text>Jan</text><text>Feb <tspan>1</tspan></text></svg>b", "a Jan Feb 1 b"),
+    ("<svg><title/><desc/><text x='1'>Oil</text></svg>", "Oil"),
+    ("<svg><foreignObject><p>in<desc>html</desc></p></foreignObject></svg>", "inhtml"),
+    ("<map name=m><a href=#>North</a><area href=x></map>", "North"),
+    ("<div/>a<p/>b", "a\n\nb"), ("<svg/>a<math/>b", "ab"), ("a<svg><text>b", "a b"),
+    ("<ol start=250><li>a<li>b</ol>", "250. a\n251. b"), ("<ol start=0><li>a</ol>", "  0. a"),
+    ("<ol start=-1><li>a<li>b</ol>", "-1. a\n0. b"), ("<ol start=x><li>a</ol>", "1. a"),
+    ("<ol start=99999999999><li>a</ol>", "1. a"),
+    ("<table><tr><td colspan=300>w<td>x<tr>" + "<td>c" * 300 + "<td>y</table>",
+     "w" + " " * 899 + "x\n" + "c  " * 300 + "y"),
+]
+
+
+@pytest.mark.parametrize("page,text", MORE)
+def test_formulas_drawings_maps_and_numbers(page, text):
+    assert R.render(page).strip() == text.strip()
+
+
+def test_long_row_span():
+    page = "<table><tr><td rowspan=300>r<td>0" + "".join(f"<tr><td>{i}" for i in range(1, 302)) + "</table>"
+    lines = R.render(page).split("\n")
+    assert lines[0] == "r    0" and lines[299] == "     299" and lines[300] == "300" and len(lines) == 302
+
+
+def test_spans_of_any_size_stay_cheap():
+    page = "<table><tr>" + "<td colspan=1000 rowspan=65534>a" * 2_000 + "<tr><td>b" * 2_000 + "</table>"
+    assert R.render(page).count("b") == 2_000
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<ul>", "<li>", "</ul>", "<table>", "<tr>", "<td colspan=3>", "<td rowspan=9>", "</table>", "<b>", "</b>",
                                  "<pre>", "</pre>", "x", " y\n", "<div>", "</div>", "<br>", "<select><option>", "<h1>", "&lt;", "<!--", "-->", "<textarea>"]), max_size=25))
