@@ -2,8 +2,11 @@
 
 Presence of hashed character n-grams, each scaled by its log-count ratio
 between the two classes (estimated on the training rows), goes into an
-L2-regularised logistic regression.  Buckets whose ratio does not stand out
-from sampling noise get weight 0, so a very long clean text gathers none.
+L2-regularised logistic regression.  Ratios are shrunk by ``1 - log(n) / G``, with
+``G`` the likelihood-ratio statistic of bucket and class over ``n`` votes: absence
+from one class counts as what it is, and a bucket for which equal rates are the
+likelier model (by Schwarz's criterion) gets 0, so a very long clean text
+gathers none.  No other limit holds on buckets; the penalty weighs the rest.
 
 Training uses a bounded, deterministic sample: the ``max_per_class`` labelled
 rows of each class with the smallest hash of their id.  Only that sample is
@@ -35,7 +38,6 @@ from cohortkit.llm.ngrams import buckets, code_points, present
 ORDERS = (3, 4, 5, 6)
 BITS = 20
 MAX_PER_CLASS = 2_500
-MAX_FEATURES = 1_500
 
 
 @dataclass(frozen=True)
@@ -61,8 +63,7 @@ class Model:
 
 
 def fit(texts: list[bytes | None], labels: list[int], share: float | None = None, orders=ORDERS, bits=BITS,
-        smoothing: float = 1.0, min_z: float = 5.0, max_features: int = MAX_FEATURES, ridge: float = 0.01,
-        steps: int = 400) -> Model:
+        smoothing: float = 1.0, ridge: float = 0.01, steps: int = 400) -> Model:
     """Train on texts with 0/1 labels; ``share`` is the share of label 1 among all
     labelled rows, for samples drawn per class.  Near copies share one vote."""
     unique = list(dict.fromkeys((text or b"", int(label)) for text, label in zip(texts, labels)))
@@ -78,35 +79,40 @@ def fit(texts: list[bytes | None], labels: list[int], share: float | None = None
     df1, df0 = np.zeros(1 << bits), np.zeros(1 << bits)
     for (text, label), v in zip(unique, vote):
         (df1 if label else df0)[present(code_points(text), orders, bits)] += v
-    p, q = df1 + smoothing, df0 + smoothing
+    n = n1 + n0
+    p, q = df1 + 2 * smoothing * n1 / n, df0 + 2 * smoothing * n0 / n  # unseen: equal rates
     ratio = np.log(p / (n1 + 2 * smoothing)) - np.log(q / (n0 + 2 * smoothing))
-    noise = np.sqrt(1 / p - 1 / (n1 + 2 * smoothing) + 1 / q - 1 / (n0 + 2 * smoothing))
-    clear = np.abs(ratio) / noise
-    index = np.flatnonzero(clear > min_z)
-    index = np.sort(index[np.argsort(-clear[index], kind="stable")[:max_features]])
+    found = _evidence(df1, df0, n1, n0)
+    index = np.flatnonzero(found > math.log(n))
     if not len(index):
         return Model(math.log(share / (1 - share)), nothing, np.empty(0), orders, bits)
+    ratio = ratio[index] * (1 - math.log(n) / found[index])
     # a second look at the texts: all their n-grams at once would not fit a worker
-    x = np.zeros((len(unique), len(index) + 1), np.float32)
-    for i, (text, _) in enumerate(unique):
-        at = np.flatnonzero(np.isin(index, present(code_points(text), orders, bits), assume_unique=True))
-        x[i, at] = ratio[index[at]]
-    scale = 1.0 / max(1.0, float(np.sqrt((x * x).sum(1)).max()))
-    x *= scale
-    x[:, -1] = 1.0
+    column = np.full(1 << bits, -1, np.int32)
+    column[index] = np.arange(len(index))
+    rows = []
+    for text, _ in unique:
+        at = column[present(code_points(text), orders, bits)]
+        rows.append(at[at >= 0])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(at) for at in rows])
+    at = np.concatenate(rows)
+    norms = np.bincount(row, weights=(ratio * ratio)[at], minlength=len(rows))
+    scale = 1.0 / max(1.0, math.sqrt(float(norms.max())))
+    ratio *= scale
     # class weights restore the share of label 1 among all labelled rows
     weight = np.where(y > 0, share / n1, (1 - share) / n0) * vote * len(y)
-    penalty = np.full(x.shape[1], ridge / len(y))
+    penalty = np.full(len(index) + 1, ridge / len(y))
     penalty[-1] = 0.0
-    w = np.zeros(x.shape[1])
+    w = np.zeros(len(index) + 1)
     w[-1] = math.log(share / (1 - share))
     # gradient descent with Nesterov steps; the rows have norm at most sqrt(2)
-    rate = 1.0 / (0.25 * float((weight * (x * x).sum(1)).sum()) / len(y) + penalty.max())
+    rate = 1.0 / (0.25 * float((weight * (norms * scale * scale + 1.0)).sum()) / len(y) + penalty.max())
     z, t = w.copy(), 1.0
     for _ in range(steps):
         with np.errstate(over="ignore"):
-            pred = 1 / (1 + np.exp(-(x @ z)))
-        grad = x.T @ (weight * (pred - y)) / len(y) + penalty * z
+            pred = 1 / (1 + np.exp(-(np.bincount(row, weights=(z[:-1] * ratio)[at], minlength=len(y)) + z[-1])))
+        miss = weight * (pred - y) / len(y)
+        grad = np.append(np.bincount(at, weights=miss[row], minlength=len(index)) * ratio, miss.sum()) + penalty * z
         new = z - rate * grad
         t_new = (1 + math.sqrt(1 + 4 * t * t)) / 2
         z = new + (t - 1) / t_new * (new - w)
@@ -114,7 +120,18 @@ def fit(texts: list[bytes | None], labels: list[int], share: float | None = None
         w, t = new, t_new
         if done:
             break
-    return Model(float(w[-1]), index, w[:-1] * ratio[index] * scale, orders, bits)
+    return Model(float(w[-1]), index, w[:-1] * ratio, orders, bits)
+
+
+def _evidence(df1: np.ndarray, df0: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Likelihood-ratio statistic ``G`` of each bucket's presence against the class."""
+    n = n1 + n0
+    both = df1 + df0
+    out = np.zeros(len(both))
+    for seen, of, total in ((df1, n1, both), (df0, n0, both), (n1 - df1, n1, n - both), (n0 - df0, n0, n - both)):
+        some = seen > 1e-9
+        out[some] += 2 * seen[some] * np.log(seen[some] * n / (of * total[some]))
+    return out
 
 
 def _votes(unique: list[tuple[bytes, int]], width: int = 5, sketches: int = 4) -> np.ndarray:

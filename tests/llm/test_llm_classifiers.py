@@ -34,6 +34,28 @@ def test_toxicity_held_out_accuracy(spark):
     assert all(0 <= s <= 1 for s in got.values())
 
 
+@pytest.mark.parametrize("n,markers", [(70, 1), (1500, 20)])
+def test_toxicity_markers_that_no_clean_text_has(n, markers):
+    rng = random.Random(8)
+    plain = [t for _, t, y in toxic_rows(2 * n) if not y]
+    bad = ["".join(rng.choices("bcdfgjkmpquvwxyz", k=6)) for _ in range(markers)]
+    rows = [(f"{t} {bad[i % markers]} {plain[i]}" if i % 6 == 0 else t, int(i % 6 == 0)) for i, t in enumerate(plain[:n])]
+    model = toxicity.fit([t.encode() for t, _ in rows], [y for _, y in rows])
+    unseen = [f"{t} {bad[6 * i % markers]}" for i, t in enumerate(plain[n:n + 60])]
+    assert np.mean(np.array(model.scores([t.encode() for t in unseen])) >= 0.5) > 0.9
+    assert np.mean(np.array(model.scores([t.encode() for t in plain[n:n + 60]])) >= 0.5) < 0.1
+
+
+@pytest.mark.parametrize("sf,least", [("sf0.001", 1.0), ("sf0.01", 0.6)])
+def test_toxicity_held_out_recall_on_given_tables(spark, sf, least):
+    from cohortkit.llm.common import crc_fold, table
+    docs, labels = (table(spark, f"/root/testdata/{sf}", t) for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    held = docs.join(labels.filter(crc_fold(labels["doc_id"]) == 0).select("doc_id", "toxic"), "doc_id")
+    got = [(r._s >= 0.5, r.toxic) for r in toxicity.score(held, model, name="_s").select("_s", "toxic").collect()]
+    assert np.mean([p for p, y in got if y]) >= least and not any(p for p, y in got if y == 0)
+
+
 def test_toxicity_edges(spark):
     docs = spark.createDataFrame([(1, None, "x"), (1, "", "x"), (None, "a " * 50_000, "x"), (2, "ok", "x"), (2, "ok", "x")],
                                  "doc_id long, text string, predicted string")
