@@ -8,11 +8,15 @@ its distinct output rows *before* the anti join (an anti join only removes
 rows, so the result is the same): the reduction combines map-side, and a
 member with a huge history reaches the join as a few rows, not as its lines.
 Cohorts whose parts come from the order fact alone (A6, A14, A15) read it once:
-the parts travel as bits of one member aggregate.
+the parts travel as bits of one member aggregate.  There an anti join keeps
+lines without a member id, as its key test is never true for them.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,36 +70,51 @@ def retain_base(orders: DataFrame, p: KpiParams) -> DataFrame:
 _EARLY, _RETAINED, _PAID_YTD = 1, 2, 4
 
 
-def _member_bits(orders: DataFrame, p: KpiParams, *group: str) -> DataFrame:
+def _member_bits(orders: DataFrame, p: KpiParams, wanted: int, *group: str) -> DataFrame:
     """One read of the fact: per (member id, ``group``) what its effective lines prove,
-    as bits.  Members with a long history come down to a few rows map-side."""
-    day, paid = F.col("date_id"), F.col("order_paid_time")
+    as bits.  Members with a long history come down to a few rows map-side.
+
+    Only lines that prove a ``wanted`` bit are read, so a reader that asks for
+    date bits keeps the date bound of its scan.  Lines without a member come
+    down to one row per ``group`` like a member's; no purchase is theirs, so
+    they never get ``_PAID_YTD``.
+    """
+    day, paid, known = F.col("date_id"), F.col("order_paid_time"), F.col("crm_member_id").isNotNull()
     clean = is_true(F.col("distributor_name") != p.excluded_distributor)
-    early, retained = clean & (day < F.lit(p.retain_start)), clean & in_range(day, p.retain_start, p.ytd_start)
-    bought = is_true(in_range(paid, p.ytd_start, p.end))
-    bit = lambda cond, value: F.when(cond, F.lit(value)).otherwise(F.lit(0))
-    lines = effective_lines(orders, p).where(F.col("crm_member_id").isNotNull() & (early | retained | bought))
-    return lines.groupBy("crm_member_id", *group).agg(
-        F.bit_or(bit(early, _EARLY) + bit(retained, _RETAINED) + bit(bought, _PAID_YTD)).alias("bits"))
+    proof = {_EARLY: clean & (day < F.lit(p.retain_start)),
+             _RETAINED: clean & in_range(day, p.retain_start, p.ytd_start),
+             _PAID_YTD: known & is_true(in_range(paid, p.ytd_start, p.end))}
+    asked = {bit: cond for bit, cond in proof.items() if wanted & bit}
+    lines = effective_lines(orders, p).where(reduce(or_, asked.values()))
+    if not wanted & _PAID_YTD:
+        lines = lines.where(day < F.lit(p.ytd_start if wanted & _RETAINED else p.retain_start))
+    bits = reduce(add, (F.when(cond, F.lit(bit)).otherwise(F.lit(0)) for bit, cond in asked.items()))
+    return lines.groupBy("crm_member_id", *group).agg(F.bit_or(bits).alias("bits"))
 
 
 def _bit(name: str, value: int):
     return F.col(name).bitwiseAND(F.lit(value)) != 0
 
 
-def _reactivation(orders: DataFrame, p: KpiParams) -> DataFrame:
-    """(member id, distributor) with an early purchase, the integer key not retained;
-    ``of_id`` has the bits of all distributors of the id."""
-    rows = _member_bits(orders, p, "distributor_name").withColumn("__key", member_key(F.col("crm_member_id")))
-    rows = rows.withColumns({
-        "of_key": F.bit_or("bits").over(Window.partitionBy("__key")),
-        "of_id": F.bit_or("bits").over(Window.partitionBy("__key", "crm_member_id"))})
-    return rows.where(_bit("bits", _EARLY) & ~_bit("of_key", _RETAINED))
+def _reactivation(orders: DataFrame, p: KpiParams, wanted: int) -> DataFrame:
+    """(member id, distributor) with an early purchase, the integer key not retained.
+
+    A missing id equals no key, so its rows pass; each is a window
+    partition of its own (``__apart``) and sees its own bits only.
+    """
+    rows = _member_bits(orders, p, wanted, "distributor_name").withColumns({
+        "__key": member_key(F.col("crm_member_id")),
+        "__apart": F.when(F.col("crm_member_id").isNull(), F.col("distributor_name"))})
+    of_key = {"of_key": F.bit_or("bits").over(Window.partitionBy("__key", "__apart"))}
+    if wanted & _PAID_YTD:  # what is paid counts for the id as written, at all distributors
+        of_key["of_id"] = F.bit_or("bits").over(Window.partitionBy("__key", "__apart", "crm_member_id"))
+    rows = rows.withColumns(of_key)
+    return rows.where(_bit("bits", _EARLY) & (F.col("crm_member_id").isNull() | ~_bit("of_key", _RETAINED)))
 
 
 def reactivate_base(orders: DataFrame, p: KpiParams) -> DataFrame:
     """(member, distributor) who bought before retain_start and are not retained."""
-    return _reactivation(orders, p).select("crm_member_id", "distributor_name")
+    return _reactivation(orders, p, _EARLY | _RETAINED).select("crm_member_id", "distributor_name")
 
 
 def ytd_first_purchase_base(orders: DataFrame, p: KpiParams) -> DataFrame:
@@ -118,9 +137,11 @@ def other_channel_base(orders: DataFrame, members: DataFrame, p: KpiParams) -> D
 
 def not_retained(orders: DataFrame, p: KpiParams) -> DataFrame:
     """Retained-window buyers with no purchase paid in [ytd_start, end)."""
-    return _member_bits(orders, p).where(_bit("bits", _RETAINED) & ~_bit("bits", _PAID_YTD)).select("crm_member_id")
+    rows = _member_bits(orders, p, _RETAINED | _PAID_YTD)
+    return rows.where(_bit("bits", _RETAINED) & ~_bit("bits", _PAID_YTD)).select("crm_member_id")
 
 
 def not_reactivated(orders: DataFrame, p: KpiParams) -> DataFrame:
     """Reactivation candidates with no purchase paid in [ytd_start, end)."""
-    return _reactivation(orders, p).where(~_bit("of_id", _PAID_YTD)).select("crm_member_id", "distributor_name")
+    rows = _reactivation(orders, p, _EARLY | _RETAINED | _PAID_YTD)
+    return rows.where(~_bit("of_id", _PAID_YTD)).select("crm_member_id", "distributor_name")

@@ -117,17 +117,21 @@ register("retain_base",
          "SELECT DISTINCT crm_member_id, distributor_name FROM line_facts "
          "WHERE counted AND eff AND inside AND in_retain")(
     lambda t, p: cohorts.retain_base(t.member_orders, p))
-_EARLY_ROWS = ("SELECT DISTINCT crm_member_id, distributor_name FROM line_facts JOIN standing ON id = crm_member_id "
-               "WHERE counted AND eff AND inside AND date_id < DATE '{rs}' AND is_reactivate")
+# NOT EXISTS keeps rows without a member id, as the statement's anti joins do
+_EARLY_ROWS = ("SELECT DISTINCT crm_member_id, distributor_name FROM line_facts l "
+               "WHERE counted AND eff AND inside AND date_id < DATE '{rs}' "
+               "AND NOT EXISTS (SELECT 1 FROM key_standing f WHERE f.k = l.k AND f.is_retain)")
+_UNPAID = " AND NOT EXISTS (SELECT 1 FROM bought b WHERE b.id = l.crm_member_id AND b.paid_ytd)"
 register("reactivate_base", _EARLY_ROWS)(
     lambda t, p: cohorts.reactivate_base(t.member_orders, p))
 register("ytd_first_purchase_base", "SELECT id AS crm_member_id FROM standing WHERE is_ytd_first")(
     lambda t, p: cohorts.ytd_first_purchase_base(t.member_orders, p))
 register("other_channel_base", "SELECT id AS crm_member_id FROM standing WHERE is_other")(
     lambda t, p: cohorts.other_channel_base(t.member_orders, t.members, p))
-register("not_retained", "SELECT id AS crm_member_id FROM standing WHERE is_retain AND NOT paid_ytd")(
+register("not_retained",
+         "SELECT DISTINCT crm_member_id FROM line_facts l WHERE counted AND eff AND inside AND in_retain" + _UNPAID)(
     lambda t, p: cohorts.not_retained(t.member_orders, p))
-register("not_reactivated", _EARLY_ROWS + " AND NOT paid_ytd")(
+register("not_reactivated", _EARLY_ROWS + _UNPAID)(
     lambda t, p: cohorts.not_reactivated(t.member_orders, p))
 
 # --- recency (A9-A13, A16-A19, AX1) ------------------------------------------

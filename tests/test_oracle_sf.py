@@ -41,4 +41,12 @@ def test_entry_contract(spark):
     assert df.columns == ["member_type", "ttl_sales", "traffic", "registration_rate", "member_base",
                           "CR", "member_shopper", "member_frequency", "member_atv", "member_sales",
                           "still_need_to_recall"]
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    # every key of the library has its SQL (the corpus operators, where present, have their own test)
+    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) <= set(entry.queries()) and set(oracle_sql()) <= set(entry.oracle_sql())
+
+
+@needs_data
+def test_anti_joins_keep_rows_without_a_member(spark):
+    found = {key: queries()[key](spark, MEDIUM).count() for key in ("reactivate_base", "not_retained", "not_reactivated")}
+    assert found == {"reactivate_base": 620, "not_retained": 179, "not_reactivated": 521}

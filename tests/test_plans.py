@@ -39,6 +39,17 @@ def test_cohorts_of_the_fact_alone_read_it_once(tables):
         assert plan(df).split("== Initial Plan ==")[0].count("lineitem.parquet") == 1
 
 
+def test_lapsed_reads_keep_their_date_bound(spark, tables):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        text = plan(cohorts.reactivate_base(tables.member_orders, P)).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = next(line for line in text.splitlines() if "FileScan" in line and "orders.parquet" in line)
+    assert f"LessThan(o_orderdate,{P.ytd_start}" in pushed
+    assert text.count("Window ") == 1
+
+
 def test_line_join_reads_three_profile_columns_and_a_flag(tables):
     w = WeeklyKpi(tables, P)
     text = plan(w.order_grain)
