@@ -16,6 +16,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from cohortkit.params import KpiParams
+from cohortkit.plans.materialize import run_folder
 from cohortkit.plans.weekly import weekly_kpi
 from cohortkit.session import configure
 from cohortkit.sources import read_tables, tpch_tables
@@ -54,12 +55,13 @@ def main(argv=None) -> None:
         tables = tpch_tables(spark, args.tpch_dir, params.traffic_agg_type)
     else:
         tables = read_tables(spark, args.member_orders, args.members, args.store_traffic)
-    report = weekly_kpi(tables, params)
-    if args.out:
-        writer = report.coalesce(1).write.mode("overwrite")
-        (writer.option("header", True).csv(args.out) if args.format == "csv" else writer.parquet(args.out))
-    else:
-        report.show(truncate=False)
+    with run_folder(spark):  # the member profile's table goes when the report is out
+        report = weekly_kpi(tables, params)
+        if args.out:
+            writer = report.coalesce(1).write.mode("overwrite")
+            (writer.option("header", True).csv(args.out) if args.format == "csv" else writer.parquet(args.out))
+        else:
+            report.show(truncate=False)
 
 
 if __name__ == "__main__":

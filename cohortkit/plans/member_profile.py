@@ -18,12 +18,14 @@ The statement counts ids as they are written, but attaches member sets to
 lines by the integer value of the id, so ``'7'`` and ``'07'`` are two members
 of every count and one member of every join.  The profile therefore has one
 row per written id, and what holds for the integer key (``any_``, the segment
-codes) is taken over the key's rows, nearly always one.
+codes) is taken over the key's rows, nearly always one: two spellings need an
+id that differs from its key's digits, and only keys with such an id are
+gathered.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.columns import in_range, is_true, member_key, upper_like
@@ -38,6 +40,10 @@ from cohortkit.operators.purchases import (
 from cohortkit.operators.recency import bucket_code
 from cohortkit.operators.ytd import ytd_lines, ytd_orders
 from cohortkit.params import KpiParams
+from cohortkit.plans.materialize import materialize, write_table
+
+# ids not written as their key, up to which their keys (8 bytes each) are broadcast
+MAX_BROADCAST_KEYS = 100_000
 
 KEY = "member_key"
 ID = "member_id"  # the id as written
@@ -116,8 +122,8 @@ def _joined(members: DataFrame, p: KpiParams) -> DataFrame:
         _bits(joined_in_period=in_range(day, p.start, p.end), joined_before_s=day < F.lit(p.start)))
 
 
-def member_profile(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataFrame:
-    """Member-level flags; one row per member id as written."""
+def member_facts(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataFrame:
+    """What the inputs say of each member id as written, one row per id: one hash aggregate."""
     parts = (_history(orders, p)
              .unionByName(_ytd(orders, p), allowMissingColumns=True)
              .unionByName(_joined(members, p), allowMissingColumns=True))
@@ -129,23 +135,81 @@ def member_profile(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataF
         F.sum("ytd_eff_order").alias("ytd_orders"),
         (F.sum("ytd_pos") - F.sum("ytd_neg")).alias("ytd_sales"),
     )
-    return derive_flags(agg, p)
-
-
-def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
-    """Cohort flags and segment codes from the member aggregate."""
     # first_code = 2 * micros(first paid) + other-channel bit (see first_purchase_code)
     first_day = first_code_day(F.col("first_code"))
+    return agg.select(
+        KEY, ID, "flags",
+        bucket_code("last_paid_s", p.start, p.recency_edges).alias("recency_start"),
+        bucket_code("last_paid_e", p.end, p.recency_edges).alias("recency_end"),
+        (is_true(in_range(first_day, p.start, p.end)) & is_true(first_code_other(F.col("first_code"))))
+        .alias("first_other"),
+        is_true(in_range(first_day, p.ytd_start, p.start)).alias("is_ytd_first"),
+        "ytd_orders", "ytd_sales")
+
+
+def spelled_otherwise() -> F.Column:
+    """The id is not written as its key: only then a key can have a second spelling."""
+    return F.col(ID) != F.col(KEY).cast("string")
+
+
+def _facts_of_key(facts: DataFrame) -> DataFrame:
+    """Facts with what holds for any row of the key, over ``facts`` with all rows of a key."""
     of_key = Window.partitionBy(KEY)
-    agg = agg.withColumns({
-        "recency_start": bucket_code("last_paid_s", p.start, p.recency_edges),
-        "first_other": is_true(in_range(first_day, p.start, p.end)) & is_true(first_code_other(F.col("first_code"))),
-    }).withColumns({
+    return facts.withColumns({
         "any_flags": F.bit_or("flags").over(of_key),
         "any_recency": F.min("recency_start").over(of_key),
         "any_first_other": F.max("first_other").over(of_key),
         "first_of_key": F.min(ID).over(of_key) == F.col(ID),
     })
+
+
+def _own_facts(facts: DataFrame) -> DataFrame:
+    """Facts of keys with one row: the row speaks for the key."""
+    return facts.withColumns({"any_flags": F.col("flags"), "any_recency": F.col("recency_start"),
+                              "any_first_other": F.col("first_other"), "first_of_key": F.lit(True)})
+
+
+def _with_key_facts(facts: DataFrame, n_otherwise: int) -> DataFrame:
+    """Facts of written ids with their key's, where ``n_otherwise`` ids are not written
+    as their key.
+
+    Without any, each key has one row.  A window gathers only the keys such
+    an id has; the other rows stay where they are if the keys are few enough
+    to broadcast, by their count.
+    """
+    if not n_otherwise:
+        return _own_facts(facts)
+    keys = facts.where(spelled_otherwise()).select(KEY).distinct()
+    if n_otherwise <= MAX_BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return _facts_of_key(facts.join(keys, KEY, "left_semi")).unionByName(
+        _own_facts(facts.join(keys, KEY, "left_anti")))
+
+
+def member_profile(orders: DataFrame, members: DataFrame, p: KpiParams, mode: str = "table") -> DataFrame:
+    """Member-level flags; one row per member id as written.
+
+    The facts are written once (see :mod:`cohortkit.plans.materialize`) and
+    the flags computed as they are read.  With ``mode`` ``none`` nothing is
+    written, so spellings can't be counted first and a window over the key
+    finds them.
+    """
+    facts = member_facts(orders, members, p)
+    if mode == "none":
+        return derive_flags(_facts_of_key(facts))
+    if mode == "table":
+        seen = Observation()
+        facts = write_table(facts, "member_facts",
+                            (seen, F.count(F.when(spelled_otherwise(), F.lit(1))).alias("otherwise")))
+        n_otherwise = seen.get["otherwise"]
+    else:
+        facts = materialize(facts, "member_facts", mode)
+        n_otherwise = facts.where(spelled_otherwise()).count()
+    return derive_flags(_with_key_facts(facts, n_otherwise))
+
+
+def derive_flags(facts: DataFrame) -> DataFrame:
+    """Cohort flags and segment codes from the facts of an id and of its key."""
     key_new = has("joined_in_period", "any_flags")
     key_bought = has("bought_before_s", "any_flags")
     key_retain = has("in_retain", "any_flags")
@@ -153,9 +217,7 @@ def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
     is_never = has("joined_before_s") & ~key_bought
     is_retain = has("in_retain")
     is_reactivate = has("bought_before_rs") & ~key_retain
-    is_ytd_first = is_true(in_range(first_day, p.ytd_start, p.start))
     is_other = F.col("first_other") & ~key_new
-    recency_e = bucket_code("last_paid_e", p.end, p.recency_edges)
     key_never = has("joined_before_s", "any_flags") & ~key_bought
     key_reactivate = has("bought_before_rs", "any_flags") & ~key_retain
     key_other = F.col("any_first_other") & ~key_new
@@ -169,16 +231,16 @@ def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
               .when(key_never, C[L.NEVER_PURCHASED])
               .when(F.col("any_recency").isNotNull(), F.col("any_recency"))
               .when(key_other, C[L.OTHER_CHANNEL]))
-    return agg.select(
+    return facts.select(
         KEY, ID, "first_of_key",
         is_new.alias("is_new"),
         is_never.alias("is_never"),
         is_retain.alias("is_retain"),
         is_reactivate.alias("is_reactivate"),
-        is_ytd_first.alias("is_ytd_first"),
+        "is_ytd_first",
         is_other.alias("is_other_channel"),
         "recency_start",
-        recency_e.alias("recency_end"),
+        "recency_end",
         (is_retain & ~has("bought_ytd")).alias("not_retained"),
         (is_reactivate & ~has("bought_ytd")).alias("not_reactivated"),
         has("ytd_shopper").alias("ytd_shopper"),

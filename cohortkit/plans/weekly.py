@@ -29,7 +29,7 @@ from cohortkit.operators import report, summaries
 from cohortkit.operators.segments import order_grain, segmented_lines
 from cohortkit.operators.traffic import traffic_total
 from cohortkit.params import KpiParams
-from cohortkit.plans.materialize import drop, materialize
+from cohortkit.plans.materialize import drop
 from cohortkit.plans.member_profile import member_profile
 from cohortkit.sources import Tables
 
@@ -45,12 +45,10 @@ class WeeklyKpi:
 
     @cached_property
     def profile(self) -> DataFrame:
-        return materialize(
-            member_profile(self.tables.member_orders, self.tables.members, self.params),
-            "member_profile", self.materialize)
+        return member_profile(self.tables.member_orders, self.tables.members, self.params, self.materialize)
 
     def release(self) -> None:
-        """Remove the profile's written table (the frames built on it can't be read any more)."""
+        """Remove the facts written for the profile (the frames built on it can't be read any more)."""
         if self.materialize == "table" and "profile" in self.__dict__:
             drop(self.profile)
 
@@ -137,7 +135,7 @@ def weekly_kpi(tables: Tables, params: KpiParams | None = None,
     """The report: up to 15 rows x 11 columns, in no particular order.
 
     Building the frame runs the profile job (unless ``materialize`` is ``none``
-    or ``persist``); use :class:`WeeklyKpi` and its ``release`` to remove the
-    profile's table when the report has been read.
+    or ``persist``).  Its table goes when the enclosing ``run_folder`` block or
+    the application ends; :class:`WeeklyKpi` has ``release`` for it.
     """
     return WeeklyKpi(tables, params or KpiParams(), materialize).report

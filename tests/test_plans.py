@@ -6,7 +6,8 @@ import pytest
 
 from cohortkit.operators import cohorts
 from cohortkit.params import KpiParams
-from cohortkit.plans.member_profile import member_profile
+from cohortkit.plans import member_profile as member_profile_module
+from cohortkit.plans.member_profile import member_facts, member_profile
 from cohortkit.plans.registry import queries
 from cohortkit.plans.weekly import WeeklyKpi
 from cohortkit.sources import tpch_tables
@@ -53,7 +54,9 @@ def test_lapsed_reads_keep_their_date_bound(spark, tables):
 def test_line_join_reads_three_profile_columns_and_a_flag(tables):
     w = WeeklyKpi(tables, P)
     text = plan(w.order_grain)
-    assert "ReadSchema: struct<member_key:bigint,first_of_key:boolean,seg_v1:int,seg_v2:int>" in text
+    # the facts both codes come from; no window, as every id is written as its key
+    assert "ReadSchema: struct<member_key:bigint,flags:int,recency_start:int,first_other:boolean>" in text
+    assert "Window" not in text
     folder = w.profile.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
     assert os.path.isdir(folder)
     w.release()
@@ -74,10 +77,31 @@ def test_two_key_join_leaves_non_members_out(spark):
 
 
 def test_member_profile_is_one_hash_aggregate(tables):
-    text = plan(member_profile(tables.member_orders, tables.members, P))
+    text = plan(member_facts(tables.member_orders, tables.members, P))
     assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
-    # the YTD (member, order) step, the profile, and one row per id for the window over the key
-    assert text.count("Exchange hashpartitioning") == 3
+    # the YTD (member, order) step and the facts
+    assert text.count("Exchange hashpartitioning") == 2 and "Window" not in text
+    assert "Exchange" not in plan(member_profile(tables.member_orders, tables.members, P))
+
+
+def test_only_keys_spelled_twice_are_gathered(spark):
+    import fixtures as fx
+
+    ids = [fx.line(i, n, fx.T(2024, 1, 9)) for n, i in enumerate(("7", "07", "8", "09", "10"))]
+    t = fx.spark_tables(spark, ids)
+    profile = member_profile(t.member_orders, t.members, fx.PARAMS)
+    text = plan(profile).split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text and "LeftAnti" in text and text.count("Window ") == 1
+    found = {r.member_id: r.first_of_key for r in profile.collect()}
+    assert {k for k in found if found[k]} >= {"07", "8", "09", "10"} and not found["7"]
+    same = {tuple(r) for r in member_profile(t.member_orders, t.members, fx.PARAMS, "none").collect()}
+    assert same == {tuple(r) for r in profile.collect()}
+    # too many odd keys to broadcast: the same rows by shuffled joins
+    old, member_profile_module.MAX_BROADCAST_KEYS = member_profile_module.MAX_BROADCAST_KEYS, 0
+    try:
+        assert same == {tuple(r) for r in member_profile(t.member_orders, t.members, fx.PARAMS).collect()}
+    finally:
+        member_profile_module.MAX_BROADCAST_KEYS = old
 
 
 def test_no_python_no_cartesian_anywhere(spark):
