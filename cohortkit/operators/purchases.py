@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortkit.functions.columns import is_true, ntz_micros, upper_like
 from cohortkit.operators.ranking import row_number_within
@@ -80,16 +81,33 @@ def second_of_hour(paid: Column) -> Column:
     return F.coalesce(F.minute(paid) * F.lit(60) + F.second(paid), F.lit(0))
 
 
+def order_range(order: Column, dtype: T.DataType) -> Column:
+    """A coarse position of an order id, NULL last, that never decreases along it:
+    ranges of 4,096 for numbers, the first 12 characters of a string."""
+    if isinstance(dtype, T.IntegralType):
+        coarse = F.shiftright(order.cast("bigint"), 12)
+    elif isinstance(dtype, T.NumericType):
+        coarse = F.floor(order / F.lit(4096))
+    else:
+        coarse = F.substring(order.cast("string"), 1, 12)
+    return F.struct(order.isNull().alias("missing"), coarse.alias("range"))
+
+
 def purchase_rank(orders: DataFrame, p: KpiParams) -> DataFrame:
     """A2: A1 plus ``rk``, the position of each purchase in its member's history.
 
-    Numbered per (member, paid second) and offset by the hour's earlier seconds
-    and the member's earlier hours, so a member with a very long history, or
-    with a great many purchases in one hour, is spread over many tasks.
+    Numbered per (member, instant, channel test, range of order ids) and offset
+    by the counts of earlier slices, so a member with a very long history, with
+    a great many purchases in one hour, or at one instant, is spread over many
+    tasks.
     """
     paid = F.col("order_paid_time")
+    micros = F.coalesce(F.pmod(ntz_micros(paid), F.lit(1_000_000)), F.lit(0))
+    dtype = orders.schema["original_order_id"].dataType
+    tie = F.struct(micros.alias("micros"), other_channel(F.col("eff_reg_channel"), p).alias("other"),
+                   order_range(F.col("original_order_id"), dtype).alias("orders"))
     return row_number_within(purchase_events(orders, p), ["crm_member_id"], purchase_order(p),
-                             [purchase_hour(paid), second_of_hour(paid)], "rk")
+                             [purchase_hour(paid), second_of_hour(paid), tie], "rk")
 
 
 def first_purchase_code(paid: Column, channel: Column, p: KpiParams) -> Column:

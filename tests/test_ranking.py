@@ -1,10 +1,14 @@
 """The sliced row number equals ``row_number()`` and splits a hot key."""
 
+import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import fixtures as fx
+from cohortkit.operators import purchases
 from cohortkit.operators.ranking import row_number_within
 
 
@@ -49,3 +53,20 @@ def test_one_hour_with_thousands_of_purchases(spark):
     assert got.exceptAll(want).count() == 0 and got.count() == 7200
     sizes = [r.n for r in df.repartition(8, "k", hour, "sec").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+
+
+@pytest.mark.parametrize("dtype", ["bigint", "string", "decimal(20,2)"])
+def test_thousands_of_purchases_at_one_instant(spark, dtype):
+    # one member, one second (two instants in it, both channels): the order ids make the slices
+    ids = [i * 37 % 40_000 for i in range(0, 40_000, 2)]
+    paid = dt.datetime(2024, 1, 9, 10)
+    rows = [fx.line("7", n, paid + dt.timedelta(microseconds=n % 2), channel=("BUILDING", "MACHINERY", None)[n % 3]) for n in ids]
+    rows += [fx.line("7", None, paid), fx.line("7", None, None, date_id=dt.date(2024, 1, 9)), fx.line("8", 5, paid)]
+    orders = fx.spark_tables(spark, rows).member_orders
+    orders = orders.withColumn("original_order_id", F.col("original_order_id").cast(dtype))
+    got = purchases.purchase_rank(orders, fx.PARAMS)
+    want = purchases.purchase_events(orders, fx.PARAMS).withColumn("rk", F.row_number().over(
+        Window.partitionBy("crm_member_id").orderBy(*purchases.purchase_order(fx.PARAMS))))
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count() == 20_003
+    slices = orders.select(purchases.order_range(F.col("original_order_id"), orders.schema["original_order_id"].dataType)).distinct()
+    assert slices.count() >= 10
