@@ -9,15 +9,14 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.session import ensure_checkpoint_dir
+from cohortkit.plans.materialize import write_table
 
 # Rows of one Arrow batch: whole documents of tens of kilobytes have to fit
 # into a Python worker several times over.
@@ -57,15 +56,53 @@ def prepare(spark: SparkSession) -> None:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared checkpoint folder.
+    """``df`` as a Parquet table in the shared checkpoint folder, under the run's owner.
 
     Readers start from the files, so a lost executor repeats only the read,
     and every reader sees the same rows.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_table(df, f"llm-{name}")
+
+
+#: a key with at least this share of all rows is joined by broadcast: at most 1,000 such keys
+HOT_SHARE = 1000
+
+
+def join_skewed(rows: DataFrame, keyed: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` with ``keyed``'s columns by ``key`` (inner; ``keyed`` has one row per key, with the
+    ``count`` of its rows, which is dropped).
+
+    The keys with a thousandth of all counted rows or more, a thousand at most, are
+    broadcast; the others are shuffled, so no task gets more than that of one key.
+    """
+    total = keyed.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    is_hot = F.col(count) * HOT_SHARE >= F.lit(total)
+    hot = F.broadcast(keyed.where(is_hot).drop(count))
+    cold = keyed.where(~is_hot).drop(count)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))
+
+
+#: rows of a file that are numbered together
+SLICE_ROWS = 65_536
+
+
+def numbered_within(table: DataFrame, group: str, name: str) -> DataFrame:
+    """``table`` (as :func:`written` returns it) with ``name``: the place of each row among
+    those of its ``group``, gapless from 0.
+
+    Rows are numbered within a slice of a file and offset by the counts of earlier
+    slices: the files don't change, so a repeated task finds the same places,
+    and a group of any size is spread over its slices.
+    """
+    at = table.select("*", F.xxhash64("_metadata.file_path").alias("__ck_file"),
+                      F.floor(F.col("_metadata.row_index") / SLICE_ROWS).alias("__ck_slice"),
+                      F.col("_metadata.row_index").alias("__ck_row"))
+    by = [group, "__ck_file", "__ck_slice"]
+    before = Window.partitionBy(group).orderBy("__ck_file", "__ck_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = at.groupBy(*by).agg(F.count(F.lit(1)).alias("__ck_n")).select(
+        *by, F.coalesce(F.sum("__ck_n").over(before), F.lit(0)).alias("__ck_before"))
+    local = at.withColumn("__ck_local", F.row_number().over(Window.partitionBy(*by).orderBy("__ck_row")) - 1)
+    return local.join(offsets, by).select(*table.columns, (F.col("__ck_before") + F.col("__ck_local")).alias(name))
 
 
 def crc_fold(col, folds: int = 5):

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import bottomk, decontaminate, langid, packing, render, risk, suffixdedup, surrogates, toxicity, urls
+from cohortkit.llm import (
+    bottomk,
+    decontaminate,
+    langid,
+    packing,
+    render,
+    risk,
+    sharding,
+    suffixdedup,
+    surrogates,
+    toxicity,
+    urls,
+)
 from cohortkit.llm.common import crc_fold, prepare, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +199,10 @@ FROM doc LEFT JOIN kept USING (r)
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixdedup.deduplicate(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@_query("op11_sharding")
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.assign(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
