@@ -11,6 +11,7 @@ from cohortkit.llm import (
     bottomk,
     decontaminate,
     langid,
+    merkle,
     packing,
     render,
     risk,
@@ -206,3 +207,70 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.assign(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+_H = "sha256(string_agg(h, '' ORDER BY idx))"
+_ENC = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_TAMPERED = ("CASE WHEN crc.c % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') "
+             "ELSE text END")
+
+
+def _leaf(text: str = "text") -> str:
+    return "sha256(" + " || ".join(_ENC.format(c) for c in ("doc_id", "source", "lang", "n_chars", f"({text})")) + ")"
+
+
+# crc32 of the decimal id, bit by bit: unsigned, reflected polynomial 0xEDB88320
+OP12_SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT doc_id AS id, list_reduce(list_prepend(CAST(4294967295 AS UBIGINT),
+    [CAST(ord(x) AS UBIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(0 AS UBIGINT) FOR i IN range(8)]),
+      lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v >> 1, CAST(3988292384 AS UBIGINT)) ELSE v >> 1 END)) AS r
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+), leaf AS MATERIALIZED (
+  SELECT doc_id, source, h, t, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS idx,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree
+  FROM (SELECT doc_id, source, {_leaf()} AS h, {_leaf(_TAMPERED)} AS t
+        FROM documents d LEFT JOIN (SELECT id, xor(r, CAST(4294967295 AS UBIGINT)) AS c FROM crc) crc ON id = doc_id)
+), low AS (
+  SELECT 0 AS level, tree, idx, h FROM leaf
+  UNION ALL
+  SELECT any_value(level) + 1, tree, idx // 16, {_H}
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM low) WHERE n > 1 GROUP BY tree, idx // 16
+), depth AS (SELECT tree, max(level) AS top FROM low GROUP BY tree),
+subroot AS (SELECT tree, h FROM low JOIN depth USING (tree) WHERE level = top),
+high AS (
+  SELECT 0 AS level, tree AS idx, h FROM subroot
+  UNION ALL
+  SELECT any_value(level) + 1, idx // 16, {_H}
+  FROM (SELECT *, count(*) OVER () AS n FROM high) WHERE n > 1 GROUP BY idx // 16
+), root AS (SELECT h FROM high WHERE level = (SELECT max(level) FROM high)),
+node AS MATERIALIZED (
+  SELECT tree, level, idx, h FROM low SEMI JOIN depth ON low.tree = depth.tree AND low.level < depth.top
+  UNION ALL SELECT tree, 1000 + level, h2.idx, h2.h FROM (SELECT DISTINCT tree FROM leaf)
+    CROSS JOIN (SELECT * FROM high WHERE level < (SELECT max(level) FROM high)) h2
+), run AS MATERIALIZED (
+  SELECT tree, level, idx // 16 AS run, list(h ORDER BY idx) AS hs FROM node GROUP BY tree, level, idx // 16
+), path AS (
+  SELECT l.tree, l.idx, 0 AS level, l.idx AS place, t AS folded, '' AS siblings FROM leaf l
+  UNION ALL
+  SELECT p.tree, p.idx, CASE WHEN run.level IS NULL THEN 1000 ELSE p.level + 1 END,
+    CASE WHEN run.level IS NULL THEN p.tree ELSE p.place // 16 END,
+    CASE WHEN run.level IS NULL THEN p.folded ELSE
+      sha256(array_to_string(list_concat(hs[1:p.place % 16], [p.folded], hs[p.place % 16 + 2:]), '')) END,
+    CASE WHEN run.level IS NULL THEN p.siblings ELSE
+      p.siblings || array_to_string(list_concat(hs[1:p.place % 16], hs[p.place % 16 + 2:]), '') END
+  FROM path p LEFT JOIN run ON run.tree = p.tree AND run.level = p.level AND run.run = p.place // 16
+  WHERE run.level IS NOT NULL OR p.level < 1000
+), climbed AS (SELECT tree, idx, arg_max(folded, level) AS folded, arg_max(siblings, level) AS siblings FROM path GROUP BY tree, idx)
+SELECT doc_id, leaf.h AS leaf, subroot.h AS subroot, root.h AS root, sha256(siblings) AS proof_sha256,
+  folded AS folded_root, folded = root.h AS verified
+FROM leaf JOIN climbed USING (tree, idx) JOIN subroot USING (tree) CROSS JOIN root
+"""
+
+
+@_query("op12_merkle", OP12_SQL)
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.verify(merkle.document_manifest(table(spark, sf_dir, "documents")))
+    return found.select(F.col("row_id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                        "verified")
