@@ -19,6 +19,7 @@ from cohortkit.llm import (
     suffixdedup,
     surrogates,
     toxicity,
+    trie,
     urls,
 )
 from cohortkit.llm.common import crc_fold, prepare, table
@@ -274,3 +275,47 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.verify(merkle.document_manifest(table(spark, sf_dir, "documents")))
     return found.select(F.col("row_id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root",
                         "verified")
+
+
+# crc32 of the decimal id as in OP12_SQL
+OP13_SQL = r"""
+WITH turn AS (
+  SELECT conv_id AS c, md5(strlen(role) || ':' || role || text) AS t,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w, turn
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+  WHERE conv_id IS NOT NULL
+), conv AS (
+  SELECT c, list(t ORDER BY turn NULLS FIRST, t) AS ts, list(w ORDER BY turn NULLS FIRST, t) AS ws FROM turn GROUP BY c
+), crc AS (
+  SELECT c, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT),
+    [CAST(ord(x) AS UBIGINT) FOR x IN string_split(CAST(c AS VARCHAR), '')]),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(0 AS UBIGINT) FOR i IN range(8)]),
+      lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v >> 1, CAST(3988292384 AS UBIGINT)) ELSE v >> 1 END)),
+    CAST(4294967295 AS UBIGINT)) % 4 AS BIGINT) AS h FROM conv
+), built AS (
+  SELECT conv.c, list_concat(coalesce(b.ts[1:h], []), conv.ts[h + 1:]) AS ts,
+    list_concat(coalesce(b.ws[1:h], []), conv.ws[h + 1:]) AS ws
+  FROM conv JOIN crc USING (c) LEFT JOIN conv b ON b.c = conv.c - conv.c % 20
+), prefix AS MATERIALIZED (
+  SELECT c, d, md5(array_to_string(ts[1:d], ',')) AS k, CASE WHEN d = 0 THEN 0 ELSE ws[d] END AS w, len(ts) = d AS ends
+  FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM built)
+), node AS MATERIALIZED (
+  SELECT d, k, min(c) AS m, count(*) AS n, max(w) AS w, bool_and(ends) AS leaf,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends
+  FROM prefix GROUP BY d, k
+), named AS MATERIALIZED (SELECT prefix.c, d, m FROM prefix JOIN node USING (d, k)),
+total AS (
+  SELECT a.m, a.d, CAST(sum(CAST(leaf AS INT)) AS BIGINT) AS leaves, CAST(sum((n - 1) * w) AS BIGINT) AS saved
+  FROM node JOIN named a ON a.c = node.m AND a.d <= node.d GROUP BY a.m, a.d
+), parent AS (
+  SELECT node.m, node.d, p.m AS parent FROM node LEFT JOIN named p ON p.c = node.m AND p.d = node.d - 1
+), child AS (SELECT parent AS m, d - 1 AS d, count(*) AS k FROM parent WHERE d > 0 GROUP BY 1, 2)
+SELECT m AS conv_id, CAST(d AS BIGINT) AS depth, parent AS parent_conv_id, n AS n_convs, coalesce(child.k, 0) AS n_children,
+  leaves AS n_leaves, saved AS saved_tokens, ends AS ends_sha256
+FROM node JOIN total USING (m, d) JOIN parent USING (m, d) LEFT JOIN child USING (m, d)
+"""
+
+
+@_query("op13_prefix_trie", OP13_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
