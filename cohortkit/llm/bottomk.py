@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import worker_state, written
+from cohortkit.llm.common import join_skewed, worker_state, written
 from cohortkit.llm.components import components
 from cohortkit.llm.shingles import Shingler, overlap
 
@@ -44,6 +44,7 @@ WIDTH = 5
 SIMILAR = 75  # percent
 HUBS = 4  # classes that each class is compared with before the exact join
 BITMAP = 1024  # bits of a full set's bitmap
+EARLIER = 48  # values before its own that a prefix row carries
 # the estimate's standard error at the threshold is 0.0625 for K = 48
 EST_MARGIN = 0.3
 
@@ -53,33 +54,34 @@ def _shingler(width: int) -> Shingler:
 
 
 def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, width: int = WIDTH) -> DataFrame:
-    """Per row: ``doc_id``, ``n`` (set size), ``digest`` of the set, ``sketch`` (``k``
-    smallest hashes, ascending) and ``row`` (a number of its own), as a written table."""
+    """Per row: ``doc_id``, ``hash`` of the text, ``n`` (set size), ``digest`` of the set, ``sketch``
+    (``k`` smallest hashes, ascending) and ``row`` (a number of its own), as a written table."""
     id_type = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
         shingle, at = _shingler(width), TaskContext.get().partitionId() << 33
         for batch in batches:
-            sets = [shingle(t) for t in batch.column(1).to_pylist()]
+            sets = [shingle(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 pa.array([s[:k] for s in sets], pa.list_(pa.int64())),
-                pa.array(range(at, at + len(sets)), pa.int64())], names=["doc_id", "n", "digest", "sketch", "row"])
+                pa.array(range(at, at + len(sets)), pa.int64())], names=["doc_id", "hash", "n", "digest", "sketch", "row"])
             at += len(sets)
 
-    made = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return written(made.mapInArrow(run, f"doc_id {id_type}, n bigint, digest binary, sketch array<bigint>, row bigint"),
+    body = F.col(text).cast("binary")
+    made = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("hash"), body.alias("text"))
+    return written(made.mapInArrow(run, f"doc_id {id_type}, hash bigint, n bigint, digest binary, sketch array<bigint>, row bigint"),
                    "sketches")
 
 
 def classes(rows: DataFrame) -> DataFrame:
-    """One row per distinct non-empty set: ``node`` (number), ``doc_id`` (smallest),
-    ``n``, ``digest``, ``sketch``."""
+    """One row per distinct non-empty set: ``node`` (number), ``doc_id`` (smallest), ``hash`` of
+    that row's text, ``n``, ``digest``, ``sketch``."""
     firsts = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
         F.min(F.struct("doc_id", "row")).alias("first"))
     nodes = firsts.select(F.col("first.row").alias("row"))
-    return written(rows.join(nodes, "row").select(F.col("row").alias("node"), "doc_id", "n", "digest", "sketch"),
+    return written(rows.join(nodes, "row").select(F.col("row").alias("node"), "doc_id", "hash", "n", "digest", "sketch"),
                    "classes")
 
 
@@ -137,7 +139,9 @@ def rest_pairs(sets: DataFrame, tested: DataFrame, similar: int = SIMILAR) -> Da
     the smaller set's first ``n - ceil(2t / (1 + t) * n) + 1`` and the larger one's first
     ``n - ceil(t * n) + 1``; after their first common value enough values must be
     left on both sides; and a bit of one set's bitmap that the other's lacks is
-    a value outside the intersection.  All three tests are exact and stand in the
+    a value outside the intersection.  A pair is made at its first common value
+    only: each row carries up to ``EARLIER`` of the values before it, and one that
+    both carry has made the pair already.  All tests are exact and stand in the
     join, so a group of texts that differ from each other by more yields few rows.
     """
     single = sets.select("node", F.explode("values").alias("value"))
@@ -147,12 +151,15 @@ def rest_pairs(sets: DataFrame, tested: DataFrame, similar: int = SIMILAR) -> Da
     rows = ranked.join(sets.select("node", "root", "n", "bits"), "node")
     alone = F.col("n") - F.size("ranked")
     probe = F.col("n") - F.ceil(F.col("n") * similar / 100) + 1
-    rows = rows.select("node", "root", "n", "bits", alone.alias("alone"), F.posexplode(F.slice(
-        "ranked", F.lit(1), F.greatest(F.lit(0), probe - alone).cast("int"))).alias("i", "r")) \
-        .select(F.col("r.value").alias("value"), "node", "root", "n", "bits", (F.col("alone") + F.col("i") + 1).alias("at"))
+    head = F.slice("ranked", F.lit(1), F.greatest(F.lit(0), probe - alone).cast("int"))
+    rows = rows.select("node", "root", "n", "bits", alone.alias("alone"), head["value"].alias("head")) \
+        .select("node", "root", "n", "bits", "alone", "head", F.posexplode("head").alias("i", "value")) \
+        .select("value", "node", "root", "n", "bits", (F.col("alone") + F.col("i") + 1).alias("at"),
+                F.slice("head", F.greatest(F.col("i") - (EARLIER - 1), F.lit(1)), F.least(F.col("i"), F.lit(EARLIER)))
+                .alias("earlier"))
     rows = written(rows, "prefixes")
     first = F.col("n") - F.ceil(F.col("n") * (2 * similar) / (100 + similar)) + 1
-    names = ("node", "root", "n", "at", "bits")
+    names = ("node", "root", "n", "at", "bits", "earlier")
     a = rows.filter(F.col("at") <= first).select("value", *[F.col(c).alias(f"a_{c}") for c in names])
     b = rows.select("value", *[F.col(c).alias(f"b_{c}") for c in names])
 
@@ -165,6 +172,7 @@ def rest_pairs(sets: DataFrame, tested: DataFrame, similar: int = SIMILAR) -> Da
     on = (a["value"] == b["value"]) & (F.struct("a_n", "a_node") < F.struct("b_n", "b_node")) \
         & (F.col("a_root") != F.col("b_root")) & _near_sizes(F.col("a_n"), F.col("b_n"), similar) \
         & (F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at")) + 1 >= needed) \
+        & ~F.arrays_overlap("a_earlier", "b_earlier") \
         & (F.col("a_n") - lacking("a_bits", "b_bits") >= needed) & (F.col("b_n") - lacking("b_bits", "a_bits") >= needed)
     pairs = a.join(b, on).select(F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v")).distinct()
     done = tested.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
@@ -181,14 +189,20 @@ def estimated(pairs: DataFrame, found: DataFrame, k: int = K, similar: int = SIM
 
 
 def texts_of(nodes: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(node, digest, text) of the given nodes, as a written table."""
-    ends = found.select("node", "doc_id", "digest").join(nodes.select("node").distinct(), "node")
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return written(texts.join(ends, "doc_id").select("node", "digest", "text"), "texts")
+    """(node, digest, text) of the given nodes, one row each, as a written table.
+
+    A text is found by its id and hash, so other texts that repeat the id don't
+    come along; of equal rows one is taken.
+    """
+    ends = found.select("node", "doc_id", "hash", "digest").join(nodes.select("node").distinct(), "node")
+    body = F.col(text).cast("binary")
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("hash"), body.alias("text"))
+    return written(texts.join(ends, ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash"]).select("node", "digest", "text"),
+                   "texts")
 
 
 def _full_set(shingle: Shingler, body: bytes | None, digest: bytes):
-    """The class's set; None for another text that came along with a repeated id."""
+    """The class's set; None for another text whose hash is the same."""
     made = shingle(body)
     return made if xxhash.xxh3_128_digest(made.tobytes()) == digest else None
 
@@ -245,8 +259,9 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similar: in
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K,
                     width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
-    """One row per input row: ``doc_id``, ``row``, ``n_shingles``, ``component_id`` (smallest
-    id of the component), ``n_links`` of its class to other classes, and ``kept``."""
+    """One row per input row: ``doc_id``, ``hash`` of its text, ``row``, ``n_shingles``, ``component`` (a
+    number; NULL where the set is empty or the id NULL), ``component_id`` (smallest id of the component),
+    ``n_links`` of its class to other classes, and ``kept``."""
     rows = sketches(docs, doc_id, text, k, width)
     found = classes(rows)
     listed = index(found, k, similar=similar)
@@ -264,22 +279,33 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = found.select("node", "digest", "doc_id").join(roots, "node", "left") \
         .join(ends.groupBy("node").agg(F.count("*").alias("n_links")), "node", "left") \
         .select("digest", "doc_id", "n_links", F.coalesce("root", "node").alias("root"))
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    labels = named.join(least, "root").select("digest", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = rows.select("doc_id", "row", "n", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")) \
+    named = written(named, "named")
+    least = written(named.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n_classes")), "least")
+    labels = join_skewed(named, least, "root", "n_classes").select(
+        "digest", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    out = rows.select("doc_id", "hash", "row", "n", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")) \
         .join(labels, "digest", "left")
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return out.select("doc_id", "hash", "row", F.col("n").alias("n_shingles"), F.col("root").alias("component"),
+                      component.alias("component_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without near-duplicates: the row with the smallest id of each component
-    stays, one of equal rows that repeat an id, and every row without an id."""
-    kept = near_duplicates(docs, doc_id, text).filter("kept AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("__ck_id")).distinct()
-    rows = docs.join(kept, docs[doc_id] == kept["__ck_id"]).withColumn("__ck_h", F.xxhash64(text))
+    """``docs`` without near-duplicates: one row of each component stays, the one with the
+    smallest id (the first read, if texts of one component repeat the id).
+
+    Rows without an id, without words or without a text are in no component and
+    all stay.  Rows are told apart by id and text, as an id may be repeated.
+    """
+    found = near_duplicates(docs, doc_id, text).filter("component IS NOT NULL")
+    chosen = found.groupBy("component").agg(F.min(F.struct("doc_id", "row", "hash")).alias("first")).select(
+        F.col("first.doc_id").alias("__ck_id"), F.col("first.hash").alias("__ck_h"))
+    member = found.select(F.col("doc_id").alias("__ck_id"), F.col("hash").alias("__ck_h")).distinct()
+    chosen, member = written(chosen, "chosen"), written(member, "members")
+    rows = docs.withColumns({"__ck_id": F.col(doc_id), "__ck_h": F.xxhash64(F.col(text).cast("binary"))})
     once = Window.partitionBy("__ck_id", "__ck_h").orderBy("__ck_h")
-    rows = rows.withColumn("__ck_n", F.row_number().over(once)).filter("__ck_n = 1").select(*docs.columns)
-    return rows.union(docs.filter(F.col(doc_id).isNull()))
+    first = rows.join(chosen, ["__ck_id", "__ck_h"]).withColumn("__ck_n", F.row_number().over(once)).filter("__ck_n = 1")
+    alone = rows.join(member, ["__ck_id", "__ck_h"], "left_anti")
+    return first.select(*docs.columns).union(alone.select(*docs.columns))

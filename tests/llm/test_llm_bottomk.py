@@ -99,6 +99,28 @@ def test_empty_and_keep_one(spark):
     assert got == sorted([rows[1], rows[3], rows[4], rows[5]], key=repr)
 
 
+def test_keep_one_tells_rows_of_one_id_apart(spark):
+    text = " ".join(f"t{i}" for i in range(30))
+    other = " ".join(f"o{i}" for i in range(30))
+    rows = [(1, text, "a"), (2, text + " tail", "b"), (2, other, "c"), (3, other + " x", "d"), (3, other + " y", "e"),
+            (4, None, "f"), (4, None, "g"), (5, "ü" * 300_000, "h"), (6, "w " * 200_000, "i"), (None, None, "j")]
+    df = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("kept", "component")
+    got = sorted((tuple(r) for r in bottomk.keep_one(df).collect()), key=repr)
+    assert got == sorted([rows[0], rows[2], *rows[5:]], key=repr)
+    # two near copies under the smallest id of their component: one of them stays
+    twice = [(1, text, "a"), (1, text + " tail", "b"), (1, other, "c"), (2, text, "d")]
+    got = [tuple(r) for r in bottomk.keep_one(spark.createDataFrame(twice, SCHEMA)).collect()]
+    assert len(got) == 2 and twice[2] in got and (twice[0] in got or twice[1] in got)
+
+
+def test_many_texts_under_one_id_come_once_each(spark):
+    texts = [" ".join(f"w{t}.{i}" for i in range(12)) for t in range(1000)]
+    df = spark.createDataFrame([(7, t, "x") for t in texts] + [(7, texts[0], "y")] * 50, SCHEMA)
+    found = bottomk.classes(bottomk.sketches(df))
+    assert found.count() == 1000
+    assert bottomk.texts_of(found, found, df).count() == 1000
+
+
 def test_components(spark):
     rng = random.Random(4)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(160)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5)]
