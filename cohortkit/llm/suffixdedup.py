@@ -22,7 +22,8 @@ earlier (smaller id, or earlier in the same document), judged on the input.
 Defined results: NULL texts count as empty; texts shorter than ``SIZE`` stay
 whole; a NULL id comes after all others; rows that repeat an id are taken as
 versions of one document (a string at the same place in two of them is no
-repeat of itself), so equal rows come out equal.
+repeat of itself), so equal rows come out equal; a text of 2^30 bytes or more
+is an error.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ SIZE = 100
 BATCH_BYTES = 2_000_000
 BLOCK = 4096
 LAST = (1 << 63) - 1
+MAX_TEXT = 1 << 30  # bytes; a run's start has 30 bits
+MAX_BROADCAST = 100_000  # ids of several texts (8 bytes each) that are broadcast
 # one long per run: start (30 bits), second hash of the text (20), windows - 1 (6), anchor - start (6), repeat (1)
 _HASH_BITS = 20
 
@@ -54,13 +57,31 @@ def _unpack(at: np.ndarray):
     return at >> 33, (at >> 13) & 0xFFFFF, ((at >> 7) & 63) + 1, (at >> 1) & 63, at & 1
 
 
+def _salt():
+    """The salt in a run's ``at``."""
+    return F.shiftright("at", 13).bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
+
+
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc, mark, salt, text): 64 bits of one hash and 20 of another tell the texts of an
-    id apart, and those of all rows without one."""
+    id apart, and those of all rows without one; both are 0 where an id has one text.
+
+    Every run carries them through the shuffle, where zeros cost next to nothing.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(body).alias("mark"),
-                       F.xxhash64(F.lit(_HASH_BITS), body).bitwiseAND(F.lit((1 << _HASH_BITS) - 1)).alias("salt"),
-                       body.cast("binary").alias("text"))
+    hashes = {"mark": F.xxhash64(body), "salt": F.xxhash64(F.lit(_HASH_BITS), body).bitwiseAND(F.lit((1 << _HASH_BITS) - 1))}
+    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc"), body.cast("binary").alias("text"),
+                       *[h.alias(name) for name, h in hashes.items()])
+    several = written(rows.where(F.col("doc") != LAST).groupBy("doc").agg(
+        *[f(name).alias(f"{f.__name__}_{name}") for name in hashes for f in (F.min, F.max)])
+        .where("min_mark <> max_mark OR min_salt <> max_salt").select("doc", F.lit(True).alias("several")), "several")
+    n = several.count()
+    if n:
+        rows = rows.join(F.broadcast(several) if n <= MAX_BROADCAST else several, "doc", "left")
+        told = F.col("several").isNotNull() | (F.col("doc") == LAST)
+    else:
+        told = F.col("doc") == LAST
+    return rows.select("doc", *[F.when(told, F.col(c)).otherwise(F.lit(0)).alias(c) for c in hashes], "text")
 
 
 def _runs(keyed: DataFrame, size: int) -> DataFrame:
@@ -90,6 +111,8 @@ def _runs(keyed: DataFrame, size: int) -> DataFrame:
             texts = batch.column(3).to_pylist()
             first = held = 0
             for i, body in enumerate(texts):
+                if len(body) >= MAX_TEXT:
+                    raise ValueError(f"a text of {len(body)} bytes; the longest that can be compared has {MAX_TEXT - 1}")
                 held += len(body)
                 if held >= BATCH_BYTES or i == len(texts) - 1:
                     yield found(docs[first:i + 1], marks[first:i + 1], salts[first:i + 1], texts[first:i + 1])
@@ -296,17 +319,10 @@ def _compared(segments: DataFrame, size: int) -> DataFrame:
     return segments.repartition("k").mapInArrow(run, "doc bigint, mark bigint, salt bigint, start bigint, stop bigint")
 
 
-def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
-    """(doc, mark, salt, spans): per document with repeats their byte ranges, unmerged.  ``doc`` is
-    the id (the largest long for NULL), ``mark`` and ``salt`` tell rows of one id apart by their text."""
-    keyed = _keyed(docs, doc_id, text)
-    met = written(_met(_runs(keyed, size)), "met")
-    start, salt, windows = (F.shiftright("at", 33), F.shiftright("at", 13).bitwiseAND(F.lit((1 << 20) - 1)),
-                            F.shiftright("at", 7).bitwiseAND(F.lit(63)) + 1)
-    known = met.filter("repeat = 1").select("doc", "mark", salt.alias("salt"), start.alias("start"),
-                                            (start + windows + (size - 1)).alias("stop"))
-    asked = met.filter("repeat = 0").groupBy("doc", "mark", salt.alias("salt")).agg(
-        F.collect_list(F.struct("k", "at")).alias("runs"))  # runs of one text
+def _segments(keyed: DataFrame, met: DataFrame, size: int) -> DataFrame:
+    """(k, doc, mark, at, body) of the runs to compare, cut from their texts."""
+    asked = met.filter("repeat = 0").groupBy("doc", "mark", _salt().alias("salt")).agg(
+        F.collect_set(F.struct("k", "at")).alias("runs"))  # runs of one text, once for all rows that repeat it
 
     def cut(batches):
         for batch in batches:
@@ -321,10 +337,20 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: i
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
                                              names=["k", "doc", "mark", "at", "body"])
 
-    segments = keyed.join(asked, ["doc", "mark", "salt"]).select("doc", "mark", "text", "runs") \
+    return keyed.join(asked, ["doc", "mark", "salt"]).select("doc", "mark", "text", "runs") \
         .mapInArrow(cut, "k bigint, doc bigint, mark bigint, at bigint, body binary")
-    compared = written(_compared(segments, size), "compared")
-    return known.union(compared).groupBy("doc", "mark", "salt").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+
+
+def repeats(keyed: DataFrame, size: int = SIZE) -> DataFrame:
+    """(doc, mark, salt, spans): per text of :func:`_keyed` rows with repeats their byte ranges, unmerged.
+    ``doc`` is the id (the largest long for NULL), ``mark`` and ``salt`` tell rows of one id apart
+    by their text."""
+    met = written(_met(_runs(keyed, size)), "met")
+    start, windows = F.shiftright("at", 33), F.shiftright("at", 7).bitwiseAND(F.lit(63)) + 1
+    known = met.filter("repeat = 1").select("doc", "mark", _salt().alias("salt"), start.alias("start"),
+                                            (start + windows + (size - 1)).alias("stop"))
+    compared = written(_compared(_segments(keyed, met, size), size), "compared")
+    return known.union(compared).groupBy("doc", "mark", "salt").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
@@ -349,9 +375,9 @@ def kept_bytes(body: bytes, spans: list[list[int]]) -> bytes:
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE) -> DataFrame:
     """Per row: ``doc_id``, ``n_bytes``, ``n_removed``, the removed ``spans`` (merged byte
     ranges), and ``kept_sha256`` of the bytes that stay."""
-    found = repeats(docs, doc_id, text, size)
-    id_type = docs.schema[doc_id].dataType.simpleString()
     keyed = _keyed(docs, doc_id, text)
+    found = repeats(keyed, size)
+    id_type = docs.schema[doc_id].dataType.simpleString()
     rows = keyed.join(found, ["doc", "mark", "salt"], "left").select("doc", "text", "spans")
 
     def run(batches):

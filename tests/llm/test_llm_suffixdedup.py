@@ -66,3 +66,27 @@ def test_thousands_of_texts_without_an_id(spark):
 
 def test_empty(spark):
     assert S.deduplicate(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("doc", [None, 7])
+def test_equal_rows_are_cut_once_each(spark, doc):
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passage = noise(300)
+    same, other = noise(50) + passage + noise(50), noise(40) + passage + noise(60)
+    counts = {}
+    for n in (200, 2000):
+        rows = [(doc, same)] * n + [(doc, noise(30)), (3, other)]
+        keyed = S._keyed(spark.createDataFrame([(k, t, "clash") for k, t in rows], SCHEMA), "doc_id", "text")
+        met = S._met(S._runs(keyed, S.SIZE))
+        counts[n] = S._segments(keyed, met, S.SIZE).count()
+        assert sum(len(r.spans) for r in S.repeats(keyed).collect()) < 50
+    assert 0 < counts[2000] <= 10 * counts[200]
+    assert run(spark, rows[-20:]) == brute(rows[-20:])
+
+
+def test_a_text_too_long_for_its_starts_is_an_error(spark, monkeypatch):
+    keyed = S._keyed(spark.createDataFrame([(1, "x" * 5000, "clash")], SCHEMA), "doc_id", "text")
+    monkeypatch.setattr(S, "MAX_TEXT", 5000)  # read when the function is shipped
+    with pytest.raises(Exception, match="5000 bytes"):
+        S._runs(keyed, S.SIZE).collect()
