@@ -4,9 +4,9 @@ Documents become token pieces of at most ``capacity`` tokens.  The histogram of
 piece lengths (at most ``capacity`` entries, whatever the corpus) is the
 demand of a covering linear program over configurations, i.e. multisets of
 lengths that fit a sequence.  Multiplicative weights solve it: every round a
-knapsack dynamic program prices the best configuration for the current dual
-prices.  The fractional solution is rounded down, and what is left is packed
-best fit, longest first, on the histogram.
+knapsack dynamic program prices the configurations for the current dual
+prices.  The fractional solution is rounded, the program is solved again for what
+is left, and the few pieces that remain are packed best fit.
 
 Spark then deals pieces to slots: the rank of a piece within its length is a
 task-local counter plus a running sum over per-task counts, and ranks map onto
@@ -19,7 +19,6 @@ repeated documents are packed once per row; an empty table gives no rows.
 
 from __future__ import annotations
 
-import math
 import re
 import zlib
 from collections import Counter
@@ -141,80 +140,100 @@ class Plan:
 
     parts: list[tuple[tuple[int, int], ...]]
     copies: list[int]
+    #: pieces placed by the linear program (and the full ones); the others by best fit
+    by_program: int = 0
 
 
-def _best_configuration(lengths: np.ndarray, price: np.ndarray, capacity: int) -> dict[int, int]:
-    """Unbounded knapsack: the multiset of lengths of the highest total price that fits."""
+def _priced(lengths: np.ndarray, price: np.ndarray, capacity: int) -> tuple[np.ndarray, list[int], list[int]]:
+    """Unbounded knapsack: per room the highest total price of lengths that fit, the length
+    taken first for it (-1: none) and the room left after it."""
     value = np.zeros(capacity + 1)
-    choice = np.full(capacity + 1, -1, np.int64)
+    pick, then = [-1] * (capacity + 1), [0] * (capacity + 1)
+    fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for room in range(int(lengths[0]), capacity + 1):
-        fit = int(np.searchsorted(lengths, room, "right"))
+        fit = fits[room]
         total = value[room - lengths[:fit]] + price[:fit]
         best = int(total.argmax())
         if total[best] > value[room - 1]:
-            value[room], choice[room] = total[best], best
+            value[room], pick[room], then[room] = total[best], best, room - int(lengths[best])
         else:
-            value[room] = value[room - 1]
-    found: Counter = Counter()
-    room = capacity
-    while room > 0:
-        if choice[room] < 0:
-            room -= 1
-        else:
-            found[int(choice[room])] += 1
-            room -= int(lengths[choice[room]])
-    return found
-
-
-def solve(histogram: dict[int, int], capacity: int = CAPACITY, epsilon: float = 0.1, rounds: int = 400) -> Plan:
-    """Configurations and copies that hold exactly the pieces of ``histogram``."""
-    need = {int(k): int(v) for k, v in histogram.items() if v > 0}
-    parts: list[tuple[tuple[int, int], ...]] = []
-    copies: list[int] = []
-    if need.get(capacity):
-        parts.append(((capacity, 1),))
-        copies.append(need.pop(capacity))
-    lengths = np.array(sorted(need), np.int64)
-    if len(lengths):
-        demand = np.array([need[int(k)] for k in lengths], float)
-        # multiplicative weights: prices fall for lengths that the chosen configurations already cover
-        log_price = np.log(lengths / capacity)
-        taken: dict[tuple, float] = {}
-        covered = np.zeros(len(lengths))
-        for _ in range(rounds):
-            price = np.exp(log_price - log_price.max()) + 1e-12 * lengths
-            found = _best_configuration(lengths, price, capacity)
-            if not found:
+            value[room], pick[room], then[room] = value[room - 1], pick[room - 1], then[room - 1]
+    return value, pick, then
+
+
+def _fractional(lengths: np.ndarray, demand: np.ndarray, capacity: int, epsilon: float,
+                cover: int, near: float) -> dict[tuple, float]:
+    """Multiplicative weights for the covering program: amounts of configurations ((length index,
+    count) pairs).  They are found until every length is covered ``cover`` times, and each is
+    divided by the most any of its lengths is covered, so none needs more pieces than there are.
+
+    One knapsack prices all configurations: for each length the best one with it.
+    Those within 1 - ``near`` of the best are taken, a length once a round, as
+    often as their scarcest length allows; the prices of what they cover fall.  A
+    length whose price stays while others fall is taken in the end, so the
+    rounds needed do not depend on the number of pieces.
+    """
+    log_price = np.log(lengths / capacity)
+    covered = np.zeros(len(lengths))
+    taken: dict[tuple, float] = {}
+    while covered.min() < cover:
+        price = np.exp(log_price - log_price.max()) + 1e-12 * lengths
+        value, pick, then = _priced(lengths, price, capacity)
+        total = price + value[capacity - lengths]
+        seen = np.zeros(len(lengths), bool)
+        level = covered.min() + 1  # who is covered more comes in by its price alone
+        for first in np.argsort(-total, kind="stable"):
+            if total[first] < (1 - near) * total.max():
                 break
-            index = np.fromiter(found, np.int64)
-            count = np.array([found[int(i)] for i in index], float)
+            if seen[first] or covered[first] >= level:
+                continue
+            found = Counter([int(first)])
+            room = capacity - int(lengths[first])
+            while pick[room] >= 0:
+                found[pick[room]] += 1
+                room = then[room]
+            key = tuple(sorted(found.items(), reverse=True))
+            index, count = np.array(key).T
             step = float((demand[index] / count).min())
-            key = tuple(sorted(((int(lengths[i]), found[int(i)]) for i in found), reverse=True))
             taken[key] = taken.get(key, 0.0) + step
-            covered[index] += step * count
-            log_price[index] -= epsilon * step * count / demand[index]
-        most = max(float((covered / demand).max()), 1.0)
-        # few pieces may be packed better by best fit alone
-        best = min((_rounded(taken, scale, need, capacity) for scale in (most, (1 + most) / 2, 1.0, math.inf)),
-                   key=lambda found: sum(found.values()))
-        parts += best
-        copies += best.values()
-    return Plan(parts, copies)
-
-
-def _rounded(taken: dict[tuple, float], scale: float, need: dict[int, int], capacity: int) -> dict[tuple, int]:
-    """Configurations by whole copies of the scaled solution, as far as pieces are
-    left, and best fit for the rest."""
-    left = dict(need)
+            ratio = step * count / demand[index]
+            covered[index] += ratio
+            log_price[index] -= epsilon * ratio
+            seen[index] = True
+    return {key: amount / max(covered[i] for i, _ in key) for key, amount in taken.items()}
+
+
+def solve(histogram: dict[int, int], capacity: int = CAPACITY, epsilon: float = 0.4, cover: int = 3,
+          near: float = 0.01) -> Plan:
+    """Configurations and copies that hold exactly the pieces of ``histogram``.
+
+    The program's solution is rounded (down, but to one copy at least, as long as the pieces
+    are left), and the program is solved again for what remains.  What a last
+    solution can place less than a tenth of is packed best fit.
+    """
+    left = {int(k): int(v) for k, v in histogram.items() if v > 0}
     out: Counter = Counter()
-    for key, amount in sorted(taken.items(), key=lambda kv: -kv[1]):
-        whole = min([int(amount / scale + 1e-9), *(left[k] // c for k, c in key)])
-        if whole > 0:
-            out[key] += whole
-            for k, c in key:
-                left[k] -= whole * c
-    out.update(_best_fit({k: v for k, v in left.items() if v}, capacity))
-    return out
+    if left.get(capacity):
+        out[((capacity, 1),)] += left.pop(capacity)
+    while left:
+        lengths = np.array(sorted(left), np.int64)
+        taken = _fractional(lengths, np.array([left[int(k)] for k in lengths], float), capacity, epsilon, cover, near)
+        before = sum(left.values())
+        for key, amount in sorted(taken.items(), key=lambda kv: (-kv[1], kv[0])):
+            part = tuple((int(lengths[i]), c) for i, c in key)
+            whole = min(max(int(amount + 1e-9), 1), *(left.get(k, 0) // c for k, c in part))
+            if whole > 0:
+                out[part] += whole
+                for k, c in part:
+                    left[k] -= whole * c
+                    if not left[k]:
+                        del left[k]
+        placed = before - sum(left.values())
+        if placed * 10 < before:
+            break
+    by_program = sum(times * c for part, times in out.items() for _, c in part)
+    out.update(_best_fit(left, capacity))
+    return Plan(list(out), list(out.values()), by_program)
 
 
 def _best_fit(left: dict[int, int], capacity: int) -> dict[tuple, int]:

@@ -84,3 +84,33 @@ def test_plan_holds_the_histogram(seed):
     # no worse than a little over the volume bound, or than giving large pieces a sequence each
     bound = max(-(-sum(k * v for k, v in need.items()) // 100), sum(v for k, v in need.items() if k > 50))
     assert bins <= 1.25 * bound + 3
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_the_program_places_the_pieces(seed):
+    # 10^5 pieces of several hundred lengths, many of them rare
+    rng = np.random.default_rng(seed)
+    sizes = np.minimum(rng.lognormal(6, 1.1, 100_000).astype(int) + 1, 2048) // 3 * 3 + 1
+    sizes = sizes[sizes < 2048]
+    need = {int(k): int(v) for k, v in zip(*np.unique(sizes, return_counts=True))}
+    plan = P.solve(need)
+    assert plan.by_program >= 0.9 * len(sizes)
+    best_fit = sum(P._best_fit(need, 2048).values())
+    assert sum(plan.copies) <= 1.002 * best_fit
+    held = {}
+    for part, times in zip(plan.parts, plan.copies):
+        assert sum(k * c for k, c in part) <= 2048
+        for k, c in part:
+            held[k] = held.get(k, 0) + times * c
+    assert held == need
+
+
+def test_prices_find_the_best_configuration():
+    lengths, price = np.array([3, 5, 7]), np.array([1.0, 2.1, 2.9])
+    value, pick, then = P._priced(lengths, price, 12)
+    best = max(a * 1.0 + b * 2.1 + c * 2.9 for a in range(5) for b in range(3) for c in range(2) if 3 * a + 5 * b + 7 * c <= 12)
+    assert abs(value[12] - best) < 1e-9
+    room, found = 12, 0.0
+    while pick[room] >= 0:
+        found, room = found + price[pick[room]], then[room]
+    assert abs(found - best) < 1e-9
