@@ -182,10 +182,11 @@ def _fractional(lengths: np.ndarray, demand: np.ndarray, capacity: int, epsilon:
         total = price + value[capacity - lengths]
         seen = np.zeros(len(lengths), bool)
         level = covered.min() + 1  # who is covered more comes in by its price alone
-        for first in np.argsort(-total, kind="stable"):
+        order = np.argsort(-total, kind="stable")
+        for first in order:
             if total[first] < (1 - near) * total.max():
                 break
-            if seen[first] or covered[first] >= level:
+            if seen[first] or (covered[first] >= level and first != order[0]):
                 continue
             found = Counter([int(first)])
             room = capacity - int(lengths[first])
