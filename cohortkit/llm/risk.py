@@ -2,25 +2,35 @@
 
 Each rule rejects a document whose rate (symbols per word, repeated lines per
 word, repeated words per word, characters per word) exceeds a cutoff.  Cutoffs
-are chosen per stratum (language).  Candidates are quantiles of the fitting
-half of the labelled rows.  On the holdout half an exact binomial tail bounds
-the share of good documents that a candidate rejects: a candidate is valid if
-``P(Bin(n, a) <= k) <= delta / m``, where ``a`` is the allowed false rejection
-``alpha`` split over the rules and ``m`` counts all candidates of all rules
-and strata (Bonferroni).  So with probability ``1 - delta`` every stratum loses
-at most the share ``alpha`` of its good documents.  Of the valid candidates the
-one that rejects most bad rows of the fitting half is taken, the highest of
-equals; a stratum without one rejects nothing by that rule.
+are chosen per stratum (language).  Two fifths of the labelled rows
+propose: their quantiles are the candidates, and all candidates of a stratum
+form one sequence of steps, each of which adds a cutoff (the cheapest in good
+rows for each bad one first, a rule's milder ones before its stricter ones).
+The holdout, the other three fifths, decides by fixed-sequence testing: a step is valid if it and
+all steps before it pass the exact binomial test
+``P(Bin(n, alpha) <= k) <= delta / m``, where ``n`` counts the good rows, ``k``
+those that the rules reject together after that step, and ``m`` the strata with
+a sequence (Bonferroni).  The order is fixed before the holdout is looked at, so
+a sequence needs no correction inside it, and the rules share one ``alpha``.
+Of the valid steps the one after which most bad rows of the fitting part are
+rejected is taken, the first of equals; a stratum without one rejects nothing.
+
+So with probability ``1 - delta`` the thresholds reject, in every stratum, at
+most the share ``alpha`` of the good documents that pass the base rule.  Copies
+are not independent rows: labelled texts with the same smallest hash of a
+three-word window have one vote per stratum and label, that of one row picked by
+hash, and stand in one part; the share is one of such groups.
 
 Defined results: NULL or wordless texts have zero counts and fail the base
 rule; a NULL language is a stratum of its own; labels other than 0 and 1 are
-ignored and repeated labels count once; repeated documents are judged one by
-one.  Labelled rows of both halves come from all labels, without a bound.
+ignored, repeated labels count once, an id labelled both 0 and 1 has no label; a
+label holds for every document of its id; repeated documents are judged one by
+one.  Labelled rows of both parts come from all labels, without a bound.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.llm.common import written
@@ -63,7 +73,8 @@ def _covered(starts: Column) -> Column:
 
 def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without ``text``, with ``n_words``, ``word_chars``, ``n_symbols``,
-    ``n_dup_lines``, ``n_repeat_words`` (long) and ``base_failed``."""
+    ``n_dup_lines``, ``n_repeat_words`` (long), ``base_failed`` and ``copies``, the
+    smallest hash of a three-word window (NULL without one)."""
     keep = [c for c in docs.columns if c != text]
     t = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(*keep, _words(F.col(text)).alias("_words"), _with_word_lines(F.col(text)).alias("_lines"),
@@ -76,7 +87,8 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.transform(starts, lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)))
         .alias("_windows"))
-    counts = [*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines"]
+    rows = rows.withColumn("copies", F.array_min("_windows"))
+    counts = [*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "copies"]
     # sorted only where some window repeats; each step is a column of its own, read by position
     rows = rows.select(*counts, F.when(
         F.size(F.array_distinct("_windows")) < F.size("_windows"),
@@ -116,35 +128,63 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k >= n * F.lit(p), F.lit(1.0)).otherwise(F.least(total, F.lit(1.0)))
 
 
-def thresholds(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+def votes(labelled: DataFrame) -> DataFrame:
+    """One row per group of copies of a stratum and label, with its part: ``stratum``,
+    ``quality``, ``holdout`` and the rules' rates, from rows with ``doc_id`` and ``copies``."""
+    one = labelled.groupBy("stratum", "quality", "copies").agg(
+        F.min(F.struct(F.xxhash64("doc_id").alias("at"), *RULES)).alias("row"))
+    return one.select("stratum", "quality", (F.pmod(F.xxhash64(F.lit("part"), "copies"), F.lit(5)) < 3).alias("holdout"),
+                      *[F.col("row")[rule].alias(rule) for rule in RULES])
+
+
+def sequence(fitting: DataFrame, quantiles=QUANTILES) -> DataFrame:
+    """The steps of each stratum in the order they are tested: (stratum, rule, cutoff, step)."""
+    long = fitting.select("stratum", "quality", F.explode(F.array(*[
+        F.struct(F.lit(r).alias("rule"), F.col(r).alias("rate")) for r in RULES])).alias("v")) \
+        .select("stratum", "quality", "v.rule", "v.rate")
+    cuts = long.groupBy("stratum", "rule").agg(F.array_sort(F.array_distinct(
+        F.percentile_approx("rate", list(quantiles), 10_000))).alias("cuts"))
+    # one count per interval between cutoffs, then sums over a handful of rows
+    counted = long.join(cuts, ["stratum", "rule"]).select(
+        "stratum", "rule", "cuts", "quality", F.size(F.filter("cuts", lambda c: c < F.col("rate"))).alias("bin")) \
+        .groupBy("stratum", "rule", "cuts", "bin").agg(
+            F.sum((F.col("quality") == 1).cast("long")).alias("good"),
+            F.sum((F.col("quality") == 0).cast("long")).alias("bad"))
+    bins = counted.groupBy("stratum", "rule", "cuts").agg(
+        F.collect_list(F.struct("bin", "good", "bad")).alias("bins"))  # one per cutoff and one more
+    over = lambda name: F.aggregate(
+        F.filter("bins", lambda b: b["bin"] > F.col("at")), F.lit(0).cast("long"), lambda acc, b: acc + b[name])
+    steps = bins.select("stratum", "rule", "bins", F.posexplode("cuts").alias("at", "cutoff")) \
+        .select("stratum", "rule", "cutoff", over("good").alias("good"), over("bad").alias("bad")).filter("bad > 0")
+    # windows over a stratum's candidates: a few dozen rows
+    milder = Window.partitionBy("stratum", "rule").orderBy(F.desc("cutoff"))
+    steps = steps.withColumn("price", F.max((F.col("good") + 0.5) / F.col("bad")).over(milder))
+    order = Window.partitionBy("stratum").orderBy("price", "rule", F.desc("cutoff"))
+    return steps.select("stratum", "rule", "cutoff", F.row_number().over(order).alias("step"))
+
+
+def thresholds(voted: DataFrame, alpha: float = ALPHA, delta: float = DELTA, quantiles=QUANTILES) -> DataFrame:
     """(stratum, cutoffs map) from rows of ``stratum``, ``quality``, ``holdout`` and
     one column per rule."""
-    long = labelled.select("stratum", "quality", "holdout", F.explode(F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.col(r).alias("rate")) for r in RULES])).alias("v")) \
-        .select("stratum", "quality", "holdout", "v.rule", "v.rate")
-    cuts = long.filter("NOT holdout").groupBy("stratum", "rule").agg(F.array_sort(F.array_distinct(
-        F.percentile_approx("rate", list(QUANTILES), 10_000))).alias("cuts"))
-    # one count per interval between cutoffs, then running sums over a handful of rows
-    binned = long.join(cuts, ["stratum", "rule"]).select(
-        "stratum", "rule", "cuts", "quality", "holdout",
-        F.size(F.filter("cuts", lambda c: c < F.col("rate"))).alias("bin"))
-    counted = binned.groupBy("stratum", "rule", "cuts", "bin").agg(
+    steps = written(sequence(voted.filter("NOT holdout"), quantiles), "risk-steps")
+    m = max(1, steps.select("stratum").distinct().count())
+    listed = steps.groupBy("stratum").agg(F.collect_list(F.struct("rule", "cutoff", "step")).alias("steps"))
+    rates_ = F.create_map(*[part for r in RULES for part in (F.lit(r), F.col(r))])
+    # the step that first rejects a row, by whichever rule
+    hit = voted.join(listed, "stratum").withColumn("rates", rates_).withColumn("step", F.array_min(F.transform(
+        F.filter("steps", lambda s: s["cutoff"] < F.col("rates")[s["rule"]]), lambda s: s["step"])))
+    counted = hit.groupBy("stratum", "step").agg(
         F.sum((F.col("holdout") & (F.col("quality") == 1)).cast("long")).alias("good"),
         F.sum((~F.col("holdout") & (F.col("quality") == 0)).cast("long")).alias("bad"))
-    bins = counted.groupBy("stratum", "rule", "cuts").agg(
-        F.collect_list(F.struct("bin", "good", "bad")).alias("bins"))  # one per cutoff and one more
-    over = lambda name, at: F.aggregate(
-        F.filter("bins", lambda b: b["bin"] > at), F.lit(0).cast("long"), lambda acc, b: acc + b[name])
-    tests = bins.select("stratum", "rule", "bins", F.posexplode("cuts").alias("at", "cutoff")).select(
-        "stratum", "rule", "cutoff",
-        F.aggregate("bins", F.lit(0).cast("long"), lambda acc, b: acc + b["good"]).alias("n"),
-        over("good", F.col("at")).alias("k"), over("bad", F.col("at")).alias("bad"))
-    tests = written(tests, "risk-tests")
-    m = max(1, tests.count())
-    valid = tests.filter((F.col("n") > 0) & (F.col("bad") > 0)
-                         & (binomial_tail(F.col("n"), F.col("k"), alpha / len(RULES)) <= delta / m))
-    best = valid.groupBy("stratum", "rule").agg(F.max(F.struct("bad", "cutoff"))["cutoff"].alias("cutoff"))
-    return best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+    whole = Window.partitionBy("stratum")
+    so_far = whole.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    tests = counted.withColumn("n", F.sum("good").over(whole)).filter("step IS NOT NULL") \
+        .withColumn("k", F.sum("good").over(so_far)).withColumn("bad", F.sum("bad").over(so_far))
+    passed = (F.col("n") > 0) & (binomial_tail(F.col("n"), F.col("k"), alpha) <= delta / m)
+    valid = tests.withColumn("failed", F.max((~passed).cast("int")).over(so_far)).filter("failed = 0")
+    chosen = valid.groupBy("stratum").agg((-F.max(F.struct("bad", (-F.col("step")).alias("last")))["last"]).alias("last"))
+    cutoffs = steps.join(chosen, "stratum").filter("step <= last").groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
+    return cutoffs.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang",
@@ -156,10 +196,10 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     counts = written(base_counts(rows), "base-counts")
     rated = counts.select("*", *[rate.alias(name) for name, rate in rates().items()])
     marked = labels.filter(F.col(quality).isin(0, 1) & F.col(doc_id).isNotNull()) \
-        .select(F.col(doc_id).alias("doc_id"), F.col(quality).alias("quality")).distinct()
-    labelled = rated.filter("NOT base_failed").join(marked, "doc_id") \
-        .withColumn("holdout", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
-    found = thresholds(labelled, alpha, delta)
+        .groupBy(F.col(doc_id).alias("doc_id")).agg(F.min(quality).alias("quality"), F.max(quality).alias("other")) \
+        .filter("quality = other").drop("other")
+    voted = written(votes(rated.filter("NOT base_failed").join(marked, "doc_id")), "risk-votes")
+    found = thresholds(voted, alpha, delta)
     judged = rated.join(found, "stratum", "left")
     hits = F.filter(F.array(*[F.when(F.col(r) > F.col("cutoffs")[r], F.lit(r)) for r in RULES]), lambda r: r.isNotNull())
     judged = judged.withColumn("rejected_by", F.coalesce(hits, F.array().cast("array<string>")))
