@@ -8,16 +8,23 @@ of their own with blank lines where a page shows a margin, list items with
 markers and indents, preformatted text as it stands, table cells in aligned
 columns, and the text of formulas, drawings and image maps.
 
-Not visible: the head, scripts, styles, templates, ``hidden`` elements,
-``display: none`` and ``visibility: hidden`` (inline, or by a simple selector
-of the page's own style sheet), the closed part of ``details``, closed dialogs,
-lists of suggestions, what stands in for frames, media and scripts a browser
-runs; of a drawing its title, description and metadata; of a formula its
-annotations, phantoms and all but the first form of ``semantics`` and ``maction``.
+Not visible: the head, scripts, styles, templates, ``hidden`` elements and closed
+dialogs that no style shows, ``display: none``, what has ``visibility: hidden``,
+the closed part of ``details``, lists of suggestions, what stands in for frames,
+media and scripts a browser runs; of a drawing its title, description and
+metadata; of a formula its annotations, phantoms and all but the first form of
+``semantics`` and ``maction``.
+
+Styles are the page's own sheets and ``style`` attributes, read as a screen
+``SCREEN`` pixels wide does: by importance, specificity and order; ``visibility``
+is inherited and may be set anew.  Selectors of tags, classes, ids, attributes and
+``:not``, below one another by blank or ``>``; rules with any other selector are
+passed over, as they depend on siblings or on what a reader does.
 
 Defined results: NULL stays NULL, an empty page or one without visible text
 gives an empty string; broken markup never fails; nesting beyond ``MAX_DEPTH``
-levels is read as if its elements stood side by side.  Every page is rendered
+levels is read as if its elements stood side by side; tables nested deeper than
+``TABLES`` keep their text but not their columns.  Every page is rendered
 in place, whole.
 """
 
@@ -25,6 +32,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,10 +45,11 @@ MAX_COLSPAN, MAX_ROWSPAN = 1_000, 65_534  # HTML's own limits
 MAX_START = (1 << 31) - 1  # likewise: a list that starts beyond starts at 1
 PAD = 80  # cells wider than this do not widen their column
 TABLES = 6  # tables nested deeper are rendered as plain blocks
+SCREEN = 1280  # width that styles are chosen for
 
 #: Element groups of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
+RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 HEAD = frozenset("base basefont link meta noscript script style template title".split())
 UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video canvas "
                    "param".split())
@@ -73,18 +82,24 @@ IMPLIED = {
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>)|[^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SELECTOR = re.compile(r"[.#]?[A-Za-z][\w-]*\Z")
+_STYLE_MARK = re.compile(r"[{};]|\"[^\"]*\"|'[^']*'")
+_STYLE_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_DECLARATION = re.compile(r"\s*(display|visibility)\s*:\s*([a-z][a-z -]*?)\s*(!\s*important)?\s*\Z", re.I)
+_WIDTH = re.compile(r"(min|max)-width\s*:\s*([0-9.]+)(px|em|rem)\Z")
+_SIMPLE = re.compile(r"(?P<tag>\*|[A-Za-z][\w-]*)|\.(?P<cls>-?[A-Za-z_][\w-]*)|#(?P<id>[\w-]+)"
+                     r"|\[\s*(?P<attr>[\w-]+)\s*(?:(?P<op>[~^$*]?=)\s*(?P<value>\"[^\"]*\"|'[^']*'|[^\s\"'\]]+)\s*)?\]"
+                     r"|:not\(\s*(?P<no>[^()]*?)\s*\)")
+_COMBINATOR = re.compile(r"\s*(>)\s*|\s+")
 _UNQUOTED_SLASH = re.compile(r"=\s*[^\s\"']*/\Z")  # belongs to the value, closes nothing
 _INTEGER = re.compile(r"[ \t\n\r\f]*([+-]?)(?=[0-9])0*([0-9]*)")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Element:
-    __slots__ = ("attrs", "children", "name")
+    __slots__ = ("attrs", "children", "name", "parent")
 
     def __init__(self, name: str, attrs: dict[str, str]):
-        self.name, self.attrs, self.children = name, attrs, []
+        self.name, self.attrs, self.children, self.parent = name, attrs, [], None
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -128,7 +143,8 @@ class TreeBuilder:
                 body = page[at:close.start() if close else len(page)]
                 at = close.end() if close else len(page)
                 if name == "style":
-                    self.styles.append(body)
+                    if _on_screen(attrs.get("media", "")):
+                        self.styles.append(body)
                 elif name == "textarea" or name == "xmp":
                     self.open[-1].children.append(html.unescape(body) if name == "textarea" else body)
                 self._end(name)
@@ -150,6 +166,7 @@ class TreeBuilder:
             self._push(Element("body", {}))
 
     def _push(self, element: Element, stays: bool = True) -> None:
+        element.parent = self.open[-1]
         self.open[-1].children.append(element)
         if stays:
             self.open.append(element)
@@ -215,32 +232,208 @@ class TreeBuilder:
         self.open[-1].children.append(html.unescape(text) if "&" in text else text)
 
 
-def _hidden_selectors(styles: list[str]) -> set[str]:
-    found = set()
-    for sheet in styles:
-        for rule in _RULE.finditer(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", rule[2], re.I):
-                found.update(s for s in (part.strip() for part in rule[1].split(",")) if _SELECTOR.match(s))
-    return found
+def _on_screen(media: str) -> bool:
+    """Whether a media query holds for a screen ``SCREEN`` pixels wide."""
+    return not media.strip() or any(_query_holds(q) for q in media.lower().split(","))
+
+
+def _query_holds(query: str) -> bool:
+    negated = query.strip().startswith("not ")
+    holds = True
+    for part in re.split(r"\band\b", query.strip().removeprefix("not ").removeprefix("only ")):
+        part = part.strip().strip("()").strip()
+        width = _WIDTH.match(part)
+        if width:
+            try:
+                at = float(width[2]) * (1 if width[3] == "px" else 16)
+            except ValueError:
+                return False
+            holds = holds and (at <= SCREEN if width[1] == "min" else at >= SCREEN)
+        else:
+            holds = holds and part in ("screen", "all", "", "orientation: landscape", "orientation:landscape")
+    return holds != negated
+
+
+def _style_rules(sheet: str) -> Iterator[tuple[str, list[str]]]:
+    """(selector list, declarations) of each rule a screen applies, in order."""
+    sheet = _STYLE_COMMENT.sub(" ", sheet)
+    around: list = []  # open braces: a rule as a pair, a group as whether its rules apply
+    at = 0
+    for m in _STYLE_MARK.finditer(sheet):
+        if len(m[0]) > 1:
+            continue
+        part, at = sheet[at:m.start()].strip(), m.end()
+        top = around[-1] if around else True
+        if m[0] == "{":
+            if part[:1] != "@" and top is True:
+                around.append((part, []))
+            else:  # a rule inside a rule belongs to another element
+                around.append(top is True and (part[:9].lower() == "@supports" or part[:6].lower() == "@layer"
+                                               or (part[:6].lower() == "@media" and _on_screen(part[6:]))))
+            continue
+        if isinstance(top, tuple):
+            top[1].append(part)
+        if m[0] == "}" and around:
+            around.pop()
+            if isinstance(top, tuple):
+                yield top
+    if around and isinstance(around[-1], tuple):  # the sheet ends within a rule
+        yield around[-1][0], [*around[-1][1], sheet[at:]]
+
+
+def _compound(source: str, at: int) -> tuple[list, int]:
+    """Tests of the compound selector at ``at`` and where it ends."""
+    tests = []
+    while m := _SIMPLE.match(source, at):
+        if m["tag"] and tests:
+            break
+        at = m.end()
+        if m["no"] is not None:
+            inner, end = _compound(m["no"], 0)
+            if not inner or end < len(m["no"]):
+                return [], at
+            tests.append(("no", inner, None))
+        elif m["attr"]:
+            value = (m["value"] or "").strip("\"'")
+            tests.append(("attr", m["attr"].lower(), (m["op"], value)))
+        else:
+            tests.append((m.lastgroup, m["tag"].lower() if m["tag"] else m["cls"] or m["id"], None))
+    return tests, at
+
+
+def _selector(source: str) -> tuple[list, list] | None:
+    """Compounds and the combinators between them, or None if any part is unknown."""
+    compounds, joins, at = [], [], 0
+    while True:
+        tests, at = _compound(source, at)
+        if not tests:
+            return None
+        compounds.append(tests)
+        if at == len(source):
+            return compounds, joins
+        m = _COMBINATOR.match(source, at)
+        if m is None:
+            return None
+        joins.append(m[1] or " ")
+        at = m.end()
+
+
+def _weight(tests: list) -> tuple[int, int, int]:
+    ids = classes = tags = 0
+    for kind, value, _ in tests:
+        if kind == "no":
+            i, c, t = _weight(value)
+            ids, classes, tags = ids + i, classes + c, tags + t
+        elif kind == "tag":
+            tags += value != "*"
+        else:
+            ids, classes = ids + (kind == "id"), classes + (kind != "id")
+    return ids, classes, tags
+
+
+def _fits(e: Element, tests: list) -> bool:
+    for kind, value, more in tests:
+        if kind == "tag":
+            ok = value == "*" or e.name == value
+        elif kind == "cls":
+            ok = value in e.attrs.get("class", "").split()
+        elif kind == "id":
+            ok = e.attrs.get("id") == value
+        elif kind == "no":
+            ok = not _fits(e, value)
+        else:
+            has, (op, want) = e.attrs.get(value), more
+            ok = has is not None and (op is None or (op == "=" and has == want) or (op == "~=" and want in has.split()) or bool(want) and (
+                (op == "^=" and has.startswith(want)) or (op == "$=" and has.endswith(want)) or (op == "*=" and want in has)))
+        if not ok:
+            return False
+    return True
 
 
-def _visible(e: Element, hidden: set[str]) -> bool:
-    if e.name in UNSEEN:
-        return False
-    attrs = e.attrs
-    if not attrs and not hidden:
-        return e.name != "dialog"
-    if "hidden" in attrs or (e.name == "dialog" and "open" not in attrs):
-        return False
-    if e.name == "input" and attrs.get("type", "").lower() == "hidden":
-        return False
-    style = attrs.get("style")
-    if style and re.search(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", style, re.I):
-        return False
-    if hidden:
-        return not (e.name in hidden or "#" + attrs.get("id", "") in hidden
-                    or any("." + c in hidden for c in attrs.get("class", "").split()))
-    return True
+def _walk(e: Element | None, compounds: list, joins: list) -> tuple[list, list]:
+    """One walk down from the root to ``e``: which prefixes of the selector end above or
+    at it, and which at it."""
+    path = []
+    while e is not None:
+        path.append(e)
+        e = e.parent
+    above, here = [False] * len(compounds), [False] * len(compounds)
+    for node in reversed(path):
+        above, here = _below(node, compounds, joins, above, here)
+    return above, here
+
+
+def _below(node: Element, compounds: list, joins: list, above: list, parent: list) -> tuple[list, list]:
+    here = [(not i or (above if joins[i - 1] == " " else parent)[i - 1]) and _fits(node, tests)
+            for i, tests in enumerate(compounds)]
+    return [a or h for a, h in zip(above, here)], here
+
+
+class Styles:
+    """``display`` and ``visibility`` as a page's sheets set them."""
+
+    def __init__(self, sheets: list[str]):
+        self.rules: dict[tuple, list] = {}  # by an id, class or tag the element itself must have
+        self.parent, self.walks = None, {}  # what the last element's rules found above it, for its siblings
+        order = 0
+        for sheet in sheets:
+            for selectors, declarations in _style_rules(sheet):
+                found = [m for m in map(_DECLARATION.match, declarations) if m]
+                if not found:
+                    continue
+                for source in re.split(r",(?![^(\[]*[)\]])", selectors):
+                    parsed = _selector(source.strip())
+                    if parsed is None:
+                        continue
+                    weight = tuple(map(sum, zip(*map(_weight, parsed[0]))))
+                    own = [t[:2] for t in parsed[0][-1] if t[0] in ("id", "cls", "tag")]
+                    key = min(own, key=lambda t: ("id", "cls", "tag").index(t[0]), default=("tag", "*"))
+                    for m in found:
+                        order += 1
+                        self.rules.setdefault(key, []).append(
+                            (m[1].lower(), m[2].lower(), (bool(m[3]), False, weight, order), parsed))
+
+    def of(self, e: Element) -> tuple[str | None, str | None]:
+        best: dict[str, tuple] = {}
+        if self.rules:
+            keys = [("tag", "*"), ("tag", e.name)]
+            if e.attrs:
+                keys += [("cls", c) for c in set(e.attrs.get("class", "").split())] + [("id", e.attrs.get("id"))]
+            for key in keys:
+                for name, value, rank, parsed in self.rules.get(key, ()):
+                    if (name not in best or rank > best[name][0]) and self._matches(e, *parsed):
+                        best[name] = (rank, value)
+        if e.attrs and "style" in e.attrs:
+            for i, part in enumerate(e.attrs["style"].split(";")):
+                m = _DECLARATION.match(part)
+                if m:
+                    name, rank = m[1].lower(), (bool(m[3]), True, (0, 0, 0), i)
+                    if name not in best or rank > best[name][0]:
+                        best[name] = (rank, m[2].lower())
+        return tuple(best[name][1] if name in best else None for name in ("display", "visibility"))
+
+    def _matches(self, e: Element, compounds: list, joins: list) -> bool:
+        if not _fits(e, compounds[-1]):
+            return False
+        if not joins:
+            return True
+        if self.parent is not e.parent:
+            self.parent, self.walks = e.parent, {}
+        state = self.walks.get(id(compounds))
+        if state is None:
+            state = self.walks[id(compounds)] = _walk(e.parent, compounds, joins)
+        return _below(e, compounds, joins, *state)[1][-1]
+
+
+def _shown(e: Element, styles: Styles, inherited: bool) -> bool | None:
+    """Whether the element's own text is shown; None if the element is not there at all."""
+    if e.name in UNSEEN or (e.name == "input" and e.attrs.get("type", "").lower() == "hidden"):
+        return None
+    display, visibility = styles.of(e)
+    if display == "none" or (display is None and (
+            "hidden" in e.attrs or (e.name == "dialog" and "open" not in e.attrs))):
+        return None
+    return inherited if visibility in (None, "inherit", "unset") else visibility not in ("hidden", "collapse")
 
 
 class Flow:
@@ -303,9 +496,10 @@ def _span(value: str | None, most: int) -> int:
     return min(most, max(1, _integer(value, 1)))
 
 
-def _first_number(value: str | None) -> int:
-    first = _integer(value, 1)
-    return first if abs(first) <= MAX_START else 1
+def _number_in(value: str | None, default: int) -> int:
+    """The number of a list item that ``value`` sets, if it is one."""
+    number = _integer(value, default)
+    return number if abs(number) <= MAX_START else default
 
 
 def _table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
@@ -356,14 +550,14 @@ def render(page: str | None) -> str | None:
     if page is None:
         return None
     tree = TreeBuilder(page)
-    hidden = _hidden_selectors(tree.styles)
+    styles = Styles(tree.styles)
     flows, tables, lists, foreign = [Flow()], [], [], []
-    todo: list = [(tree.root, False, False)]
+    todo: list = [(tree.root, False, False, True)]
     while todo:
-        node, leaving, pre = todo.pop()
+        node, leaving, pre, shown = todo.pop()
         flow = flows[-1]
         if isinstance(node, str):
-            if not (tables and tables[-1] is flow and not node.strip()):
+            if shown and not (tables and tables[-1] is flow and not node.strip()):
                 flow.text(node, pre)
             continue
         name = node.name
@@ -401,7 +595,8 @@ def render(page: str | None) -> str | None:
             elif name in BLOCK:
                 flow.block(name in SPACED)
             continue
-        if not _visible(node, hidden) or (kind and name in FOREIGN_UNSEEN[kind]):
+        shown = _shown(node, styles, shown)
+        if shown is None or (kind and name in FOREIGN_UNSEEN[kind]):
             continue
         if name in FOREIGN:
             foreign.append(name)
@@ -413,17 +608,19 @@ def render(page: str | None) -> str | None:
         if name in VOID:
             if name == "hr":
                 flow.block(True)
-            elif name == "input" and node.attrs.get("type", "").lower() in ("submit", "button", "reset"):
+            elif shown and name == "input" and node.attrs.get("type", "").lower() in ("submit", "button", "reset"):
                 flow.text(node.attrs.get("value", ""), False)
             continue
         if name in BLOCK and not (name in ("td", "th", "tr", "thead", "tbody", "tfoot") and in_table):
             flow.block(name in SPACED and not (name in ("ul", "ol", "menu", "dir") and lists))
         if name in ("ul", "ol", "menu", "dir"):
             flow.indent += 1
-            lists.append([name, _first_number(node.attrs.get("start")) - 1])
+            back = name == "ol" and "reversed" in node.attrs
+            items = sum(isinstance(c, Element) and c.name == "li" for c in node.children) if back else 1
+            lists.append([name, _number_in(node.attrs.get("start"), items) - (-1 if back else 1), -1 if back else 1])
         elif name == "li":
             if lists and lists[-1][0] == "ol":
-                lists[-1][1] += 1
+                lists[-1][1] = _number_in(node.attrs.get("value"), lists[-1][1] + lists[-1][2])
                 flow.marker = f"{lists[-1][1]}. "
             else:
                 flow.marker = "- "
@@ -435,7 +632,7 @@ def render(page: str | None) -> str | None:
             tables[-1].append([])
         elif name in ("td", "th") and in_table:
             flows.append(Flow())
-        todo.append((node, True, pre))
+        todo.append((node, True, pre, shown))
         keep = pre or name in ("pre", "textarea", "xmp")
         children = node.children
         if name == "details" and "open" not in node.attrs:
@@ -448,7 +645,7 @@ def render(page: str | None) -> str | None:
             children = [c for c in children if not isinstance(c, str) or c.strip()]
         if name == "pre" and children and isinstance(children[0], str) and children[0][:1] == "\n":
             children = [children[0][1:], *children[1:]]
-        todo.extend((c, False, keep) for c in reversed(children))
+        todo.extend((c, False, keep, shown) for c in reversed(children))
     return "\n".join(flows[0].finish())
 
 

@@ -52,6 +52,65 @@ def test_formulas_drawings_maps_and_numbers(page, text):
     assert R.render(page).strip() == text.strip()
 
 
+def _sheet(css, body):
+    return f"<style>{css}</style>{body}"
+
+
+VISIBILITY = [
+    (_sheet("@media print { .nav { display: none } }", "<p class=nav>menu"), "menu"),
+    (_sheet("@media screen { .nav { display: none } } .x{display:none}", "<p class=nav>menu<p class=x>no<p>ok"), "ok"),
+    (_sheet("@media (max-width: 600px) { .a { display: none } } @media (min-width:50em){.b{display:none}}",
+            "<p class=a>a<p class=b>b"), "a"),
+    (_sheet("@media not print { i { display: none } } @media print, screen and (max-width:9999px) { b { display: none } }",
+            "<i>i</i><b>b</b>u"), "u"),
+    (_sheet("@import 'x.css'; @font-face { font-family: x } @supports (a: b) { i { display: none } }", "<i>no</i>ok"), "ok"),
+    ("<style media=print>p{display:none}</style><p>ok", "ok"),
+    (_sheet(".m{display:none} .m{display:block}", "<p class=m>a"), "a"),
+    (_sheet("#m{display:none} .m{display:block}", "<p class=m id=m>a<p>b"), "b"),
+    (_sheet(".m{display:none !important} #m{display:block}", "<p class=m id=m style='display:block'>a<p>b"), "b"),
+    (_sheet(".m{display:none}", "<p class=m style='display:block'>a"), "a"),
+    (_sheet("i{display:none;display:inline}", "<i>a</i>"), "a"),
+    (_sheet(".a .b{display:none}", "<div class=a><p><b class=b>no</b>x</div><b class=b>y</b>"), "x\n\ny"),
+    (_sheet(".a > .b{display:none}", "<div class=a><p class=b>no<div><p class=b>in</div></div>"), "in"),
+    (_sheet("div.a > section i{display:none}",
+            "<div class=a><div><section><section><i>x</i></section></section></div></div>"), "x"),
+    (_sheet("div.a > section i{display:none}", "<div class=a><section><section><i>x</i></section></section></div>y"), "y"),
+    (_sheet("p:not(.x){display:none}", "<p class=x>a<p>b"), "a"),
+    (_sheet("p.x.y, [data-k='v, w'] {display:none}", "<p class='y z x'>no<p class=x>a<p data-k='v, w'>no"), "a"),
+    (_sheet("p:hover, p + p, p::before {display:none}", "<p>a<p>b"), "a\n\nb"),
+    (_sheet("*{visibility:visible}", "a"), "a"),
+    ("<div style='visibility:hidden'>no<p style='visibility: visible'>yes</p>no</div>z", "yes\n\nz"),
+    ("<ol><li>a<li style='visibility:hidden'>b<li>c</ol>", "1. a\n3. c"),
+    ("<table><tr><td style='visibility:hidden'>no<td>x<tr><td>long<td>y</table>", "x\nlong  y"),
+    (_sheet("p{display:none}", "<p hidden style='display:block'>shown</p><dialog style='display:block'>d</dialog>"), "shown\n\nd"),
+    (_sheet("p { color: red } i { display: none", "<i>no</i>a"), "a"),
+    (_sheet(".a { .b { display: none } color: red }", "<p class=a>a<p class=b>b"), "a\n\nb"),
+    (_sheet("/* p{display:none} */ p::after{content:'}p{display:none}'}", "<p>a"), "a"),
+    ("<noscript><p>no</p></noscript><p>a", "a"), ("<html><head><noscript><img src=x></noscript></head><body>b", "b"),
+    ("<ol><li>a<li value=5>b<li>c<li value=x>d</ol>", "1. a\n5. b\n6. c\n7. d"),
+    ("<ol reversed><li>a<li>b<li>c</ol>", "3. a\n2. b\n1. c"),
+]
+
+
+@pytest.mark.parametrize("page,text", VISIBILITY)
+def test_visibility_as_a_screen_shows_it(page, text):
+    assert R.render(page).strip() == text
+
+
+def test_styles_stay_cheap():
+    sheet = "".join(f".c{i} .d{i} > p {{ display: none }} " for i in range(2_000)) + "div div div div div > q i{display:none}"
+    page = _sheet(sheet + "@media screen{" * 5_000, "<div>" * 390 + "<i>x</i>" * 2_000 + "<p class=d7>y")
+    assert R.render(page).count("x") == 2_000
+    assert R.render("<style>" + ":not(" * 20_000 + "</style>a") == "a"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["{", "}", ";", "p", ".a", ">", " ", ":not(", ")", "@media", "print", "(", "display:none", ",", "[", "]", "'", "/*",
+                                 "visibility:hidden", "(min-width:1..2px)", "#"]), max_size=25))
+def test_broken_styles_never_fail(parts):
+    assert R.render("<style>" + "".join(parts) + "</style><b>kept</b>").endswith("kept")
+
+
 def test_long_row_span():
     page = "<table><tr><td rowspan=300>r<td>0" + "".join(f"<tr><td>{i}" for i in range(1, 302)) + "</table>"
     lines = R.render(page).split("\n")
