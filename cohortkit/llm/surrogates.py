@@ -6,14 +6,16 @@ canonical form (case and separators dropped); its surrogate is drawn from
 SHA-256 of key, type and canonical form, so the same entity gets the same
 surrogate wherever it occurs (coreference).  Surrogates keep type, length,
 separators and case; card numbers keep their Luhn validity, private IPv4
-addresses their private prefix, names their script and (by title or given
+addresses their private prefix (after ``OWN_PREFIX_DRAWS`` draws an address in
+192.168 takes another private range), names their script and (by title or given
 name) gender.
 
 Collision checks run on the table of distinct entities: of several entities
 that draw one surrogate one keeps it, nobody takes a surrogate that is itself
 an entity of the corpus or already taken, and the others draw again.  The loop
-ends when all have one; after ``MAX_DRAWS`` rounds the few left get an opaque
-tag of their full hash.
+ends when all have one.  Only where a type has no surrogate left (a round after
+the first ``MAX_DRAWS`` in which nobody gets one) the rest get an opaque tag of
+their full hash.
 
 Only documents with an entity are shuffled: occurrences join the surrogate
 table, are put in order per text, and rebuild it.
@@ -25,6 +27,8 @@ equal; other columns pass through.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +36,7 @@ from cohortkit.llm.common import written
 
 KEY = "cohortkit"
 MAX_DRAWS = 12
+OWN_PREFIX_DRAWS = 4
 
 #: Patterns of the detected entities, first match wins.
 EMAIL = r"(?<![\p{L}\p{N}])[\p{L}\p{N}][\p{L}\p{N}._%+\-]*+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}"
@@ -155,7 +160,9 @@ def _drawn(entities: DataFrame, key: str) -> DataFrame:
     card = F.concat(F.array_join(F.slice("_card0", F.lit(1), F.size("_card0") - 1), ""), tail.cast("string"))
     octet = lambda i: (F.pmod(s(i), F.lit(254)) + 1).cast("string")
     ip = F.when(canon.startswith("10."), F.concat_ws(".", F.lit("10"), octet(1), octet(2), octet(3))) \
-        .when(canon.startswith("192.168."), F.concat_ws(".", F.lit("192.168"), octet(2), octet(3))) \
+        .when(canon.startswith("192.168.") & (F.col("draw") < OWN_PREFIX_DRAWS),
+              F.concat_ws(".", F.lit("192.168"), octet(2), octet(3))) \
+        .when(canon.startswith("192.168."), F.concat_ws(".", F.lit("10"), octet(1), octet(2), octet(3))) \
         .otherwise(F.concat_ws(".", (F.pmod(s(0), F.lit(90)) + 101).cast("string"), octet(1), octet(2), octet(3)))
     # phone numbers keep their first digit (of the country code), social security numbers lie in the unused 900s
     phone = F.concat(F.substring(canon, 1, 1), F.substring(body, F.lit(2), F.length(body)))
@@ -186,7 +193,7 @@ def assign(entities: DataFrame, key: str = KEY, max_draws: int = MAX_DRAWS) -> D
     entities = written(entities.select("type", "canon").distinct(), "entities")
     taken = None
     left = entities
-    for draw in range(max_draws):
+    for draw in itertools.count():
         drawn = _drawn(left.withColumn("draw", F.lit(draw)), key)
         real = entities.select("type", F.col("canon").alias("surrogate"))
         free = drawn.join(real, ["type", "surrogate"], "left_anti")
@@ -199,9 +206,11 @@ def assign(entities: DataFrame, key: str = KEY, max_draws: int = MAX_DRAWS) -> D
         left = written(left.join(won.select("type", "canon"), ["type", "canon"], "left_anti"), "unassigned")
         if not left.take(1):
             return taken
+        if draw + 1 >= max_draws and not won.take(1):
+            break
     tag = F.concat(F.lit("["), F.col("type"), F.lit("-"), F.sha2(F.concat_ws(
         "\x1f", F.lit(key), "type", "canon").cast("binary"), 256), F.lit("]"))
-    return taken.union(left.select("type", "canon", tag.alias("surrogate"), F.lit(max_draws).alias("draw")))
+    return taken.union(left.select("type", "canon", tag.alias("surrogate"), F.lit(draw + 1).alias("draw")))
 
 
 def _rendered(kind: Column, raw: Column, surrogate: Column) -> Column:

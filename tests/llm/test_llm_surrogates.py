@@ -57,6 +57,24 @@ def test_collisions_are_resolved(spark):
         assert out[i].text == " ".join(entity[m] for m in mails[i::10])
 
 
+def test_a_used_up_address_range_is_widened(spark):
+    rows = [("ipv4", f"192.168.{a}.{b}") for a in range(1, 251) for b in range(1, 161)]
+    table = S.assign(spark.createDataFrame(rows, "type string, canon string"), "k").collect()
+    found = {r.canon: r.surrogate for r in table}
+    assert len(table) == len(found) == len(set(found.values())) == 40_000
+    assert not set(found.values()) & set(found)
+    parts = [[int(x) for x in s.split(".")] for s in found.values()]
+    assert all(len(p) == 4 and all(0 <= x <= 255 for x in p) and (p[0] == 10 or p[:2] == [192, 168]) for p in parts)
+    assert {p[0] for p in parts} == {10, 192}
+
+
+def test_a_type_without_surrogates_left_gets_tags(spark):
+    # phone surrogates keep the first digit: ten numbers of two digits, all of them real
+    rows = [("phone", f"5{i}") for i in range(10)]
+    table = S.assign(spark.createDataFrame(rows, "type string, canon string"), "k", max_draws=2).collect()
+    assert len({r.surrogate for r in table}) == 10 and all(r.surrogate.startswith("[phone-") for r in table)
+
+
 def test_repeated_and_null_ids_and_empty(spark):
     rows = [(None, "a.b@c.com", "x"), (None, "a.b@c.com and d.e@c.com", "x"), (1, "a.b@c.com", "y"), (1, "a.b@c.com", "y"), (None, None, "z")]
     docs, _ = S.replace(spark.createDataFrame(rows, SCHEMA))
