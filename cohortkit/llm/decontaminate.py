@@ -7,9 +7,11 @@ longest suffix that occurs in some item.  Where it reaches a window (ten
 words, or a whole item that is shorter) the words below it are hit.
 
 Sizes: an automaton is built for at most ``block_words`` words of items,
-whatever the size of the benchmark; a longer benchmark takes one pass over
-the documents per block, with a written table between passes.  Documents are
-never shuffled.
+whatever the size of the benchmark.  Items are numbered by running word sums and
+cut into blocks by tasks (an item longer than half a block into pieces that
+share ``window - 1`` words), which also build and write the automata; the driver
+hands on one at a time.  A longer benchmark takes one pass over the documents
+per block, with a written table between passes.  Documents are never shuffled.
 
 Defined results: a NULL or wordless text has no words and no hits; an item
 without words gives no window; an item with a NULL id marks words but is not
@@ -19,11 +21,12 @@ one; other columns pass through untouched.
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -193,21 +196,46 @@ def merge_spans(a: list[list[int]], b: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list]:
-    """The items in blocks of at most ``block_words`` words (or one longer item)."""
-    block, size = [], 0
+def _pieces(benchmark: DataFrame, item_id: str, text: str, window: int, most: int) -> DataFrame:
+    """(k, n, t): the items' normalised words, cut into pieces of at most ``most`` words;
+    every window lies within a piece."""
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = words_of(value)
+                starts = range(0, max(1, len(words) - window + 1), most - window + 1) if len(words) > most else (0,)
+                rows += [(key, part) for part in (words[at:at + most] for at in starts) if part]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([k for k, _ in rows], pa.string()), pa.array([len(w) for _, w in rows], pa.int64()),
+                pa.array([b" ".join(w) for _, w in rows], pa.binary())], names=["k", "n", "t"])
+
     rows = benchmark.select(F.col(item_id).cast("string").alias("k"), F.col(text).cast("binary").alias("t"))
-    for row in rows.toLocalIterator():
-        words = words_of(row.t)
-        if not words:
-            continue
-        if block and size + len(words) > block_words:
-            yield block
-            block, size = [], 0
-        block.append((row.k, words))
-        size += len(words)
-    if block:
-        yield block
+    return rows.mapInArrow(run, "k string, n long, t binary")
+
+
+def automata(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW,
+             block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(block, words, automaton): one pickled automaton per block of at most ``block_words`` words."""
+    most = max(2 * window, block_words // 2)  # a piece starts within its block and may end in the next
+    pieces = written(_pieces(benchmark, item_id, text, window, most), "benchmark-pieces")
+    placed = pieces.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    files = placed.groupBy("file").agg(F.sum("n").alias("n")).select(
+        "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    earlier = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = placed.withColumn("own", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(files, "file") \
+        .select("k", "t", F.floor((F.col("base") + F.col("own")) / most).alias("block"))
+
+    def build(key, group):
+        items = [(k, t.split()) for k, t in zip(group["k"].to_pylist(), group["t"].to_pylist())]
+        made = pickle.dumps(SuffixAutomaton(items, window), pickle.HIGHEST_PROTOCOL)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()),
+                         "words": pa.array([sum(len(w) for _, w in items)], pa.int64()),
+                         "automaton": pa.array([made], pa.binary())})
+
+    return written(blocks.groupBy("block").applyInArrow(build, "block long, words long, automaton binary"),
+                   "benchmark-automata")
 
 
 SPANS = T.ArrayType(T.ArrayType(T.IntegerType()))
@@ -250,10 +278,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
         return df.mapInArrow(run, schema)
 
     df, last = docs, None
-    for block in _blocks(benchmark, item_id, item_text, block_words):
+    built = automata(benchmark, item_id, item_text, window, block_words)
+    for row in built.select("block").orderBy("block").collect():
         if last is not None:
             df = written(one_pass(df, last), "decontaminate-pass")
-        last = SuffixAutomaton(block, window)
+        last = pickle.loads(built.filter(F.col("block") == row.block).select("automaton").first().automaton)
     return one_pass(df, last)
 
 

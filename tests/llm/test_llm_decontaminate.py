@@ -60,6 +60,19 @@ def test_matches_brute_force(spark, seed, block):
         assert result(D.contamination(d, b)) == brute(docs, items)
 
 
+def test_items_longer_than_a_block_are_cut_with_overlap(spark):
+    rng = random.Random(3)
+    words = [rng.choice("abcdefgh") + rng.choice("xyz") for _ in range(400)]
+    items = [(1, " ".join(words)), (1, " ".join(words)), (2, "a b c"), (None, " ".join(words[50:95])), (3, None)]
+    docs = [(i, " ".join(["q", *words[i * 7:i * 7 + 7 + i % 9], "q"])) for i in range(56)] + [(100, " ".join(words))]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS).repartition(3)
+    sizes = [r.words for r in D.automata(b, block_words=200).select("words").collect()]
+    assert len(sizes) > 6 and max(sizes) <= 200
+    found = D.scan(d, b, block_words=200).collect()
+    got = sorted(((r.doc_id, r['__ck_words'], sum(e - s for s, e in r['__ck_spans']), len(r['__ck_items']), list(r['__ck_items'])) for r in found), key=repr)
+    assert got == brute(docs, items)
+
+
 def test_remove_cuts_passages_and_keeps_clean_rows(spark):
     passage = " ".join(f"w{i}" for i in range(14))
     docs = [(1, f"Before it, {passage} and after.", "a"), (2, "a clean text", "b"), (3, passage, "c"), (4, None, "d"), (2, "a clean text", "b")]
