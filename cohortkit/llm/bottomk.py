@@ -12,6 +12,8 @@
    already join most of a group of copies.  Classes that share a list but stay
    in different components are then joined on their full sets, with exact
    prefix and position tests inside the join.  No list emits all its pairs.
+   Of these pairs the closest one of every two components is verified first;
+   those whose ends have met by then are decided, all others are verified.
 4. Union sketches estimate the similarity of a candidate pair, and the full
    shingle sets decide it: ``100 * |A & B| >= 75 * |A | B|``.
 5. Components of the links by alternating star steps.
@@ -43,6 +45,7 @@ MIN_SHARED = 20
 WIDTH = 5
 SIMILAR = 75  # percent
 HUBS = 4  # classes that each class is compared with before the exact join
+CLOSEST = 2  # rounds that verify the closest pair of every two components only
 BITMAP = 1024  # bits of a full set's bitmap
 EARLIER = 48  # values before its own that a prefix row carries
 # the estimate's standard error at the threshold is 0.0625 for K = 48
@@ -132,8 +135,9 @@ def active(listed: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def rest_pairs(sets: DataFrame, tested: DataFrame, similar: int = SIMILAR) -> DataFrame:
-    """(u, v): classes of different components whose full sets may be similar enough and
-    that were not compared yet, from rows (node, root, n, values, bits).
+    """(u, v, apart): classes of different components whose full sets may be similar enough and
+    that were not compared yet, from rows (node, root, n, values, bits); ``apart`` counts
+    the bits that only one of their bitmaps has.
 
     Full sets are ordered rarest value first.  A linked pair shares a value in
     the smaller set's first ``n - ceil(2t / (1 + t) * n) + 1`` and the larger one's first
@@ -174,7 +178,9 @@ def rest_pairs(sets: DataFrame, tested: DataFrame, similar: int = SIMILAR) -> Da
         & (F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at")) + 1 >= needed) \
         & ~F.arrays_overlap("a_earlier", "b_earlier") \
         & (F.col("a_n") - lacking("a_bits", "b_bits") >= needed) & (F.col("b_n") - lacking("b_bits", "a_bits") >= needed)
-    pairs = a.join(b, on).select(F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v")).distinct()
+    apart = lacking("a_bits", "b_bits") + lacking("b_bits", "a_bits")
+    pairs = a.join(b, on).select(F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v"),
+                                 apart.cast("long").alias("apart")).distinct()
     done = tested.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     return pairs.join(done, ["u", "v"], "left_anti")
 
@@ -257,11 +263,44 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similar: in
     return written(both.mapInArrow(run, "u bigint, v bigint"), "links")
 
 
+def open_pairs(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (u, v, apart) whose ends are in different components, with these as (lo, hi)."""
+    for end in ("u", "v"):
+        pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"_{end}")), end, "left") \
+            .withColumn(f"_{end}", F.coalesce(f"_{end}", end))
+    return written(pairs.filter("_u <> _v").select("u", "v", "apart", F.least("_u", "_v").alias("lo"),
+                                                   F.greatest("_u", "_v").alias("hi")), "open-pairs")
+
+
+def settled(pairs: DataFrame, roots: DataFrame, texts: DataFrame, width: int = WIDTH, similar: int = SIMILAR,
+            rounds: int = CLOSEST) -> tuple[DataFrame | None, DataFrame]:
+    """Links among the candidate pairs (u, v, apart) and the components they leave, from ``roots``.
+
+    Each round verifies the least ``apart`` pair of every two components, and pairs
+    whose ends have met need no test.  After the rounds every pair that is still
+    between two components is verified, so the components are those of all links.
+    """
+    links = None
+    for left in range(rounds, -1, -1):
+        pairs = open_pairs(pairs, roots)
+        closest = F.min(F.struct("apart", "u", "v")).alias("pair")
+        asked = written(pairs.groupBy("lo", "hi").agg(closest).select("pair.u", "pair.v"), "closest") if left else pairs
+        more = verified(asked.select("u", "v"), texts, width, similar)
+        if left:
+            pairs = pairs.join(asked, ["u", "v"], "left_anti").select("u", "v", "apart")
+        if more.take(1):
+            links = more if links is None else links.union(more)
+            known = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
+            roots = written(components(known.union(more)), "roots")
+    return links, roots
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K,
                     width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
     """One row per input row: ``doc_id``, ``hash`` of its text, ``row``, ``n_shingles``, ``component`` (a
     number; NULL where the set is empty or the id NULL), ``component_id`` (smallest id of the component),
-    ``n_links`` of its class to other classes, and ``kept``."""
+    ``n_links`` (verified links of its class to other classes; pairs already joined through others are
+    not verified), and ``kept``."""
     rows = sketches(docs, doc_id, text, k, width)
     found = classes(rows)
     listed = index(found, k, similar=similar)
@@ -272,9 +311,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     open_ = active(listed, roots)
     texts = texts_of(open_, found, docs, doc_id, text)
     sets = written(full_sets(texts, width).join(open_, "node"), "full-sets")
-    more = verified(written(rest_pairs(sets, tested, similar), "rest-pairs"), texts, width, similar)
-    links = links.union(more)
-    roots = components(links) if more.take(1) else roots
+    more, roots = settled(written(rest_pairs(sets, tested, similar), "rest-pairs"), roots, texts, width, similar)
+    links = links if more is None else links.union(more)
     ends = links.select(F.col("u").alias("node")).union(links.select(F.col("v").alias("node")))
     named = found.select("node", "digest", "doc_id").join(roots, "node", "left") \
         .join(ends.groupBy("node").agg(F.count("*").alias("n_links")), "node", "left") \

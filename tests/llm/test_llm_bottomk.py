@@ -84,6 +84,33 @@ def test_list_of_two_classes_behind_four_more_central_hubs(spark):
     assert run(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("rounds", [0, 1, 2])
+def test_candidates_are_settled_whatever_their_order(spark, rounds):
+    """A misleading ``apart`` puts unlinked pairs first; every link between components must still count."""
+    rng = random.Random(rounds)
+    texts = []
+    for g in range(12):
+        base = [f"g{g % 4}.{i}" for i in range(120)]
+        texts += [" ".join(edited(rng, base, rng.choice([0.01, 0.015, 0.04]))) for _ in range(4)]
+    texts = sorted(set(texts))
+    docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], SCHEMA)
+    found = bottomk.classes(bottomk.sketches(docs))
+    body = bottomk.texts_of(found, found, docs)
+    nodes = {r.doc_id: r.node for r in found.collect()}
+    pairs = [(*sorted((nodes[i], nodes[j])), rng.randrange(5)) for i in range(len(texts)) for j in range(i) if rng.random() < 0.6]
+    some = spark.createDataFrame(pairs, "u long, v long, apart long")
+    first = sorted(nodes.values())[:3]  # one component is known before
+    known = spark.createDataFrame([(n, first[0]) for n in first], "node long, root long")
+    links, roots = bottomk.settled(some, known, body, rounds=rounds)
+    every = bottomk.verified(some.select("u", "v"), body)
+    assert every.count() > links.count() or rounds == 0
+    assert {tuple(r) for r in links.collect()} <= {tuple(r) for r in every.collect()}
+    wanted = components(every.union(known.select("node", "root")))
+    assert sorted(map(tuple, roots.collect())) == sorted(map(tuple, wanted.collect()))
+    none, same = bottomk.settled(some.limit(0), known, body, rounds=rounds)
+    assert none is None and sorted(map(tuple, same.collect())) == sorted(map(tuple, known.collect()))
+
+
 def test_chain_of_links(spark):
     words = [f"c{i}" for i in range(160)]
     rows = [(i, " ".join(words[4 * i:4 * i + 60])) for i in range(20)]
