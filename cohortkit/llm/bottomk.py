@@ -135,9 +135,9 @@ def active(listed: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def rest_pairs(sets: DataFrame, tested: DataFrame, similar: int = SIMILAR) -> DataFrame:
-    """(u, v, apart): classes of different components whose full sets may be similar enough and
-    that were not compared yet, from rows (node, root, n, values, bits); ``apart`` counts
-    the bits that only one of their bitmaps has.
+    """(u, v, apart, lo, hi): classes of different components ``lo`` and ``hi`` whose full sets
+    may be similar enough and that were not compared yet, from rows (node, root, n, values,
+    bits); ``apart`` counts the bits that only one of their bitmaps has.
 
     Full sets are ordered rarest value first.  A linked pair shares a value in
     the smaller set's first ``n - ceil(2t / (1 + t) * n) + 1`` and the larger one's first
@@ -180,7 +180,8 @@ def rest_pairs(sets: DataFrame, tested: DataFrame, similar: int = SIMILAR) -> Da
         & (F.col("a_n") - lacking("a_bits", "b_bits") >= needed) & (F.col("b_n") - lacking("b_bits", "a_bits") >= needed)
     apart = lacking("a_bits", "b_bits") + lacking("b_bits", "a_bits")
     pairs = a.join(b, on).select(F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v"),
-                                 apart.cast("long").alias("apart")).distinct()
+                                 apart.cast("long").alias("apart"), F.least("a_root", "b_root").alias("lo"),
+                                 F.greatest("a_root", "b_root").alias("hi")).distinct()
     done = tested.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     return pairs.join(done, ["u", "v"], "left_anti")
 
@@ -264,7 +265,10 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, similar: in
 
 
 def open_pairs(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs (u, v, apart) whose ends are in different components, with these as (lo, hi)."""
+    """The pairs (u, v, apart, lo, hi) whose ends are still in different components, by the new ``roots``.
+
+    They are joined by their ends, of which no class has many, and not by component.
+    """
     for end in ("u", "v"):
         pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"_{end}")), end, "left") \
             .withColumn(f"_{end}", F.coalesce(f"_{end}", end))
@@ -274,7 +278,8 @@ def open_pairs(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def settled(pairs: DataFrame, roots: DataFrame, texts: DataFrame, width: int = WIDTH, similar: int = SIMILAR,
             rounds: int = CLOSEST) -> tuple[DataFrame | None, DataFrame]:
-    """Links among the candidate pairs (u, v, apart) and the components they leave, from ``roots``.
+    """Links among the candidate pairs (u, v, apart, lo, hi) and the components they leave, from ``roots``,
+    in which ``lo`` and ``hi`` are the components of a pair.
 
     Each round verifies the least ``apart`` pair of every two components, and pairs
     whose ends have met need no test.  After the rounds every pair that is still
@@ -282,16 +287,17 @@ def settled(pairs: DataFrame, roots: DataFrame, texts: DataFrame, width: int = W
     """
     links = None
     for left in range(rounds, -1, -1):
-        pairs = open_pairs(pairs, roots)
         closest = F.min(F.struct("apart", "u", "v")).alias("pair")
         asked = written(pairs.groupBy("lo", "hi").agg(closest).select("pair.u", "pair.v"), "closest") if left else pairs
         more = verified(asked.select("u", "v"), texts, width, similar)
-        if left:
-            pairs = pairs.join(asked, ["u", "v"], "left_anti").select("u", "v", "apart")
-        if more.take(1):
+        found = bool(more.take(1))
+        if found:
             links = more if links is None else links.union(more)
             known = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
             roots = written(components(known.union(more)), "roots")
+        if left:
+            pairs = pairs.join(asked, ["u", "v"], "left_anti")
+            pairs = open_pairs(pairs, roots) if found else pairs
     return links, roots
 
 

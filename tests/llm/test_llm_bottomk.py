@@ -97,9 +97,11 @@ def test_candidates_are_settled_whatever_their_order(spark, rounds):
     found = bottomk.classes(bottomk.sketches(docs))
     body = bottomk.texts_of(found, found, docs)
     nodes = {r.doc_id: r.node for r in found.collect()}
-    pairs = [(*sorted((nodes[i], nodes[j])), rng.randrange(5)) for i in range(len(texts)) for j in range(i) if rng.random() < 0.6]
-    some = spark.createDataFrame(pairs, "u long, v long, apart long")
     first = sorted(nodes.values())[:3]  # one component is known before
+    ends = [sorted((nodes[i], nodes[j])) for i in range(len(texts)) for j in range(i) if rng.random() < 0.6]
+    of = [(u, v, *sorted(first[0] if n in first else n for n in (u, v))) for u, v in ends]
+    pairs = [(u, v, rng.randrange(5), lo, hi) for u, v, lo, hi in of if lo != hi]
+    some = spark.createDataFrame(pairs, "u long, v long, apart long, lo long, hi long")
     known = spark.createDataFrame([(n, first[0]) for n in first], "node long, root long")
     links, roots = bottomk.settled(some, known, body, rounds=rounds)
     every = bottomk.verified(some.select("u", "v"), body)
