@@ -122,12 +122,12 @@ def _joined(members: DataFrame, p: KpiParams) -> DataFrame:
         _bits(joined_in_period=in_range(day, p.start, p.end), joined_before_s=day < F.lit(p.start)))
 
 
-def member_facts(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataFrame:
-    """What the inputs say of each member id as written, one row per id: one hash aggregate."""
+def _aggregated(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataFrame:
+    """The inputs' values per member id as written: one hash aggregate."""
     parts = (_history(orders, p)
              .unionByName(_ytd(orders, p), allowMissingColumns=True)
              .unionByName(_joined(members, p), allowMissingColumns=True))
-    agg = parts.groupBy(KEY, ID).agg(
+    return parts.groupBy(KEY, ID).agg(
         F.max("last_paid_s").alias("last_paid_s"),
         F.max("last_paid_e").alias("last_paid_e"),
         F.min("first_code").alias("first_code"),
@@ -135,6 +135,10 @@ def member_facts(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataFra
         F.sum("ytd_eff_order").alias("ytd_orders"),
         (F.sum("ytd_pos") - F.sum("ytd_neg")).alias("ytd_sales"),
     )
+
+
+def _coded(agg: DataFrame, p: KpiParams) -> DataFrame:
+    """Recency codes and first-purchase flags in place of the times they follow from."""
     # first_code = 2 * micros(first paid) + other-channel bit (see first_purchase_code)
     first_day = first_code_day(F.col("first_code"))
     return agg.select(
@@ -147,6 +151,11 @@ def member_facts(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataFra
         "ytd_orders", "ytd_sales")
 
 
+def member_facts(orders: DataFrame, members: DataFrame, p: KpiParams) -> DataFrame:
+    """What the inputs say of each member id as written, one row per id: one hash aggregate."""
+    return _coded(_aggregated(orders, members, p), p)
+
+
 def spelled_otherwise() -> F.Column:
     """The id is not written as its key: only then a key can have a second spelling."""
     return F.col(ID) != F.col(KEY).cast("string")
@@ -194,9 +203,9 @@ def member_profile(orders: DataFrame, members: DataFrame, p: KpiParams, mode: st
     written, so spellings can't be counted first and a window over the key
     finds them.
     """
-    facts = member_facts(orders, members, p)
     if mode == "none":
-        return derive_flags(_facts_of_key(facts))
+        return derive_flags(_aggregated(orders, members, p), p)
+    facts = member_facts(orders, members, p)
     if mode == "table":
         seen = Observation()
         facts = write_table(facts, "member_facts",
@@ -205,10 +214,15 @@ def member_profile(orders: DataFrame, members: DataFrame, p: KpiParams, mode: st
     else:
         facts = materialize(facts, "member_facts", mode)
         n_otherwise = facts.where(spelled_otherwise()).count()
-    return derive_flags(_with_key_facts(facts, n_otherwise))
+    return _flags(_with_key_facts(facts, n_otherwise))
+
+
+def derive_flags(agg: DataFrame, p: KpiParams) -> DataFrame:
+    """Cohort flags and segment codes of aggregated ids, each key's by a window over it."""
+    return _flags(_facts_of_key(_coded(agg, p)))
 
 
-def derive_flags(facts: DataFrame) -> DataFrame:
+def _flags(facts: DataFrame) -> DataFrame:
     """Cohort flags and segment codes from the facts of an id and of its key."""
     key_new = has("joined_in_period", "any_flags")
     key_bought = has("bought_before_s", "any_flags")
