@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -11,7 +12,8 @@ from pyspark.sql import SparkSession
 # literals mean the same everywhere, AQE for runtime coalescing and skew
 # splitting of the member-keyed joins; coalescing by the advisory partition
 # size rather than by parallelism, as Spark recommends for busy clusters (no
-# swarm of tiny tasks after the selective period and label steps).
+# swarm of tiny tasks after the selective period and label steps).  That size
+# is capped by MAX_ADVISORY_BYTES.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # a member id that is no number raises, as an integer cast of it would, and
@@ -23,10 +25,24 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# The advisory size counts compressed shuffle bytes.  The line-order join's narrow
+# rows take some 16 times as much in the sorts of one task: Spark's 64 MB is 1 GB
+# there, however many partitions the cluster has.  A smaller setting is kept.
+ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+MAX_ADVISORY_BYTES = 8 * 1024 * 1024
+
+
+def _bytes(size: str) -> int:
+    """The bytes of a Spark size setting (``64MB``, ``8m``, ``67108864b``, ``1024``)."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgtp".index(unit or " ")
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    if _bytes(spark.conf.get(ADVISORY_SIZE)) > MAX_ADVISORY_BYTES:
+        spark.conf.set(ADVISORY_SIZE, f"{MAX_ADVISORY_BYTES}b")
     return spark
 
 
